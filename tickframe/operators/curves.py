@@ -39,5 +39,5 @@ def chart_json(returns: DataFrame, fields: Mapping[str, str], decimals: int = 6)
     one = days.groupBy().agg(F.array_sort(F.collect_list(row)).alias("rows"))
     record = F.struct(
         F.transform("rows", lambda r: F.date_format(r["date"], "yyyy-MM-dd")).alias("dates"),
-        *(F.transform("rows", lambda r, f=f: r[f]).alias(f) for f in fields))
+        *(F.col(f"rows.{f}").alias(f) for f in fields))
     return one.select(F.to_json(record, {"ignoreNullFields": "false"}).alias("json"))
