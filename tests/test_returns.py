@@ -1,0 +1,152 @@
+"""Portfolios, measures, curves and the t-test."""
+
+import json
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tickframe.operators import curves, metrics, ranking
+from tickframe.operators import returns as R
+
+from .helpers import count_of, day, returns, stocks
+
+
+def scored(spark, days):
+    """``[[(symbol, score, return), ...] per day]``"""
+    rows = [(day(i), s, float(x), float(r)) for i, names in enumerate(days) for s, x, r in names]
+    return spark.createDataFrame(rows, "date date, symbol string, s double, daily_return double")
+
+
+def test_ties_are_taken_in_symbol_order(spark):
+    df = scored(spark, [[(c, 1, i) for i, c in enumerate("HGFEDCBA")]])
+    assert R.topn_returns(df, {"s": "s"}).first()["ret"] == pytest.approx((7 + 6 + 5 + 4 + 3) / 5)
+
+
+def test_thin_day(spark):
+    df = scored(spark, [[(c, 1, 0.1) for c in "ABCD"], [(c, 1, 0.1) for c in "ABCDE"]])
+    got = {(r.strategy, r.date): r.ret for r in R.strategy_returns(df, {"s": "s"}).collect()}
+    assert got[("s", day(0))] == 0.0
+    assert got[("s", day(1))] == pytest.approx(0.1)
+    assert got[("benchmark", day(0))] == pytest.approx(0.1)
+
+
+def test_limit_is_applied_before_the_exchange(spark, tmp_path):
+    scored(spark, [[("A", 1, 0.1)]]).write.parquet(str(tmp_path / "s"))
+    plan = R.topn_returns(spark.read.parquet(str(tmp_path / "s")), {"s": "s"})
+    assert count_of(plan, "WindowGroupLimit") == 2 and count_of(plan, "Exchange") == 1
+
+
+def by_name(df):
+    return {r.strategy: r.asDict() for r in df.collect()}
+
+
+def test_measures_by_hand(spark):
+    s, b = [0.01, -0.02, 0.03, -0.01, 0.0], [0.02, -0.01, 0.01, 0.0, -0.02]
+    got = by_name(metrics.performance(returns(spark, {"s": s, "benchmark": b})))
+    x, y = np.array(s), np.array(b)
+
+    def growth(v):
+        return np.prod(1 + v) ** (252 / len(v)) - 1
+
+    vol = x.std(ddof=1) * math.sqrt(252)
+    curve = np.cumprod(1 + x)
+    dd = (curve / np.maximum.accumulate(curve) - 1).min()
+    beta = np.cov(x, y)[0, 1] / y.var(ddof=1)
+    down = x[x < 0].std(ddof=1) * math.sqrt(252)
+    want = {"cagr_pct": growth(x) * 100, "annualized_volatility_pct": vol * 100, "sharpe_ratio": growth(x) / vol,
+            "sortino_ratio": growth(x) / down, "calmar_ratio": growth(x) / abs(dd), "max_drawdown_pct": dd * 100,
+            "alpha_pct": (growth(x) - beta * growth(y)) * 100, "beta": beta, "win_rate_pct": 40.0}
+    assert {k: got["s"][k] for k in want} == pytest.approx(want)
+    assert got["benchmark"]["beta"] == pytest.approx(1) and got["benchmark"]["alpha_pct"] == pytest.approx(0)
+
+
+def test_no_loss_leaves_sortino_undefined_and_calmar_zero(spark):
+    got = by_name(metrics.performance(returns(spark, {"s": [0.01, 0.02], "benchmark": [0.0, 0.01]})))["s"]
+    assert got["sortino_ratio"] is None and got["calmar_ratio"] == 0 and got["max_drawdown_pct"] == 0
+
+
+def test_single_return(spark):
+    got = by_name(metrics.performance(returns(spark, {"s": [0.01], "benchmark": [0.01]})))["s"]
+    assert got["annualized_volatility_pct"] is None and got["sharpe_ratio"] is None and got["beta"] is None
+
+
+def test_constant_returns_have_sharpe_zero(spark):
+    got = by_name(metrics.performance(returns(spark, {"s": [0.0, 0.0], "benchmark": [0.0, 0.0]})))["s"]
+    assert got["sharpe_ratio"] == 0 and got["beta"] == 0
+
+
+def test_empty_returns(spark):
+    assert metrics.performance(returns(spark, {"s": [0.1]}).limit(0)).count() == 0
+
+
+def test_first_day_loss_is_no_drawdown(spark):
+    rows = metrics.with_equity(returns(spark, {"s": [-0.1, 0.01]})).orderBy("date").collect()
+    assert [r.drawdown for r in rows] == [0, 0]
+
+
+def test_curves(spark):
+    df = returns(spark, {"a": [0.1, 0.1, -0.5], "b": [None, 0.2, 0.2]})
+    got = curves.equity_curve(df, ["a", "b"]).orderBy("label").collect()
+    assert [r.label for r in got] == ["2001-01-01", "2001-01-02", "2001-01-03"]
+    assert [r.a for r in got] == pytest.approx([1.1, 1.21, 0.605])
+    assert got[0].b is None and got[2].b == pytest.approx(1.44)
+    total = df.filter("strategy = 'a'").agg(metrics.compounded("ret")).first()[0]
+    assert got[-1].a == pytest.approx(1 + total)
+    assert all(r.a <= 0 for r in curves.drawdown_curve(df, ["a", "b"]).collect())
+
+
+def test_chart_file(spark, tmp_path):
+    df = returns(spark, {"a": [0.1, -0.25], "benchmark": [0.0, 0.5]})
+    curves.write_chart(df, {"a_returns": "a", "benchmark_returns": "benchmark"}, str(tmp_path / "chart"))
+    got = json.loads(spark.read.text(str(tmp_path / "chart")).first()[0])
+    assert got == {"dates": ["2001-01-01", "2001-01-02"], "a_returns": [0.1, -0.25], "benchmark_returns": [0.0, 0.5]}
+
+
+@pytest.mark.parametrize("t, df, p", [
+    (0.0, 5.0, 1.0),
+    (2.228138852, 10.0, 0.05),
+    (12.706204736, 1.0, 0.05),
+    (1.959963985, 1e6, 0.0500004),
+    (3.169272673, 10.0, 0.01),
+])
+def test_p_value_against_printed_tables(spark, t, df, p):
+    got = spark.range(1).select(metrics.t_two_sided_p(F.lit(t), F.lit(df))).first()[0]
+    assert got == pytest.approx(p, rel=2e-5)
+
+
+def test_welch_by_hand(spark):
+    a, b = [0.01, 0.03, -0.02, 0.04], [0.0, -0.01, 0.01, -0.03]
+    got = metrics.welch(returns(spark, {"a": a, "b": b}), "a", "b").first()
+    x, y = np.array(a), np.array(b)
+    ea, eb = x.var(ddof=1) / 4, y.var(ddof=1) / 4
+    assert got.t_stat == pytest.approx((x.mean() - y.mean()) / math.sqrt(ea + eb))
+    assert got.df == pytest.approx((ea + eb) ** 2 / (ea ** 2 / 3 + eb ** 2 / 3))
+    assert 0 < got.p_value < 1 and got.verdict == "not significant"
+
+
+def test_stale_symbol_is_ranked_by_its_own_date(spark):
+    f = [(k, day(i + shift), 1.0, 2.0, r, 0.0, 1.0) for k, shift, r in ((1, 0, 10.0), (2, 5, 50.0)) for i in range(2)]
+    df = spark.createDataFrame(f, "stock_id int, date date, sma_50 double, sma_200 double, rsi_14 double, "
+                                  "macd_value double, macd_signal double")
+    names = stocks(spark, {1: "A", 2: "B"})
+    top = ranking.recommend(ranking.latest_scores(df, names), {"SHE": "she_score"}).orderBy("rank").collect()
+    assert [(r.stock_id, r.date) for r in top] == [(1, day(1)), (2, day(6))]
+    only = ranking.latest_scores(df, names, as_of=day(6)).collect()
+    assert [r.stock_id for r in only] == [2]
+
+
+def test_lookup_and_response(spark):
+    rows = [(day(0), 1, 1, 60.0, "SHE", (0.0, 40.0, 100.0)), (day(1), 1, 2, 70.0, "SHE", (1.0, 30.0, 0.0)),
+            (day(1), 2, 1, 65.0, "SHE", (0.0, 20.0, 0.0)), (day(1), 1, 1, 55.0, "LEM", (0.0, 20.0, 0.0))]
+    from tickframe.schemas import RECOMMENDATIONS
+    recs, names = spark.createDataFrame(rows, RECOMMENDATIONS), stocks(spark, {1: "M&M", 2: "TCS"})
+    found = ranking.score_lookup(recs, names, "m&m", day(0)).collect()
+    assert [r.algorithm_scores.macd_score for r in found] == [100.0]
+    assert ranking.score_lookup(recs, names, "NONE", day(0)).count() == 0
+    latest = ranking.latest_recommendations(recs, names)
+    assert latest.count() == 3
+    answer = ranking.recommendation_response(latest).first()
+    assert [r.symbol for r in answer.she_recommendations] == ["TCS", "M&M"]
+    assert [r.symbol for r in answer.lem_recommendations] == ["M&M"]

@@ -41,3 +41,8 @@ def chart_json(returns: DataFrame, fields: Mapping[str, str], decimals: int = 6)
         F.transform("rows", lambda r: F.date_format(r["date"], "yyyy-MM-dd")).alias("dates"),
         *(F.col(f"rows.{f}").alias(f) for f in fields))
     return one.select(F.to_json(record, {"ignoreNullFields": "false"}).alias("json"))
+
+
+def write_chart(returns: DataFrame, fields: Mapping[str, str], path: str) -> None:
+    """The chart data as a text file of one JSON line."""
+    chart_json(returns, fields).write.mode("overwrite").text(path)

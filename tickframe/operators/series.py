@@ -20,6 +20,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 KEY = ("stock_id",)
 ORDER = "date"
@@ -264,22 +265,23 @@ def latest_per_key(df: DataFrame, *, by: Sequence[str] = KEY, order: str = ORDER
     return last.select(*by, "_last.*")
 
 
-def split_series(df: DataFrame, slice_of: Column, *, rows: int, halo: int,
+def split_series(df: DataFrame, slice_of: Column, *, rows: int, halo: int, ahead: int = 0,
                  by: Sequence[str] = KEY, order: str = ORDER) -> DataFrame:
-    """Cuts each key into pieces of ``rows`` positions, each led by the ``halo``
-    rows before it, and adds ``piece`` and ``is_halo``.
+    """Cuts each key into pieces of ``rows`` positions, each with the ``halo``
+    rows before and the ``ahead`` rows after it, and adds ``piece`` and ``is_halo``.
 
-    Any operator that looks back at most ``halo`` rows gives, with
-    ``by=[*by, "piece"]`` and the halo rows dropped after it, what it gives on
-    whole keys, while no task holds more than ``rows + halo`` rows of a key.
-    An EMA looks back one block (``block_size``).
+    Any operator that looks back at most ``halo`` rows and forward at most
+    ``ahead`` gives, with ``by=[*by, "piece"]`` and the halo rows dropped after
+    it, what it gives on whole keys, while no task holds more than
+    ``rows + halo + ahead`` rows of a key. An EMA looks back one block
+    (``block_size``).
 
     ``slice_of`` maps the order column to coarse, increasing slices that one
     task can sort, such as a day for timestamps. Row counts per slice are
     combined before the exchange; only their small table is scanned per key.
     """
-    if halo > rows:
-        raise ValueError("halo must not exceed rows")
+    if halo > rows or ahead > rows:
+        raise ValueError("halo and ahead must not exceed rows")
     sliced = df.withColumn("_slice", slice_of)
     counts = sliced.groupBy(*by, "_slice").agg(F.count("*").alias("_rows"))
     before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -287,9 +289,25 @@ def split_series(df: DataFrame, slice_of: Column, *, rows: int, halo: int,
     within = Window.partitionBy(*by, "_slice").orderBy(order)
     at = (sliced.join(starts, [*by, "_slice"])
           .withColumn("_at", F.col("_start") + F.row_number().over(within) - 1)
-          .withColumn("_home", F.floor(F.col("_at") / rows)))
-    homes = F.when(F.col("_at") % rows >= rows - halo, F.array(F.col("_home"), F.col("_home") + 1)) \
-        .otherwise(F.array("_home"))
+          .withColumns({"_home": F.floor(F.col("_at") / rows), "_off": F.col("_at") % rows}))
+    homes = F.array_compact(F.array(
+        F.col("_home"),
+        F.when(F.col("_off") >= rows - halo, F.col("_home") + 1),
+        F.when((F.col("_off") < ahead) & (F.col("_home") > 0), F.col("_home") - 1)))
     return (at.withColumn("piece", F.explode(homes))
             .withColumn("is_halo", F.col("piece") != F.col("_home"))
-            .drop("_slice", "_start", "_at", "_home"))
+            .drop("_slice", "_start", "_at", "_home", "_off"))
+
+
+def natural_slice(df: DataFrame, order: str = ORDER) -> Column | None:
+    """None if keys may stay whole, else slices to cut them by.
+
+    A DATE column allows one row per calendar day and key, which one task can
+    hold whatever the table's size. A timestamp sets no such bound.
+    """
+    kind = df.schema[order].dataType
+    if isinstance(kind, T.DateType):
+        return None
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.to_date(order)
+    raise ValueError(f"name slices of {order!r} ({kind.simpleString()}) that one task can sort")

@@ -342,6 +342,7 @@ FINAL = {
         join bars b on b.stock_id = f.stock_id and b.date = f.date""",
     "panel": _PANEL,
     "panel_from_tables": _PANEL,
+    "panel_in_pieces": _PANEL,
     "label_profile": """select target, count(*) as row_count, min(date) as first_date, max(date) as last_date
         from panel group by target""",
     "symbol_profile": """select symbol, count(*) as row_count, min(date) as first_date, max(date) as last_date

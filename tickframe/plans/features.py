@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickframe import schemas as S
@@ -12,22 +12,37 @@ from tickframe.functions import scores
 from tickframe.operators import series
 
 
+MACD_SPANS = (S.MACD_FAST, S.MACD_SLOW, S.MACD_SIGNAL)
+# Rows one task takes of a key whose order column sets no bound.
+PIECE_ROWS = 200_000
+
+
 def features(bars: DataFrame, *, price: str = "close_price", keep: Sequence[str] = (),
-             min_rows: int = S.MIN_HISTORY, by: Sequence[str] = series.KEY,
-             order: str = series.ORDER) -> DataFrame:
+             min_rows: int = S.MIN_HISTORY, by: Sequence[str] = series.KEY, order: str = series.ORDER,
+             slice_of: Column | None = None, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """The feature table: indicators over each key's full history, at storage
     precision, without the warm-up rows. ``keep`` passes bar columns through.
 
+    Keys of daily bars stay whole. Keys ordered by a timestamp, or for which
+    ``slice_of`` is given, are cut into pieces that overlap by what the
+    indicators look back; the result is the same.
+
     A row has a slow mean only after ``SLOW_SMA`` rows, so a shorter required
     history needs no count of its own.
     """
-    kept = [*by, order, *keep] if price in keep else [*by, order, price, *keep]
-    rows = bars.select(*dict.fromkeys(kept))
+    rows = bars.select(*dict.fromkeys([*by, order, price, *keep]))
     if min_rows > S.SLOW_SMA:
         rows = series.min_history(rows, min_rows, by=by)
-    out = series.indicators(
-        rows, price, fast_sma=S.FAST_SMA, slow_sma=S.SLOW_SMA, rsi_length=S.RSI_LENGTH,
-        macd_spans=(S.MACD_FAST, S.MACD_SLOW, S.MACD_SIGNAL), by=by, order=order)
+    slice_of = series.natural_slice(rows, order) if slice_of is None else slice_of
+    within = list(by)
+    if slice_of is not None:
+        halo = max(series.block_size(MACD_SPANS), S.SLOW_SMA)
+        rows = series.split_series(rows, slice_of, rows=piece_rows, halo=halo, by=by, order=order)
+        within.append("piece")
+    out = series.indicators(rows, price, fast_sma=S.FAST_SMA, slow_sma=S.SLOW_SMA, rsi_length=S.RSI_LENGTH,
+                            macd_spans=MACD_SPANS, by=within, order=order)
+    if slice_of is not None:
+        out = out.filter(~F.col("is_halo"))
     out = out.filter(F.col("sma_slow").isNotNull() & F.col("sma_fast").isNotNull() & F.col("rsi").isNotNull())
     return out.select(
         *by, order,
@@ -50,18 +65,27 @@ def training_scan(feature_rows: DataFrame, bars: DataFrame, price: str = "close_
 
 
 def panel(scan: DataFrame, *, horizon: int = S.LABEL_HORIZON, threshold: float = S.LABEL_THRESHOLD,
-          by: Sequence[str] = series.KEY, order: str = series.ORDER) -> DataFrame:
+          by: Sequence[str] = series.KEY, order: str = series.ORDER,
+          slice_of: Column | None = None, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Signals, label and next-day return per feature row, complete rows only.
 
-    Shifts run over feature rows, so date filters belong after this. All
-    windows here share the key and order, hence one exchange and one sort.
+    Shifts run over feature rows, so date filters belong after this, and long
+    keys are cut anew here, by positions among feature rows. All windows share
+    the key and order, hence one exchange and one sort.
     """
-    w = series.series_window(by, order)
-    out = scores.with_signals(scan, by=by, order=order)
+    slice_of = series.natural_slice(scan, order) if slice_of is None else slice_of
+    within = list(by)
+    if slice_of is not None:
+        scan = series.split_series(scan, slice_of, rows=piece_rows, halo=1, ahead=horizon, by=by, order=order)
+        within.append("piece")
+    w = series.series_window(within, order)
+    out = scores.with_signals(scan, by=within, order=order)
     out = out.withColumns({
         "future_return": series.forward_return_of("close_price", horizon, w),
         "daily_return": series.forward_return_of("close_price", 1, w),
     })
+    if slice_of is not None:
+        out = out.filter(~F.col("is_halo"))
     out = out.dropna(subset=[*S.SIGNALS, "future_return", "daily_return"])
     return out.select(
         *by, order, *S.SIGNALS, F.col("close_price").cast("double").alias("close_price"),

@@ -79,11 +79,11 @@ def dual_recommendations(spark, root):
 
 
 def one_date_recommendations(spark, root):
-    """Both rankings as of the newest date."""
-    rows = scores.with_signals(feature_rows(spark, root))
+    """Both rankings as of the newest date, stored as the daily job stores them."""
+    rows = stage(scores.with_signals(feature_rows(spark, root)), "signals")
     last = rows.agg(F.max("date").alias("last")).scalar()
     scored = plans.with_symbol(scores.she_score(rows.filter(F.col("date") == last)), data.stocks(spark, root))
-    return ranking.recommend(scored, STAND_IN)
+    return stage(ranking.recommend(scored, STAND_IN), "recommendations")
 
 
 # ---- cleaning, storing, checking
@@ -242,9 +242,13 @@ def features(spark, root):
 
 def features_in_pieces(spark, root):
     """The same features with every key cut into pieces of bounded length."""
-    pieces = series.split_series(_closes(spark, root), F.year("date"), rows=600, halo=series.block_size([12, 26, 9]))
-    cut = plans.features(pieces, keep=["is_halo"], by=["stock_id", "piece"])
-    return plain(cut.filter(~F.col("is_halo")).drop("is_halo", "piece"))
+    return plain(plans.features(_closes(spark, root), slice_of=F.year("date"), piece_rows=600))
+
+
+def panel_in_pieces(spark, root):
+    cut = {"slice_of": F.year("date"), "piece_rows": 600}
+    rows = plans.features(data.bars(spark, root), keep=["close_price"], **cut)
+    return plain(plans.with_symbol(plans.panel(rows, **{**cut, "piece_rows": 100}), data.stocks(spark, root)), 9)
 
 
 def crosses(spark, root):
@@ -341,7 +345,7 @@ def recommendation_response(spark, root):
 
 def score_lookup(spark, root):
     """Component scores of the symbol that ranks first on the newest date."""
-    recs = stage(one_date_recommendations(spark, root), "recommendations")
+    recs = one_date_recommendations(spark, root)
     stocks = data.stocks(spark, root)
     first = plans.with_symbol(recs, stocks).orderBy("model_type", "rank").first()
     if first is None:
@@ -516,6 +520,7 @@ QUERIES = {
     "training_scan": training_scan,
     "panel": panel_rows,
     "panel_from_tables": panel_from_tables,
+    "panel_in_pieces": panel_in_pieces,
     "label_profile": label_profile,
     "symbol_profile": symbol_profile,
     "split_profile": split_profile,
