@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tickframe.functions import scores
-from tickframe.operators import series
+from tickframe.operators import series, store
 from tickframe.plans import features as plans
 
 from .helpers import closes, column, count_of, day, stocks
@@ -201,3 +201,29 @@ def test_panel_drops_the_rows_without_a_future(spark):
     out = plans.with_symbol(plans.panel(rows), stocks(spark, {1: "A"}))
     assert out.count() == rows.count() - 10
     assert out.filter("target = 1").count() == out.filter("future_return > 0.02").count()
+
+
+def test_since_reads_less_and_gives_the_same(spark, tmp_path):
+    path = str(tmp_path / "bars")
+    df = closes(spark, {1: walk(2000, seed=1), 2: [None] * 1400 + list(walk(600, seed=2)), 3: walk(300, seed=3)})
+    store.with_month(df.dropna()).write.partitionBy("month").parquet(path)
+    table = spark.read.parquet(path)
+    since = day(1500)
+    kept = series.since_with_halo(table, since, 541)
+    counts = {r.stock_id: r["count"] for r in kept.filter(F.col("date") < since).groupBy("stock_id").count().collect()}
+    assert 541 <= counts[1] < 541 + 31 and counts[2] == 100 and 3 not in counts
+    cut, whole = plans.features(table, since=since), plans.features(table).filter(F.col("date") >= since)
+    assert whole.exceptAll(cut).count() == 0 and cut.exceptAll(whole).count() == 0 and cut.count() == 901
+    scans = [line for line in kept._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line]
+    assert any("month" in line and "subquery" in line.lower() for line in scans)
+
+
+def test_since_before_all_rows(spark):
+    df = closes(spark, {1: walk(260, seed=1)})
+    assert plans.features(df, since=day(-10)).count() == plans.features(df).count() == 61
+
+
+def test_last_rows(spark):
+    df = closes(spark, {1: [1, 2, 3], 2: [7]})
+    got = sorted((r.stock_id, float(r.close_price)) for r in series.last_rows(df, 2).collect())
+    assert got == [(1, 2.0), (1, 3.0), (2, 7.0)]

@@ -202,3 +202,24 @@ def test_stream_equals_batch_and_restarts(spark, tmp_path):
     got = rows(store.open_table(spark, table, S.BARS), "stock_id", "date", "close_price")
     assert [(k, d, float(p)) for k, d, p in got] == [(1, day(0), 10.0), (1, day(40), 11.0), (2, day(0), 20.0)]
     assert [r.stock_id for r in spark.read.parquet(rejects).collect()] == [5]
+
+
+def test_jdbc_options():
+    from tickframe.sources import jdbc
+    options = jdbc.read_options("jdbc:x", "bars", partitions=8, bounds=(1, 1000))
+    assert options["numPartitions"] == "8" and options["partitionColumn"] == "stock_id"
+    assert "partitionColumn" not in jdbc.read_options("jdbc:x", "stocks")
+
+
+def test_features_by_since_equal_a_full_run(spark, root, tmp_path):
+    db = str(tmp_path / "db")
+    tables.bootstrap(spark, db)
+    bars = data.bars(spark, root)
+    store.append_absent(bars, f"{db}/bars", S.BARS, S.SERIES_KEY)
+    daily.build_features(spark, db)
+    want = rows(tables.scan(spark, db, "features"), *S.FEATURES.names)
+    late = (tmp_path / "db" / "features" / "month=199803")
+    before = {p.name: p.stat().st_mtime_ns for p in late.glob("*.parquet")}
+    daily.build_features(spark, db, since=dt.date(2001, 1, 1))
+    assert rows(tables.scan(spark, db, "features"), *S.FEATURES.names) == want
+    assert before and before == {p.name: p.stat().st_mtime_ns for p in late.glob("*.parquet")}

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from tickframe.operators import series
@@ -55,16 +55,20 @@ def macd_score(df: DataFrame, *, by: Sequence[str] = series.KEY, order: str = se
     return df.withColumn("macd_score", macd_of(rose))
 
 
-def with_signals(df: DataFrame, *, by: Sequence[str] = series.KEY, order: str = series.ORDER) -> DataFrame:
-    """The three signals as columns of the same rows; one window pass."""
-    w = series.series_window(by, order)
-    up, down = series.cross_conditions("sma_50", "sma_200", w)
-    macd_up, _ = series.cross_conditions("macd_value", "macd_signal", w)
-    return df.withColumns({
+def signal_columns(window: WindowSpec) -> dict[str, Column]:
+    """The three signals, for rows of one key in order."""
+    up, down = series.cross_conditions("sma_50", "sma_200", window)
+    macd_up, _ = series.cross_conditions("macd_value", "macd_signal", window)
+    return {
         "trend_signal": trend_of(up, down),
         "momentum_score": momentum_of("rsi_14"),
         "macd_score": macd_of(macd_up),
-    })
+    }
+
+
+def with_signals(df: DataFrame, *, by: Sequence[str] = series.KEY, order: str = series.ORDER) -> DataFrame:
+    """The three signals as columns of the same rows; one window pass."""
+    return df.withColumns(signal_columns(series.series_window(by, order)))
 
 
 def she_score(df: DataFrame, weights: Mapping[str, float] = SHE_WEIGHTS) -> DataFrame:

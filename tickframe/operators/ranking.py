@@ -33,10 +33,11 @@ def by_score(df: DataFrame, score_columns: Mapping[str, str], ids: Sequence[str]
 def latest_scores(feature_rows: DataFrame, stocks: DataFrame, *, as_of=None) -> DataFrame:
     """Signals and SHE score of each key's last feature row, with symbol.
 
-    Each key is ranked by its own last date; ``as_of`` keeps one date only.
-    Signals come first, since a cross needs the row before the last.
+    Each key is ranked by its own last date; ``as_of`` keeps one date only. A
+    cross needs the row before the last, so two rows per key are moved.
     """
-    last = series.latest_per_key(scores.with_signals(feature_rows).select("stock_id", "date", *S.SIGNALS))
+    signals = scores.with_signals(series.last_rows(feature_rows, 2))
+    last = series.latest_per_key(signals.select("stock_id", "date", *S.SIGNALS))
     if as_of is not None:
         last = last.filter(F.col("date") == F.lit(as_of))
     return scores.she_score(last).join(stocks.select("stock_id", "symbol"), "stock_id")

@@ -204,10 +204,12 @@ def indicators(df: DataFrame, value: str, *, fast_sma: int, slow_sma: int, rsi_l
     w = series_window(by, order)
     _, key_w = block_windows(by, order)
     size = block_size(macd_spans)
+    # Derived columns start after the first window, so that the exchange under
+    # it moves only the key, the order and the value.
+    out = in_blocks(df.withColumn("_prev", F.lag(value).over(w)), size, by, order)
+    out = out.withColumn("_unit", fixed_point(value, scale)) \
+        .withColumn("_move", F.coalesce(F.col("_unit") - fixed_point("_prev", scale), F.lit(0))).drop("_prev")
     unit = F.col("_unit")
-    out = df.withColumn("_unit", fixed_point(value, scale)).withColumn(
-        "_move", F.coalesce(unit - F.lag("_unit").over(w), F.lit(0)))
-    out = in_blocks(out, size, by, order)
     out = macd_in_blocks(
         out, F.col(value).cast("double"), size, *macd_spans, "macd_value", "macd_signal", by, order,
         also={
@@ -265,6 +267,47 @@ def latest_per_key(df: DataFrame, *, by: Sequence[str] = KEY, order: str = ORDER
     return last.select(*by, "_last.*")
 
 
+def last_rows(df: DataFrame, n: int, *, by: Sequence[str] = KEY, order: str = ORDER) -> DataFrame:
+    """The last ``n`` rows of each key. Input partitions drop all others before the exchange."""
+    w = Window.partitionBy(*by).orderBy(F.col(order).desc())
+    return df.withColumn("_back", F.row_number().over(w)).filter(F.col("_back") <= n).drop("_back")
+
+
+_FROM_SINCE = 999_999
+
+
+def since_with_halo(df: DataFrame, since, halo: int, *, by: Sequence[str] = KEY, order: str = ORDER,
+                    partition: str = "month") -> DataFrame:
+    """The rows from date ``since`` on, and at least the ``halo`` rows before it
+    of each key that has rows from then on.
+
+    Rows are counted per key and month before the exchange; from the counts
+    comes the date each key has to start from. The earliest of them prunes a
+    table partitioned by month (yyyymm), the rest is left out per key.
+    """
+    since = F.lit(since).cast("date")
+
+    def month(day):
+        return F.year(day) * 100 + F.month(day)
+
+    # Months before ``since``, and one bucket after them for all rows from then on.
+    bucket = F.when(F.col(order) < since, month(F.col(order))).otherwise(_FROM_SINCE)
+    counts = df.groupBy(*by, bucket.alias("_month")).agg(F.count("*").alias("_n"), F.min(order).alias("_first"))
+    later = Window.partitionBy(*by).orderBy(F.col("_month").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    older = F.col("_month") < _FROM_SINCE
+    needed = counts.withColumns({
+        "_later": F.sum(F.when(older, F.col("_n")).otherwise(0)).over(later),
+        "_live": F.max("_month").over(later),
+    }).filter(older & (F.col("_live") == _FROM_SINCE) & (F.col("_later") < halo))
+    starts = needed.groupBy(*by).agg(F.min("_first").alias("_from"))
+    first = F.least(starts.agg(F.min("_from").alias("first")).scalar(), since)
+    recent = df.filter(F.col(order) >= first)
+    if partition in df.columns:
+        recent = recent.filter(F.col(partition) >= month(first))
+    kept = recent.join(starts, list(by), "left")
+    return kept.filter(F.col(order) >= F.least("_from", since)).drop("_from")
+
+
 def split_series(df: DataFrame, slice_of: Column, *, rows: int, halo: int, ahead: int = 0,
                  by: Sequence[str] = KEY, order: str = ORDER) -> DataFrame:
     """Cuts each key into pieces of ``rows`` positions, each with the ``halo``

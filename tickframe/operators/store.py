@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickframe.session import stage
+
 MONTH = "month"
 
 
@@ -55,9 +57,9 @@ def with_month(df: DataFrame, column: str = "date") -> DataFrame:
     return df.withColumn(MONTH, F.year(column) * 100 + F.month(column))
 
 
-def open_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def open_table(spark: SparkSession, path: str, schema: T.StructType, partition: str | None = MONTH) -> DataFrame:
     """The table at ``path`` including its partition column, empty if not there yet."""
-    if "date" in schema.names and MONTH not in schema.names and schema.names[0] != "date":
+    if partition == MONTH:
         schema = T.StructType([*schema.fields, T.StructField(MONTH, T.IntegerType())])
     try:
         return spark.read.schema(schema).parquet(path)
@@ -89,16 +91,23 @@ def append_absent(batch: DataFrame, path: str, schema: T.StructType, keys: Seque
     _write(fresh, path, "append", MONTH, keys)
 
 
-def merge_rows(batch: DataFrame, path: str, schema: T.StructType, keys: Sequence[str], order=None) -> None:
+def merge_rows(batch: DataFrame, path: str, schema: T.StructType, keys: Sequence[str], order=None, *,
+               distinct_keys: bool = False) -> None:
     """Upserts rows, rewriting only the months they fall in.
 
-    New files replace old ones when the whole job commits, so tasks may be
-    retried and the old files stay readable until then.
+    The rows are written aside first, since the months, the keys to leave out
+    and the rows to add are all read from them. Say ``distinct_keys`` where the
+    rows cannot repeat a key, which saves an exchange. New files replace old
+    ones when the whole job commits, so tasks may be retried and the old files
+    stay readable until then.
     """
+    keys = [*keys, MONTH]
     batch = with_month(batch)
+    incoming = stage(batch if distinct_keys else one_per_key(batch, keys, F.max_by, order), "incoming")
     stored = open_table(batch.sparkSession, path, schema)
-    stored = stored.filter(F.col(MONTH).isin(_touched(batch)))
-    _write(upsert(stored, batch, [*keys, MONTH], order), path, "overwrite", MONTH, keys)
+    stored = stored.filter(F.col(MONTH).isin(_touched(incoming)))
+    kept = stored.join(incoming.select(*keys), keys, "left_anti")
+    _write(kept.unionByName(incoming.select(*stored.columns)), path, "overwrite", MONTH, keys[:-1])
 
 
 def overwrite_dates(batch: DataFrame, path: str, sort: Sequence[str], partition: str = "date") -> None:

@@ -288,6 +288,7 @@ FINAL = {
         from bars join stocks using (stock_id) where sector is not null group by date, sector""",
     "ticker_key": "select stock_id, symbol || '.NS' as ticker, symbol from stocks",
     "landed_bars": f"select stock_id, date, {_DOUBLE_BAR} from good_bars",
+    "stock_scan": "select stock_id, symbol, company_name, sector from stocks",
     "seed_stocks": f"""
         , seed(n, symbol, company_name) as (values {_seed_rows()})
         select * from stocks union all
@@ -330,6 +331,7 @@ FINAL = {
         from closes window w as (partition by stock_id order by date)""",
     "features": _FEATURES,
     "features_in_pieces": _FEATURES,
+    "features_since": _FEATURES + " where date >= date '2000-01-01'",
     "crosses": """select stock_id, date, trend_signal = 1 as golden, trend_signal = -1 as death from signals
         where trend_signal <> 0""",
     "trend_signal": "select stock_id, date, trend_signal from signals",

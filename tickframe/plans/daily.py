@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickframe import schemas as S
 from tickframe.operators import model as lem
 from tickframe.operators import quality, ranking, store
-from tickframe.plans import features as F_
+from tickframe.plans import features as plans
 from tickframe.sources import landing, tables
 
 
@@ -17,10 +17,15 @@ def ingest(spark: SparkSession, root: str, landed: DataFrame, suffix: str = S.MA
     store.append_absent(quality.clean_bars(rows), f"{root}/bars", S.BARS, S.SERIES_KEY)
 
 
-def build_features(spark: SparkSession, root: str) -> None:
-    """Features of the full bar history into the feature table."""
-    rows = F_.features(tables.scan(spark, root, "bars"))
-    store.merge_rows(rows, f"{root}/features", S.FEATURES, S.SERIES_KEY)
+def build_features(spark: SparkSession, root: str, since=None) -> None:
+    """Features of the bar history into the feature table.
+
+    With ``since``, only rows from that date on are worked out and written, and
+    only the months they need are read. Use it when no older bar has arrived.
+    """
+    bars = store.open_table(spark, f"{root}/bars", S.BARS)
+    store.merge_rows(plans.features(bars, since=since), f"{root}/features", S.FEATURES, S.SERIES_KEY,
+                     distinct_keys=True)
 
 
 def rank(spark: SparkSession, root: str, model_path: str | None = None, n: int = S.PORTFOLIO_SIZE) -> None:

@@ -19,10 +19,13 @@ PIECE_ROWS = 200_000
 
 def features(bars: DataFrame, *, price: str = "close_price", keep: Sequence[str] = (),
              min_rows: int = S.MIN_HISTORY, by: Sequence[str] = series.KEY, order: str = series.ORDER,
-             slice_of: Column | None = None, piece_rows: int = PIECE_ROWS) -> DataFrame:
+             slice_of: Column | None = None, piece_rows: int = PIECE_ROWS, since=None) -> DataFrame:
     """The feature table: indicators over each key's full history, at storage
     precision, without the warm-up rows. ``keep`` passes bar columns through.
 
+    ``since`` returns the rows from that date on, and reads of each key only as
+    much before it as the indicators look back; the rows are the same.
+
     Keys of daily bars stay whole. Keys ordered by a timestamp, or for which
     ``slice_of`` is given, are cut into pieces that overlap by what the
     indicators look back; the result is the same.
@@ -30,19 +33,24 @@ def features(bars: DataFrame, *, price: str = "close_price", keep: Sequence[str]
     A row has a slow mean only after ``SLOW_SMA`` rows, so a shorter required
     history needs no count of its own.
     """
-    rows = bars.select(*dict.fromkeys([*by, order, price, *keep]))
+    rows = bars
     if min_rows > S.SLOW_SMA:
         rows = series.min_history(rows, min_rows, by=by)
+    halo = max(series.block_size(MACD_SPANS), S.SLOW_SMA)
+    if since is not None:
+        rows = series.since_with_halo(rows, since, halo, by=by, order=order)
+    rows = rows.select(*dict.fromkeys([*by, order, price, *keep]))
     slice_of = series.natural_slice(rows, order) if slice_of is None else slice_of
     within = list(by)
     if slice_of is not None:
-        halo = max(series.block_size(MACD_SPANS), S.SLOW_SMA)
         rows = series.split_series(rows, slice_of, rows=piece_rows, halo=halo, by=by, order=order)
         within.append("piece")
     out = series.indicators(rows, price, fast_sma=S.FAST_SMA, slow_sma=S.SLOW_SMA, rsi_length=S.RSI_LENGTH,
                             macd_spans=MACD_SPANS, by=within, order=order)
     if slice_of is not None:
         out = out.filter(~F.col("is_halo"))
+    if since is not None:
+        out = out.filter(F.col(order) >= F.lit(since))
     out = out.filter(F.col("sma_slow").isNotNull() & F.col("sma_fast").isNotNull() & F.col("rsi").isNotNull())
     return out.select(
         *by, order,
@@ -79,8 +87,8 @@ def panel(scan: DataFrame, *, horizon: int = S.LABEL_HORIZON, threshold: float =
         scan = series.split_series(scan, slice_of, rows=piece_rows, halo=1, ahead=horizon, by=by, order=order)
         within.append("piece")
     w = series.series_window(within, order)
-    out = scores.with_signals(scan, by=within, order=order)
-    out = out.withColumns({
+    out = scan.withColumns({
+        **scores.signal_columns(w),
         "future_return": series.forward_return_of("close_price", horizon, w),
         "daily_return": series.forward_return_of("close_price", 1, w),
     })

@@ -171,6 +171,11 @@ def landed_bars(spark, root):
     return plain(quality.clean_bars(landing.to_bars(files, stocks)))
 
 
+def stock_scan(spark, root):
+    """The dimension, as the jobs read it."""
+    return data.stocks(spark, root)
+
+
 def seed_stocks(spark, root):
     return tables.add_seed(data.stocks(spark, root), tables.seed_stocks(spark))
 
@@ -240,6 +245,14 @@ def features(spark, root):
     return plain(feature_rows(spark, root))
 
 
+def features_since(spark, root):
+    """Features of the test period from a stored table, reading no more history
+    than they need."""
+    path = new_path(spark, "bars")
+    store.append_absent(data.bars(spark, root), path, S.BARS, S.SERIES_KEY)
+    return plain(plans.features(store.open_table(spark, path, S.BARS), since=TEST_START))
+
+
 def features_in_pieces(spark, root):
     """The same features with every key cut into pieces of bounded length."""
     return plain(plans.features(_closes(spark, root), slice_of=F.year("date"), piece_rows=600))
@@ -467,6 +480,10 @@ def lem_metrics(spark, root):
     return metrics.labelled(metrics.performance(_lem_returns(spark, root), neutral_benchmark=True))
 
 
+def lem_summary(spark, root):
+    return metrics.summary(metrics.performance(_lem_returns(spark, root), neutral_benchmark=True))
+
+
 def lem_significance(spark, root):
     return metrics.welch(_lem_returns(spark, root), "lem", "she")
 
@@ -498,6 +515,7 @@ QUERIES = {
     "wide_to_long_bars": wide_to_long_bars,
     "ticker_key": ticker_key,
     "landed_bars": landed_bars,
+    "stock_scan": stock_scan,
     "seed_stocks": seed_stocks,
     "stream_ingest": stream_ingest,
     "bar_series": bar_series,
@@ -511,6 +529,7 @@ QUERIES = {
     "forward_return": forward_return,
     "features": features,
     "features_in_pieces": features_in_pieces,
+    "features_since": features_since,
     "crosses": crosses,
     "trend_signal": trend_signal,
     "momentum_score": momentum_score,
@@ -549,6 +568,7 @@ QUERIES = {
     "lem_scores": lem_scores,
     "lem_top5": lem_top5,
     "lem_metrics": lem_metrics,
+    "lem_summary": lem_summary,
     "lem_significance": lem_significance,
     "lem_equity_curve": lem_equity_curve,
     "lem_cv": lem_cv,

@@ -95,8 +95,8 @@ def bootstrap(spark: SparkSession, root: str) -> None:
 
 def scan(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One stored table under its own columns."""
-    schema, _ = TABLES[name]
-    return store.open_table(spark, f"{root}/{name}", schema).select(*schema.names)
+    schema, partition = TABLES[name]
+    return store.open_table(spark, f"{root}/{name}", schema, partition).select(*schema.names)
 
 
 def series_of(table: DataFrame, stock_id: int, price: str = "close_price") -> DataFrame:
