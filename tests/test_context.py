@@ -48,6 +48,16 @@ def test_context_text(spark, latest):
     assert "--- Detailed Scores for M&M ---" in got[3]
 
 
+def test_messages_are_not_moved(spark, latest, tmp_path):
+    messages(spark, ["AAAB"]).write.parquet(str(tmp_path / "m"))
+    asked = spark.read.parquet(str(tmp_path / "m"))
+    for df in (context.contexts(asked, latest), context.mentioned(asked, latest)):
+        lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        # Subqueries hang to the side of a ":"; the rest is the path of the messages.
+        path = [line for line in lines if ":" not in line.split("+-")[0]]
+        assert "FileScan" in path[-1] and not any("Exchange" in line or "Join" in line for line in path)
+
+
 def test_missing_component_is_named(spark, latest):
     assert latest.filter("symbol = 'BAJAJ-AUTO'").select(context.detail()).first()[0].count("N/A") == 1
 

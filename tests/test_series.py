@@ -147,6 +147,18 @@ def test_panel_shares_the_exchange_of_the_features(spark, tmp_path):
     assert count_of(out, "Exchange") == 1
 
 
+def test_panel_of_stored_tables_needs_one_exchange(spark, tmp_path):
+    bars = closes(spark, {1: walk(260, seed=1), 2: walk(230, seed=2)})
+    bars.write.parquet(str(tmp_path / "bars"))
+    plans.features(bars).write.parquet(str(tmp_path / "features"))
+    stored = spark.read.parquet(str(tmp_path / "features")), spark.read.parquet(str(tmp_path / "bars"))
+    out = plans.panel(plans.training_scan(*stored))
+    assert count_of(out, "Exchange") == 1
+    assert out.exceptAll(plans.panel(plans.features(bars, keep=["close_price"]))).count() == 0 and out.count() == 72
+    some = plans.training_scan(stored[0], stored[1].filter("stock_id = 1"))
+    assert [r[0] for r in some.select("stock_id").distinct().collect()] == [1] and some.count() == 61
+
+
 def test_pieces_give_the_same_features(spark):
     df = closes(spark, {1: walk(2600, seed=1), 2: walk(900, seed=2), 3: walk(150, seed=3)})
     whole = plans.features(df)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickframe.schemas import SIGNALS
+from tickframe.session import stage
 
 LABEL = "target"
 SEED = 42
@@ -35,18 +36,20 @@ GRID = {
 SPLITS = 5
 
 
-def time_folds(panel: DataFrame, splits: int = SPLITS) -> DataFrame:
-    """Adds ``fold`` 0..splits by date, folds of about equal row counts.
+def fold_days(days: DataFrame, splits: int = SPLITS) -> DataFrame:
+    """Numbers dates 0..splits in order, for about equal row counts ``n``.
 
-    Rows are counted per date before the exchange; only the table of dates, one
-    row per calendar day, is put in order as a whole.
+    The table has one row per calendar day, so it may be put in order as a whole.
     """
-    days = panel.groupBy("date").agg(F.count("*").alias("n"))
     ordered = Window.partitionBy(F.lit(0)).orderBy("date")
     whole = Window.partitionBy(F.lit(0))
     middle = F.sum("n").over(ordered) - F.col("n") / 2
-    folds = days.select("date", F.floor(middle * (splits + 1) / F.sum("n").over(whole)).cast("int").alias("fold"))
-    return panel.join(folds, "date")
+    return days.select("date", F.floor(middle * (splits + 1) / F.sum("n").over(whole)).cast("int").alias("fold"))
+
+
+def time_folds(panel: DataFrame, splits: int = SPLITS) -> DataFrame:
+    """Adds ``fold`` to the rows."""
+    return panel.join(fold_days(panel.groupBy("date").agg(F.count("*").alias("n")), splits), "date")
 
 
 def training_counts(panel: DataFrame, by: Sequence[str] = (), pieces: int = 1) -> DataFrame:
@@ -56,11 +59,19 @@ def training_counts(panel: DataFrame, by: Sequence[str] = (), pieces: int = 1) -
     each combination into that many, so that frequent ones are drawn in parts.
     """
     keys = [*by, *SIGNALS, LABEL]
-    if pieces == 1:
-        return panel.groupBy(*keys).agg(F.count("*").cast("double").alias("weight"))
-    part = F.pmod(F.hash("symbol", "date"), F.lit(pieces)).alias("_part")
-    counts = panel.groupBy(*keys, part).agg(F.count("*").cast("double").alias("weight"))
-    return counts.drop("_part")
+    if pieces > 1:
+        panel = panel.withColumn("piece", F.pmod(F.hash("symbol", "date"), F.lit(pieces)))
+        keys.append("piece")
+    return panel.groupBy(*keys).agg(F.count("*").cast("double").alias("weight"))
+
+
+def fold_counts(panel: DataFrame, splits: int = SPLITS, pieces: int = 1) -> DataFrame:
+    """Training counts per fold. Rows become counts per date before they are
+    joined with the folds, so only combinations move, not rows."""
+    daily = stage(training_counts(panel, ["date"], pieces), "daily-counts")
+    folds = fold_days(daily.groupBy("date").agg(F.sum("weight").alias("n")), splits)
+    keys = ["fold", *(c for c in daily.columns if c not in ("date", "weight"))]
+    return daily.join(folds, "date").groupBy(*keys).agg(F.sum("weight").alias("weight"))
 
 
 def estimator(**params) -> Pipeline:
@@ -87,7 +98,7 @@ def grid_search(panel: DataFrame, grid: Mapping[str, Sequence] = GRID, splits: i
     The driver holds one number per fit.
     """
     spark = panel.sparkSession
-    counts = training_counts(time_folds(panel, splits), ["fold"], pieces).persist()
+    counts = fold_counts(panel, splits, pieces).persist()
     names = list(grid)
     settings = [dict(zip(names, values)) for values in itertools.product(*grid.values())]
 

@@ -399,6 +399,8 @@ FINAL = {
         regexp_extract_all(upper(message), '\\b([A-Z&]+)\\b', 1)[1] as word from messages""",
     "time_folds": """select fold, count(*) as row_count, min(p.date) as first_date, max(p.date) as last_date
         from panel p join train_folds f on f.date = p.date group by fold""",
+    "fold_counts": """select fold, trend_signal, momentum_score, macd_score, target, cast(count(*) as double) as weight
+        from panel p join train_folds f on f.date = p.date group by all""",
     "training_counts": """select trend_signal, momentum_score, macd_score, target, cast(count(*) as double) as weight
         from panel where date <= date '1999-12-31' group by all""",
 }

@@ -32,9 +32,10 @@ def header(latest: DataFrame, model: str = "LEM") -> DataFrame:
 
 
 def symbol_scores(latest: DataFrame) -> DataFrame:
-    """The component scores of each recommended symbol. Models agree on them;
-    the model that sorts last is taken."""
-    return latest.groupBy("symbol").agg(F.max_by("algorithm_scores", "model_type").alias("algorithm_scores"))
+    """One row: the component scores of the recommended symbols, as a map.
+    Models agree on them; the model that sorts last is taken."""
+    each = latest.groupBy("symbol").agg(F.max_by("algorithm_scores", "model_type").alias("algorithm_scores"))
+    return each.groupBy().agg(F.map_from_entries(F.collect_list(F.struct("symbol", "algorithm_scores"))).alias("known"))
 
 
 def detail(symbol: str = "symbol", scores: str = "algorithm_scores") -> F.Column:
@@ -50,22 +51,21 @@ def contexts(messages: DataFrame, latest: DataFrame, model: str = "LEM") -> Data
     """Adds ``context`` to each message: the shared text, and the scores of the
     first mentioned symbol if it is recommended.
 
-    Messages stay where they are: the shared text is a scalar subquery and the
-    recommended symbols join as the small side.
+    Messages are not moved, so a word that most of them name costs nothing. The
+    shared text and the map of recommended symbols are scalar subqueries; every
+    text holds the ranked rows anyway, so both are of a text's size.
     """
-    known = symbol_scores(latest)
-    asked = messages.withColumn("_first", text.first_mention("message"))
-    found = asked.join(known, F.col("_first") == F.col("symbol"), "left")
-    shared = header(latest, model).scalar()
+    asked = messages.withColumn("symbol", text.first_mention("message"))
+    known = symbol_scores(latest).scalar()
+    found = asked.withColumn("algorithm_scores", F.when(F.col("symbol").isNotNull(), F.try_element_at(known, F.col("symbol"))))
     body = F.when(F.col("algorithm_scores").isNotNull(), detail()).otherwise("")
+    shared = header(latest, model).scalar()
     return found.withColumn("context", F.coalesce(F.concat(shared, body), F.lit(NO_DATA))) \
         .select(*messages.columns, "context")
 
 
 def mentioned(messages: DataFrame, latest: DataFrame, keys=("conv_id", "turn")) -> DataFrame:
-    """The recommended symbols each message names anywhere.
-
-    Words are matched before repeated ones are dropped, so only matches move.
-    """
-    words = messages.select(*keys, F.explode(F.array_distinct(text.mentions("message"))).alias("symbol"))
-    return words.join(latest.select("symbol").distinct(), "symbol", "left_semi").select(*keys, "symbol")
+    """The recommended symbols each message names anywhere, without moving messages."""
+    known = F.map_keys(symbol_scores(latest).scalar())
+    named = F.array_intersect(text.mentions("message"), known)
+    return messages.select(*keys, F.explode(named).alias("symbol"))

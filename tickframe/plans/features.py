@@ -67,9 +67,19 @@ def with_symbol(rows: DataFrame, stocks: DataFrame) -> DataFrame:
 
 
 def training_scan(feature_rows: DataFrame, bars: DataFrame, price: str = "close_price") -> DataFrame:
-    """Features with their price, for features stored apart from prices."""
+    """Features with their price, for features stored apart from prices: the
+    inner join of two tables that are both unique by (key, date).
+
+    Both tables are brought together by key alone and matched there by an
+    aggregate, so the shifts of the panel that follow need no further exchange.
+    A join on (key, date) would move both sides and then the result.
+    """
+    names = [c for c in S.FEATURES.names if c not in S.SERIES_KEY]
     prices = bars.select("stock_id", "date", F.col(price).alias("close_price"))
-    return feature_rows.join(prices, ["stock_id", "date"])
+    both = feature_rows.select(*S.FEATURES.names).unionByName(prices, allowMissingColumns=True)
+    matched = both.repartition("stock_id").groupBy("stock_id", "date").agg(
+        *(F.max(c).alias(c) for c in [*names, "close_price"]))
+    return matched.dropna(subset=[*names, "close_price"])
 
 
 def panel(scan: DataFrame, *, horizon: int = S.LABEL_HORIZON, threshold: float = S.LABEL_THRESHOLD,

@@ -445,6 +445,11 @@ def training_counts(spark, root):
     return lem.training_counts(panel(spark, root).filter(F.col("date") <= TRAIN_END))
 
 
+def fold_counts(spark, root):
+    """Training counts per time-ordered fold."""
+    return lem.fold_counts(panel(spark, root).filter(F.col("date") <= TRAIN_END))
+
+
 _models: dict[tuple[str, str], str] = {}
 _model_lock = threading.Lock()
 
@@ -565,6 +570,7 @@ QUERIES = {
     "first_mention": first_mention,
     "time_folds": time_folds,
     "training_counts": training_counts,
+    "fold_counts": fold_counts,
     "lem_scores": lem_scores,
     "lem_top5": lem_top5,
     "lem_metrics": lem_metrics,
