@@ -83,6 +83,13 @@ def test_grid_search(panel):
     assert rows[best["maxIter"]] == max(rows.values())
 
 
+def test_tuned_model_scores(panel):
+    grid = {"maxIter": [2, 4], "stepSize": [0.1], "maxDepth": [2], "subsamplingRate": [0.8]}
+    tuned = model.tune_and_train(panel, grid, splits=2)
+    assert tuned.stages[-1].getMaxDepth() == 2 and tuned.stages[-1].getSeed() == 42
+    assert model.score(panel, tuned).filter("lem_score between 0 and 100").count() == panel.count()
+
+
 def test_grid_has_81_settings():
     n = 1
     for values in model.GRID.values():
@@ -97,7 +104,7 @@ def test_f1_is_zero_without_positive_predictions(panel):
 
 
 def test_importance(spark, trained):
-    rows = model.importance(spark, trained, {"momentum_score": "Momentum (RSI)"}).collect()
+    rows = model.importance(spark, trained, model.REPORT_NAMES).collect()
     assert [r.feature for r in rows][0] == "Momentum (RSI)" and len(rows) == 3
     assert sum(r.importance for r in rows) == pytest.approx(1)
 

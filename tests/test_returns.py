@@ -62,6 +62,12 @@ def test_measures_by_hand(spark):
     assert got["benchmark"]["beta"] == pytest.approx(1) and got["benchmark"]["alpha_pct"] == pytest.approx(0)
 
 
+def test_report_names(spark):
+    got = metrics.labelled(metrics.performance(returns(spark, {"she": [0.1, 0.2], "benchmark": [0.0, 0.1]})))
+    assert got.columns == ["Strategy", *metrics.MEASURES.values()]
+    assert {r.Strategy for r in got.collect()} == {"Simple Heuristic (SHE)", "Benchmark (Equal-Weight)"}
+
+
 def test_no_loss_leaves_sortino_undefined_and_calmar_zero(spark):
     got = by_name(metrics.performance(returns(spark, {"s": [0.01, 0.02], "benchmark": [0.0, 0.01]})))["s"]
     assert got["sortino_ratio"] is None and got["calmar_ratio"] == 0 and got["max_drawdown_pct"] == 0

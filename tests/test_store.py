@@ -204,6 +204,15 @@ def test_stream_equals_batch_and_restarts(spark, tmp_path):
     assert [r.stock_id for r in spark.read.parquet(rejects).collect()] == [5]
 
 
+def test_stream_in_small_batches(spark, tmp_path):
+    table, landed, checkpoint = (str(tmp_path / n) for n in ("t", "landing", "c"))
+    for n in range(3):
+        bar_rows(spark, [(1, day(0), 10 + n), (n + 2, day(0), 20)]).coalesce(1).write.mode("append").parquet(landed)
+    ingest.ingest_available(spark, landed, table, checkpoint, files_per_batch=1)
+    got = rows(store.open_table(spark, table, S.BARS), "stock_id", "close_price")
+    assert [(k, float(p)) for k, p in got] == [(1, 10.0), (2, 20.0), (3, 20.0), (4, 20.0)]
+
+
 def test_jdbc_options():
     from tickframe.sources import jdbc
     options = jdbc.read_options("jdbc:x", "bars", partitions=8, bounds=(1, 1000))

@@ -7,7 +7,7 @@ days, not table rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +28,16 @@ MEASURES = {
     "win_rate_pct": "Win Rate (%)",
 }
 
+# The names of the strategies in reports and charts.
+REPORT_NAMES = {
+    "lem": "Learned Ensemble (LEM)",
+    "she": "Simple Heuristic (SHE)",
+    "trend": "Trend-Following Only",
+    "momentum": "Momentum (RSI) Only",
+    "macd": "MACD Crossover Only",
+    "benchmark": "Benchmark (Equal-Weight)",
+}
+
 
 def _days(by: Sequence[str]):
     return Window.partitionBy(*by).orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -101,9 +111,9 @@ def summary(measures: DataFrame) -> DataFrame:
                                          for c in ("cagr_pct", "sharpe_ratio", "max_drawdown_pct")))
 
 
-def labelled(measures: DataFrame) -> DataFrame:
-    """The measures under their report names."""
-    return measures.withColumnsRenamed(MEASURES)
+def labelled(measures: DataFrame, names: Mapping[str, str] = REPORT_NAMES) -> DataFrame:
+    """The measures and strategies under their report names."""
+    return measures.replace(dict(names), subset=["strategy"]).withColumnsRenamed({**MEASURES, "strategy": "Strategy"})
 
 
 def _simpson(f, start: Column, length: Column, steps: int) -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickframe.schemas import SIGNALS
-from tickframe.session import stage
+from tickframe.session import shared_dir, stage
 
 LABEL = "target"
 SEED = 42
@@ -34,6 +34,12 @@ GRID = {
     "subsamplingRate": [0.7, 0.8, 1.0],
 }
 SPLITS = 5
+# The names of the signals in reports.
+REPORT_NAMES = {
+    "trend_signal": "Trend Signal",
+    "momentum_score": "Momentum (RSI)",
+    "macd_score": "MACD Signal",
+}
 
 
 def fold_days(days: DataFrame, splits: int = SPLITS) -> DataFrame:
@@ -80,6 +86,8 @@ def estimator(**params) -> Pipeline:
 
 
 def fit(counts: DataFrame, **params) -> PipelineModel:
+    """Trees from weighted combinations. Long runs cut their lineage in the shared folder."""
+    shared_dir(counts.sparkSession)
     return estimator(**params).fit(counts)
 
 

@@ -14,7 +14,7 @@ from tickframe.operators import series
 
 MACD_SPANS = (S.MACD_FAST, S.MACD_SLOW, S.MACD_SIGNAL)
 # Rows one task takes of a key whose order column sets no bound.
-PIECE_ROWS = 200_000
+PIECE_ROWS = 50_000
 
 
 def features(bars: DataFrame, *, price: str = "close_price", keep: Sequence[str] = (),

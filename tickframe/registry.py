@@ -505,7 +505,7 @@ def lem_cv(spark, root):
 
 
 def feature_importance(spark, root):
-    return lem.importance(spark, trained(spark, root))
+    return lem.importance(spark, trained(spark, root), lem.REPORT_NAMES)
 
 
 QUERIES = {

@@ -31,6 +31,8 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(named)
         return named.rstrip("/")
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")

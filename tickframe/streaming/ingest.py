@@ -13,9 +13,11 @@ ARRIVAL = ("_metadata.file_modification_time", "_metadata.file_path", "_metadata
 
 
 def ingest_available(spark: SparkSession, landing: str, table: str, checkpoint: str,
-                     rejects: str | None = None) -> None:
+                     rejects: str | None = None, files_per_batch: int | None = None) -> None:
     """Takes in all files that have landed since the last run, then stops.
 
+    ``files_per_batch`` bounds a batch, so a large backlog is stored in steps.
+
     A batch that is run again after a failure adds nothing twice: stored keys
     are skipped, and rejects are written to a folder of their batch.
     """
@@ -25,7 +27,10 @@ def ingest_available(spark: SparkSession, landing: str, table: str, checkpoint:
             quality.rejects(batch.drop("_arrival")).write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
         store.append_absent(quality.clean_bars(batch), table, S.BARS, S.SERIES_KEY, order="_arrival")
 
-    landed = spark.readStream.schema(S.BARS).parquet(landing)
+    reader = spark.readStream.schema(S.BARS)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    landed = reader.parquet(landing)
     (landed.select("*", F.struct(*ARRIVAL).alias("_arrival"))
      .writeStream.foreachBatch(store_batch).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())
