@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tickframe import schemas as S
-from tickframe.operators import model, quality, store
+from tickframe.operators import model, quality, ranking, store
 from tickframe.plans import daily
 from tickframe.plans import features as plans
 from tickframe.session import stage
@@ -187,6 +187,16 @@ def test_daily_jobs(spark, root, tmp_path):
     recs = tables.scan(spark, db, "recommendations")
     assert recs.count() == 10 and recs.filter("model_type = 'LEM' and score between 1 and 99").count() == 5
     assert daily.latest(spark, db).count() >= 1
+    stored = tables.scan(spark, db, "features")
+    last = stored.agg(F.max("date")).first()[0]
+    daily.rank(spark, db, as_of=last)
+    present = stored.filter(F.col("date") == last).count()
+    assert daily.latest(spark, db).count() == 2 * min(5, present)
+    old = stored.filter(F.col("date") < "2000-06-01").agg(F.max("date")).first()[0]
+    daily.rank(spark, db, as_of=old)
+    picked = tables.scan(spark, db, "recommendations").filter((F.col("date") == old) & (F.col("model_type") == "SHE"))
+    whole = ranking.latest_scores(stored.filter(F.col("date") <= old), tables.scan(spark, db, "stocks"), as_of=old)
+    assert rows(picked, "stock_id", "score") == rows(ranking.recommend(whole, {"SHE": "she_score"}), "stock_id", "score")
     one = tables.series_of(tables.scan(spark, db, "bars"), 1).collect()
     assert [r.date for r in one] == sorted(r.date for r in one) and len(one) > 400
 

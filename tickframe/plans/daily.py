@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickframe import schemas as S
 from tickframe.operators import model as lem
-from tickframe.operators import quality, ranking, store
+from tickframe.operators import quality, ranking, series, store
 from tickframe.plans import features as plans
 from tickframe.sources import landing, tables
 
@@ -28,9 +29,17 @@ def build_features(spark: SparkSession, root: str, since=None) -> None:
                      distinct_keys=True)
 
 
-def rank(spark: SparkSession, root: str, model_path: str | None = None, n: int = S.PORTFOLIO_SIZE) -> None:
-    """The newest ranking of both models into the recommendation table."""
-    last = ranking.latest_scores(tables.scan(spark, root, "features"), tables.scan(spark, root, "stocks"))
+def rank(spark: SparkSession, root: str, model_path: str | None = None, n: int = S.PORTFOLIO_SIZE,
+         as_of=None) -> None:
+    """The newest ranking of both models into the recommendation table.
+
+    Every symbol is ranked by its own last date. With ``as_of``, only symbols
+    with features on that date are, and only the months these need are read.
+    """
+    rows = store.open_table(spark, f"{root}/features", S.FEATURES)
+    if as_of is not None:
+        rows = series.since_with_halo(rows.filter(F.col("date") <= F.lit(as_of)), as_of, 1)
+    last = ranking.latest_scores(rows.select(*S.FEATURES.names), tables.scan(spark, root, "stocks"), as_of=as_of)
     scored = lem.score(last, lem.load(model_path) if model_path else None)
     chosen = ranking.recommend(scored, {"SHE": "she_score", "LEM": "lem_score"}, n)
     store.overwrite_dates(chosen, f"{root}/recommendations", ["model_type", "rank"])
