@@ -106,8 +106,8 @@ class Decay:
 
     With ``r = 1 - alpha`` and rows numbered ``i`` inside blocks of ``size``:
 
-        local(i) = r**i * sum(weight * x * r**-j for j <= i)      in the block
-        ema(i)   = local(i) + r**(i + 1) * local(last row of the block before)
+        scaled(i) = sum(weight * x * r**-j for j <= i)      in the block
+        ema(i)    = r**i * (scaled(i) + r**size * scaled(last row of the block before))
 
     What lies two blocks back would enter with a weight under 2**-EMA_BITS.
     """
@@ -119,16 +119,18 @@ class Decay:
     def block(self) -> int:
         return math.ceil(EMA_BITS * math.log(2) / -math.log(self.keep))
 
-    def local(self, value: Column, block_window: WindowSpec) -> Column:
+    def power(self, exponent: Column) -> Column:
+        return F.exp(exponent * F.lit(math.log(self.keep)))
+
+    def scaled(self, value: Column, block_window: WindowSpec) -> Column:
         weight = F.when(F.col("_pos") == 0, 1.0).otherwise(self.alpha)
-        scaled = weight * value * F.pow(F.lit(self.keep), -F.col("_i"))
-        return F.pow(F.lit(self.keep), F.col("_i")) * F.sum(scaled).over(running(block_window))
+        return F.sum(weight * value * self.power(-F.col("_i"))).over(running(block_window))
 
-    def whole(self, local: str, size: int, key_window: WindowSpec) -> Column:
-        ends = F.when(F.col("_i") == size - 1, F.col(local))
+    def whole(self, scaled: str, size: int, key_window: WindowSpec) -> Column:
+        ends = F.when(F.col("_i") == size - 1, F.col(scaled))
         before = key_window.rowsBetween(Window.unboundedPreceding, -1)
-        carry = F.last(ends, ignorenulls=True).over(before)
-        return F.col(local) + F.coalesce(carry, F.lit(0.0)) * F.pow(F.lit(self.keep), F.col("_i") + 1)
+        carry = F.coalesce(F.last(ends, ignorenulls=True).over(before), F.lit(0.0))
+        return self.power(F.col("_i")) * (F.col(scaled) + carry * F.lit(self.keep ** size))
 
 
 def block_size(spans: Sequence[int]) -> int:
@@ -162,11 +164,11 @@ def ema(df: DataFrame, value: str, outs: Mapping[str, int], *,
     decays = {name: Decay(span) for name, span in outs.items()}
     x = F.col(value).cast("double")
     out = in_blocks(df, size, by, order)
-    out = out.withColumns({f"_l_{n}": d.local(x, block_w) if d.keep > 0 else x
+    out = out.withColumns({f"_s_{n}": d.scaled(x, block_w) if d.keep > 0 else x
                            for n, d in decays.items()})
-    out = out.withColumns({n: d.whole(f"_l_{n}", size, key_w) if d.keep > 0 else x
+    out = out.withColumns({n: d.whole(f"_s_{n}", size, key_w) if d.keep > 0 else x
                            for n, d in decays.items()})
-    return out.drop("_pos", "_b", "_i", *(f"_l_{n}" for n in outs))
+    return out.drop("_pos", "_b", "_i", *(f"_s_{n}" for n in outs))
 
 
 def macd(df: DataFrame, value: str, fast: int = 12, slow: int = 26, signal: int = 9, *,
@@ -187,11 +189,11 @@ def macd_in_blocks(df: DataFrame, x: Column, size: int, fast: int, slow: int, si
     to work out in the same pass."""
     block_w, key_w = block_windows(by, order)
     f, s, g = Decay(fast), Decay(slow), Decay(signal)
-    out = df.withColumns({"_lf": f.local(x, block_w), "_ls": s.local(x, block_w)})
+    out = df.withColumns({"_sf": f.scaled(x, block_w), "_ss": s.scaled(x, block_w)})
     out = out.withColumns({
-        line_out: f.whole("_lf", size, key_w) - s.whole("_ls", size, key_w), **(also or {})})
-    out = out.withColumn("_lg", g.local(F.col(line_out), block_w))
-    return out.withColumn(signal_out, g.whole("_lg", size, key_w)).drop("_lf", "_ls", "_lg")
+        line_out: f.whole("_sf", size, key_w) - s.whole("_ss", size, key_w), **(also or {})})
+    out = out.withColumn("_sg", g.scaled(F.col(line_out), block_w))
+    return out.withColumn(signal_out, g.whole("_sg", size, key_w)).drop("_sf", "_ss", "_sg")
 
 
 def indicators(df: DataFrame, value: str, *, fast_sma: int, slow_sma: int, rsi_length: int,
