@@ -239,3 +239,41 @@ def test_last_rows(spark):
     df = closes(spark, {1: [1, 2, 3], 2: [7]})
     got = sorted((r.stock_id, float(r.close_price)) for r in series.last_rows(df, 2).collect())
     assert got == [(1, 2.0), (1, 3.0), (2, 7.0)]
+
+
+@pytest.mark.parametrize("name", ["first_difference", "sma", "rsi", "ema", "macd", "crosses", "forward_return",
+                                  "trend_signal", "macd_score", "with_signals"])
+def test_every_operator_works_on_pieces(spark, monkeypatch, name):
+    """Timestamp order: keys are cut, and the values are those of whole keys."""
+    monkeypatch.setattr(series.piecewise, "__kwdefaults__", {**series.piecewise.__kwdefaults__, "piece_rows": 60})
+    n = 1300 if name in ("ema", "macd") else 250
+    prices = walk(n, seed=11)
+    rows = [(k, i, float(p + k)) for k in (1, 2) for i, p in enumerate(prices)]
+    base = spark.createDataFrame(rows, "stock_id int, i int, x double").select(
+        "stock_id", F.timestamp_seconds(F.col("i") * 5000).alias("at"),
+        F.date_add(F.lit(day(0)), F.col("i")).alias("date"), F.col("x").cast("decimal(10,2)").alias("close_price"),
+        (F.pmod(F.hash("i"), F.lit(7))).alias("a"), (F.pmod(F.hash("i", F.lit(1)), F.lit(7))).alias("b"))
+    frame = base.withColumns({"sma_50": F.col("a"), "sma_200": F.col("b"), "macd_value": F.col("b"),
+                              "macd_signal": F.col("a"), "rsi_14": F.col("a") * 10})
+    calls = {
+        "first_difference": lambda df, **o: series.first_difference(df, "close_price", "out", **o),
+        "sma": lambda df, **o: series.sma(df, "close_price", {"out": 20, "out2": 5}, **o),
+        "rsi": lambda df, **o: series.rsi(df, "close_price", 14, "out", **o),
+        "ema": lambda df, **o: series.ema(df, "close_price", {"out": 12, "out2": 26}, **o),
+        "macd": lambda df, **o: series.macd(df, "close_price", line_out="out", signal_out="out2", **o),
+        "crosses": lambda df, **o: series.crosses(df, "a", "b", up="out", down="out2", **o),
+        "forward_return": lambda df, **o: series.forward_return(df, "close_price", {"out": 1, "out2": 10}, **o),
+        "trend_signal": lambda df, **o: scores.trend_signal(df, **o).withColumnRenamed("trend_signal", "out"),
+        "macd_score": lambda df, **o: scores.macd_score(df, **o).withColumnRenamed("macd_score", "out"),
+        "with_signals": lambda df, **o: scores.with_signals(df, **o).withColumnsRenamed(
+            {"trend_signal": "out", "macd_score": "out2"}),
+    }
+    whole = calls[name](frame, order="date")
+    cut = calls[name](frame, order="at")
+    assert "piece" not in cut.columns and cut.columns == whole.columns
+    assert "piece" in cut._jdf.queryExecution().optimizedPlan().toString()
+    for c in [c for c in ("out", "out2") if c in whole.columns]:
+        a, b = ([r[c] for r in df.orderBy("stock_id", "date").select(c).collect()] for df in (whole, cut))
+        assert len(a) == len(b) == 2 * n
+        assert [x is None for x in a] == [x is None for x in b]
+        assert [float(x) for x in a if x is not None] == pytest.approx([float(x) for x in b if x is not None], rel=1e-9, abs=1e-9)

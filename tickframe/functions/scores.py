@@ -39,20 +39,20 @@ def she_of(trend: str = "trend_signal", momentum: str = "momentum_score", macd:
             + F.col(macd) * F.lit(weights["macd"]))
 
 
-def trend_signal(df: DataFrame, *, by: Sequence[str] = series.KEY, order: str = series.ORDER) -> DataFrame:
+def trend_signal(df: DataFrame, *, by: Sequence[str] = series.KEY, order: str = series.ORDER,
+                 slice_of: Column | None = None) -> DataFrame:
     """+1 where the fast mean passes above the slow one, -1 where below, else 0."""
-    rose, fell = series.cross_conditions("sma_50", "sma_200", series.series_window(by, order))
-    return df.withColumn("trend_signal", trend_of(rose, fell))
+    return _strategy(df, "trend_signal", by, order, slice_of)
 
 
 def momentum_score(df: DataFrame) -> DataFrame:
     return df.withColumn("momentum_score", momentum_of("rsi_14"))
 
 
-def macd_score(df: DataFrame, *, by: Sequence[str] = series.KEY, order: str = series.ORDER) -> DataFrame:
+def macd_score(df: DataFrame, *, by: Sequence[str] = series.KEY, order: str = series.ORDER,
+               slice_of: Column | None = None) -> DataFrame:
     """100 where the MACD line passes above its signal line, else 0."""
-    rose, _ = series.cross_conditions("macd_value", "macd_signal", series.series_window(by, order))
-    return df.withColumn("macd_score", macd_of(rose))
+    return _strategy(df, "macd_score", by, order, slice_of)
 
 
 def signal_columns(window: WindowSpec) -> dict[str, Column]:
@@ -66,9 +66,20 @@ def signal_columns(window: WindowSpec) -> dict[str, Column]:
     }
 
 
-def with_signals(df: DataFrame, *, by: Sequence[str] = series.KEY, order: str = series.ORDER) -> DataFrame:
+def _strategy(df: DataFrame, name: str, by, order, slice_of) -> DataFrame:
+    def work(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        return rows.withColumn(name, signal_columns(series.series_window(keys, order))[name])
+
+    return series.piecewise(df, work, halo=1, by=by, order=order, slice_of=slice_of)
+
+
+def with_signals(df: DataFrame, *, by: Sequence[str] = series.KEY, order: str = series.ORDER,
+                 slice_of: Column | None = None) -> DataFrame:
     """The three signals as columns of the same rows; one window pass."""
-    return df.withColumns(signal_columns(series.series_window(by, order)))
+    def work(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        return rows.withColumns(signal_columns(series.series_window(keys, order)))
+
+    return series.piecewise(df, work, halo=1, by=by, order=order, slice_of=slice_of)
 
 
 def she_score(df: DataFrame, weights: Mapping[str, float] = SHE_WEIGHTS) -> DataFrame:

@@ -9,14 +9,14 @@ Scale notes
   per row for a 200-row mean). Values are fixed-point integers while summed, so
   the differences are exact.
 * A DATE order column bounds a key at one row per calendar day. For finer order
-  columns, where one key may hold much of the table, use ``split_series`` to cut
-  keys into pieces and pass ``by=[key, "piece"]`` here.
+  columns, where one key may hold much of the table, operators work on pieces
+  of keys (``piecewise``); each knows how many rows it looks back or ahead.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -29,6 +29,9 @@ ORDER = "date"
 # it is below 2**-EMA_BITS, past double precision.
 EMA_BITS = 60
 
+# Rows one task takes of a key whose order column sets no bound.
+PIECE_ROWS = 50_000
+
 
 def series_window(by: Sequence[str] = KEY, order: str = ORDER) -> WindowSpec:
     return Window.partitionBy(*by).orderBy(order)
@@ -49,9 +52,12 @@ def tail(total: str, n: int, window: WindowSpec) -> Column:
     return F.col(total) - F.coalesce(F.lag(total, n).over(window), F.lit(0))
 
 
-def first_difference(df: DataFrame, value: str, out: str = "diff", *,
-                     by: Sequence[str] = KEY, order: str = ORDER) -> DataFrame:
-    return df.withColumn(out, F.col(value) - F.lag(value).over(series_window(by, order)))
+def first_difference(df: DataFrame, value: str, out: str = "diff", *, by: Sequence[str] = KEY,
+                     order: str = ORDER, slice_of: Column | None = None) -> DataFrame:
+    def work(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        return rows.withColumn(out, F.col(value) - F.lag(value).over(series_window(keys, order)))
+
+    return piecewise(df, work, halo=1, by=by, order=order, slice_of=slice_of)
 
 
 def min_history(df: DataFrame, n: int, *, by: Sequence[str] = KEY) -> DataFrame:
@@ -64,19 +70,24 @@ def min_history(df: DataFrame, n: int, *, by: Sequence[str] = KEY) -> DataFrame:
     return df.join(enough, list(by), "left_semi")
 
 
-def sma(df: DataFrame, value: str, outs: Mapping[str, int], *, scale: int = 2,
-        by: Sequence[str] = KEY, order: str = ORDER) -> DataFrame:
+def sma(df: DataFrame, value: str, outs: Mapping[str, int], *, scale: int = 2, by: Sequence[str] = KEY,
+        order: str = ORDER, slice_of: Column | None = None) -> DataFrame:
     """Simple moving averages; null until ``n`` rows, or if one of them is null."""
-    w = series_window(by, order)
-    out = df.withColumns({
-        "_total": F.coalesce(F.sum(fixed_point(value, scale)).over(running(w)), F.lit(0)),
-        "_seen": F.count(value).over(running(w)),
-    })
-    return out.withColumns({
-        name: F.when(tail("_seen", n, w) == n,
-                     tail("_total", n, w).cast("double") / F.lit(float(n * 10 ** scale)))
-        for name, n in outs.items()
-    }).drop("_total", "_seen")
+    def work(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        w = series_window(keys, order)
+        out = rows.withColumns({
+            "_total": F.coalesce(F.sum(fixed_point(value, scale)).over(running(w)), F.lit(0)),
+            "_seen": F.count(value).over(running(w)),
+        })
+        return out.withColumns({name: mean_of(n, scale, w) for name, n in outs.items()}).drop("_total", "_seen")
+
+    return piecewise(df, work, halo=max(outs.values()), by=by, order=order, slice_of=slice_of)
+
+
+def mean_of(n: int, scale: int, window: WindowSpec) -> Column:
+    """Mean of the last ``n`` rows, from the running sums ``_total`` and ``_seen``."""
+    return F.when(tail("_seen", n, window) == n,
+                  tail("_total", n, window).cast("double") / F.lit(float(n * 10 ** scale)))
 
 
 def rsi_of(gain: Column, loss: Column) -> Column:
@@ -85,20 +96,22 @@ def rsi_of(gain: Column, loss: Column) -> Column:
             .when(loss > 0, 100.0 - 100.0 / (1.0 + gain.cast("double") / loss.cast("double"))))
 
 
-def rsi(df: DataFrame, value: str, n: int = 14, out: str = "rsi", *, scale: int = 2,
-        by: Sequence[str] = KEY, order: str = ORDER) -> DataFrame:
+def rsi(df: DataFrame, value: str, n: int = 14, out: str = "rsi", *, scale: int = 2, by: Sequence[str] = KEY,
+        order: str = ORDER, slice_of: Column | None = None) -> DataFrame:
     """RSI over plain rolling sums; the first row of a key counts as no change."""
-    w = series_window(by, order)
-    unit = fixed_point(value, scale)
-    moves = df.withColumn("_move", F.coalesce(unit - F.lag(unit).over(w), F.lit(0)))
-    sums = moves.withColumns({
-        "_n": F.row_number().over(w),
-        "_gain": F.sum(F.greatest("_move", F.lit(0))).over(running(w)),
-        "_loss": F.sum(F.greatest(-F.col("_move"), F.lit(0))).over(running(w)),
-    })
-    return sums.withColumn(
-        out, F.when(F.col("_n") >= n, rsi_of(tail("_gain", n, w), tail("_loss", n, w)))
-    ).drop("_move", "_n", "_gain", "_loss")
+    def work(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        w = series_window(keys, order)
+        unit = fixed_point(value, scale)
+        moves = rows.withColumn("_move", F.coalesce(unit - F.lag(unit).over(w), F.lit(0)))
+        sums = moves.withColumns({
+            "_n": F.row_number().over(w),
+            "_gain": F.sum(F.greatest("_move", F.lit(0))).over(running(w)),
+            "_loss": F.sum(F.greatest(-F.col("_move"), F.lit(0))).over(running(w)),
+        })
+        strength = F.when(F.col("_n") >= n, rsi_of(tail("_gain", n, w), tail("_loss", n, w)))
+        return sums.withColumn(out, strength).drop("_move", "_n", "_gain", "_loss")
+
+    return piecewise(df, work, halo=n, by=by, order=order, slice_of=slice_of)
 
 
 class Decay:
@@ -155,31 +168,36 @@ def block_windows(by: Sequence[str], order: str) -> tuple[WindowSpec, WindowSpec
             Window.partitionBy(*by).orderBy("_b", order))
 
 
-def ema(df: DataFrame, value: str, outs: Mapping[str, int], *,
-        by: Sequence[str] = KEY, order: str = ORDER) -> DataFrame:
+def ema(df: DataFrame, value: str, outs: Mapping[str, int], *, by: Sequence[str] = KEY,
+        order: str = ORDER, slice_of: Column | None = None) -> DataFrame:
     """Exponential moving averages ``y = a*x + (1-a)*y_before``, ``a = 2/(span+1)``,
     starting at the first value. Drop null values first."""
     size = block_size(list(outs.values()))
-    block_w, key_w = block_windows(by, order)
-    decays = {name: Decay(span) for name, span in outs.items()}
+    decays = {name: Decay(span) for name, span in outs.items() if span > 1}
     x = F.col(value).cast("double")
-    out = in_blocks(df, size, by, order)
-    out = out.withColumns({f"_s_{n}": d.scaled(x, block_w) if d.keep > 0 else x
-                           for n, d in decays.items()})
-    out = out.withColumns({n: d.whole(f"_s_{n}", size, key_w) if d.keep > 0 else x
-                           for n, d in decays.items()})
-    return out.drop("_pos", "_b", "_i", *(f"_s_{n}" for n in outs))
+
+    def work(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        block_w, key_w = block_windows(keys, order)
+        out = in_blocks(rows, size, keys, order)
+        out = out.withColumns({f"_s_{n}": d.scaled(x, block_w) for n, d in decays.items()})
+        out = out.withColumns({n: decays[n].whole(f"_s_{n}", size, key_w) if n in decays else x for n in outs})
+        return out.drop("_pos", "_b", "_i", *(f"_s_{n}" for n in decays))
+
+    return piecewise(df, work, halo=size, by=by, order=order, slice_of=slice_of)
 
 
 def macd(df: DataFrame, value: str, fast: int = 12, slow: int = 26, signal: int = 9, *,
-         line_out: str = "macd_value", signal_out: str = "macd_signal",
-         by: Sequence[str] = KEY, order: str = ORDER) -> DataFrame:
+         line_out: str = "macd_value", signal_out: str = "macd_signal", by: Sequence[str] = KEY,
+         order: str = ORDER, slice_of: Column | None = None) -> DataFrame:
     """Fast minus slow EMA, and the EMA of that line."""
     size = block_size([fast, slow, signal])
-    blocks = in_blocks(df, size, by, order)
-    out = macd_in_blocks(blocks, F.col(value).cast("double"), size, fast, slow, signal,
-                         line_out, signal_out, by, order)
-    return out.drop("_pos", "_b", "_i")
+
+    def work(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        out = macd_in_blocks(in_blocks(rows, size, keys, order), F.col(value).cast("double"), size,
+                             fast, slow, signal, line_out, signal_out, keys, order)
+        return out.drop("_pos", "_b", "_i")
+
+    return piecewise(df, work, halo=size, by=by, order=order, slice_of=slice_of)
 
 
 def macd_in_blocks(df: DataFrame, x: Column, size: int, fast: int, slow: int, signal: int,
@@ -197,49 +215,50 @@ def macd_in_blocks(df: DataFrame, x: Column, size: int, fast: int, slow: int, si
 
 
 def indicators(df: DataFrame, value: str, *, fast_sma: int, slow_sma: int, rsi_length: int,
-               macd_spans: tuple[int, int, int], scale: int = 2,
-               by: Sequence[str] = KEY, order: str = ORDER) -> DataFrame:
+               macd_spans: tuple[int, int, int], scale: int = 2, by: Sequence[str] = KEY,
+               order: str = ORDER, slice_of: Column | None = None, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """All indicators in one exchange and two sorts.
 
     Adds ``sma_fast, sma_slow, rsi, macd_value, macd_signal`` as doubles.
     """
-    w = series_window(by, order)
-    _, key_w = block_windows(by, order)
     size = block_size(macd_spans)
-    # Derived columns start after the first window, so that the exchange under
-    # it moves only the key, the order and the value.
-    out = in_blocks(df.withColumn("_prev", F.lag(value).over(w)), size, by, order)
-    out = out.withColumn("_unit", fixed_point(value, scale)) \
-        .withColumn("_move", F.coalesce(F.col("_unit") - fixed_point("_prev", scale), F.lit(0))).drop("_prev")
-    unit = F.col("_unit")
-    out = macd_in_blocks(
-        out, F.col(value).cast("double"), size, *macd_spans, "macd_value", "macd_signal", by, order,
-        also={
-            "_total": F.coalesce(F.sum(unit).over(running(key_w)), F.lit(0)),
-            "_seen": F.count(unit).over(running(key_w)),
-            "_gain": F.sum(F.greatest("_move", F.lit(0))).over(running(key_w)),
-            "_loss": F.sum(F.greatest(-F.col("_move"), F.lit(0))).over(running(key_w)),
+
+    def work(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        w = series_window(keys, order)
+        _, key_w = block_windows(keys, order)
+        # Derived columns start after the first window, so that the exchange
+        # under it moves only the key, the order and the value.
+        out = in_blocks(rows.withColumn("_prev", F.lag(value).over(w)), size, keys, order)
+        out = out.withColumn("_unit", fixed_point(value, scale)) \
+            .withColumn("_move", F.coalesce(F.col("_unit") - fixed_point("_prev", scale), F.lit(0))).drop("_prev")
+        out = macd_in_blocks(
+            out, F.col(value).cast("double"), size, *macd_spans, "macd_value", "macd_signal", keys, order,
+            also={
+                "_total": F.coalesce(F.sum("_unit").over(running(key_w)), F.lit(0)),
+                "_seen": F.count("_unit").over(running(key_w)),
+                "_gain": F.sum(F.greatest("_move", F.lit(0))).over(running(key_w)),
+                "_loss": F.sum(F.greatest(-F.col("_move"), F.lit(0))).over(running(key_w)),
+            })
+        strength = rsi_of(tail("_gain", rsi_length, key_w), tail("_loss", rsi_length, key_w))
+        out = out.withColumns({
+            "sma_fast": mean_of(fast_sma, scale, key_w),
+            "sma_slow": mean_of(slow_sma, scale, key_w),
+            "rsi": F.when(F.col("_pos") >= rsi_length - 1, strength),
         })
+        return out.drop("_unit", "_move", "_pos", "_b", "_i", "_total", "_seen", "_gain", "_loss")
 
-    def mean(n: int) -> Column:
-        return F.when(tail("_seen", n, key_w) == n,
-                      tail("_total", n, key_w).cast("double") / F.lit(float(n * 10 ** scale)))
-
-    out = out.withColumns({
-        "sma_fast": mean(fast_sma),
-        "sma_slow": mean(slow_sma),
-        "rsi": F.when(F.col("_pos") >= rsi_length - 1,
-                      rsi_of(tail("_gain", rsi_length, key_w), tail("_loss", rsi_length, key_w))),
-    })
-    return out.drop("_unit", "_move", "_pos", "_b", "_i", "_total", "_seen", "_gain", "_loss")
+    return piecewise(df, work, halo=max(size, slow_sma, fast_sma, rsi_length), by=by, order=order,
+                     slice_of=slice_of, piece_rows=piece_rows)
 
 
 def crosses(df: DataFrame, a: str, b: str, *, up: str = "cross_up", down: str = "cross_down",
-            by: Sequence[str] = KEY, order: str = ORDER) -> DataFrame:
+            by: Sequence[str] = KEY, order: str = ORDER, slice_of: Column | None = None) -> DataFrame:
     """Flags rows where ``a`` passes ``b``; strict on both sides, false on a key's first row."""
-    w = series_window(by, order)
-    rose, fell = cross_conditions(a, b, w)
-    return df.withColumns({up: rose, down: fell})
+    def work(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        rose, fell = cross_conditions(a, b, series_window(keys, order))
+        return rows.withColumns({up: rose, down: fell})
+
+    return piecewise(df, work, halo=1, by=by, order=order, slice_of=slice_of)
 
 
 def cross_conditions(a: str, b: str, window: WindowSpec) -> tuple[Column, Column]:
@@ -255,11 +274,14 @@ def forward_return_of(value: str, horizon: int, window: WindowSpec) -> Column:
     return F.try_divide(F.lead(x, horizon).over(window), x) - 1.0
 
 
-def forward_return(df: DataFrame, value: str, outs: Mapping[str, int], *,
-                   by: Sequence[str] = KEY, order: str = ORDER) -> DataFrame:
+def forward_return(df: DataFrame, value: str, outs: Mapping[str, int], *, by: Sequence[str] = KEY,
+                   order: str = ORDER, slice_of: Column | None = None) -> DataFrame:
     """Return to the row ``h`` positions on; null for the last ``h`` rows of a key."""
-    w = series_window(by, order)
-    return df.withColumns({name: forward_return_of(value, h, w) for name, h in outs.items()})
+    def work(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        w = series_window(keys, order)
+        return rows.withColumns({name: forward_return_of(value, h, w) for name, h in outs.items()})
+
+    return piecewise(df, work, halo=0, ahead=max(outs.values()), by=by, order=order, slice_of=slice_of)
 
 
 def latest_per_key(df: DataFrame, *, by: Sequence[str] = KEY, order: str = ORDER) -> DataFrame:
@@ -355,4 +377,19 @@ def natural_slice(df: DataFrame, order: str = ORDER) -> Column | None:
         return None
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.to_date(order)
-    raise ValueError(f"name slices of {order!r} ({kind.simpleString()}) that one task can sort")
+    raise ValueError(f"give slice_of for {order!r} ({kind.simpleString()}): slices that one task can sort")
+
+
+def piecewise(df: DataFrame, work: Callable[[DataFrame, Sequence[str]], DataFrame], *, halo: int, ahead: int = 0,
+              by: Sequence[str] = KEY, order: str = ORDER, slice_of: Column | None = None,
+              piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """``work(rows, keys)`` on whole keys if they are bounded, else on pieces of them.
+
+    ``halo`` and ``ahead`` are how many rows the work looks back and forward.
+    """
+    slice_of = natural_slice(df, order) if slice_of is None else slice_of
+    if slice_of is None:
+        return work(df, list(by))
+    rows = max(piece_rows, halo, ahead)
+    pieces = split_series(df, slice_of, rows=rows, halo=halo, ahead=ahead, by=by, order=order)
+    return work(pieces, [*by, "piece"]).filter(~F.col("is_halo")).drop("piece", "is_halo")

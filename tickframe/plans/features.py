@@ -13,13 +13,11 @@ from tickframe.operators import series
 
 
 MACD_SPANS = (S.MACD_FAST, S.MACD_SLOW, S.MACD_SIGNAL)
-# Rows one task takes of a key whose order column sets no bound.
-PIECE_ROWS = 50_000
 
 
 def features(bars: DataFrame, *, price: str = "close_price", keep: Sequence[str] = (),
              min_rows: int = S.MIN_HISTORY, by: Sequence[str] = series.KEY, order: str = series.ORDER,
-             slice_of: Column | None = None, piece_rows: int = PIECE_ROWS, since=None) -> DataFrame:
+             slice_of: Column | None = None, piece_rows: int = series.PIECE_ROWS, since=None) -> DataFrame:
     """The feature table: indicators over each key's full history, at storage
     precision, without the warm-up rows. ``keep`` passes bar columns through.
 
@@ -36,19 +34,12 @@ def features(bars: DataFrame, *, price: str = "close_price", keep: Sequence[str]
     rows = bars
     if min_rows > S.SLOW_SMA:
         rows = series.min_history(rows, min_rows, by=by)
-    halo = max(series.block_size(MACD_SPANS), S.SLOW_SMA)
     if since is not None:
+        halo = max(series.block_size(MACD_SPANS), S.SLOW_SMA)
         rows = series.since_with_halo(rows, since, halo, by=by, order=order)
     rows = rows.select(*dict.fromkeys([*by, order, price, *keep]))
-    slice_of = series.natural_slice(rows, order) if slice_of is None else slice_of
-    within = list(by)
-    if slice_of is not None:
-        rows = series.split_series(rows, slice_of, rows=piece_rows, halo=halo, by=by, order=order)
-        within.append("piece")
     out = series.indicators(rows, price, fast_sma=S.FAST_SMA, slow_sma=S.SLOW_SMA, rsi_length=S.RSI_LENGTH,
-                            macd_spans=MACD_SPANS, by=within, order=order)
-    if slice_of is not None:
-        out = out.filter(~F.col("is_halo"))
+                            macd_spans=MACD_SPANS, by=by, order=order, slice_of=slice_of, piece_rows=piece_rows)
     if since is not None:
         out = out.filter(F.col(order) >= F.lit(since))
     out = out.filter(F.col("sma_slow").isNotNull() & F.col("sma_fast").isNotNull() & F.col("rsi").isNotNull())
@@ -84,26 +75,23 @@ def training_scan(feature_rows: DataFrame, bars: DataFrame, price: str = "close_
 
 def panel(scan: DataFrame, *, horizon: int = S.LABEL_HORIZON, threshold: float = S.LABEL_THRESHOLD,
           by: Sequence[str] = series.KEY, order: str = series.ORDER,
-          slice_of: Column | None = None, piece_rows: int = PIECE_ROWS) -> DataFrame:
+          slice_of: Column | None = None, piece_rows: int = series.PIECE_ROWS) -> DataFrame:
     """Signals, label and next-day return per feature row, complete rows only.
 
     Shifts run over feature rows, so date filters belong after this, and long
     keys are cut anew here, by positions among feature rows. All windows share
     the key and order, hence one exchange and one sort.
     """
-    slice_of = series.natural_slice(scan, order) if slice_of is None else slice_of
-    within = list(by)
-    if slice_of is not None:
-        scan = series.split_series(scan, slice_of, rows=piece_rows, halo=1, ahead=horizon, by=by, order=order)
-        within.append("piece")
-    w = series.series_window(within, order)
-    out = scan.withColumns({
-        **scores.signal_columns(w),
-        "future_return": series.forward_return_of("close_price", horizon, w),
-        "daily_return": series.forward_return_of("close_price", 1, w),
-    })
-    if slice_of is not None:
-        out = out.filter(~F.col("is_halo"))
+    def work(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        w = series.series_window(keys, order)
+        return rows.withColumns({
+            **scores.signal_columns(w),
+            "future_return": series.forward_return_of("close_price", horizon, w),
+            "daily_return": series.forward_return_of("close_price", 1, w),
+        })
+
+    out = series.piecewise(scan, work, halo=1, ahead=max(horizon, 1), by=by, order=order, slice_of=slice_of,
+                           piece_rows=piece_rows)
     out = out.dropna(subset=[*S.SIGNALS, "future_return", "daily_return"])
     return out.select(
         *by, order, *S.SIGNALS, F.col("close_price").cast("double").alias("close_price"),
