@@ -242,3 +242,22 @@ def test_features_by_since_equal_a_full_run(spark, root, tmp_path):
     daily.build_features(spark, db, since=dt.date(2001, 1, 1))
     assert rows(tables.scan(spark, db, "features"), *S.FEATURES.names) == want
     assert before and before == {p.name: p.stat().st_mtime_ns for p in late.glob("*.parquet")}
+
+
+def test_missing_and_impossible_cells_cost_only_their_row(spark, tmp_path):
+    nan, inf = float("nan"), float("inf")
+    cells = [("A.NS", 1.0, 5.0), ("B.NS", nan, 5.0), ("C.NS", 1.0, nan), ("D.NS", 1e12, 5.0), ("E.NS", inf, 5.0)]
+    df = spark.createDataFrame([(t, dt.date(2024, 1, 2), 1.0, 1.0, 1.0, c, 1.0, v) for t, c, v in cells],
+                               landing.vendor_schema(text=False))
+    df.write.parquet(str(tmp_path / "l"))
+    names = stocks(spark, {i: c for i, c in enumerate("ABCDE")})
+    got = landing.to_bars(landing.read_landing(spark, str(tmp_path / "l")), names)
+    assert [r.stock_id for r in quality.clean_bars(got).collect()] == [0]
+    assert sorted((r.stock_id, r.reason) for r in quality.rejects(got).collect()) == [
+        (1, "missing close_price"), (2, "missing volume"), (3, "missing close_price"), (4, "missing close_price")]
+
+
+def test_a_key_that_storage_cannot_hold_does_not_stop_the_others(spark):
+    rows = [(k, day(i), p + i % 7) for k, p in ((1, 100.0), (2, 1e12), (3, 1e300)) for i in range(230)]
+    df = spark.createDataFrame(rows, "stock_id int, date date, close_price double")
+    assert {r.stock_id for r in plans.features(df).collect()} == {1}

@@ -42,9 +42,9 @@ def running(window: WindowSpec) -> WindowSpec:
 
 
 def fixed_point(value: str | Column, scale: int) -> Column:
-    """The value in units of 10**-scale, as a bigint."""
+    """The value in units of 10**-scale, as a bigint; null if it is no such number."""
     value = F.col(value) if isinstance(value, str) else value
-    return (value.cast(f"decimal(18,{scale})") * (10 ** scale)).cast("bigint")
+    return (value.try_cast(f"decimal(18,{scale})") * (10 ** scale)).cast("bigint")
 
 
 def tail(total: str, n: int, window: WindowSpec) -> Column:
@@ -64,7 +64,7 @@ def min_history(df: DataFrame, n: int, *, by: Sequence[str] = KEY) -> DataFrame:
     """Rows of keys that have at least ``n`` rows.
 
     Counts are combined before the exchange, then joined back; the join side is
-    broadcast by the planner only while it is small.
+    broadcast by the planner only while it is small. ``df`` is read twice.
     """
     enough = df.groupBy(*by).count().filter(F.col("count") >= n).drop("count")
     return df.join(enough, list(by), "left_semi")
@@ -346,6 +346,7 @@ def split_series(df: DataFrame, slice_of: Column, *, rows: int, halo: int, ahead
     ``slice_of`` maps the order column to coarse, increasing slices that one
     task can sort, such as a day for timestamps. Row counts per slice are
     combined before the exchange; only their small table is scanned per key.
+    ``df`` is read twice, so pass a stored table where it is costly.
     """
     if halo > rows or ahead > rows:
         raise ValueError("halo and ahead must not exceed rows")

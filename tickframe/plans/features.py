@@ -42,13 +42,14 @@ def features(bars: DataFrame, *, price: str = "close_price", keep: Sequence[str]
                             macd_spans=MACD_SPANS, by=by, order=order, slice_of=slice_of, piece_rows=piece_rows)
     if since is not None:
         out = out.filter(F.col(order) >= F.lit(since))
-    out = out.filter(F.col("sma_slow").isNotNull() & F.col("sma_fast").isNotNull() & F.col("rsi").isNotNull())
-    return out.select(
+    # A value that storage cannot hold makes its row incomplete, not the job fail.
+    stored = out.select(
         *by, order,
-        F.col("sma_fast").cast(S.PRICE).alias("sma_50"), F.col("sma_slow").cast(S.PRICE).alias("sma_200"),
-        F.col("rsi").cast(S.RSI).alias("rsi_14"),
-        F.col("macd_value").cast(S.PRICE).alias("macd_value"),
-        F.col("macd_signal").cast(S.PRICE).alias("macd_signal"), *keep)
+        F.col("sma_fast").try_cast(S.PRICE).alias("sma_50"), F.col("sma_slow").try_cast(S.PRICE).alias("sma_200"),
+        F.col("rsi").try_cast(S.RSI).alias("rsi_14"),
+        F.col("macd_value").try_cast(S.PRICE).alias("macd_value"),
+        F.col("macd_signal").try_cast(S.PRICE).alias("macd_signal"), *keep)
+    return stored.dropna(subset=[c for c in S.FEATURES.names if c not in S.SERIES_KEY])
 
 
 def with_symbol(rows: DataFrame, stocks: DataFrame) -> DataFrame:

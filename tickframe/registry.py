@@ -437,17 +437,20 @@ def first_mention(spark, root):
 
 def time_folds(spark, root):
     """Row counts and date ranges of the time-ordered folds of the training rows."""
-    rows = panel(spark, root).filter(F.col("date") <= TRAIN_END)
-    return plans.profile(lem.time_folds(rows), "fold")
+    return plans.profile(lem.time_folds(_split(spark, root)[0]), "fold")
+
+
+def _split(spark, root):
+    return plans.temporal_split(panel(spark, root), TRAIN_END, TEST_START)
 
 
 def training_counts(spark, root):
-    return lem.training_counts(panel(spark, root).filter(F.col("date") <= TRAIN_END))
+    return lem.training_counts(_split(spark, root)[0])
 
 
 def fold_counts(spark, root):
     """Training counts per time-ordered fold."""
-    return lem.fold_counts(panel(spark, root).filter(F.col("date") <= TRAIN_END))
+    return lem.fold_counts(_split(spark, root)[0])
 
 
 _models: dict[tuple[str, str], str] = {}
@@ -459,16 +462,25 @@ def trained(spark: SparkSession, root: str):
     key = (spark.sparkContext.applicationId, root)
     with _model_lock:
         if key not in _models:
-            rows = panel(spark, root).filter(F.col("date") <= TRAIN_END)
             path = new_path(spark, "model")
-            lem.save(lem.train(rows, maxIter=20, stepSize=0.1, maxDepth=3), path)
+            lem.save(lem.train(_split(spark, root)[0], maxIter=20, stepSize=0.1, maxDepth=3), path)
             _models[key] = path
     return lem.load(_models[key])
 
 
 def lem_scores(spark, root):
-    rows = panel(spark, root).filter(F.col("date") >= TEST_START)
-    return lem.score_by_table(rows, trained(spark, root)).select("symbol", "date", "lem_score")
+    return lem.score_by_table(_split(spark, root)[1], trained(spark, root)).select("symbol", "date", "lem_score")
+
+
+def lem_score_checks(spark, root):
+    """Per symbol: rows scored, rows without a score or outside 0..100, and rows
+    where the looked-up score is not that of the trees."""
+    model = trained(spark, root)
+    both = lem.score(lem.score_by_table(_split(spark, root)[1], model), model, "by_trees")
+    return both.groupBy("symbol").agg(
+        F.count("lem_score").alias("scored"),
+        F.count_if(F.col("lem_score").isNull() | ~F.col("lem_score").between(0, 100)).alias("out_of_range"),
+        F.count_if(F.abs(F.col("lem_score") - F.col("by_trees")) > 1e-9).alias("differing"))
 
 
 def lem_top5(spark, root):
@@ -498,8 +510,7 @@ def lem_equity_curve(spark, root):
 
 
 def lem_cv(spark, root):
-    rows = panel(spark, root).filter(F.col("date") <= TRAIN_END)
-    table, _ = lem.grid_search(rows, {"maxIter": [3, 6], "stepSize": [0.1], "maxDepth": [3],
+    table, _ = lem.grid_search(_split(spark, root)[0], {"maxIter": [3, 6], "stepSize": [0.1], "maxDepth": [3],
                                       "subsamplingRate": [0.8, 1.0]})
     return table
 
@@ -572,6 +583,7 @@ QUERIES = {
     "training_counts": training_counts,
     "fold_counts": fold_counts,
     "lem_scores": lem_scores,
+    "lem_score_checks": lem_score_checks,
     "lem_top5": lem_top5,
     "lem_metrics": lem_metrics,
     "lem_summary": lem_summary,
