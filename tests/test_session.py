@@ -1,0 +1,48 @@
+"""Staged tables and the shared folder."""
+
+import pytest
+from pyspark.errors import AnalysisException
+
+from tickframe import session as S
+
+
+def test_staged_tables_are_read_back_and_dropped(spark):
+    kept = S.stage(spark.range(5).withColumnRenamed("id", "n"), "kept")
+    assert sorted(r.n for r in kept.collect()) == [0, 1, 2, 3, 4]
+    path = kept.inputFiles()[0].rsplit("/", 1)[0]
+    S.drop_staged(spark)
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
+
+
+def test_staged_for_one_job(spark):
+    with S.staged(spark.range(3), "short") as table:
+        path = table.inputFiles()[0].rsplit("/", 1)[0]
+        assert table.count() == 3
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
+
+
+def test_named_folder_is_used(spark):
+    folder = S.shared_dir(spark)
+    assert S.new_path(spark, "x").startswith(folder) and S.new_path(spark, "x") != S.new_path(spark, "x")
+    assert spark.sparkContext.getCheckpointDir()
+
+
+def test_a_cluster_must_name_its_folder():
+    class Context:
+        master = "spark://cluster"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return default
+
+    with pytest.raises(ValueError):
+        S.shared_dir(Session())

@@ -20,13 +20,13 @@ def equity_curve(returns: DataFrame, strategies: Sequence[str]) -> DataFrame:
     put side by side, so no window runs over all dates of a wide frame."""
     grown = metrics.with_equity(returns.filter(F.col("strategy").isin(list(strategies))))
     out = wide(grown, strategies, "equity")
-    return out.select(F.date_format("date", "yyyy-MM-dd").alias("label"), *strategies)
+    return out.select(F.date_format("date", "yyyy-MM-dd").alias("label"), *strategies).orderBy("label")
 
 
 def drawdown_curve(returns: DataFrame, strategies: Sequence[str]) -> DataFrame:
     """Percent below the highest value so far, per strategy."""
     fallen = metrics.with_equity(returns.filter(F.col("strategy").isin(list(strategies))))
-    return wide(fallen.withColumn("pct", F.col("drawdown") * 100), strategies, "pct")
+    return wide(fallen.withColumn("pct", F.col("drawdown") * 100), strategies, "pct").orderBy("date")
 
 
 def chart_json(returns: DataFrame, fields: Mapping[str, str], decimals: int = 6) -> DataFrame:

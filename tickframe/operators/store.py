@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickframe.session import stage
+from tickframe.session import staged
 
 MONTH = "month"
 
@@ -103,11 +103,12 @@ def merge_rows(batch: DataFrame, path: str, schema: T.StructType, keys: Sequence
     """
     keys = [*keys, MONTH]
     batch = with_month(batch)
-    incoming = stage(batch if distinct_keys else one_per_key(batch, keys, F.max_by, order), "incoming")
-    stored = open_table(batch.sparkSession, path, schema)
-    stored = stored.filter(F.col(MONTH).isin(_touched(incoming)))
-    kept = stored.join(incoming.select(*keys), keys, "left_anti")
-    _write(kept.unionByName(incoming.select(*stored.columns)), path, "overwrite", MONTH, keys[:-1])
+    rows = batch if distinct_keys else one_per_key(batch, keys, F.max_by, order)
+    with staged(rows, "incoming") as incoming:
+        stored = open_table(batch.sparkSession, path, schema)
+        stored = stored.filter(F.col(MONTH).isin(_touched(incoming)))
+        kept = stored.join(incoming.select(*keys), keys, "left_anti")
+        _write(kept.unionByName(incoming.select(*stored.columns)), path, "overwrite", MONTH, keys[:-1])
 
 
 def overwrite_dates(batch: DataFrame, path: str, sort: Sequence[str], partition: str = "date") -> None:

@@ -46,5 +46,6 @@ def rank(spark: SparkSession, root: str, model_path: str | None = None, n: int =
 
 
 def latest(spark: SparkSession, root: str) -> DataFrame:
+    """The newest recommendations, by model and rank."""
     return ranking.latest_recommendations(tables.scan(spark, root, "recommendations"),
-                                          tables.scan(spark, root, "stocks"))
+                                          tables.scan(spark, root, "stocks")).orderBy("model_type", "rank")

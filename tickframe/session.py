@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,12 +46,43 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tickframe/{label}-{uuid.uuid4().hex}"
 
 
+_staged: dict[str, list[str]] = {}
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     For a result that several branches read: it is computed once, survives the
     loss of executors, and gives the planner true sizes for its join choices.
+    The files stay until ``drop_staged``, since later plans read them.
     """
-    path = new_path(df.sparkSession, label)
+    spark = df.sparkSession
+    path = new_path(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``stage`` for the length of one job."""
+    paths = _staged.setdefault(df.sparkSession.sparkContext.applicationId, [])
+    table = stage(df, label)
+    path = paths[-1]
+    try:
+        yield table
+    finally:
+        _delete(df.sparkSession, path)
+        paths.remove(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Deletes what this application staged; results built on it are then gone."""
+    for path in _staged.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
