@@ -97,6 +97,12 @@ def test_null_inside_a_window(spark):
     assert column(df, "m") == [None] * 5 + [5.0, 6.0]
 
 
+def test_nan_counts_as_missing(spark):
+    df = spark.createDataFrame([(1, day(i), x) for i, x in enumerate([1.0, float("nan"), 3.0, 5.0])],
+                               "stock_id int, date date, close_price double")
+    assert column(series.sma(df, "close_price", {"m": 2}), "m") == [None, None, None, 4.0]
+
+
 def test_rounding_is_half_up(spark):
     df = series.sma(closes(spark, {1: [1.00, 1.01]}), "close_price", {"m": 2})
     assert str(df.select(F.col("m").cast("decimal(10,2)")).collect()[1][0]) == "1.01"

@@ -258,6 +258,6 @@ def test_missing_and_impossible_cells_cost_only_their_row(spark, tmp_path):
 
 
 def test_a_key_that_storage_cannot_hold_does_not_stop_the_others(spark):
-    rows = [(k, day(i), p + i % 7) for k, p in ((1, 100.0), (2, 1e12), (3, 1e300)) for i in range(230)]
+    rows = [(k, day(i), p + i % 7) for k, p in ((1, 100.0), (2, 1e9), (3, 1e15), (4, 1e300), (5, float('nan'))) for i in range(230)]
     df = spark.createDataFrame(rows, "stock_id int, date date, close_price double")
     assert {r.stock_id for r in plans.features(df).collect()} == {1}

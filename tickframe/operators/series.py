@@ -42,9 +42,12 @@ def running(window: WindowSpec) -> WindowSpec:
 
 
 def fixed_point(value: str | Column, scale: int) -> Column:
-    """The value in units of 10**-scale, as a bigint; null if it is no such number."""
+    """The value in units of 10**-scale, as a bigint; null if it is no such number.
+
+    Twelve digits hold every stored price, and sums of nine million of them.
+    """
     value = F.col(value) if isinstance(value, str) else value
-    return (value.try_cast(f"decimal(18,{scale})") * (10 ** scale)).cast("bigint")
+    return (value.try_cast(f"decimal(12,{scale})") * (10 ** scale)).cast("bigint")
 
 
 def tail(total: str, n: int, window: WindowSpec) -> Column:
@@ -77,7 +80,7 @@ def sma(df: DataFrame, value: str, outs: Mapping[str, int], *, scale: int = 2, b
         w = series_window(keys, order)
         out = rows.withColumns({
             "_total": F.coalesce(F.sum(fixed_point(value, scale)).over(running(w)), F.lit(0)),
-            "_seen": F.count(value).over(running(w)),
+            "_seen": F.count(fixed_point(value, scale)).over(running(w)),
         })
         return out.withColumns({name: mean_of(n, scale, w) for name, n in outs.items()}).drop("_total", "_seen")
 
