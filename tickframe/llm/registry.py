@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickframe.llm import mixing, sentencepiece_bpe, sharding, token_binary
+from tickframe.llm import mixing, quality_classifier, quality_rules, sentencepiece_bpe, sharding, simhash, token_binary
 from tickframe.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -16,10 +16,23 @@ def op1_token_binary(spark: SparkSession, root: str) -> DataFrame:
     return token_binary.digests(table(spark, root, "documents"), BYTE_BPE)
 
 
+def op2_simhash_near_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, root, "documents"))
+
+
+def op5_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
+    found = quality_classifier.classify(table(spark, root, "documents"), table(spark, root, "labels"))
+    return found.select("doc_id", "evidence", "host_rate", "path_rate", "probability", "kept")
+
+
 def op7_source_mixing(spark: SparkSession, root: str) -> DataFrame:
     return mixing.document_shares(table(spark, root, "documents"))
 
 
+def op8_quality_rules(spark: SparkSession, root: str) -> DataFrame:
+    return quality_rules.verdicts(table(spark, root, "documents"), table(spark, root, "labels"))
+
+
 def op9_sharding(spark: SparkSession, root: str) -> DataFrame:
     return sharding.document_shards(table(spark, root, "documents"))
 
@@ -28,5 +41,7 @@ def op10_sentencepiece(spark: SparkSession, root: str) -> DataFrame:
     return sentencepiece_bpe.digests(table(spark, root, "documents"), PIECE_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_binary, op7_source_mixing, op9_sharding, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (
+    op1_token_binary, op2_simhash_near_dedup, op5_quality_classifier, op7_source_mixing, op8_quality_rules, op9_sharding,
+    op10_sentencepiece)}
 SQL: dict[str, str] = {}
