@@ -32,6 +32,16 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def set_names(df: DataFrame, *kept: str) -> DataFrame:
+    """``df`` with numbers for the names of all columns but ``kept``, so that none can clash."""
+    return df.toDF(*(c if c in kept else f"_c{k}" for k, c in enumerate(df.columns)))
+
+
+def restore_names(df: DataFrame, like: DataFrame, *kept: str) -> DataFrame:
+    """Undoes ``set_names``, and leaves out columns added since."""
+    return df.select(*(F.col(c if c in kept else f"_c{k}").alias(c) for k, c in enumerate(like.columns)))
+
+
 def per_process(key: str, make: Callable):
     """What ``make`` returns, made once per Python worker and kept for its later tasks."""
     store = sys.modules.setdefault("tickframe_tasks", types.ModuleType("tickframe_tasks")).__dict__

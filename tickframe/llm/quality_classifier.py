@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickframe.llm.common import fresh, per_process, slices
+from tickframe.llm.common import fresh, per_process, restore_names, set_names, slices
 from tickframe.llm.words import IS_SYMBOL, Words, repeated_words, sums
 from tickframe.session import stage
 
@@ -61,9 +61,9 @@ def signal_bins(texts: list[bytes], words: Words) -> np.ndarray:
     return np.vstack([np.searchsorted(np.array(LENGTHS), n, side="right"), bins]).T.astype(np.int32)
 
 
-def with_bins(docs: DataFrame, out: str) -> DataFrame:
-    """The columns of ``docs`` but text, and ``out``: array of bins."""
-    rest = [c for c in docs.columns if c != "text"]
+def with_bins(docs: DataFrame, out: str, carry: bool) -> DataFrame:
+    """The columns of ``docs``, text only if ``carry``, and ``out``: array of bins."""
+    rest = [c for c in docs.columns if carry or c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = per_process("words", Words)
@@ -72,7 +72,7 @@ def with_bins(docs: DataFrame, out: str) -> DataFrame:
             made = pa.ListArray.from_arrays(np.arange(len(bins) + 1, dtype=np.int32) * bins.shape[1], bins.ravel())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), made], [*rest, out])
     fields = [*docs.select(rest).schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))]
-    return docs.select(*rest, "text").mapInArrow(run, T.StructType(fields))
+    return docs.select(*dict.fromkeys([*rest, "text"])).mapInArrow(run, T.StructType(fields))
 
 
 def _strength(sites: DataFrame, above: Column) -> float:
@@ -111,8 +111,8 @@ def likelihoods(marked: DataFrame) -> tuple[dict[tuple[int, int], float], float]
 
 
 def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang",
-             threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without text, with evidence, host_rate, path_rate, probability and kept.
+             threshold: float = THRESHOLD, carry: bool = False) -> DataFrame:
+    """``docs``, with text only if ``carry``, and evidence, host_rate, path_rate, probability and kept.
 
     ``labels`` has doc_id and quality (1 good, 0 bad); null labels and ids are
     left out, of several labels of a document the smallest counts. Null hosts
@@ -122,11 +122,11 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
     """
     made = ("evidence", "host_rate", "path_rate", "probability", "kept")
     plain = docs.drop(*(c for c in docs.columns if c.lower() in made))
-    rest = [c for c in plain.columns if c != "text"]
+    rest = [c for c in plain.columns if carry or c != "text"]
     bins, label, evidence, h, p = fresh(plain, "_bins", "_label", "_evidence", "_host", "_path")
     known = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")) \
         .agg(F.min((F.col("quality") > 0).cast("int")).alias(label))
-    binned = with_bins(plain, bins)
+    binned = with_bins(plain, bins, carry)
     marked = stage(binned.join(known, F.col("doc_id") == F.col("_id"), "left").drop("_id"), "signals")
     ratios, rate = likelihoods(marked.select(F.col(label).alias("label"), F.col(bins).alias("bins")))
 
@@ -157,3 +157,9 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
         .withColumn("probability", 1 / (1 + F.exp(-(F.col(evidence) + F.log(safe / (1 - safe))))))
     return joined.select(*rest, F.col(evidence).alias("evidence"), "host_rate", "path_rate", "probability",
                          (F.col("probability") >= threshold).alias("kept"))
+
+
+def kept(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that are kept, with all their columns."""
+    named = set_names(docs, "doc_id", "text", "source", "lang")
+    return restore_names(classify(named, labels, carry=True).filter("kept"), docs, "doc_id", "text", "source", "lang")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import per_process, slices
+from tickframe.llm.common import per_process, restore_names, set_names, slices
 from tickframe.llm.words import IS_SPACE, IS_SYMBOL, Words, repeated_lines, repeated_words, sums
 from tickframe.session import stage
 
@@ -217,3 +217,9 @@ def judge(docs: DataFrame, model: np.ndarray | None, threshold: float = THRESHOL
 def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document, without its text."""
     return judge(docs.select("doc_id", "text"), train(docs, labels)).drop("text")
+
+
+def kept(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that pass, with all their columns."""
+    named = set_names(docs, "doc_id", "text")
+    return restore_names(judge(named, train(docs, labels)).filter("kept"), docs, "doc_id", "text")

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickframe.llm import mixing, quality_classifier, quality_rules, sentencepiece_bpe, sharding, simhash, token_binary
+from tickframe.llm import (chat_formatting, html_extraction, mixing, nearest_neighbours, quality_classifier, quality_rules,
+                           sentencepiece_bpe, sharding, simhash, token_binary)
 from tickframe.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -20,11 +22,23 @@ def op2_simhash_near_dedup(spark: SparkSession, root: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, root, "documents"))
 
 
+def op3_html_extraction(spark: SparkSession, root: str) -> DataFrame:
+    return html_extraction.extract(table(spark, root, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op4_nearest_neighbours(spark: SparkSession, root: str) -> DataFrame:
+    return nearest_neighbours.search(table(spark, root, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op5_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
     found = quality_classifier.classify(table(spark, root, "documents"), table(spark, root, "labels"))
     return found.select("doc_id", "evidence", "host_rate", "path_rate", "probability", "kept")
 
 
+def op6_chat_formatting(spark: SparkSession, root: str) -> DataFrame:
+    return chat_formatting.preference_pairs(*chat_formatting.with_other_answers(table(spark, root, "conversations")))
+
+
 def op7_source_mixing(spark: SparkSession, root: str) -> DataFrame:
     return mixing.document_shares(table(spark, root, "documents"))
 
@@ -42,6 +56,6 @@ def op10_sentencepiece(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_binary, op2_simhash_near_dedup, op5_quality_classifier, op7_source_mixing, op8_quality_rules, op9_sharding,
-    op10_sentencepiece)}
-SQL: dict[str, str] = {}
+    op1_token_binary, op2_simhash_near_dedup, op3_html_extraction, op4_nearest_neighbours, op5_quality_classifier,
+    op6_chat_formatting, op7_source_mixing, op8_quality_rules, op9_sharding, op10_sentencepiece)}
+SQL = {"op6_chat_formatting": chat_formatting.SQL}
