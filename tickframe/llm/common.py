@@ -89,7 +89,8 @@ def running_totals(df: DataFrame, by: list[str], order: list[str], values: dict[
     """
     part, *temps = fresh(df, "_range", *(f"_value_{k}" for k in range(len(values))))
     valued = df.select("*", *(v.cast("long").alias(t) for t, v in zip(temps, values.values())))
-    ranged = stage(valued.repartitionByRange(*by, *order).withColumn(part, F.spark_partition_id()), label)
+    # Range bounds are sampled, which would read what ``df`` is made of twice.
+    ranged = stage(stage(valued, label).repartitionByRange(*by, *order).withColumn(part, F.spark_partition_id()), label)
     own = Window.partitionBy(part, *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     before = Window.partitionBy(*by or [F.lit(0)]).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     sums = ranged.groupBy(part, *by).agg(*(F.sum(t).alias(t) for t in temps))

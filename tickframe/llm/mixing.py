@@ -97,6 +97,9 @@ def draws(sources: DataFrame, block: int = BLOCK_WORDS, slots: int = SHARD_SLOTS
         .withColumn("count", below(F.col("high") / F.col("sum")) - F.col("first"))
     so_far = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     numbered = counted.withColumn("start", F.coalesce(F.sum("count").over(so_far), F.lit(0)))
+    # Few rows, each of which makes up to a shard of slots: about one task per shard.
+    total = shares.agg(F.max("total")).first()[0] or 0
+    numbered = numbered.repartition(max(1, -(-total // slots)), "shard", "source")
     each = numbered.filter("count > 0").select("*", F.explode(F.expr("sequence(0L, count - 1)")).alias("_i")) \
         .withColumn("_t", F.col("start") + F.col("_i")).filter(F.col("_t") < F.col("n") * most) \
         .withColumn("epoch", F.expr("_t div n"))
