@@ -6,7 +6,9 @@ import sys
 import types
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -67,7 +69,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
     """The batches cut so that ``column`` holds about ``limit`` bytes; one longer row stays whole."""
     for batch in batches:
         at, size = 0, 0
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         for i, n in enumerate(lengths):
             if size and size + n > limit:
                 yield batch.slice(at, i - at)
@@ -77,6 +79,23 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             yield batch.slice(at)
 
 
+def space_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Texts cut at spaces: numbers of the words, the bounds of each text's words, the different words."""
+    parts = pc.split_pattern(texts, " ")
+    coded = parts.flatten().dictionary_encode()
+    return coded.indices.to_numpy(), parts.offsets.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+
+
+def gather(flat: np.ndarray, bounds: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The stretches ``flat[bounds[i]:bounds[i + 1]]`` for each i in ``at``, joined."""
+    starts, sizes = bounds[at], bounds[at + 1] - bounds[at]
+    ends = np.cumsum(sizes)
+    if not len(at) or not ends[-1]:
+        return flat[:0]
+    kind = np.int32 if max(len(flat), ends[-1]) < 1 << 31 else np.int64
+    return flat[np.arange(ends[-1], dtype=kind) + np.repeat((starts - (ends - sizes)).astype(kind), sizes)]
+
+
 def running_totals(df: DataFrame, by: list[str], order: list[str], values: dict[str, Column],
                    label: str = "totals") -> DataFrame:
     """Adds to each row, per name in ``values``, the sum over the rows before it in its group.

@@ -25,14 +25,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from tickframe.llm.common import Numbered, per_process, slices
+from tickframe.llm.common import Numbered, gather, per_process, slices, space_words
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 NO_RANK = np.int32(2**31 - 1)
-KNOWN_WORDS = 500_000
+SLICE = 16 << 20
 LONG_PART = 1024
 
 
@@ -101,8 +102,8 @@ class Vocabulary:
                 at = at + 1 & self.mask
             self.slots[at] = k
         self.pair_keys_pad = np.append(self.pair_keys, -1)
-        crossing = any(MARK in p.lstrip(MARK) for p in normal)
-        self.word = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+") if not crossing else re.compile(".+", re.S)
+        self.crossing = any(MARK in p.lstrip(MARK) for p in normal)
+        self.word = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+") if not self.crossing else re.compile(".+", re.S)
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -298,38 +299,33 @@ class Vocabulary:
 
 
 class Encoder:
-    """Encodes texts; words met before are not merged again."""
+    """Encodes texts of a slice together; equal words are merged once."""
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
-        self.forget()
-
-    def forget(self) -> None:
-        self.known = Numbered()
-        self.flat, self.bounds = np.zeros(0, np.int32), np.zeros(1, np.int64)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > KNOWN_WORDS:
-            self.forget()
-        at = []
-        for text in texts:
-            words = self.vocabulary.words(text)
-            at.append(np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)))
-        if self.known.new:
-            ids, bounds = self.vocabulary.encode_words(self.known.new)
-            self.bounds = np.r_[self.bounds, bounds[1:] + len(self.flat)]
-            self.flat = np.concatenate([self.flat, ids])
-            self.known.new = []
-        return [gather(self.flat, self.bounds, a) for a in at]
-
-
-def gather(flat: np.ndarray, bounds: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The stretches ``flat[bounds[i]:bounds[i + 1]]`` for each i in ``at``, joined."""
-    starts, sizes = bounds[at], bounds[at + 1] - bounds[at]
-    ends = np.cumsum(sizes)
-    if not len(at) or not ends[-1]:
-        return flat[:0]
-    return flat[np.arange(ends[-1]) + np.repeat(starts - (ends - sizes), sizes)]
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        texts = pc.fill_null(texts, "")
+        out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(texts)
+        # Between single spaces a word is what stands after its mark; runs of marks are cut with care.
+        runs = pc.match_substring_regex(texts, f"^ |  |{MARK}").to_numpy(zero_copy_only=False) | self.vocabulary.crossing
+        filled = pc.not_equal(texts, "").to_numpy(zero_copy_only=False)
+        plain, rest = np.flatnonzero(filled & ~runs), np.flatnonzero(filled & runs)
+        if len(plain):
+            codes, offsets, words = space_words(texts.take(pa.array(plain)))
+            self._fill(out, plain, codes, offsets, [MARK + w for w in words])
+        if len(rest):
+            known = Numbered()
+            split = [self.vocabulary.words(t) for t in texts.take(pa.array(rest)).to_pylist()]
+            codes = np.concatenate([np.fromiter(map(known.__getitem__, w), np.int64, len(w)) for w in split])
+            self._fill(out, rest, codes, np.r_[0, np.cumsum([len(w) for w in split])], known.new)
+        return out
+
+    def _fill(self, out: list, places: np.ndarray, codes: np.ndarray, offsets: np.ndarray, words: list[str]) -> None:
+        flat, bounds = self.vocabulary.encode_words(words)
+        ends = np.r_[0, np.cumsum(bounds[codes + 1] - bounds[codes])][offsets]
+        for k, ids in zip(places, np.split(gather(flat, bounds, codes), ends[1:-1])):
+            out[k] = ids
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
@@ -338,8 +334,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = per_process(f"encoder {path}", lambda: Encoder(path))
-        for batch in slices(batches, text):
-            ids = encoder.encode([t or "" for t in batch.column(text).to_pylist()])
+        for batch in slices(batches, text, SLICE):
+            ids = encoder.encode(batch.column(text))
             bounds = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             made = pa.ListArray.from_arrays(bounds, np.concatenate(ids) if ids else np.zeros(0, np.int32))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), made], [*kept, out])
@@ -364,9 +360,9 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = per_process(f"encoder {path}", lambda: Encoder(path))
         names = [str(i) for i in range(len(encoder.vocabulary.pieces))]
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             counts, hashes, decoded = [], [], []
-            for ids in encoder.encode([t or "" for t in batch.column("text").to_pylist()]):
+            for ids in encoder.encode(batch.column("text")):
                 listed = ids.tolist()
                 counts.append(len(listed))
                 hashes.append(hashlib.sha256(",".join(map(names.__getitem__, listed)).encode()).hexdigest())

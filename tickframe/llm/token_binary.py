@@ -21,27 +21,24 @@ executors and repeated tasks leave no half-written block, in any file store.
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import Numbered, per_process, slices
-from tickframe.llm.sentencepiece_bpe import gather
-from tickframe.session import new_path, stage
+from tickframe.llm.common import gather, per_process, slices, space_words
+from tickframe.session import new_path
 
 END_ID = 2
 BLOCK_IDS = 1 << 19
-KNOWN_WORDS = 500_000
-# Texts of these characters only are cut into words here: their classes are the same in every version of
-# Unicode. White space before a space may belong to one token with it, so such texts are not cut.
-UNSURE = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\xac\xae-\u024f]")
-SPLIT_SPACE = ("\t ", "\n ", "\r ")
-WORD = re.compile(" +[^ ]*|[^ ]+")
+SLICE = 32 << 20
+# Texts are cut into words here only if they hold nothing but these characters, whose classes are the same
+# in every version of Unicode, and no two white-space characters of which the second is a space.
+UNSURE = r"[^\t\n\r\x20-\x7e\x{a1}-\x{ac}\x{ae}-\x{24f}]|[\t\n\r ] "
 
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 OFFSETS = np.cumsum(LENGTHS, axis=1) - LENGTHS
@@ -85,9 +82,10 @@ class Tokens:
     """Ids of texts by the tokenizers library; byte-level vocabularies get equal words once.
 
     The pattern of such a vocabulary never lets a token hold a space after
-    another character, so plain texts are cut before spaces and only new words
-    go to the library. Texts with other characters or with a special token go
-    to it whole, and so do all texts where the vocabulary is of another kind.
+    another character, so plain texts are cut before spaces and the different
+    words go to the library, joined into one text that it cuts again at the
+    same places. Texts with other characters or with a special token go to it
+    whole, and so do all texts where the vocabulary is of another kind.
     """
 
     def __init__(self, path: str):
@@ -98,11 +96,10 @@ class Tokens:
         self.by_words = described.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in described \
             and self.tokenizer.normalizer is None
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.forget()
-
-    def forget(self) -> None:
-        self.known = Numbered()
-        self.flat, self.bounds = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        # Tokens of such a vocabulary are spelled with one character per byte.
+        vocabulary = self.tokenizer.get_vocab()
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.sizes[list(vocabulary.values())] = [len(t) for t in vocabulary]
 
     def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of the texts and the bounds of each."""
@@ -111,58 +108,92 @@ class Tokens:
         flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
         return flat, np.r_[0, np.cumsum(sizes)]
 
-    def plain(self, text: str) -> bool:
-        return self.by_words and not any(s in text for s in SPLIT_SPACE) and not any(s in text for s in self.specials) \
-            and UNSURE.search(text) is None
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > KNOWN_WORDS:
-            self.forget()
-        at: list[np.ndarray | None] = []
-        for text in texts:
-            words = WORD.findall(text) if self.plain(text) else None
-            at.append(None if words is None else np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)))
-        if self.known.new:
-            flat, bounds = self.whole(self.known.new)
-            self.bounds = np.r_[self.bounds, len(self.flat) + bounds[1:]]
-            self.flat = np.concatenate([self.flat, flat])
-            self.known.new = []
-        flat, bounds = self.whole([t for t, a in zip(texts, at) if a is None])
-        rest = iter(np.split(flat, bounds[1:-1]) if len(bounds) > 1 else [])
-        return [next(rest) if a is None else gather(self.flat, self.bounds, a) for a in at]
-
-
-def tokenize(docs: DataFrame, path: str, end_id: int | None = END_ID) -> DataFrame:
-    """doc_id and ids (little-endian unsigned 32-bit, binary) of every whole text; null texts are empty."""
+    def spaced(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of the words, each after a space, and the bounds of each.
+
+        They go to the library as one text, and are told apart by the bytes of its tokens.
+        """
+        # Empty words and words that end in white space would run into the next word's space.
+        odd = {w: k for k, w in enumerate(words) if not w or w[-1] in "\t\n\r"}
+        text = [w if w not in odd else "-" for w in words] if odd else words
+        sizes = np.fromiter((len(w.encode()) + 1 for w in text), np.int64, len(words))
+        flat, _ = self.whole(["".join(" " + w for w in text)])
+        token_ends, ends = np.cumsum(self.sizes[flat]), np.cumsum(sizes)
+        bounds = np.searchsorted(token_ends, ends) + 1
+        if odd or not np.array_equal(token_ends[bounds - 1], ends):
+            at = np.arange(len(words)) if not odd else np.array(list(odd.values()))
+            own, own_bounds = self.whole([" " + words[k] for k in at])
+            if len(at) == len(words):
+                return own, own_bounds
+            place = np.arange(len(words))
+            place[at] = len(words) + np.arange(len(at))
+            every = np.r_[0, bounds, own_bounds[1:] + len(flat)]
+            return gather(np.concatenate([flat, own]), every, place), np.r_[0, np.cumsum(every[place + 1] - every[place])]
+        return flat, np.r_[0, bounds]
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        texts = pc.fill_null(texts, "")
+        unsure = pc.match_substring_regex(texts, UNSURE)
+        for special in self.specials:
+            unsure = pc.or_(unsure, pc.match_substring(texts, special))
+        unsure = unsure.to_numpy(zero_copy_only=False) | (not self.by_words)
+        out: list[np.ndarray] = [None] * len(texts)
+        plain, rest = np.flatnonzero(~unsure), np.flatnonzero(unsure)
+        if len(rest):
+            flat, bounds = self.whole(texts.take(pa.array(rest)).to_pylist())
+            for k, ids in zip(rest, np.split(flat, bounds[1:-1])):
+                out[k] = ids
+        if len(plain):
+            codes, offsets, words = space_words(texts.take(pa.array(plain)))
+            flat, bounds = self.spaced(words)
+            # The first word of a text has no space before it.
+            first, place = np.unique(codes[offsets[:-1]], return_inverse=True)
+            own, own_bounds = self.whole([words[k] for k in first])
+            codes = codes.astype(np.int64)
+            codes[offsets[:-1]] = len(words) + place
+            flat, bounds = np.concatenate([flat, own]), np.r_[bounds, own_bounds[1:] + len(flat)]
+            ends = np.r_[0, np.cumsum(bounds[codes + 1] - bounds[codes])][offsets]
+            for k, ids in zip(plain, np.split(gather(flat, bounds, codes), ends[1:-1])):
+                out[k] = ids
+        return out
+
+
+def width_of(path: str, end_id: int | None = END_ID) -> str:
+    """Numpy type that holds all ids of the vocabulary."""
+    from tokenizers import Tokenizer
+    return "<u2" if max(Tokenizer.from_file(path).get_vocab_size() - 1, end_id or 0) < 1 << 16 else "<u4"
+
+
+def tokenize(docs: DataFrame, path: str, end_id: int | None = END_ID, width: str = "<u4") -> DataFrame:
+    """doc_id and ids (binary, of numpy type ``width``) of every whole text; null texts are empty."""
     tail = np.array([] if end_id is None else [end_id], np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = per_process(f"tokens {path}", lambda: Tokens(path))
-        for batch in slices(batches, "text"):
-            ids = tokens.encode([t or "" for t in batch.column("text").to_pylist()])
-            raw = [np.concatenate([x, tail]).astype("<u4").tobytes() for x in ids]
+        for batch in slices(batches, "text", SLICE):
+            ids = tokens.encode(batch.column("text"))
+            raw = [np.concatenate([x, tail]).astype(width).tobytes() for x in ids]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(raw, pa.binary())], ["doc_id", "ids"])
     return docs.select("doc_id", "text").mapInArrow(run, docs.select("doc_id").schema.add("ids", "binary"))
 
 
 # ---- writing and reading
 
-def frequencies(tokens: DataFrame) -> DataFrame:
+def frequencies(tokens: DataFrame, width: str = "<u4") -> DataFrame:
     """id and count over all rows of column ``ids``."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
-        for batch in batches:
-            for raw in batch.column("ids").to_pylist():
-                found = np.bincount(np.frombuffer(raw or b"", "<u4"), minlength=len(total))
-                found[:len(total)] += total
-                total = found
+        for batch in slices(batches, "ids", SLICE):
+            found = np.bincount(np.frombuffer(b"".join(batch.column("ids").drop_null().to_pylist()), width), minlength=len(total))
+            found[:len(total)] += total
+            total = found
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], ["id", "count"])
     return tokens.select("ids").mapInArrow(count, "id long, count long").groupBy("id").agg(F.sum("count").alias("count"))
 
 
-def write(tokens: DataFrame, path: str, block_ids: int = BLOCK_IDS) -> None:
-    """Writes (doc_id, ids) in ascending order of doc_id under ``path``.
+def write(tokens: DataFrame, path: str, block_ids: int = BLOCK_IDS, width: str = "<u4") -> None:
+    """Writes (doc_id, ids; binary of numpy type ``width``) in ascending order of doc_id under ``path``.
 
     The ids of the whole vocabulary, most frequent first, are the only thing
     gathered (its size bounds them). Documents are dealt by range, so shards
@@ -170,7 +201,7 @@ def write(tokens: DataFrame, path: str, block_ids: int = BLOCK_IDS) -> None:
     are ordered by their ids; a null id comes first.
     """
     spark = tokens.sparkSession
-    found = frequencies(tokens).withColumn("rank", F.row_number().over(
+    found = frequencies(tokens, width).withColumn("rank", F.row_number().over(
         Window.partitionBy(F.lit(0)).orderBy(F.desc("count"), "id")) - 1)
     found.select("rank", "id", "count").coalesce(1).write.parquet(f"{path}/ranks.parquet")
     ids = [r.id for r in spark.read.parquet(f"{path}/ranks.parquet").orderBy("rank").select("id").collect()]
@@ -178,21 +209,23 @@ def write(tokens: DataFrame, path: str, block_ids: int = BLOCK_IDS) -> None:
     rank_of[ids] = np.arange(len(ids), dtype=np.uint32)
     ranks = spark.sparkContext.broadcast(rank_of)
 
+    each = np.dtype(width).itemsize
+
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         shard, block = TaskContext.get().partitionId(), 0
         kept, size = [], 0
 
         def flush() -> pa.RecordBatch:
-            numbers = ranks.value[np.concatenate([np.frombuffer(raw, "<u4") for _, raw in kept])] if size else np.zeros(0, np.uint32)
+            numbers = ranks.value[np.concatenate([np.frombuffer(raw, width) for _, raw in kept])] if size else np.zeros(0, np.uint32)
             control, data = pack(numbers)
             row = {"shard": [shard], "block": [block], "doc_ids": [[d for d, _ in kept]],
-                   "counts": [[len(raw) // 4 for _, raw in kept]], "control": [control], "data": [data]}
+                   "counts": [[len(raw) // each for _, raw in kept]], "control": [control], "data": [data]}
             return pa.RecordBatch.from_pydict(row, schema)
         for batch in batches:
             for doc_id, raw in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
                 kept.append((doc_id, raw or b""))
-                size += len(raw or b"") // 4
+                size += len(raw or b"") // each
                 if size >= block_ids:
                     yield flush()
                     kept, size, block = [], 0, block + 1
@@ -243,7 +276,10 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     """
     spark = docs.sparkSession
     folder = new_path(spark, "token-blocks")
-    write(stage(tokenize(docs, path), "tokens"), folder)
+    width = width_of(path)
+    tokens = new_path(spark, "tokens")
+    tokenize(docs, path, width=width).write.option("compression", "zstd").parquet(tokens)
+    write(spark.read.parquet(tokens), folder, width=width)
     return read(spark, folder).select(
         "doc_id", F.col("start").cast("long").alias("start"), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"))
