@@ -1,0 +1,66 @@
+"""Preference pairs against SQL and by hand."""
+
+from tickframe.llm import chat_formatting as chat
+from tickframe.llm import registry
+from tools import compare
+
+from ..conftest import SMALL
+
+SCHEMA = "pair_id long, turn long, role string, text string"
+
+
+def test_query_equals_sql(spark):
+    duck = compare.connect(SMALL)
+    good, note = compare.compare(spark, duck, "op6_chat_formatting", SMALL, registry.op6_chat_formatting(spark, SMALL))
+    assert good, note
+
+
+def texts(df):
+    """pair -> part -> (text, what the masks cover)."""
+    out = {}
+    for r in sorted(df.collect(), key=lambda r: (r.pair_id, r.part, r.position)):
+        text, masks = out.setdefault(r.pair_id, {}).setdefault(r.part, ["", []])
+        assert r.start == len(text)
+        out[r.pair_id][r.part][0] += r.segment
+        if r.mask_from is not None:
+            masks.append((r.mask_from, r.mask_to))
+    return {p: {k: (t, [t[a:b] for a, b in m]) for k, (t, m) in parts.items()} for p, parts in out.items()}
+
+
+def render(*turns):
+    return "".join(f"<|{r}|>\n{t}<|end|>\n" for r, t in turns)
+
+
+def test_prefix_and_masks(spark):
+    chosen = [(1, 0, "user", "hi é🙂"), (1, 1, "assistant", "good"), (2, 0, "user", "same"), (3, 0, "user", "a"), (4, 5, None, None),
+              (4, 5, None, None), (None, 0, "user", "no pair")]
+    rejected = [(1, 0, "user", "hi é🙂"), (1, 1, "assistant", "bad"), (1, 2, "user", "why"), (1, 3, "assistant", "so"), (2, 0, "user", "same"),
+                (4, 5, None, None), (5, 0, "assistant", "alone")]
+    df = chat.preference_pairs(spark.createDataFrame(chosen, SCHEMA), spark.createDataFrame(rejected, SCHEMA))
+    assert texts(df) == {
+        1: {"prompt": (render(("user", "hi é🙂")), []),
+            "chosen": (render(("assistant", "good")), ["good<|end|>\n"]),
+            "rejected": (render(("assistant", "bad"), ("user", "why"), ("assistant", "so")), ["bad<|end|>\n", "so<|end|>\n"])},
+        2: {"prompt": (render(("user", "same")), [])},
+        3: {"chosen": (render(("user", "a")), [])},
+        4: {"prompt": (render(("", "")), []), "chosen": (render(("", "")), [])},
+        5: {"rejected": (render(("assistant", "alone")), ["alone<|end|>\n"])}}
+    assert {r.pair_id: r.n_prompt for r in df.collect()} == {1: 1, 2: 1, 3: 0, 4: 1, 5: 0}
+
+
+def test_awkward_conversations(spark):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "a1"), (1, 1, "assistant", "a1"), (2, 0, "user", "q2"), (2, None, "assistant", "a2"),
+            (3, 0, "user", None), (9, 0, "assistant", None), (None, 0, "user", "x")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS segment", "2 AS side")
+    got = texts(chat.preference_pairs(*chat.with_other_answers(table)))
+    assert got[1]["rejected"] == (render(("assistant", "a2")), ["a2<|end|>\n"])
+    assert got[1]["chosen"] == (render(("assistant", "a1"), ("assistant", "a1")), ["a1<|end|>\n"] * 2)
+    assert set(got) == {1, 2, 3, 9} and set(got[3]) == {"prompt"}
+    assert chat.preference_pairs(*chat.with_other_answers(table.limit(0))).count() == 0
+
+
+def test_one_long_conversation(spark):
+    turns = spark.range(20_000).selectExpr("id DIV 19000 AS pair_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "concat('t', id) AS text")
+    other = turns.selectExpr("pair_id", "turn", "role", "if(turn = 15000, 'x', text) AS text")
+    parts = {(r.pair_id, r.part): r["count"] for r in chat.preference_pairs(turns, other).groupBy("pair_id", "part").count().collect()}
+    assert parts == {(0, "prompt"): 15000, (0, "chosen"): 4000, (0, "rejected"): 4000, (1, "prompt"): 1000}

@@ -1,0 +1,70 @@
+"""Main text of pages."""
+
+import html
+import re
+
+import numpy as np
+import pytest
+
+from tickframe.llm import html_extraction, registry
+
+from ..conftest import SMALL
+
+PAGES = {
+    "": "",
+    "plain text only": "plain text only",
+    "<p>a</p><p>b": "a b",
+    "<p>1 < 2 and a<b": "1 < 2 and a",
+    "<article><p>unfinished <a href=\"x": "unfinished",
+    "<script>var a='</p>'": "",
+    "<div><!-- c --><p>q</p><!-- unfinished": "q",
+    "<title>only": "",
+    "<nav>menu</nav><div>Long main text here, long enough.</div><div class='sidebar'>x</div><p>more text of the story</p><footer>f</footer>":
+        "Long main text here, long enough. more text of the story",
+    "<body class='has-sidebar'><main><h1>T</h1><p>x &lt;y&gt;&nbsp; z</p><aside>no</aside><p>w</p>"
+    "<section id=comments><article class='comment'>c</article></section></main>": "T x <y> z w",
+    "<article><header>h</header><p>real</p></article><article><p>second longer one</p></article>": "second longer one",
+    "<article><p>one</p><form><p>mail</p><button>go</button></form><ul><li>two</li><li>th<b>re</b>e</li></ul></article>": "one two three",
+    "<div class='ad'>buy<article><p>kept all the same</p></article></div>": "kept all the same",
+    "<article><p>a</p>" + "<div class=ads>x</div>" * 9 + "<p>b</p></article>": "a b",
+    "<div role='navigation'>n</div><p>body text\n\t here</p>": "body text here",
+    "<article><p title='a > b'>quoted</p><br/>line<hr>end</article>": "quoted line end",
+    "<article><svg><text>no</text></svg><p>yes</p></article>": "yes",
+}
+
+
+@pytest.mark.parametrize("page", PAGES)
+def test_pages(page):
+    assert html_extraction.main_text(page) == PAGES[page]
+
+
+def test_long_and_deep_pages():
+    many = "<article>" + "<p>word word</p>" * 50_000 + "</article>"
+    assert html_extraction.main_text(many) == " ".join(["word word"] * 50_000)
+    assert html_extraction.main_text("<div>" * 5000 + "x" + "</div>" * 5000) == "x"
+    assert html_extraction.main_text("<a " * 20_000) == ""
+
+
+def test_surges_and_dives():
+    assert html_extraction.stretches(np.array([0, 0, 5, 9, 0, 0, 7, 0, 0, 0, 0, 3])) == [(2, 9), (11, 12)]
+    assert html_extraction.stretches(np.zeros(4)) == [] == html_extraction.stretches(np.zeros(0))
+
+
+def test_query_over_the_table(spark):
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet").collect()
+    got = {r.page_id: r for r in registry.op3_html_extraction(spark, SMALL).collect()}
+    assert len(got) == len(pages)
+    for page in pages:
+        article = re.search(r"<article>(.*?)(</article>|$)", page.html, re.S)[1]
+        blocks = re.sub(r"<[^>]*>", "", re.sub(r"</?(p|h1|br|li|ul)[^>]*>", "\0", article)).split("\0")
+        wanted = " ".join(b for b in (" ".join(html.unescape(x).split()) for x in blocks) if b)
+        row = got[page.page_id]
+        assert (row.text, row.n_chars, row.url) == (wanted, len(wanted), page.url)
+
+
+def test_awkward_rows(spark):
+    rows = [(1, "u", None, 5), (None, None, "<p>x</p>", 6), (1, "u", None, 5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text long")
+    got = html_extraction.extract(pages).collect()
+    assert sorted((r.page_id or 0, r.text, r.n_chars) for r in got) == [(0, "x", 1), (1, "", 0), (1, "", 0)]
+    assert html_extraction.extract(pages.limit(0)).count() == 0

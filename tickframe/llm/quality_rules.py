@@ -70,6 +70,8 @@ class Grams:
         out = np.zeros(len(self.byte_bounds) - 1)
         for k, (bucket, lo, hi) in enumerate(self.places()):
             total = np.r_[0.0, np.cumsum(weights[k][bucket], dtype=np.float64)]
+            # A text shorter than its n-gram may begin after the last place.
+            lo, hi = np.minimum(lo, len(bucket)), np.minimum(hi, len(bucket))
             out += (total[hi] - total[lo]) / np.maximum(hi - lo, 1)
         return out
 

@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from tickframe.llm.common import Numbered, gather, per_process, slices, space_words
 
@@ -339,7 +340,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
             bounds = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             made = pa.ListArray.from_arrays(bounds, np.concatenate(ids) if ids else np.zeros(0, np.int32))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), made], [*kept, out])
-    schema = docs.select(kept).schema.add(out, "array<int>")
+    schema = docs.select(kept).schema.add(out, T.ArrayType(T.IntegerType()))
     return docs.select(*kept).mapInArrow(run, schema)
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickframe.llm.common import fresh, slices
+from tickframe.llm.common import restore_names, set_names, slices
 from tickframe.llm.components import components
 from tickframe.session import stage
 
@@ -200,9 +200,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -
 
 def representatives(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
     """The document with the smallest id of each group, with the columns of ``docs``; one row each."""
-    fp, = fresh(docs, "_fp")
-    marked = stage(with_fingerprints(docs, shingle, fp), "marked")
-    groups = fingerprint_groups(marked, fp, bits).select(F.col("fp").alias("_g"), "root", "component_id")
-    kept = marked.join(groups, F.col(fp) == F.col("_g")).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
-        .withColumnRenamed("root", fresh(docs, "_root")[0])
-    return kept.dropDuplicates(["doc_id", fresh(docs, "_root")[0]]).select(*docs.columns)
+    marked = stage(with_fingerprints(set_names(docs, "doc_id", "text"), shingle), "marked")
+    groups = fingerprint_groups(marked, bits=bits)
+    kept = marked.join(groups, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).dropDuplicates(["doc_id", "root"])
+    return restore_names(kept, docs, "doc_id", "text")

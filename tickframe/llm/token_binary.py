@@ -35,7 +35,8 @@ from tickframe.session import new_path
 
 END_ID = 2
 BLOCK_IDS = 1 << 19
-SLICE = 32 << 20
+SLICE = 16 << 20
+JOINED_WORDS = 1 << 15
 # Texts are cut into words here only if they hold nothing but these characters, whose classes are the same
 # in every version of Unicode, and no two white-space characters of which the second is a space.
 UNSURE = r"[^\t\n\r\x20-\x7e\x{a1}-\x{ac}\x{ae}-\x{24f}]|[\t\n\r ] "
@@ -111,8 +112,12 @@ class Tokens:
     def spaced(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of the words, each after a space, and the bounds of each.
 
-        They go to the library as one text, and are told apart by the bytes of its tokens.
+        They go to the library as a few long texts, and are told apart by the bytes of its tokens.
         """
+        if len(words) > JOINED_WORDS:
+            parts = [self.spaced(words[k:k + JOINED_WORDS]) for k in range(0, len(words), JOINED_WORDS)]
+            shift = np.cumsum([0, *(len(f) for f, _ in parts)])
+            return np.concatenate([f for f, _ in parts]), np.r_[0, np.concatenate([b[1:] + k for (_, b), k in zip(parts, shift)])]
         # Empty words and words that end in white space would run into the next word's space.
         odd = {w: k for k, w in enumerate(words) if not w or w[-1] in "\t\n\r"}
         text = [w if w not in odd else "-" for w in words] if odd else words
