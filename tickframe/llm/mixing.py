@@ -137,8 +137,9 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, block: int = BLOCK_
         .join(sources.select("source", "source_size", "target"), F.col("_source").eqNullSafe(F.col("source"))) \
         .drop("_source")
     filled = draws(sources, block, slots, most, seed)
+    # Estimates follow the few rows that slots are made of, so say that this side is not small.
     times = filled.groupBy(F.col("source").alias("_source"), F.col("block").alias("_block")) \
-        .agg(F.count("*").alias("times"))
+        .agg(F.count("*").alias("times")).hint("merge")
     touched = rows.filter("size > 0").select(
         "doc_id", "_hash", "source", "size", "offset",
         F.explode(F.expr(f"sequence(offset div {block}, (offset + size - 1) div {block})")).alias("block"))

@@ -137,7 +137,7 @@ def links(fps: DataFrame, bits: int = BITS, chunk: int = CHUNK, pivots: int = PI
         places.append(F.struct(F.lit(k).cast("smallint").alias("combo"), key.alias("key")))
     keyed = fps.select("fp", F.explode(F.array(*places)).alias("_p")).select("fp", "_p.combo", "_p.key")
     shared = keyed.groupBy("combo", "key").agg(F.count("*").alias("_n")).filter("_n > 1") \
-        .select(F.col("combo").alias("_c"), F.col("key").alias("_k"), F.ceil(F.col("_n") / chunk).cast("int").alias("_chunks"))
+        .select(F.col("combo").alias("_c"), F.col("key").alias("_k"), F.ceil(F.col("_n") / chunk).cast("int").alias("_chunks")).hint("merge")
     members = keyed.join(shared, (F.col("combo") == F.col("_c")) & (F.col("key") == F.col("_k"))) \
         .withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("_chunks")).cast("int")) \
         .withColumn("_other", F.explode(F.expr("sequence(0, _chunks - 1)"))) \
