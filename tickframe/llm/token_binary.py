@@ -35,7 +35,7 @@ from tickframe.session import new_path
 
 END_ID = 2
 BLOCK_IDS = 1 << 19
-SLICE = 16 << 20
+SLICE = 8 << 20
 JOINED_WORDS = 1 << 15
 # Texts are cut into words here only if they hold nothing but these characters, whose classes are the same
 # in every version of Unicode, and no two white-space characters of which the second is a space.
