@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickframe.llm.common import fresh, per_process, restore_names, set_names, slices
+from tickframe.llm.common import fresh, restore_names, set_names, slices
 from tickframe.llm.words import IS_SYMBOL, Words, repeated_words, sums
 from tickframe.session import stage
 
@@ -66,7 +66,7 @@ def with_bins(docs: DataFrame, out: str, carry: bool) -> DataFrame:
     rest = [c for c in docs.columns if carry or c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = per_process("words", Words)
+        words = Words()
         for batch in slices(batches, "text", 1 << 20):
             bins = signal_bins([(t or "").encode() for t in batch.column("text").to_pylist()], words)
             made = pa.ListArray.from_arrays(np.arange(len(bins) + 1, dtype=np.int32) * bins.shape[1], bins.ravel())

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import per_process, restore_names, set_names, slices
+from tickframe.llm.common import restore_names, set_names, slices
 from tickframe.llm.words import IS_SPACE, IS_SYMBOL, Words, repeated_lines, repeated_words, sums
 from tickframe.session import stage
 
@@ -188,7 +188,7 @@ def judge(docs: DataFrame, model: np.ndarray | None, threshold: float = THRESHOL
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = per_process("words", Words)
+        words = Words()
         found = shared.value
         for batch in slices(batches, "text", SLICE):
             texts = [(t or "").encode() for t in batch.column("text").to_pylist()]

@@ -9,7 +9,7 @@ import xxhash
 
 from tickframe.llm.common import Numbered
 
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 200_000
 PACKED = 1 << 21
 SYMBOLS = b"#*$%&|<>"
 IS_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
