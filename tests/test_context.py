@@ -12,8 +12,8 @@ from .helpers import day, stocks
 
 @pytest.fixture
 def latest(spark):
-    rows = [(day(1), 1, 1, 61.005, "LEM", (0.0, 45.67, 100.0)), (day(1), 2, 2, 50.0, "LEM", (1.0, 30.0, 0.0)),
-            (day(1), 1, 3, 80.0, "SHE", (0.0, 20.0, None)), (day(0), 1, 4, 80.0, "SHE", (0.0, 20.0, 0.0))]
+    rows = [(day(1), 1, 1, 61.005, "LEM", (0.0, 45.67, 100.0), day(1)), (day(1), 2, 2, 50.0, "LEM", (1.0, 30.0, 0.0), day(1)),
+            (day(1), 1, 3, 80.0, "SHE", (0.0, 20.0, None), day(0)), (day(0), 1, 4, 80.0, "SHE", (0.0, 20.0, 0.0), day(0))]
     names = stocks(spark, {1: "AAAB", 2: "M&M", 3: "BAJAJ-AUTO", 4: "OLD"})
     return ranking.latest_recommendations(spark.createDataFrame(rows, RECOMMENDATIONS), names)
 

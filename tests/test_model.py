@@ -54,9 +54,23 @@ def test_training_is_repeatable(panel, trained):
 
 
 def test_counts_hold_every_row(panel):
-    for pieces in (1, 4):
-        counts = model.training_counts(panel, pieces=pieces)
-        assert counts.agg(F.sum("weight")).first()[0] == panel.count()
+    assert model.training_counts(panel).agg(F.sum("weight")).first()[0] == panel.count()
+    assert model.single_rows(panel).agg(F.sum("weight")).first()[0] == panel.count()
+
+
+def test_first_trees_are_the_shorter_model(spark, panel):
+    long, short = (model.train(panel, maxIter=n, maxDepth=2) for n in (6, 3))
+    a, b = model.score(panel, model.first_trees(spark, long, 3), "a"), model.score(panel, short, "b")
+    apart = a.join(b.select("symbol", "date", "b"), ["symbol", "date"]).agg(F.max(F.abs(F.col("a") - F.col("b")))).first()[0]
+    assert apart == 0
+
+
+def test_lookup_falls_back_to_the_trees(spark, trained):
+    rows = spark.createDataFrame([(0, 45.67, 100), (0, 45.678, 100), (0, 120.0, 0), (1, -3.5, 0), (None, 1.0, 0)],
+                                 "trend_signal int, momentum_score double, macd_score int")
+    looked = {r.momentum_score: r.lem_score for r in model.score_by_table(rows, trained).collect()}
+    by_trees = {r.momentum_score: r.lem_score for r in model.score(rows.dropna(), trained).collect()}
+    assert looked.pop(1.0) is None and looked == pytest.approx(by_trees)
 
 
 def test_weighted_counts_train_like_rows(panel):

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as driver
+from tickframe import registry
 from tools import compare
 
 from .conftest import SMALL
@@ -22,7 +23,7 @@ UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPand
 FROM_DRIVER = {"lem_cv", "feature_importance", "seed_stocks"}
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_query(spark, duck, name):
     df = driver.queries()[name](spark, SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()

@@ -138,14 +138,15 @@ def test_stale_symbol_is_ranked_by_its_own_date(spark):
                                   "macd_value double, macd_signal double")
     names = stocks(spark, {1: "A", 2: "B"})
     top = ranking.recommend(ranking.latest_scores(df, names), {"SHE": "she_score"}).orderBy("rank").collect()
-    assert [(r.stock_id, r.date) for r in top] == [(1, day(1)), (2, day(6))]
+    # One ranking date, the symbols' own dates beside it.
+    assert [(r.stock_id, r.date, r.data_date) for r in top] == [(1, day(6), day(1)), (2, day(6), day(6))]
     only = ranking.latest_scores(df, names, as_of=day(6)).collect()
     assert [r.stock_id for r in only] == [2]
 
 
 def test_lookup_and_response(spark):
-    rows = [(day(0), 1, 1, 60.0, "SHE", (0.0, 40.0, 100.0)), (day(1), 1, 2, 70.0, "SHE", (1.0, 30.0, 0.0)),
-            (day(1), 2, 1, 65.0, "SHE", (0.0, 20.0, 0.0)), (day(1), 1, 1, 55.0, "LEM", (0.0, 20.0, 0.0))]
+    rows = [(day(0), 1, 1, 60.0, "SHE", (0.0, 40.0, 100.0), day(0)), (day(1), 1, 2, 70.0, "SHE", (1.0, 30.0, 0.0), day(1)),
+            (day(1), 2, 1, 65.0, "SHE", (0.0, 20.0, 0.0), day(1)), (day(1), 1, 1, 55.0, "LEM", (0.0, 20.0, 0.0), day(0))]
     from tickframe.schemas import RECOMMENDATIONS
     recs, names = spark.createDataFrame(rows, RECOMMENDATIONS), stocks(spark, {1: "M&M", 2: "TCS"})
     found = ranking.score_lookup(recs, names, "m&m", day(0)).collect()

@@ -52,9 +52,35 @@ def test_ema_and_macd_against_pandas(spark, n):
     np.testing.assert_allclose(got["macd_signal"], smooth(line, 9), atol=1e-9)
 
 
-def test_ema_refuses_spans_that_cannot_share_blocks(spark):
-    with pytest.raises(ValueError):
-        series.ema(closes(spark, {1: [1, 2]}), "close_price", {"a": 2, "b": 500})
+def test_spans_far_apart(spark):
+    prices = [1000 + (i * 37) % 91 for i in range(900)]
+    df = series.macd(series.ema(closes(spark, {1: prices}), "close_price", {"a": 2, "b": 5, "c": 500}), "close_price", 3, 400, 9)
+    got, p = df.orderBy("date").toPandas(), pd.Series(prices)
+    for name, span in (("a", 2), ("b", 5), ("c", 500)):
+        np.testing.assert_allclose(got[name], p.ewm(span=span, adjust=False).mean(), rtol=1e-11)
+    line = p.ewm(span=3, adjust=False).mean() - p.ewm(span=400, adjust=False).mean()
+    np.testing.assert_allclose(got["macd_value"], line, atol=1e-8)
+    np.testing.assert_allclose(got["macd_signal"], line.ewm(span=9, adjust=False).mean(), atol=1e-8)
+
+
+def test_nothing_of_a_series_is_left_out_of_its_mean(spark):
+    values = [1e200] + [0.0] * 2000
+    df = spark.createDataFrame([(1, day(i), v) for i, v in enumerate(values)], "stock_id int, date date, v double")
+    got = column(series.ema(df, "v", {"e": 9}), "e")
+    wanted = pd.Series(values).ewm(span=9, adjust=False).mean()
+    np.testing.assert_allclose(got, wanted, rtol=1e-9)
+    assert got[-1] > 0
+
+
+def test_means_keep_every_decimal_place(spark):
+    df = spark.createDataFrame([(1, day(i), v) for i, v in enumerate(["1.0801", "1.0808", "1.0815"])], "stock_id int, date date, v string")
+    as_decimal = df.withColumn("v", df.v.cast("decimal(10,4)"))
+    assert column(series.sma(as_decimal, "v", {"m": 3}), "m")[-1] == 1.0808
+    assert column(series.sma(df.withColumn("v", df.v.cast("double")), "v", {"m": 3}), "m")[-1] == pytest.approx(1.0808, rel=1e-15)
+    wide = df.withColumn("v", df.v.cast("decimal(30,10)"))
+    assert column(series.sma(wide, "v", {"m": 3}), "m")[-1] == pytest.approx(1.0808, rel=1e-15)
+    bad = spark.createDataFrame([(1, day(i), v) for i, v in enumerate([1.0, float("nan"), 3.0, 5.0])], "stock_id int, date date, v double")
+    assert column(series.sma(bad, "v", {"m": 2}), "m") == [None, None, None, 4.0]
 
 
 def test_ema_of_a_long_span(spark):

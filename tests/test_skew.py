@@ -69,7 +69,7 @@ def test_one_model_for_all_rows(spark):
 def test_a_word_that_most_messages_name(spark):
     said = spark.range(3_000).select(F.col("id").alias("conv_id"), F.lit(0).alias("turn"),
                                      F.when(F.col("id") % 3 < 2, "AAAB up?").otherwise("hello").alias("message"))
-    recs = spark.createDataFrame([(day(0), 1, 1, 9.0, "LEM", (0.0, 1.0, 2.0))], S.RECOMMENDATIONS)
+    recs = spark.createDataFrame([(day(0), 1, 1, 9.0, "LEM", (0.0, 1.0, 2.0), day(0))], S.RECOMMENDATIONS)
     latest = ranking.latest_recommendations(recs, stocks(spark, {1: "AAAB"}))
     out = context.contexts(said, latest)
     assert out.count() == 3_000 and out.filter(F.col("context").contains("Detailed Scores for AAAB")).count() == 2_000

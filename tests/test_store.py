@@ -1,13 +1,18 @@
 """Keyed writes, landing files, daily jobs and streaming."""
 
 import datetime as dt
+import decimal
+import random
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickframe import schemas as S
 from tickframe.operators import model, quality, ranking, store
 from tickframe.plans import daily
 from tickframe.plans import features as plans
+from tickframe.plans import incremental
 from tickframe.session import stage
 from tickframe.sources import landing, tables
 from tickframe.sources import testdata as data
@@ -190,12 +195,11 @@ def test_daily_jobs(spark, root, tmp_path):
     stored = tables.scan(spark, db, "features")
     last = stored.agg(F.max("date")).first()[0]
     daily.rank(spark, db, as_of=last)
-    present = stored.filter(F.col("date") == last).count()
-    assert daily.latest(spark, db).count() == 2 * min(5, present)
+    assert daily.latest(spark, db).count() == 10
     old = stored.filter(F.col("date") < "2000-06-01").agg(F.max("date")).first()[0]
     daily.rank(spark, db, as_of=old)
     picked = tables.scan(spark, db, "recommendations").filter((F.col("date") == old) & (F.col("model_type") == "SHE"))
-    whole = ranking.latest_scores(stored.filter(F.col("date") <= old), tables.scan(spark, db, "stocks"), as_of=old)
+    whole = ranking.latest_scores(stored.filter(F.col("date") <= old), tables.scan(spark, db, "stocks"))
     assert rows(picked, "stock_id", "score") == rows(ranking.recommend(whole, {"SHE": "she_score"}), "stock_id", "score")
     one = tables.series_of(tables.scan(spark, db, "bars"), 1).collect()
     assert [r.date for r in one] == sorted(r.date for r in one) and len(one) > 400
@@ -261,3 +265,103 @@ def test_a_key_that_storage_cannot_hold_does_not_stop_the_others(spark):
     rows = [(k, day(i), p + i % 7) for k, p in ((1, 100.0), (2, 1e9), (3, 1e15), (4, 1e300), (5, float('nan'))) for i in range(230)]
     df = spark.createDataFrame(rows, "stock_id int, date date, close_price double")
     assert {r.stock_id for r in plans.features(df).collect()} == {1}
+
+
+def vendor(spark, rows):
+    return spark.createDataFrame(rows, landing.vendor_schema(text=True))
+
+
+def test_ingest_reads_once_and_loses_no_row(spark, tmp_path):
+    db = str(tmp_path / "db")
+    stocks(spark, {1: "AAA", 2: "BBB"}).write.parquet(f"{db}/stocks")
+    tables.bootstrap(spark, db)
+    good = ("1.5", "2", "1", "1.75", "1.75", "10")
+    landed = vendor(spark, [("AAA.NS", "2001-01-02", *good), ("AAA.NS", "notadate", *good), ("ZZZ.NS", "2001-01-02", *good),
+                            ("BBB.NS", "2001-01-02", "x", *good[1:]), ("BBB.NS", "2001-01-03", *good[:5], "0"), (None, None, *good)])
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(ticker):
+        read.add(1)
+        return True
+    counted = landed.repartition(3).filter(F.udf(seen, "boolean")("Ticker"))
+    for run in (1, 2):
+        daily.ingest(spark, db, counted)
+        assert read.value == 6 * run
+        assert [(r.stock_id, r.date) for r in tables.scan(spark, db, "bars").collect()] == [(1, dt.date(2001, 1, 2))]
+        reasons = sorted((r.ticker or "", r.reason) for r in spark.read.parquet(f"{db}/rejects").collect())
+        assert reasons == [("", "missing stock_id"), ("AAA.NS", "missing date"), ("BBB.NS", "missing open_price"),
+                           ("BBB.NS", "no volume"), ("ZZZ.NS", "unknown ticker")]
+
+
+def test_keyed_writes_refuse_null_keys(spark, tmp_path):
+    bad = spark.createDataFrame([(1, None, 1.0)], "stock_id int, date date, v double")
+    with pytest.raises(Exception, match="null date in a keyed write"):
+        store.absent_rows(bad.limit(0), bad, ["stock_id", "date"]).collect()
+    schema = T.StructType([T.StructField(n, t) for n, t in (("stock_id", T.IntegerType()), ("date", T.DateType()), ("v", T.DoubleType()))])
+    with pytest.raises(Exception, match="null"):
+        store.merge_rows(bad, str(tmp_path / "t"), schema, ["stock_id", "date"])
+
+
+def test_symbols_of_very_many_stocks_differ(spark):
+    numbers = spark.range(1, 12_001).select(data.letters(F.col("id")).alias("symbol"))
+    assert numbers.distinct().count() == 12_000
+
+
+def test_a_later_ranking_keeps_earlier_days(spark, tmp_path):
+    db = str(tmp_path / "db")
+    names = {k: f"S{k}" for k in range(1, 8)}
+    stocks(spark, names).write.parquet(f"{db}/stocks")
+    tables.bootstrap(spark, db)
+    def features_on(day_, keys):
+        made = [(k, day_, 1.0, 2.0, 10.0 * k, 0.0, 1.0) for k in keys]
+        df = spark.createDataFrame(made, "stock_id int, date date, sma_50 double, sma_200 double, rsi_14 double, macd_value double, macd_signal double")
+        return df.select(*(F.col(f.name).cast(f.dataType) for f in S.FEATURES.fields))
+    store.merge_rows(features_on(day(10), names), f"{db}/features", S.FEATURES, S.SERIES_KEY)
+    daily.rank(spark, db, as_of=day(10))
+    store.merge_rows(features_on(day(11), list(names)[1:]), f"{db}/features", S.FEATURES, S.SERIES_KEY)
+    daily.rank(spark, db)
+    counts = {r.date: r["count"] for r in tables.scan(spark, db, "recommendations").groupBy("date").count().collect()}
+    assert counts == {day(10): 10, day(11): 10}
+    assert {r.data_date for r in daily.latest(spark, db).collect()} == {day(10), day(11)}
+
+
+def test_features_from_state_read_only_changed_months(spark, tmp_path):
+    db = str(tmp_path / "db")
+    pick = random.Random(8)
+    def bars_of(keys, days):
+        made = [(k, day(i), *[decimal.Decimal(f"{pick.uniform(900, 1100):.2f}")] * 5, 5) for k in keys for i in days]
+        return spark.createDataFrame(made, S.BARS)
+    def arrive(rows_):
+        store.append_absent(rows_, f"{db}/bars", S.BARS, S.SERIES_KEY, arrivals=f"{db}/arrivals")
+        daily.build_features(spark, db)
+    def same():
+        whole = plans.features(store.open_table(spark, f"{db}/bars", S.BARS))
+        got = store.open_table(spark, f"{db}/features", S.FEATURES).select(*whole.columns)
+        assert got.count() > 0 and got.exceptAll(whole).count() == 0 == whole.exceptAll(got).count()
+    arrive(bars_of([1, 2], range(700)))
+    same()
+    # Some new days, a gap, a new key with a long history, and a key that is still short.
+    arrive(bars_of([1], range(700, 705)).unionByName(bars_of([3], range(0, 690))).unionByName(bars_of([4], range(690, 700))))
+    same()
+    arrive(bars_of([1, 2, 3, 4], range(720, 740)))
+    same()
+    # A late bar, and a run without news.
+    arrive(bars_of([2], [710]).unionByName(bars_of([1], range(740, 742))))
+    same()
+    before = incremental._versions(spark, db)
+    daily.build_features(spark, db)
+    assert incremental._versions(spark, db) == before
+    state = incremental.stored_state(spark, db)
+    assert max(len(r.closes) for r in state.collect()) == incremental.HELD
+
+
+def test_vendor_files_through_the_stream(spark, tmp_path):
+    table, landed, checkpoint, bad = (str(tmp_path / n) for n in ("t", "landing", "c", "r"))
+    names = stocks(spark, {1: "AAA"})
+    day_one = spark.createDataFrame([("AAA.NS", dt.date(2001, 1, 2), 1.0, 1.0, 1.0, 1.0, 1.0, 5.0), ("QQQ.NS", dt.date(2001, 1, 2), 1.0, 1.0, 1.0, 1.0, 1.0, 5.0)],
+                                    landing.vendor_schema(text=False))
+    for _ in range(2):
+        day_one.write.mode("append").parquet(landed)
+        ingest.ingest_vendor_files(spark, landed, table, checkpoint, names, rejects=bad)
+    assert [(r.stock_id, r.date) for r in store.open_table(spark, table, S.BARS).collect()] == [(1, dt.date(2001, 1, 2))]
+    assert {r.reason for r in spark.read.parquet(bad).collect()} == {"unknown ticker"}

@@ -29,13 +29,13 @@ def drawdown_curve(returns: DataFrame, strategies: Sequence[str]) -> DataFrame:
     return wide(fallen.withColumn("pct", F.col("drawdown") * 100), strategies, "pct").orderBy("date")
 
 
-def chart_json(returns: DataFrame, fields: Mapping[str, str], decimals: int = 6) -> DataFrame:
-    """One JSON text: ``dates`` and one array per field, all in date order.
+def chart_json(returns: DataFrame, fields: Mapping[str, str]) -> DataFrame:
+    """One JSON text: ``dates`` and one array per field, all in date order, doubles in full.
 
     ``fields`` names the output arrays. The row holds one entry per calendar day.
     """
     days = wide(returns.filter(F.col("strategy").isin(list(fields.values()))), list(fields.values()))
-    row = F.struct("date", *(F.col(s).cast(f"decimal(18,{decimals})").alias(f) for f, s in fields.items()))
+    row = F.struct("date", *(F.col(s).cast("double").alias(f) for f, s in fields.items()))
     one = days.groupBy().agg(F.array_sort(F.collect_list(row)).alias("rows"))
     record = F.struct(
         F.transform("rows", lambda r: F.date_format(r["date"], "yyyy-MM-dd")).alias("dates"),
@@ -43,6 +43,14 @@ def chart_json(returns: DataFrame, fields: Mapping[str, str], decimals: int = 6)
     return one.select(F.to_json(record, {"ignoreNullFields": "false"}).alias("json"))
 
 
+def read_chart(chart: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """The rows of a chart's JSON text: date and one double per field."""
+    kind = "dates array<string>, " + ", ".join(f"{f} array<double>" for f in fields)
+    parsed = chart.select(F.from_json("json", kind).alias("j")).select("j.*")
+    each = parsed.select(F.inline(F.arrays_zip("dates", *fields)))
+    return each.select(F.to_date("dates").alias("date"), *fields)
+
+
 def write_chart(returns: DataFrame, fields: Mapping[str, str], path: str) -> None:
     """The chart data as a text file of one JSON line."""
     chart_json(returns, fields).write.mode("overwrite").text(path)

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -58,23 +58,20 @@ def time_folds(panel: DataFrame, splits: int = SPLITS) -> DataFrame:
     return panel.join(fold_days(panel.groupBy("date").agg(F.count("*").alias("n")), splits), "date")
 
 
-def training_counts(panel: DataFrame, by: Sequence[str] = (), pieces: int = 1) -> DataFrame:
-    """Distinct signal combinations per label, weighted by their row counts.
+def training_counts(panel: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct signal combinations per label, weighted by their row counts."""
+    return panel.groupBy(*by, *SIGNALS, LABEL).agg(F.count("*").cast("double").alias("weight"))
 
-    With a subsampling rate below 1, trees draw weighted rows; ``pieces`` splits
-    each combination into that many, so that frequent ones are drawn in parts.
-    """
-    keys = [*by, *SIGNALS, LABEL]
-    if pieces > 1:
-        panel = panel.withColumn("piece", F.pmod(F.hash("symbol", "date"), F.lit(pieces)))
-        keys.append("piece")
-    return panel.groupBy(*keys).agg(F.count("*").cast("double").alias("weight"))
+
+def single_rows(panel: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The rows themselves with weight 1, for trees that subsample: they draw rows, so none may stand for others."""
+    return panel.select(*by, *SIGNALS, LABEL, F.lit(1.0).alias("weight"))
 
 
-def fold_counts(panel: DataFrame, splits: int = SPLITS, pieces: int = 1) -> DataFrame:
+def fold_counts(panel: DataFrame, splits: int = SPLITS) -> DataFrame:
     """Training counts per fold. Rows become counts per date before they are
     joined with the folds, so only combinations move, not rows."""
-    daily = stage(training_counts(panel, ["date"], pieces), "daily-counts")
+    daily = stage(training_counts(panel, ["date"]), "daily-counts")
     folds = fold_days(daily.groupBy("date").agg(F.sum("weight").alias("n")), splits)
     keys = ["fold", *(c for c in daily.columns if c not in ("date", "weight"))]
     return daily.join(folds, "date").groupBy(*keys).agg(F.sum("weight").alias("weight"))
@@ -98,39 +95,65 @@ def f1(model: PipelineModel, counts: DataFrame) -> float:
     return scorer.evaluate(model.transform(counts))
 
 
+def first_trees(spark: SparkSession, model: PipelineModel, n: int) -> PipelineModel:
+    """The model as it was after its first ``n`` trees; boosting never changes earlier ones."""
+    gateway, gbt = spark.sparkContext._gateway, model.stages[-1]._java_obj
+    trees = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(gateway.jvm.double, n)
+    for k in range(n):
+        trees[k], weights[k] = gbt.trees()[k], gbt.treeWeights()[k]
+    short = gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(gbt.uid(), trees, weights)
+    short.setFeaturesCol(gbt.getFeaturesCol())
+    return PipelineModel([*model.stages[:-1], GBTClassificationModel(short)])
+
+
 def grid_search(panel: DataFrame, grid: Mapping[str, Sequence] = GRID, splits: int = SPLITS,
-                parallelism: int = 4, pieces: int = 16) -> tuple[DataFrame, dict]:
+                parallelism: int = 4) -> tuple[DataFrame, dict]:
     """Expanding-window search: fold k is scored by a model of the folds before it.
 
     Returns a table of parameters with their mean F1, and the best parameters.
-    The driver holds one number per fit.
+    Settings that differ in the number of trees share one fit per fold: the
+    longest is fitted and also scored after its first trees. The driver holds
+    one number per setting and fold.
     """
     spark = panel.sparkSession
-    counts = fold_counts(panel, splits, pieces).persist()
+    counts = stage(fold_counts(panel, splits), "fold-counts").coalesce(spark.sparkContext.defaultParallelism).persist()
     names = list(grid)
-    settings = [dict(zip(names, values)) for values in itertools.product(*grid.values())]
+    sampled = any(r < 1 for r in grid.get("subsamplingRate", []))
+    rows = stage(single_rows(time_folds(panel, splits), ["fold"]), "fold-rows") if sampled else None
+    rest = {k: v for k, v in grid.items() if k != "maxIter"}
+    sizes = sorted(grid.get("maxIter", [GBTClassifier().getMaxIter()]))
 
-    def score(job: tuple[dict, int]) -> float:
+    def score(job: tuple[dict, int]) -> list[float]:
         params, fold = job
-        model = fit(counts.filter(F.col("fold") < fold), **params)
-        return f1(model, counts.filter(F.col("fold") == fold))
+        train_rows = rows if params.get("subsamplingRate", 1.0) < 1 else counts
+        model = fit(train_rows.filter(F.col("fold") < fold), maxIter=sizes[-1], **params)
+        held_out = counts.filter(F.col("fold") == fold)
+        return [f1(first_trees(spark, model, n) if n < sizes[-1] else model, held_out) for n in sizes]
 
-    jobs = [(s, k) for s in settings for k in range(1, splits + 1)]
+    shared = [dict(zip(rest, values)) for values in itertools.product(*rest.values())]
+    jobs = [(s, k) for s in shared for k in range(1, splits + 1)]
     try:
         with ThreadPoolExecutor(parallelism) as pool:
             results = list(pool.map(score, jobs))
     finally:
         counts.unpersist()
-    means = [sum(results[i * splits:(i + 1) * splits]) / splits for i in range(len(settings))]
-    best = settings[max(range(len(settings)), key=lambda i: means[i])]
-    rows = [(*s.values(), mean) for s, mean in zip(settings, means)]
-    return spark.createDataFrame(rows, [*names, "mean_f1"]), best
+    means = {}
+    for i, setting in enumerate(shared):
+        folds = results[i * splits:(i + 1) * splits]
+        for j, n in enumerate(sizes):
+            means[tuple({**setting, "maxIter": n}[k] for k in names)] = sum(f[j] for f in folds) / splits
+    settings = [dict(zip(names, values)) for values in itertools.product(*grid.values())]
+    table = [(*s.values(), means[tuple(s.values())]) for s in settings]
+    best = settings[max(range(len(settings)), key=lambda i: table[i][-1])]
+    return spark.createDataFrame(table, [*names, "mean_f1"]), best
 
 
 def train(panel: DataFrame, **params) -> PipelineModel:
     """One model of all rows of ``panel``; cut it to the training period first."""
-    pieces = 16 if params.get("subsamplingRate", 1.0) < 1 else 1
-    counts = training_counts(panel, pieces=pieces).persist()
+    if params.get("subsamplingRate", 1.0) < 1:
+        return fit(stage(single_rows(panel), "training-rows"), **params)
+    counts = training_counts(panel).persist()
     try:
         return fit(counts, **params)
     finally:
@@ -165,18 +188,24 @@ def _momentum_cents(column: str = "momentum_score"):
 
 
 def score_by_table(rows: DataFrame, model: PipelineModel | None, out: str = "lem_score") -> DataFrame:
-    """``score`` for momentum of two decimals, by looking up ``score_table``.
+    """``score`` by looking up ``score_table``; rows that the table does not hold go through the trees.
 
-    The table's size does not depend on the data, so it may be broadcast; rows
-    then pass a hash lookup rather than every tree.
+    The table's size does not depend on the data, so it may be broadcast. Whether
+    a row is in it is decided from the row alone, before the lookup.
     """
     if model is None:
         return score(rows, model, out)
+    momentum = F.col("momentum_score").cast("double")
+    listed = F.coalesce(momentum.between(0, 100) & (momentum == F.round(momentum, 2))
+                        & F.col("trend_signal").isin(-1, 0, 1) & F.col("macd_score").isin(0, 100), F.lit(False))
     looked_up = score_table(rows.sparkSession, model, out).select(
         F.col("trend_signal").alias("_t"), _momentum_cents().alias("_m"), F.col("macd_score").alias("_d"), out)
     match = ((F.col("trend_signal") == F.col("_t")) & (_momentum_cents() == F.col("_m"))
              & (F.col("macd_score") == F.col("_d")))
-    return rows.join(F.broadcast(looked_up), match, "left").drop("_t", "_m", "_d")
+    found = rows.filter(listed).join(F.broadcast(looked_up), match).drop("_t", "_m", "_d")
+    others = rows.filter(~listed & F.col("trend_signal").isNotNull() & F.col("momentum_score").isNotNull() & F.col("macd_score").isNotNull())
+    unknown = rows.filter(F.col("trend_signal").isNull() | F.col("momentum_score").isNull() | F.col("macd_score").isNull())
+    return found.unionByName(score(others, model, out)).unionByName(unknown.withColumn(out, F.lit(None).cast("double")))
 
 
 def importance(spark: SparkSession, model: PipelineModel, labels: Mapping[str, str] | None = None) -> DataFrame:

@@ -8,22 +8,30 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.schemas import BAR_FIELDS, MIN_HISTORY
+from tickframe.schemas import BAR_FIELDS, MIN_HISTORY, SERIES_KEY
 
+REQUIRED = [*SERIES_KEY, *BAR_FIELDS]
 
-def reject_reason(fields: Sequence[str] = BAR_FIELDS) -> Column:
-    """Why a bar is not usable, or null. Missing fields are named first."""
+
+def reject_reason(fields: Sequence[str] = REQUIRED) -> Column:
+    """Why a bar is not usable, or null. Missing fields are named first, keys before the others."""
     missing = reduce(lambda a, c: a.when(F.col(c).isNull(), f"missing {c}"), fields[1:],
                      F.when(F.col(fields[0]).isNull(), f"missing {fields[0]}"))
     return missing.when(F.col("volume") <= 0, "no volume")
 
 
-def clean_bars(raw: DataFrame, fields: Sequence[str] = BAR_FIELDS) -> DataFrame:
-    """Complete bars that were traded; the adjusted price may be missing."""
+def clean_bars(raw: DataFrame, fields: Sequence[str] = REQUIRED) -> DataFrame:
+    """Complete bars that were traded, keys included; the adjusted price may be missing."""
     return raw.dropna(subset=list(fields)).filter(F.col("volume") > 0)
 
 
-def rejects(raw: DataFrame, fields: Sequence[str] = BAR_FIELDS) -> DataFrame:
+def rejects(raw: DataFrame, fields: Sequence[str] = REQUIRED) -> DataFrame:
+    """The rows that ``clean_bars`` drops, with the reason. A row with a ticker
+    but no key is of a ticker that no stock has."""
+    if "ticker" in raw.columns:
+        unknown = F.col("stock_id").isNull() & F.col("ticker").isNotNull()
+        reason = F.when(unknown, "unknown ticker").otherwise(reject_reason(fields))
+        return raw.withColumn("reason", reason).filter(F.col("reason").isNotNull())
     return raw.withColumn("reason", reject_reason(fields)).filter(F.col("reason").isNotNull())
 
 

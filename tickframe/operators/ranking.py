@@ -43,16 +43,18 @@ def latest_scores(feature_rows: DataFrame, stocks: DataFrame, *, as_of=None) ->
     return scores.she_score(last).join(stocks.select("stock_id", "symbol"), "stock_id")
 
 
-def recommend(scored: DataFrame, models: Mapping[str, str], n: int = S.PORTFOLIO_SIZE) -> DataFrame:
-    """The top ``n`` of each model as recommendation rows.
+def recommend(scored: DataFrame, models: Mapping[str, str], n: int = S.PORTFOLIO_SIZE, *, as_of=None) -> DataFrame:
+    """The top ``n`` of each model as recommendation rows of one ranking date.
 
-    All models are ranked in one pass over an unpivoted table.
+    That date is ``as_of`` or the newest among the rows; the symbol's own date
+    stands beside it. All models are ranked in one pass over an unpivoted table.
     """
+    day = F.lit(as_of).cast("date") if as_of is not None else scored.agg(F.max("date")).scalar()
     ids = ["date", "stock_id", "symbol", "algorithm_scores"]
     rows = scored.withColumn("algorithm_scores", scores.algorithm_scores())
     ranked = top_n(by_score(rows, models, ids, "model_type"), n, ["model_type"], "score")
-    return ranked.select("date", F.col("rank").cast("int").alias("rank"), "stock_id", "score",
-                         "model_type", "algorithm_scores")
+    return ranked.select(day.alias("date"), F.col("rank").cast("int").alias("rank"), "stock_id", "score",
+                         "model_type", "algorithm_scores", F.col("date").alias("data_date"))
 
 
 def newest(recommendations: DataFrame) -> DataFrame:
@@ -63,7 +65,7 @@ def newest(recommendations: DataFrame) -> DataFrame:
 
 def latest_recommendations(recommendations: DataFrame, stocks: DataFrame) -> DataFrame:
     return (newest(recommendations).join(stocks.select("stock_id", "symbol", "company_name"), "stock_id")
-            .select("date", "rank", "symbol", "company_name", "score", "algorithm_scores", "model_type"))
+            .select("date", "rank", "symbol", "company_name", "score", "algorithm_scores", "model_type", "data_date"))
 
 
 def recommendation_response(latest: DataFrame, models: Sequence[str] = ("SHE", "LEM")) -> DataFrame:

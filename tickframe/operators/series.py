@@ -25,8 +25,7 @@ from pyspark.sql import types as T
 KEY = ("stock_id",)
 ORDER = "date"
 
-# A block is long enough that the weight of anything before the block preceding
-# it is below 2**-EMA_BITS, past double precision.
+# Weights fall to 2**-EMA_BITS, past double precision, over a block of an exponential mean.
 EMA_BITS = 60
 
 # Rows one task takes of a key whose order column sets no bound.
@@ -41,13 +40,35 @@ def running(window: WindowSpec) -> WindowSpec:
     return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def fixed_point(value: str | Column, scale: int) -> Column:
-    """The value in units of 10**-scale, as a bigint; null if it is no such number.
+class Unit:
+    """How the values of a column are summed without loss.
 
-    Twelve digits hold every stored price, and sums of nine million of them.
+    Decimals of up to twelve digits become integers in units of their last
+    place (bigint sums hold nine million of the largest), longer decimals stay
+    decimals, integers integers; doubles are summed as doubles, and NaN and
+    infinite ones count as missing.
     """
-    value = F.col(value) if isinstance(value, str) else value
-    return (value.try_cast(f"decimal(12,{scale})") * (10 ** scale)).cast("bigint")
+
+    def __init__(self, kind: T.DataType):
+        self.kind = kind
+        small = isinstance(kind, T.DecimalType) and kind.precision <= 12
+        self.places = kind.scale if small else 0
+        self.small = small
+
+    @classmethod
+    def of(cls, df: DataFrame, value: str) -> Unit:
+        return cls(df.schema[value].dataType)
+
+    def __call__(self, value: str | Column) -> Column:
+        value = F.col(value) if isinstance(value, str) else value
+        if self.small:
+            return (value * 10 ** self.places).cast("bigint")
+        if isinstance(self.kind, T.DecimalType):
+            return value.cast(T.DecimalType(38, self.kind.scale))
+        if isinstance(self.kind, T.IntegralType):
+            return value.cast("bigint")
+        value = value.cast("double")
+        return F.when(F.abs(value) < float("inf"), value)
 
 
 def tail(total: str, n: int, window: WindowSpec) -> Column:
@@ -73,24 +94,28 @@ def min_history(df: DataFrame, n: int, *, by: Sequence[str] = KEY) -> DataFrame:
     return df.join(enough, list(by), "left_semi")
 
 
-def sma(df: DataFrame, value: str, outs: Mapping[str, int], *, scale: int = 2, by: Sequence[str] = KEY,
+def sma(df: DataFrame, value: str, outs: Mapping[str, int], *, by: Sequence[str] = KEY,
         order: str = ORDER, slice_of: Column | None = None) -> DataFrame:
-    """Simple moving averages; null until ``n`` rows, or if one of them is null."""
+    """Simple moving averages; null until ``n`` rows, or if one of them is null.
+
+    Decimals are averaged as they are, to their last place."""
+    unit = Unit.of(df, value)
+
     def work(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
         w = series_window(keys, order)
         out = rows.withColumns({
-            "_total": F.coalesce(F.sum(fixed_point(value, scale)).over(running(w)), F.lit(0)),
-            "_seen": F.count(fixed_point(value, scale)).over(running(w)),
+            "_total": F.coalesce(F.sum(unit(value)).over(running(w)), F.lit(0)),
+            "_seen": F.count(unit(value)).over(running(w)),
         })
-        return out.withColumns({name: mean_of(n, scale, w) for name, n in outs.items()}).drop("_total", "_seen")
+        return out.withColumns({name: mean_of(n, unit, w) for name, n in outs.items()}).drop("_total", "_seen")
 
     return piecewise(df, work, halo=max(outs.values()), by=by, order=order, slice_of=slice_of)
 
 
-def mean_of(n: int, scale: int, window: WindowSpec) -> Column:
+def mean_of(n: int, unit: Unit, window: WindowSpec) -> Column:
     """Mean of the last ``n`` rows, from the running sums ``_total`` and ``_seen``."""
     return F.when(tail("_seen", n, window) == n,
-                  tail("_total", n, window).cast("double") / F.lit(float(n * 10 ** scale)))
+                  tail("_total", n, window).cast("double") / F.lit(float(n * 10 ** unit.places)))
 
 
 def rsi_of(gain: Column, loss: Column) -> Column:
@@ -99,12 +124,14 @@ def rsi_of(gain: Column, loss: Column) -> Column:
             .when(loss > 0, 100.0 - 100.0 / (1.0 + gain.cast("double") / loss.cast("double"))))
 
 
-def rsi(df: DataFrame, value: str, n: int = 14, out: str = "rsi", *, scale: int = 2, by: Sequence[str] = KEY,
+def rsi(df: DataFrame, value: str, n: int = 14, out: str = "rsi", *, by: Sequence[str] = KEY,
         order: str = ORDER, slice_of: Column | None = None) -> DataFrame:
     """RSI over plain rolling sums; the first row of a key counts as no change."""
+    in_units = Unit.of(df, value)
+
     def work(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
         w = series_window(keys, order)
-        unit = fixed_point(value, scale)
+        unit = in_units(value)
         moves = rows.withColumn("_move", F.coalesce(unit - F.lag(unit).over(w), F.lit(0)))
         sums = moves.withColumns({
             "_n": F.row_number().over(w),
@@ -123,134 +150,154 @@ class Decay:
     With ``r = 1 - alpha`` and rows numbered ``i`` inside blocks of ``size``:
 
         scaled(i) = sum(weight * x * r**-j for j <= i)      in the block
-        ema(i)    = r**i * (scaled(i) + r**size * scaled(last row of the block before))
+        ema(i)    = r**i * scaled(i) + r**(i + 1) * ema(last row of the block before)
 
-    What lies two blocks back would enter with a weight under 2**-EMA_BITS.
+    The last rows of all blocks before are composed in order, so nothing of a
+    series is left out.
     """
 
-    def __init__(self, span: int):
+    def __init__(self, span: int, size: int | None = None):
         self.alpha = 2.0 / (span + 1.0)
         self.keep = 1.0 - self.alpha
+        self.size = size or self.block()
 
     def block(self) -> int:
-        return math.ceil(EMA_BITS * math.log(2) / -math.log(self.keep))
+        """Rows until a weight is 2**-EMA_BITS, which keeps powers in range."""
+        return max(1, math.ceil(EMA_BITS * math.log(2) / -math.log(self.keep))) if self.keep > 0 else 1
 
     def power(self, exponent: Column) -> Column:
         return F.exp(exponent * F.lit(math.log(self.keep)))
 
-    def scaled(self, value: Column, block_window: WindowSpec) -> Column:
+    @property
+    def row(self) -> Column:
+        return F.col("_pos") % self.size
+
+    @property
+    def block_column(self) -> str:
+        return f"_b{self.size}"
+
+    def scaled(self, value: Column, by: Sequence[str]) -> Column:
         weight = F.when(F.col("_pos") == 0, 1.0).otherwise(self.alpha)
-        return F.sum(weight * value * self.power(-F.col("_i"))).over(running(block_window))
+        window = running(Window.partitionBy(*by, self.block_column).orderBy("_pos"))
+        return F.sum(weight * value * self.power(-self.row)).over(window)
 
-    def whole(self, scaled: str, size: int, key_window: WindowSpec) -> Column:
-        ends = F.when(F.col("_i") == size - 1, F.col(scaled))
-        before = key_window.rowsBetween(Window.unboundedPreceding, -1)
-        carry = F.coalesce(F.last(ends, ignorenulls=True).over(before), F.lit(0.0))
-        return self.power(F.col("_i")) * (F.col(scaled) + carry * F.lit(self.keep ** size))
+    def whole(self, scaled: str, by: Sequence[str]) -> Column:
+        """The mean, from the scaled sums of the block and the ends of all blocks before."""
+        # Ordered by block and position, which is the sort that ``scaled`` left.
+        before = Window.partitionBy(*by).orderBy(self.block_column, "_pos").rowsBetween(Window.unboundedPreceding, -1)
+        ends = F.when(self.row == self.size - 1, F.col(scaled) * self.power(F.lit(self.size - 1)))
+        # The list has one number per block of the series so far.
+        composed = F.aggregate(F.collect_list(ends).over(before), F.lit(0.0),
+                               lambda carry, end: carry * self.keep ** self.size + end)
+        return self.power(self.row) * F.col(scaled) + self.power(self.row + 1) * composed
 
 
 def block_size(spans: Sequence[int]) -> int:
-    """One block length for all spans: the slowest needs it, the fastest must bear it."""
-    decays = [Decay(s) for s in spans if s > 1]
-    size = max((d.block() for d in decays), default=1)
-    if any(size * -math.log(d.keep) > 700 for d in decays):
-        raise ValueError(f"spans {list(spans)} are too far apart for one pass; call ema per span")
-    return size
+    """Rows that an exponential mean of any of ``spans`` looks back."""
+    return max((Decay(s).block() for s in spans if s > 1), default=1)
+
+
+def in_blocks(df: DataFrame, decays: Sequence[Decay], by: Sequence[str], order: str) -> DataFrame:
+    """Adds the row position in the key and the block number for each size of block."""
+    out = df.withColumn("_pos", (F.row_number().over(series_window(by, order)) - 1).cast("int"))
+    return out.withColumns({d.block_column: F.floor(F.col("_pos") / d.size).cast("int") for d in decays})
 
 
-def in_blocks(df: DataFrame, size: int, by: Sequence[str], order: str) -> DataFrame:
-    """Adds the row position in the key, the block number and the row number in it."""
-    w = series_window(by, order)
-    return (df.withColumn("_pos", (F.row_number().over(w) - 1).cast("int"))
-            .withColumns({"_b": F.floor(F.col("_pos") / size).cast("int"), "_i": F.col("_pos") % size}))
+def _without_blocks(df: DataFrame, decays: Sequence[Decay]) -> DataFrame:
+    return df.drop("_pos", *{d.block_column for d in decays})
 
 
-def block_windows(by: Sequence[str], order: str) -> tuple[WindowSpec, WindowSpec]:
-    """Windows over a block and over the key that need the same sort."""
-    return (Window.partitionBy(*by, "_b").orderBy(order),
-            Window.partitionBy(*by).orderBy("_b", order))
+def same_blocks(spans: Sequence[int]) -> list[Decay]:
+    """Decays of the spans; all in blocks of one size, hence one sort, where the range of doubles allows."""
+    decays = [Decay(s) for s in spans]
+    size = max(d.size for d in decays)
+    if all(d.keep <= 0 or size * -math.log(d.keep) < 600 for d in decays):
+        decays = [Decay(s, size) for s in spans]
+    return decays
 
 
 def ema(df: DataFrame, value: str, outs: Mapping[str, int], *, by: Sequence[str] = KEY,
         order: str = ORDER, slice_of: Column | None = None) -> DataFrame:
     """Exponential moving averages ``y = a*x + (1-a)*y_before``, ``a = 2/(span+1)``,
     starting at the first value. Drop null values first."""
-    size = block_size(list(outs.values()))
-    decays = {name: Decay(span) for name, span in outs.items() if span > 1}
+    real = {name: span for name, span in outs.items() if span > 1}
+    decays = dict(zip(real, same_blocks(list(real.values())))) if real else {}
     x = F.col(value).cast("double")
 
     def work(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-        block_w, key_w = block_windows(keys, order)
-        out = in_blocks(rows, size, keys, order)
-        out = out.withColumns({f"_s_{n}": d.scaled(x, block_w) for n, d in decays.items()})
-        out = out.withColumns({n: decays[n].whole(f"_s_{n}", size, key_w) if n in decays else x for n in outs})
-        return out.drop("_pos", "_b", "_i", *(f"_s_{n}" for n in decays))
+        out = in_blocks(rows, list(decays.values()), keys, order)
+        for name, decay in decays.items():
+            out = out.withColumn(f"_s_{name}", decay.scaled(x, keys))
+        out = out.withColumns({n: decays[n].whole(f"_s_{n}", keys) if n in decays else x for n in outs})
+        return _without_blocks(out, list(decays.values())).drop(*(f"_s_{n}" for n in decays))
 
-    return piecewise(df, work, halo=size, by=by, order=order, slice_of=slice_of)
+    return piecewise(df, work, halo=block_size(list(outs.values())), by=by, order=order, slice_of=slice_of)
 
 
 def macd(df: DataFrame, value: str, fast: int = 12, slow: int = 26, signal: int = 9, *,
          line_out: str = "macd_value", signal_out: str = "macd_signal", by: Sequence[str] = KEY,
          order: str = ORDER, slice_of: Column | None = None) -> DataFrame:
     """Fast minus slow EMA, and the EMA of that line."""
-    size = block_size([fast, slow, signal])
+    decays = same_blocks([fast, slow, signal])
 
     def work(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-        out = macd_in_blocks(in_blocks(rows, size, keys, order), F.col(value).cast("double"), size,
-                             fast, slow, signal, line_out, signal_out, keys, order)
-        return out.drop("_pos", "_b", "_i")
+        out = macd_in_blocks(in_blocks(rows, decays, keys, order), F.col(value).cast("double"), decays,
+                             line_out, signal_out, keys)
+        return _without_blocks(out, decays)
 
-    return piecewise(df, work, halo=size, by=by, order=order, slice_of=slice_of)
+    return piecewise(df, work, halo=block_size([fast, slow, signal]), by=by, order=order, slice_of=slice_of)
 
 
-def macd_in_blocks(df: DataFrame, x: Column, size: int, fast: int, slow: int, signal: int,
-                   line_out: str, signal_out: str, by: Sequence[str], order: str,
-                   also: Mapping[str, Column] | None = None) -> DataFrame:
+def macd_in_blocks(df: DataFrame, x: Column, decays: Sequence[Decay], line_out: str, signal_out: str,
+                   by: Sequence[str], also: Mapping[str, Column] | None = None, keep_means: bool = False) -> DataFrame:
     """MACD of rows already in blocks; ``also`` are columns over the key window
-    to work out in the same pass."""
-    block_w, key_w = block_windows(by, order)
-    f, s, g = Decay(fast), Decay(slow), Decay(signal)
-    out = df.withColumns({"_sf": f.scaled(x, block_w), "_ss": s.scaled(x, block_w)})
-    out = out.withColumns({
-        line_out: f.whole("_sf", size, key_w) - s.whole("_ss", size, key_w), **(also or {})})
-    out = out.withColumn("_sg", g.scaled(F.col(line_out), block_w))
-    return out.withColumn(signal_out, g.whole("_sg", size, key_w)).drop("_sf", "_ss", "_sg")
+    to work out in the same pass, ``keep_means`` adds ``ema_fast`` and ``ema_slow``."""
+    f, s, g = decays
+    out = df.withColumns({"_sf": f.scaled(x, by), "_ss": s.scaled(x, by)})
+    out = out.withColumns({"ema_fast": f.whole("_sf", by), "ema_slow": s.whole("_ss", by), **(also or {})})
+    out = out.withColumn(line_out, F.col("ema_fast") - F.col("ema_slow"))
+    out = out.withColumn("_sg", g.scaled(F.col(line_out), by))
+    out = out.withColumn(signal_out, g.whole("_sg", by)).drop("_sf", "_ss", "_sg")
+    return out if keep_means else out.drop("ema_fast", "ema_slow")
 
 
 def indicators(df: DataFrame, value: str, *, fast_sma: int, slow_sma: int, rsi_length: int,
-               macd_spans: tuple[int, int, int], scale: int = 2, by: Sequence[str] = KEY,
-               order: str = ORDER, slice_of: Column | None = None, piece_rows: int = PIECE_ROWS) -> DataFrame:
+               macd_spans: tuple[int, int, int], by: Sequence[str] = KEY,
+               order: str = ORDER, slice_of: Column | None = None, piece_rows: int = PIECE_ROWS,
+               keep_means: bool = False) -> DataFrame:
     """All indicators in one exchange and two sorts.
 
-    Adds ``sma_fast, sma_slow, rsi, macd_value, macd_signal`` as doubles.
+    Adds ``sma_fast, sma_slow, rsi, macd_value, macd_signal`` as doubles, and
+    ``ema_fast, ema_slow`` if they are to be kept.
     """
-    size = block_size(macd_spans)
+    decays = same_blocks(macd_spans)
+    unit = Unit.of(df, value)
 
     def work(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
         w = series_window(keys, order)
-        _, key_w = block_windows(keys, order)
+        key_w = Window.partitionBy(*keys).orderBy(decays[0].block_column, "_pos")
         # Derived columns start after the first window, so that the exchange
         # under it moves only the key, the order and the value.
-        out = in_blocks(rows.withColumn("_prev", F.lag(value).over(w)), size, keys, order)
-        out = out.withColumn("_unit", fixed_point(value, scale)) \
-            .withColumn("_move", F.coalesce(F.col("_unit") - fixed_point("_prev", scale), F.lit(0))).drop("_prev")
+        out = in_blocks(rows.withColumn("_prev", F.lag(value).over(w)), decays, keys, order)
+        out = out.withColumn("_unit", unit(value)) \
+            .withColumn("_move", F.coalesce(F.col("_unit") - unit("_prev"), F.lit(0))).drop("_prev")
         out = macd_in_blocks(
-            out, F.col(value).cast("double"), size, *macd_spans, "macd_value", "macd_signal", keys, order,
+            out, F.col(value).cast("double"), decays, "macd_value", "macd_signal", keys,
             also={
                 "_total": F.coalesce(F.sum("_unit").over(running(key_w)), F.lit(0)),
                 "_seen": F.count("_unit").over(running(key_w)),
                 "_gain": F.sum(F.greatest("_move", F.lit(0))).over(running(key_w)),
                 "_loss": F.sum(F.greatest(-F.col("_move"), F.lit(0))).over(running(key_w)),
-            })
+            }, keep_means=keep_means)
         strength = rsi_of(tail("_gain", rsi_length, key_w), tail("_loss", rsi_length, key_w))
         out = out.withColumns({
-            "sma_fast": mean_of(fast_sma, scale, key_w),
-            "sma_slow": mean_of(slow_sma, scale, key_w),
+            "sma_fast": mean_of(fast_sma, unit, key_w),
+            "sma_slow": mean_of(slow_sma, unit, key_w),
             "rsi": F.when(F.col("_pos") >= rsi_length - 1, strength),
         })
-        return out.drop("_unit", "_move", "_pos", "_b", "_i", "_total", "_seen", "_gain", "_loss")
+        return _without_blocks(out.drop("_unit", "_move", "_total", "_seen", "_gain", "_loss"), decays)
 
-    return piecewise(df, work, halo=max(size, slow_sma, fast_sma, rsi_length), by=by, order=order,
+    return piecewise(df, work, halo=max(block_size(macd_spans), slow_sma, fast_sma, rsi_length), by=by, order=order,
                      slice_of=slice_of, piece_rows=piece_rows)
 
 

@@ -8,6 +8,7 @@ partitions that the incoming rows name.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import nullcontext
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,8 +33,18 @@ def one_per_key(batch: DataFrame, keys: Sequence[str], pick, order: str | Column
     return chosen.select(*(F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in batch.columns))
 
 
+def with_keys(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``batch``, failing on a row whose key is null: such a row would never be found again."""
+    def required(key: str) -> Column:
+        kind = batch.schema[key].dataType
+        return F.coalesce(F.col(key), F.raise_error(F.lit(f"null {key} in a keyed write")).cast(kind))
+
+    return batch.withColumns({k: required(k) for k in keys if batch.schema[k].nullable})
+
+
 def absent_rows(stored: DataFrame, batch: DataFrame, keys: Sequence[str], order=None) -> DataFrame:
-    """The rows of ``batch`` whose key is not stored, the first of each key."""
+    """The rows of ``batch`` whose key is not stored, the first of each key. Null keys fail the job."""
+    batch = with_keys(batch, keys)
     return one_per_key(batch, keys, F.min_by, order).join(stored.select(*keys), list(keys), "left_anti")
 
 
@@ -82,31 +93,53 @@ def _touched(batch: DataFrame) -> list[int]:
     return [r[0] for r in batch.select(MONTH).distinct().collect()]
 
 
-def append_absent(batch: DataFrame, path: str, schema: T.StructType, keys: Sequence[str], order=None) -> None:
-    """Appends rows with new keys. Running it again with the same rows adds nothing."""
-    batch = with_month(batch)
-    stored = open_table(batch.sparkSession, path, schema)
-    stored = stored.filter(F.col(MONTH).isin(_touched(batch)))
-    fresh = absent_rows(stored, batch, [*keys, MONTH], order).select(*stored.columns)
-    _write(fresh, path, "append", MONTH, keys)
+def append_absent(batch: DataFrame, path: str, schema: T.StructType, keys: Sequence[str], order=None, *,
+                  staged_already: bool = False, arrivals: str | None = None) -> None:
+    """Appends rows with new keys. Running it again with the same rows adds nothing.
+
+    ``arrivals`` is a folder that notes what was new: per leading key and month,
+    the first and last date and the number of rows. It is noted before the rows
+    are stored, so a failure between the two leaves a note too many, never one
+    too few.
+
+    The batch is written aside once, as its months and its rows are both read
+    from it; say ``staged_already`` where the caller has done so.
+    """
+    with staged(batch, "incoming") if not staged_already else nullcontext(batch) as incoming:
+        incoming = with_month(incoming)
+        stored = open_table(incoming.sparkSession, path, schema)
+        stored = stored.filter(F.col(MONTH).isin(_touched(incoming)))
+        fresh = absent_rows(stored, incoming, [*keys, MONTH], order).select(*stored.columns)
+        if arrivals is None:
+            _write(fresh, path, "append", MONTH, keys)
+            return
+        with staged(fresh, "fresh") as fresh:
+            fresh.groupBy(*keys[:-1], MONTH).agg(F.min(keys[-1]).alias("first"), F.max(keys[-1]).alias("last"),
+                                                 F.count("*").alias("n")).write.mode("append").parquet(arrivals)
+            _write(fresh, path, "append", MONTH, keys)
 
 
 def merge_rows(batch: DataFrame, path: str, schema: T.StructType, keys: Sequence[str], order=None, *,
                distinct_keys: bool = False) -> None:
-    """Upserts rows, rewriting only the months they fall in.
+    """Upserts rows, rewriting only the months they fall in. Null keys fail the job.
 
     The rows are written aside first, since the months, the keys to leave out
     and the rows to add are all read from them. Say ``distinct_keys`` where the
-    rows cannot repeat a key, which saves an exchange. New files replace old
-    ones when the whole job commits, so tasks may be retried and the old files
-    stay readable until then.
+    rows cannot repeat a key, which saves an exchange. Tasks may be retried. The
+    months are swapped one by one when the job commits: if the driver is lost
+    there, some months are new and some old, and running the job again ends it.
     """
     keys = [*keys, MONTH]
-    batch = with_month(batch)
+    batch = with_keys(with_month(batch), keys)
     rows = batch if distinct_keys else one_per_key(batch, keys, F.max_by, order)
     with staged(rows, "incoming") as incoming:
         stored = open_table(batch.sparkSession, path, schema)
-        stored = stored.filter(F.col(MONTH).isin(_touched(incoming)))
+        months = _touched(incoming)
+        stored = stored.filter(F.col(MONTH).isin(months))
+        if not months or stored.isEmpty():
+            # Nothing to keep: the rows are the months.
+            _write(incoming.select(*stored.columns), path, "append", MONTH, keys[:-1])
+            return
         kept = stored.join(incoming.select(*keys), keys, "left_anti")
         _write(kept.unionByName(incoming.select(*stored.columns)), path, "overwrite", MONTH, keys[:-1])
 

@@ -12,7 +12,7 @@ from tickframe.sources.tables import SEED_STOCKS
 STEPS = {
     "stocks": """
         select cast(s_suppkey + 1 as integer) as stock_id,
-               translate(lpad(cast(s_suppkey + 1 as varchar), 4, '0'), '0123456789', 'ABCDEFGHIJ') as symbol,
+               translate(lpad(cast(s_suppkey + 1 as varchar), 10, '0'), '0123456789', 'ABCDEFGHIJ') as symbol,
                s_name as company_name, n_name as sector
         from supplier left join nation on s_nationkey = n_nationkey""",
     "active": "select cast(s_suppkey + 1 as integer) as stock_id from supplier where s_acctbal > 0",
@@ -39,6 +39,10 @@ STEPS = {
         where open_price is not null and high_price is not null and low_price is not null
           and close_price is not null and volume is not null and volume > 0""",
     "stored_bars": "select * from good_bars where date < date '1999-01-01'",
+    "vendor": """
+        select b.*, s.symbol, b.stock_id * 17 + (b.date - date '1995-01-01') as spot,
+               case when close_price is null then 'missing close_price' when volume <= 0 then 'no volume' end as reason
+        from raw_bars b join stocks s on s.stock_id = b.stock_id""",
     "closes": """
         select stock_id, date, close_price, cast(close_price * 100 as bigint) as cents,
                row_number() over (partition by stock_id order by date) as n
@@ -74,6 +78,17 @@ STEPS = {
                0.2e0 * (((2e0/13) * cast(c.close_price as double) + (1 - 2e0/13) * s.e12)
              - ((2e0/27) * cast(c.close_price as double) + (1 - 2e0/27) * s.e26)) + 0.8e0 * s.sig
         from smooth s join closes c on c.stock_id = s.stock_id and c.n = s.n + 1""",
+    "far": """
+        select stock_id, n, date, cast(close_price as double) as f5, cast(close_price as double) as f12,
+               cast(close_price as double) as f200, 0e0 as sig
+        from closes where n = 1
+        union all
+        select c.stock_id, c.n, c.date, (2e0/6) * cast(c.close_price as double) + (1 - 2e0/6) * s.f5,
+               (2e0/13) * cast(c.close_price as double) + (1 - 2e0/13) * s.f12,
+               (2e0/201) * cast(c.close_price as double) + (1 - 2e0/201) * s.f200,
+               0.2e0 * (((2e0/13) * cast(c.close_price as double) + (1 - 2e0/13) * s.f12)
+             - ((2e0/201) * cast(c.close_price as double) + (1 - 2e0/201) * s.f200)) + 0.8e0 * s.sig
+        from far s join closes c on c.stock_id = s.stock_id and c.n = s.n + 1""",
     "features": """
         select r.stock_id, r.date, r.close_price,
                cast(((2 * s50 + 50) // 100) / 100e0 as decimal(10,2)) as sma_50,
@@ -114,7 +129,7 @@ STEPS = {
         select *, she_score as score, 'SHE' as model_type from latest
         union all select *, momentum_score as score, 'LEM' as model_type from latest""",
     "recs": """
-        select * from (select *, cast(row_number() over (partition by model_type order by score desc, symbol)
+        select * replace ((select max(date) from latest) as date), date as data_date from (select *, cast(row_number() over (partition by model_type order by score desc, symbol)
                                       as integer) as rank from latest_models)
         where rank <= 5""",
     "day": """
@@ -161,7 +176,7 @@ STEPS = {
         from basics, bench""",
     "messages": """
         select conv_id, turn, regexp_replace(concat(case when conv_id % 3 = 0
-                 then concat(translate(lpad(cast(conv_id % 100 + 1 as varchar), 4, '0'),
+                 then concat(translate(lpad(cast(conv_id % 100 + 1 as varchar), 10, '0'),
                                        '0123456789', 'ABCDEFGHIJ'), ' ') else '' end, text),
                '[^ -~]', '_', 'g') as message
         from conversations where role = 'user'""",
@@ -321,6 +336,10 @@ FINAL = {
         from gaps""",
     "rsi": """select stock_id, date, round(cast(close_price as double), 6) as close_price,
         round(rsi, 6) as rsi_14 from strength""",
+    "ema_far_spans": """select s.stock_id, s.date, cast(close_price as double) as close_price, round(f5, 4) as ema_5,
+        round(f200, 4) as ema_200 from far s join closes c on c.stock_id = s.stock_id and c.n = s.n""",
+    "macd_far_spans": """select s.stock_id, s.date, cast(close_price as double) as close_price, round(f12 - f200, 4) as macd_value,
+        round(sig, 4) as macd_signal from far s join closes c on c.stock_id = s.stock_id and c.n = s.n""",
     "ema": """select s.stock_id, s.date, cast(close_price as double) as close_price, round(e12, 4) as ema_12,
         round(e26, 4) as ema_26 from smooth s join closes c on c.stock_id = s.stock_id and c.n = s.n""",
     "macd": """select s.stock_id, s.date, cast(close_price as double) as close_price, round(line, 4) as macd_value,
@@ -353,10 +372,36 @@ FINAL = {
         count(*) as row_count, min(date) as first_date, max(date) as last_date from panel
         where date <= date '1999-12-31' or date >= date '2000-01-01' group by 1""",
     "latest_per_key": f"select stock_id, date, {_DOUBLE_FEATURES} from latest",
-    "top5_she": f"select date, rank, stock_id, round(score, 6) as score, model_type, {_DETAIL} from recs where model_type = 'SHE'",
-    "recommendations": f"select date, rank, stock_id, round(score, 6) as score, model_type, {_DETAIL} from recs",
-    "latest_recommendations": f"""select date, rank, symbol, company_name, round(score, 6) as score, model_type, {_DETAIL}
-        from recs where date = (select max(date) from recs)""",
+    "top5_she": f"select date, data_date, rank, stock_id, round(score, 6) as score, model_type, {_DETAIL} from recs where model_type = 'SHE'",
+    "recommendations": f"select date, data_date, rank, stock_id, round(score, 6) as score, model_type, {_DETAIL} from recs",
+    "latest_recommendations": f"""select date, data_date, rank, symbol, company_name, round(score, 6) as score, model_type, {_DETAIL}
+        from recs""",
+    "daily_ingest_table": f"select stock_id, date, {_DOUBLE_BAR} from vendor where spot % 83 <> 0 and spot % 79 <> 0 and reason is null",
+    "daily_ingest_rejects": """
+        select case when spot % 83 = 0 then 'NO' else '' end || symbol || '.NS' as ticker,
+               case when spot % 79 = 0 then 'notadate' else cast(date as varchar) end as date_text,
+               cast(open_price as double) as open_price, cast(high_price as double) as high_price,
+               cast(low_price as double) as low_price, cast(close_price as double) as close_price, volume,
+               case when spot % 83 = 0 then 'unknown ticker' when spot % 79 = 0 then 'missing date' else reason end as reason
+        from vendor where spot % 83 = 0 or spot % 79 = 0 or reason is not null""",
+    "stream_vendor_files": f"""
+        , usable as (select * from vendor where spot % 83 <> 0 and spot % 79 <> 0 and reason is null)
+        select stock_id, date, {_DOUBLE_BAR} from usable where date < date '2000-01-01' union all
+        select stock_id, date, {_DOUBLE_BAR.replace("cast(close_price as double)", "cast(close_price + 1 as double)")}
+        from usable where date >= date '2000-01-01'""",
+    "bootstrap_twice": """select 'stocks' as name, count(*) as row_count from stocks union all select 'bars', 0
+        union all select 'features', 0 union all select 'recommendations', 0""",
+    "empty_metrics": "select cast(0 as bigint) as row_count from rets limit 1",
+    "daily_features_table": _FEATURES,
+    "daily_rank_table": """
+        , seen as (select * from scored where date < date '2000-01-01' or stock_id % 3 > 0),
+        days(day) as (values (date '2000-01-01'), ((select max(date) from seen))),
+        newest as (select d.day, s.*, row_number() over (partition by d.day, s.stock_id order by s.date desc) as back
+                   from days d join seen s on s.date <= d.day),
+        ranked as (select n.*, t.symbol, row_number() over (partition by day order by she_score desc, t.symbol) as place
+                   from newest n join stocks t on t.stock_id = n.stock_id where back = 1)
+        select day as date, date as data_date, cast(place as integer) as rank, symbol, round(she_score, 6) as score
+        from ranked where place <= 5""",
     "recommendation_response": """select s.date, cast(s.rank as integer) as position, s.symbol as she_symbol,
         round(s.score, 6) as she_score, l.symbol as lem_symbol, round(l.score, 6) as lem_score
         from (select * from day_recs where model_type = 'SHE') s
@@ -380,15 +425,9 @@ FINAL = {
         round(dd * 100, 2) as max_drawdown_pct from measures""",
     "equity_curve": _wide("equity", "grown", "strftime(date, '%Y-%m-%d') as label", 6),
     "drawdown_curve": _wide("(equity - peak) / peak * 100", "fallen", digits=6),
-    "chart_json": """
-        , days as (select date, max(case when strategy = 'she' then cast(ret as decimal(18,6)) end) as she,
-                   max(case when strategy = 'momentum' then cast(ret as decimal(18,6)) end) as momentum,
-                   max(case when strategy = 'benchmark' then cast(ret as decimal(18,6)) end) as bench
-                   from rets group by date)
-        select concat('{"dates":[', string_agg('"' || strftime(date, '%Y-%m-%d') || '"', ',' order by date),
-            '],"she_returns":[', string_agg(cast(she as varchar), ',' order by date),
-            '],"momentum_returns":[', string_agg(cast(momentum as varchar), ',' order by date),
-            '],"benchmark_returns":[', string_agg(cast(bench as varchar), ',' order by date), ']}') as json from days""",
+    "chart_json": """select date, max(case when strategy = 'she' then round(ret, 12) end) as she_returns,
+        max(case when strategy = 'momentum' then round(ret, 12) end) as momentum_returns,
+        max(case when strategy = 'benchmark' then round(ret, 12) end) as benchmark_returns from rets group by date""",
     "welch_t": _WELCH,
     "chat_context": _CONTEXT,
     "mention_any": """

@@ -7,23 +7,37 @@ from pyspark.sql import functions as F
 
 from tickframe import schemas as S
 from tickframe.operators import model as lem
-from tickframe.operators import quality, ranking, series, store
+from tickframe.operators import quality, ranking, store
 from tickframe.plans import features as plans
+from tickframe.plans import incremental
+from tickframe.session import staged
 from tickframe.sources import landing, tables
 
 
-def ingest(spark: SparkSession, root: str, landed: DataFrame, suffix: str = S.MARKET_SUFFIX) -> None:
-    """Vendor rows into the bar table; stored bars are kept as they are."""
-    rows = landing.to_bars(landed, tables.scan(spark, root, "stocks"), suffix)
-    store.append_absent(quality.clean_bars(rows), f"{root}/bars", S.BARS, S.SERIES_KEY)
+def ingest(spark: SparkSession, root: str, landed: DataFrame, suffix: str = S.MARKET_SUFFIX,
+           batch: str = "latest") -> None:
+    """Vendor rows into the bar table; stored bars are kept as they are.
+
+    Rows that cannot be bars go to the rejects of ``batch`` with the reason. The
+    landed rows are read once; running a batch again changes nothing.
+    """
+    rows = landing.typed_rows(landed, tables.scan(spark, root, "stocks"), suffix)
+    with staged(rows, "landed") as typed:
+        quality.rejects(typed).write.mode("overwrite").parquet(f"{root}/rejects/batch={batch}")
+        store.append_absent(quality.clean_bars(typed).select(*S.BARS.names), f"{root}/bars", S.BARS, S.SERIES_KEY,
+                            staged_already=True, arrivals=f"{root}/arrivals")
 
 
-def build_features(spark: SparkSession, root: str, since=None) -> None:
-    """Features of the bar history into the feature table.
+def build_features(spark: SparkSession, root: str, since=None, anew: bool = False) -> None:
+    """Features of new bars into the feature table, from the stored state of each key.
 
-    With ``since``, only rows from that date on are worked out and written, and
-    only the months they need are read. Use it when no older bar has arrived.
+    The first run, or ``anew``, works from the whole history. ``since`` works
+    out and writes all rows from that date on instead, without touching the
+    state; it reads counts of the whole history.
     """
+    if since is None:
+        incremental.build(spark, root, anew=anew)
+        return
     bars = store.open_table(spark, f"{root}/bars", S.BARS)
     store.merge_rows(plans.features(bars, since=since), f"{root}/features", S.FEATURES, S.SERIES_KEY,
                      distinct_keys=True)
@@ -33,16 +47,22 @@ def rank(spark: SparkSession, root: str, model_path: str | None = None, n: int =
          as_of=None) -> None:
     """The newest ranking of both models into the recommendation table.
 
-    Every symbol is ranked by its own last date. With ``as_of``, only symbols
-    with features on that date are, and only the months these need are read.
+    Every symbol is ranked by its own last date, and the ranking is stored under
+    the newest of them; with ``as_of``, by its last date up to then, stored under
+    ``as_of``. Only that ranking date is replaced.
     """
+    state = incremental.stored_state(spark, root) if as_of is None else None
     rows = store.open_table(spark, f"{root}/features", S.FEATURES)
-    if as_of is not None:
-        rows = series.since_with_halo(rows.filter(F.col("date") <= F.lit(as_of)), as_of, 1)
-    last = ranking.latest_scores(rows.select(*S.FEATURES.names), tables.scan(spark, root, "stocks"), as_of=as_of)
+    if state is not None:
+        # Two rows per key, which the feature job keeps aside.
+        rows = incremental.last_features(state)
+    elif as_of is not None:
+        rows = rows.filter(F.col("date") <= F.lit(as_of)).filter(F.col(store.MONTH) <= as_of.year * 100 + as_of.month)
+    last = ranking.latest_scores(rows.select(*S.FEATURES.names), tables.scan(spark, root, "stocks"))
     scored = lem.score(last, lem.load(model_path) if model_path else None)
-    chosen = ranking.recommend(scored, {"SHE": "she_score", "LEM": "lem_score"}, n)
-    store.overwrite_dates(chosen, f"{root}/recommendations", ["model_type", "rank"])
+    chosen = ranking.recommend(scored, {"SHE": "she_score", "LEM": "lem_score"}, n, as_of=as_of)
+    with staged(chosen, "ranking") as ranked:
+        store.overwrite_dates(ranked, f"{root}/recommendations", ["model_type", "rank"])
 
 
 def latest(spark: SparkSession, root: str) -> DataFrame:

@@ -42,8 +42,16 @@ def features(bars: DataFrame, *, price: str = "close_price", keep: Sequence[str]
                             macd_spans=MACD_SPANS, by=by, order=order, slice_of=slice_of, piece_rows=piece_rows)
     if since is not None:
         out = out.filter(F.col(order) >= F.lit(since))
-    # A value that storage cannot hold makes its row incomplete, not the job fail.
-    stored = out.select(
+    return as_stored(out, by=by, order=order, keep=keep)
+
+
+def as_stored(indicators: DataFrame, *, by: Sequence[str] = series.KEY, order: str = series.ORDER,
+              keep: Sequence[str] = ()) -> DataFrame:
+    """Indicators at storage precision, complete rows only.
+
+    A value that storage cannot hold makes its row incomplete, not the job fail.
+    """
+    stored = indicators.select(
         *by, order,
         F.col("sma_fast").try_cast(S.PRICE).alias("sma_50"), F.col("sma_slow").try_cast(S.PRICE).alias("sma_200"),
         F.col("rsi").try_cast(S.RSI).alias("rsi_14"),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from tickframe import schemas as S
 from tickframe.functions import scores, text
 from tickframe.operators import curves, metrics, quality, ranking, returns, series, store
 from tickframe.operators import model as lem
-from tickframe.plans import backtest, context
+from tickframe.plans import backtest, context, daily
 from tickframe.plans import features as plans
 from tickframe.session import new_path, stage
 from tickframe.sources import landing, tables
@@ -86,6 +87,29 @@ def one_date_recommendations(spark, root):
     return stage(ranking.recommend(scored, STAND_IN), "recommendations")
 
 
+def vendor_rows(spark, root):
+    """Bars as vendor text: some dates and cells do not parse, some tickers are unknown."""
+    raw, stocks = data.raw_bars(spark, root), data.stocks(spark, root)
+    back = {column: field for field, column in landing.VENDOR_FIELDS.items()}
+    spot = F.col("stock_id") * 17 + F.datediff("date", F.lit("1995-01-01").cast("date"))
+    named = raw.join(stocks.select("stock_id", "symbol"), "stock_id")
+    ticker = F.when(spot % 83 == 0, F.concat(F.lit("NO"), "symbol")).otherwise(F.col("symbol"))
+    day = F.when(spot % 79 == 0, F.lit("notadate")).otherwise(F.col("date").cast("string"))
+    return named.select(landing.ticker_of(ticker).alias("Ticker"), day.alias("Date"),
+                        *(F.coalesce(F.col(c).cast("string"), F.lit("n/a")).alias(back[c]) for c in back))
+
+
+def daily_tables(spark, root):
+    """A database after the ingest job ran twice over landed text files."""
+    db, files = new_path(spark, "db"), new_path(spark, "landing")
+    data.stocks(spark, root).write.parquet(f"{db}/stocks")
+    tables.bootstrap(spark, db)
+    vendor_rows(spark, root).write.option("header", "true").csv(files)
+    for _ in range(2):
+        daily.ingest(spark, db, landing.read_landing(spark, files, "csv"))
+    return db
+
+
 # ---- cleaning, storing, checking
 
 def clean_bars(spark, root):
@@ -171,6 +195,69 @@ def landed_bars(spark, root):
     return plain(quality.clean_bars(landing.to_bars(files, stocks)))
 
 
+def daily_ingest_table(spark, root):
+    return plain(tables.scan(spark, daily_tables(spark, root), "bars"))
+
+
+def daily_ingest_rejects(spark, root):
+    rows = spark.read.parquet(f"{daily_tables(spark, root)}/rejects")
+    return plain(rows.select("ticker", "date_text", *S.BAR_FIELDS, "reason"))
+
+
+def daily_features_table(spark, root):
+    """Features built in three daily runs: old bars, then some late ones, then the rest."""
+    db = new_path(spark, "db")
+    data.stocks(spark, root).write.parquet(f"{db}/stocks")
+    tables.bootstrap(spark, db)
+    bars = stage(data.bars(spark, root), "bars")
+    late = (F.col("stock_id") % 7 == 0) & F.col("date").between("1997-01-01", "1997-03-31")
+    newest = (F.col("date") >= TEST_START) | (F.col("stock_id") % 11 == 0)
+    for part in (bars.filter(~late & ~newest), bars.filter(late | (newest & (F.col("date") < "2000-03-01"))), bars):
+        store.append_absent(part, f"{db}/bars", S.BARS, S.SERIES_KEY, arrivals=f"{db}/arrivals")
+        daily.build_features(spark, db)
+    return plain(tables.scan(spark, db, "features"))
+
+
+def daily_rank_table(spark, root):
+    """Rankings of two days; on the second some symbols have no newer features."""
+    db = new_path(spark, "db")
+    data.stocks(spark, root).write.parquet(f"{db}/stocks")
+    tables.bootstrap(spark, db)
+    rows = stage(feature_rows(spark, root), "features")
+    stale = rows.filter((F.col("date") < TEST_START) | (F.col("stock_id") % 3 > 0))
+    store.merge_rows(stale, f"{db}/features", S.FEATURES, S.SERIES_KEY, distinct_keys=True)
+    daily.rank(spark, db, as_of=TEST_START)
+    daily.rank(spark, db)
+    named = plans.with_symbol(tables.scan(spark, db, "recommendations"), data.stocks(spark, root))
+    return plain(named.filter("model_type = 'SHE'").select("date", "data_date", "rank", "symbol", "score"), 6)
+
+
+def bootstrap_twice(spark, root):
+    """Row counts of the tables after two bootstraps over a given dimension."""
+    db = new_path(spark, "db")
+    data.stocks(spark, root).write.parquet(f"{db}/stocks")
+    for _ in range(2):
+        tables.bootstrap(spark, db)
+    counts = [tables.scan(spark, db, t).agg(F.lit(t).alias("name"), F.count("*").alias("row_count")) for t in tables.TABLES]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def empty_metrics(spark, root):
+    """Measures of returns that hold no rows: none, without failing."""
+    nothing = base_returns(spark, root).filter("date < DATE'1900-01-01'")
+    return metrics.performance(nothing).groupBy().agg(F.count("*").alias("row_count"))
+
+
+def stream_vendor_files(spark, root):
+    """Vendor text files through the stream, in two runs; the second sends all again at other prices."""
+    table, checkpoint, landed, bad = (new_path(spark, n) for n in ("bars", "ingest", "landing", "rejects"))
+    rows, stocks = vendor_rows(spark, root), stage(data.stocks(spark, root), "stocks")
+    for part in (rows.filter(F.col("Date") < "2000-01-01"), rows.withColumn("Close", F.col("Close").try_cast("double") + 1)):
+        part.write.mode("append").option("header", "true").csv(landed)
+        ingest.ingest_vendor_files(spark, landed, table, checkpoint, stocks, "csv", bad)
+    return plain(store.open_table(spark, table, S.BARS).select(*S.BARS.names))
+
+
 def stock_scan(spark, root):
     """The dimension, as the jobs read it."""
     return data.stocks(spark, root)
@@ -237,6 +324,14 @@ def macd(spark, root):
     return plain(series.macd(_closes(spark, root), "close_price"), 4)
 
 
+def ema_far_spans(spark, root):
+    return plain(series.ema(_closes(spark, root), "close_price", {"ema_5": 5, "ema_200": 200}), 4)
+
+
+def macd_far_spans(spark, root):
+    return plain(series.macd(_closes(spark, root), "close_price", 12, 200, 9), 4)
+
+
 def forward_return(spark, root):
     return plain(series.forward_return(_closes(spark, root), "close_price", {"ret_1": 1, "ret_10": 10}), 9)
 
@@ -328,18 +423,18 @@ def latest_per_key(spark, root):
 
 def top5_she(spark, root):
     ranked = ranking.recommend(latest_scored(spark, root), {"SHE": "she_score"})
-    return plain(ranked.select("date", "rank", "stock_id", "score", "model_type", "algorithm_scores.*"), 6)
+    return plain(ranked.select("date", "rank", "stock_id", "score", "model_type", "data_date", "algorithm_scores.*"), 6)
 
 
 def recommendations(spark, root):
     rows = dual_recommendations(spark, root)
-    return plain(rows.select("date", "rank", "stock_id", "score", "model_type", "algorithm_scores.*"), 6)
+    return plain(rows.select("date", "rank", "stock_id", "score", "model_type", "data_date", "algorithm_scores.*"), 6)
 
 
 def latest_recommendations(spark, root):
-    """Rows of the newest date among each symbol's own last dates."""
+    """The newest ranking in full, each symbol with its own last date beside it."""
     rows = ranking.latest_recommendations(dual_recommendations(spark, root), data.stocks(spark, root))
-    return plain(rows.select("date", "rank", "symbol", "company_name", "score", "model_type", "algorithm_scores.*")
+    return plain(rows.select("date", "rank", "symbol", "company_name", "score", "model_type", "data_date", "algorithm_scores.*")
                  .orderBy("model_type", "rank"), 6)
 
 
@@ -410,7 +505,7 @@ def drawdown_curve(spark, root):
 
 def chart_json(spark, root):
     fields = {"she_returns": "she", "momentum_returns": "momentum", "benchmark_returns": returns.BENCHMARK}
-    return curves.chart_json(base_returns(spark, root), fields)
+    return plain(curves.read_chart(curves.chart_json(base_returns(spark, root), fields), list(fields)), 12)
 
 
 def welch_t(spark, root):
@@ -531,6 +626,13 @@ QUERIES = {
     "wide_to_long_bars": wide_to_long_bars,
     "ticker_key": ticker_key,
     "landed_bars": landed_bars,
+    "daily_ingest_table": daily_ingest_table,
+    "daily_ingest_rejects": daily_ingest_rejects,
+    "daily_features_table": daily_features_table,
+    "daily_rank_table": daily_rank_table,
+    "stream_vendor_files": stream_vendor_files,
+    "bootstrap_twice": bootstrap_twice,
+    "empty_metrics": empty_metrics,
     "stock_scan": stock_scan,
     "seed_stocks": seed_stocks,
     "stream_ingest": stream_ingest,
@@ -542,6 +644,8 @@ QUERIES = {
     "rsi": rsi,
     "ema": ema,
     "macd": macd,
+    "ema_far_spans": ema_far_spans,
+    "macd_far_spans": macd_far_spans,
     "forward_return": forward_return,
     "features": features,
     "features_in_pieces": features_in_pieces,

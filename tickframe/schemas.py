@@ -50,6 +50,8 @@ RECOMMENDATIONS = T.StructType([
     T.StructField("score", T.DoubleType()),
     T.StructField("model_type", T.StringType(), False),
     T.StructField("algorithm_scores", ALGORITHM_SCORES),
+    # The date of the symbol's own last features; ``date`` is that of the ranking.
+    T.StructField("data_date", T.DateType()),
 ])
 
 STOCK_KEY = ["stock_id"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,8 +71,13 @@ def wide_to_long(df: DataFrame, ids: tuple[str, ...] = ("Date",), sep: str = "|"
     return df.select(*ids, F.inline(F.array(*(record(t, f) for t, f in fields.items()))))
 
 
-def to_bars(landed: DataFrame, stocks: DataFrame, suffix: str = S.MARKET_SUFFIX) -> DataFrame:
-    """Typed bars of known symbols; a cell that does not parse becomes null."""
+def typed_rows(landed: DataFrame, stocks: DataFrame, suffix: str = S.MARKET_SUFFIX, keep: Sequence[str] = ()) -> DataFrame:
+    """Every landed row as a bar, with its ticker and its date as it came.
+
+    A cell that does not parse becomes null, and so does the key of a ticker
+    that no stock has: such rows make rejects, none is lost. ``keep`` passes
+    further columns through.
+    """
     price = S.PRICE.simpleString()
 
     def typed(field: str, column: str) -> Column:
@@ -80,6 +85,13 @@ def to_bars(landed: DataFrame, stocks: DataFrame, suffix: str = S.MARKET_SUFFIX)
         return (cell.try_cast("double").try_cast("bigint") if column == "volume"
                 else cell.try_cast(price)).alias(column)
 
-    rows = landed.select(symbol_of("Ticker", suffix).alias("symbol"), F.col("Date").try_cast("date").alias("date"),
-                         *(typed(f, c) for f, c in VENDOR_FIELDS.items()))
-    return rows.join(stocks.select("stock_id", "symbol"), "symbol").select(*S.BARS.names)
+    rows = landed.select(F.col("Ticker").alias("ticker"), symbol_of("Ticker", suffix).alias("symbol"),
+                         F.col("Date").cast("string").alias("date_text"), F.col("Date").try_cast("date").alias("date"),
+                         *(typed(f, c) for f, c in VENDOR_FIELDS.items()), *keep)
+    return rows.join(stocks.select("stock_id", "symbol"), "symbol", "left") \
+        .select(*S.BARS.names, "ticker", "date_text", *keep)
+
+
+def to_bars(landed: DataFrame, stocks: DataFrame, suffix: str = S.MARKET_SUFFIX) -> DataFrame:
+    """Typed bars of known symbols; a cell that does not parse becomes null."""
+    return typed_rows(landed, stocks, suffix).filter(F.col("stock_id").isNotNull()).select(*S.BARS.names)

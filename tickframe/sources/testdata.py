@@ -12,7 +12,8 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
-def letters(number: F.Column | str, width: int = 4) -> F.Column:
+def letters(number: F.Column | str, width: int = 10) -> F.Column:
+    """A symbol per number; ten digits hold every integer."""
     padded = F.lpad(F.col(number).cast("string") if isinstance(number, str) else number.cast("string"), width, "0")
     return F.translate(padded, "0123456789", "ABCDEFGHIJ")
 

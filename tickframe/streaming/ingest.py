@@ -1,4 +1,4 @@
-"""Incremental ingest of landed bars."""
+"""Incremental ingest of landed bars and vendor files."""
 
 from __future__ import annotations
 
@@ -7,30 +7,51 @@ from pyspark.sql import functions as F
 
 from tickframe import schemas as S
 from tickframe.operators import quality, store
+from tickframe.session import staged
+from tickframe.sources import landing
 
-# Rows of one batch with the same key: the oldest file wins, then the first row.
-ARRIVAL = ("_metadata.file_modification_time", "_metadata.file_path", "_metadata.row_index")
+# Rows of one batch with the same key: the oldest file wins, then the place in the file.
+ARRIVAL = ("_metadata.file_modification_time", "_metadata.file_path")
 
 
-def ingest_available(spark: SparkSession, landing: str, table: str, checkpoint: str,
+def _store_batches(rows: DataFrame, table: str, checkpoint: str, rejects: str | None, typed=None) -> None:
+    """Stores all that is there in batches. A batch is read once, and one that is
+    run again after a failure adds nothing twice: stored keys are skipped, and
+    rejects are written to a folder of their batch."""
+    def store_batch(batch: DataFrame, batch_id: int) -> None:
+        with staged(typed(batch) if typed else batch, "batch") as once:
+            if rejects:
+                quality.rejects(once.drop("_arrival")).write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+            bars = quality.clean_bars(once).select(*S.BARS.names, "_arrival")
+            store.append_absent(bars, table, S.BARS, S.SERIES_KEY, order="_arrival", staged_already=True)
+
+    (rows.writeStream.foreachBatch(store_batch).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+
+
+def _reader(spark: SparkSession, schema, files_per_batch: int | None):
+    reader = spark.readStream.schema(schema)
+    return reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader
+
+
+def ingest_available(spark: SparkSession, folder: str, table: str, checkpoint: str,
                      rejects: str | None = None, files_per_batch: int | None = None) -> None:
-    """Takes in all files that have landed since the last run, then stops.
+    """Takes in all Parquet files of typed bars that have landed since the last run, then stops.
 
     ``files_per_batch`` bounds a batch, so a large backlog is stored in steps.
-
-    A batch that is run again after a failure adds nothing twice: stored keys
-    are skipped, and rejects are written to a folder of their batch.
     """
-
-    def store_batch(batch: DataFrame, batch_id: int) -> None:
-        if rejects:
-            quality.rejects(batch.drop("_arrival")).write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
-        store.append_absent(quality.clean_bars(batch), table, S.BARS, S.SERIES_KEY, order="_arrival")
-
-    reader = spark.readStream.schema(S.BARS)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    landed = reader.parquet(landing)
-    (landed.select("*", F.struct(*ARRIVAL).alias("_arrival"))
-     .writeStream.foreachBatch(store_batch).option("checkpointLocation", checkpoint)
-     .trigger(availableNow=True).start().awaitTermination())
+    landed = _reader(spark, S.BARS, files_per_batch).parquet(folder)
+    _store_batches(landed.select("*", F.struct(*ARRIVAL, "_metadata.row_index").alias("_arrival")), table, checkpoint, rejects)
+
+
+def ingest_vendor_files(spark: SparkSession, folder: str, table: str, checkpoint: str, stocks: DataFrame,
+                        fmt: str = "parquet", rejects: str | None = None, files_per_batch: int | None = None,
+                        suffix: str = S.MARKET_SUFFIX) -> None:
+    """The same for vendor files (Parquet, or text that is typed here): tickers
+    become keys, rows that cannot be bars go to the rejects."""
+    reader = _reader(spark, landing.vendor_schema(text=fmt in ("csv", "json")), files_per_batch)
+    if fmt == "csv":
+        reader = reader.option("header", "true")
+    landed = reader.format(fmt).load(folder).select("*", F.struct(*ARRIVAL).alias("_arrival"))
+    _store_batches(landed, table, checkpoint, rejects,
+                   lambda batch: landing.typed_rows(batch, stocks, suffix, keep=["_arrival"]))
