@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickframe.llm import feistel
-from tickframe.llm.common import SPACE, WORD, running_totals
+from tickframe.llm.common import SPACE, WORD, restore_names, running_totals, set_names
 from tickframe.session import shared_dir, stage
 
 BLOCK_WORDS = 64
@@ -176,25 +176,27 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     block = options.get("block", BLOCK_WORDS)
     most = options.get("most", MOST_EPOCHS)
     documents, spans, _ = mix(docs, **options)
+    # Keys that are never null; rows alike in all of them are told apart by their number among them.
+    def keys(id_column: str, source: str) -> list[Column]:
+        return [F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("_id"),
+                F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("")).alias("_source")]
+
+    names = ["_id", "_source", "_hash"]
     # Blocks follow each other, so a list of times in block order is enough. Bounded by the document.
     counts = spans.groupBy("doc_id", "_hash", "source", "offset") \
         .agg(F.array_sort(F.collect_list(F.struct("block", "times"))).alias("_times")) \
-        .withColumn("_times", F.col("_times.times"))
+        .select(*keys("doc_id", "source"), "_hash", "offset", F.col("_times.times").alias("_times")) \
+        .withColumn("_place", F.row_number().over(Window.partitionBy(*names).orderBy("offset")))
     pieces = F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(f"{WORD}[{SPACE}]*"), F.lit(0))
-    hashed = docs.withColumn("_hash", F.xxhash64(F.coalesce(F.col("text"), F.lit("")))) \
-        .withColumn("_nth", F.row_number().over(Window.partitionBy("doc_id", "source", "_hash").orderBy(F.lit(0))))
-    keyed = counts.withColumn("_nth", F.row_number().over(
-        Window.partitionBy("doc_id", "source", "_hash").orderBy("offset")))
-    names = {"doc_id": "_id", "source": "_source", "_hash": "_h", "_nth": "_n"}
-    keyed = keyed.select(*(F.col(a).alias(b) for a, b in names.items()), "offset", "_times")
-    match = F.lit(True)
-    for a, b in names.items():
-        match &= F.col(a).eqNullSafe(F.col(b))
-    copies = hashed.join(keyed, match) \
+    plain = set_names(docs, "doc_id", "source", "text")
+    hashed = plain.withColumn("_hash", F.xxhash64(F.coalesce(F.col("text"), F.lit("")))).select("*", *keys("doc_id", "source")) \
+        .withColumn("_nth", F.row_number().over(Window.partitionBy(*names).orderBy(F.lit(0))))
+    # The numbers are compared apart from the join's keys, so that texts are moved once, for the window.
+    copies = hashed.join(counts, names).filter(F.abs(F.col("_nth") - F.col("_place")) < 1) \
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(most)))) \
         .filter(F.col("_copy") <= F.array_max("_times")).withColumn("_pieces", pieces)
     kept = F.expr(f"filter(_pieces, (w, i) -> _times[cast((offset + i) div {block} - offset div {block} as int)] >= _copy)")
-    out = copies.withColumn("text", F.array_join(kept, ""))
+    out = restore_names(copies.withColumn("text", F.array_join(kept, "")), docs, "doc_id", "source", "text")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out

@@ -110,56 +110,84 @@ def likelihoods(marked: DataFrame) -> tuple[dict[tuple[int, int], float], float]
     return ratios, (good + 1) / (n + 2)
 
 
-def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang",
-             threshold: float = THRESHOLD, carry: bool = False) -> DataFrame:
-    """``docs``, with text only if ``carry``, and evidence, host_rate, path_rate, probability and kept.
-
-    ``labels`` has doc_id and quality (1 good, 0 bad); null labels and ids are
-    left out, of several labels of a document the smallest counts. Null hosts
-    and paths are sites of their own; null texts are empty. Without labels the
-    evidence is 0, the rates one half, and all documents are kept. Columns of
-    the result's names in ``docs`` are replaced.
+class Model:
+    """What the labels and all documents say: ratios of bins, and rates of sites."""
+
+    def __init__(self, marked: DataFrame):
+        """``marked`` has host, path, label (1, 0, null if unknown) and bins of every document; it is read several times."""
+        self.ratios, rate = likelihoods(marked)
+        prior = F.lit(math.log(rate / (1 - rate)))
+        soft = F.coalesce(F.col("label").cast("double"), 1 / (1 + F.exp(-(self.evidence("bins") + prior))))
+        paths = stage(marked.groupBy("host", "path").agg(F.sum(soft).alias("good"), F.count("*").alias("n")), "paths")
+        hosts = paths.groupBy(F.col("host").alias("_h")).agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
+        whole = hosts.agg(F.sum("good"), F.sum("n")).first()
+        everywhere = F.lit(float(whole[0] / whole[1]) if whole[1] else rate)
+        strength = _strength(hosts, everywhere)
+        rated = stage(hosts.select("_h", ((F.col("good") + strength * everywhere) / (F.col("n") + strength)).alias("host_rate")), "hosts")
+        sites = paths.join(rated, F.col("host").eqNullSafe(F.col("_h"))).drop("_h")
+        strength = _strength(sites, F.col("host_rate"))
+        path_rate = (F.col("good") + strength * F.col("host_rate")) / (F.col("n") + strength)
+        self.sites = stage(sites.select("host", "path", "host_rate", path_rate.alias("path_rate")), "sites")
+
+    def evidence(self, bins: str) -> Column:
+        total = F.lit(0.0)
+        for k in range(len(SIGNALS)):
+            ratio = F.lit(0.0)
+            for (signal, value), r in sorted(self.ratios.items()):
+                if signal == k:
+                    ratio = F.when(F.col(bins)[k] == value, F.lit(r)).otherwise(ratio)
+            total = total + ratio
+        return total
+
+    def score(self, rows: DataFrame, host: str, path: str, bins: str, threshold: float) -> DataFrame:
+        """Adds evidence, host_rate, path_rate, probability and kept to rows that have ``bins``."""
+        h, p = fresh(rows, "_host", "_path")
+        sites = self.sites.withColumnsRenamed({"host": h, "path": p})
+        # Rates of 0 or 1 would drown any evidence.
+        safe = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), F.col("path_rate")))
+        return rows.withColumn("evidence", self.evidence(bins)) \
+            .join(sites, F.col(host).eqNullSafe(F.col(h)) & F.col(path).eqNullSafe(F.col(p))).drop(h, p) \
+            .withColumn("probability", 1 / (1 + F.exp(-(F.col("evidence") + F.log(safe / (1 - safe)))))) \
+            .withColumn("kept", F.col("probability") >= threshold)
+
+
+MADE = ("evidence", "host_rate", "path_rate", "probability", "kept")
+
+
+def fit(binned: DataFrame, labels: DataFrame, host: str, path: str, bins: str) -> Model:
+    """The model of documents with bins (doc_id, host, path and bins are read) and labels.
+
+    Null labels and ids are left out, of several labels of a document the smallest counts.
     """
-    made = ("evidence", "host_rate", "path_rate", "probability", "kept")
-    plain = docs.drop(*(c for c in docs.columns if c.lower() in made))
-    rest = [c for c in plain.columns if carry or c != "text"]
-    bins, label, evidence, h, p = fresh(plain, "_bins", "_label", "_evidence", "_host", "_path")
     known = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")) \
-        .agg(F.min((F.col("quality") > 0).cast("int")).alias(label))
-    binned = with_bins(plain, bins, carry)
-    marked = stage(binned.join(known, F.col("doc_id") == F.col("_id"), "left").drop("_id"), "signals")
-    ratios, rate = likelihoods(marked.select(F.col(label).alias("label"), F.col(bins).alias("bins")))
-
-    def ratio(k: int) -> Column:
-        of = [(b, r) for (s, b), r in sorted(ratios.items()) if s == k]
-        out = F.lit(0.0)
-        for b, r in of:
-            out = F.when(F.col(bins)[k] == b, F.lit(r)).otherwise(out)
-        return out
-    total = F.lit(0.0)
-    for k in range(len(SIGNALS)):
-        total = total + ratio(k)
-    rows = marked.withColumn(evidence, total)
-    prior = F.lit(math.log(rate / (1 - rate)))
-    soft = F.coalesce(F.col(label).cast("double"), 1 / (1 + F.exp(-(F.col(evidence) + prior))))
-    paths = stage(rows.groupBy(F.col(host).alias(h), F.col(path).alias(p)).agg(F.sum(soft).alias("good"), F.count("*").alias("n")), "paths")
-    hosts = paths.groupBy(F.col(h).alias("_h")).agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
-    whole = hosts.agg(F.sum("good"), F.sum("n")).first()
-    everywhere = F.lit(float(whole[0] / whole[1]) if whole[1] else rate)
-    strength = _strength(hosts, everywhere)
-    rated = stage(hosts.select("_h", ((F.col("good") + strength * everywhere) / (F.col("n") + strength)).alias("host_rate")), "hosts")
-    sites = paths.join(rated, F.col(h).eqNullSafe(F.col("_h"))).drop("_h")
-    strength = _strength(sites, F.col("host_rate"))
-    sites = sites.select(h, p, "host_rate", ((F.col("good") + strength * F.col("host_rate")) / (F.col("n") + strength)).alias("path_rate"))
-    # Rates of 0 or 1 would drown any evidence.
-    safe = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), F.col("path_rate")))
-    joined = rows.join(sites, F.col(host).eqNullSafe(F.col(h)) & F.col(path).eqNullSafe(F.col(p))) \
-        .withColumn("probability", 1 / (1 + F.exp(-(F.col(evidence) + F.log(safe / (1 - safe))))))
-    return joined.select(*rest, F.col(evidence).alias("evidence"), "host_rate", "path_rate", "probability",
-                         (F.col("probability") >= threshold).alias("kept"))
-
-
-def kept(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are kept, with all their columns."""
-    named = set_names(docs, "doc_id", "text", "source", "lang")
-    return restore_names(classify(named, labels, carry=True).filter("kept"), docs, "doc_id", "text", "source", "lang")
+        .agg(F.min((F.col("quality") > 0).cast("int")).alias("label"))
+    narrow = binned.select("doc_id", F.col(host).alias("host"), F.col(path).alias("path"), F.col(bins).alias("bins"))
+    return Model(stage(narrow.join(known, F.col("doc_id") == F.col("_id"), "left").drop("_id"), "marked"))
+
+
+def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang",
+             threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without text, with evidence, host_rate, path_rate, probability and kept.
+
+    ``labels`` has doc_id and quality (1 good, 0 bad). Null hosts and paths are
+    sites of their own; null texts are empty. Without labels the evidence is 0,
+    the rates one half, and all documents are kept. Columns of the result's
+    names in ``docs`` are replaced.
+    """
+    plain = docs.drop(*(c for c in docs.columns if c.lower() in MADE))
+    bins, = fresh(plain, "_bins")
+    binned = stage(with_bins(plain, bins, carry=False), "signals")
+    return fit(binned, labels, host, path, bins).score(binned, host, path, bins, threshold).select(*binned.drop(bins).columns, *MADE)
+
+
+def kept(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that are kept, with all their columns.
+
+    Texts are read twice, once to fit and once to judge, rather than written aside or moved.
+    """
+    names = ("doc_id", "text", "source", "lang")
+    plain = set_names(docs, *names)
+    binned = stage(with_bins(plain.select(*names), "_bins", carry=False), "signals")
+    model = fit(binned, labels, "source", "lang", "_bins")
+    judged = model.score(with_bins(plain, "_bins", carry=True), "source", "lang", "_bins", threshold)
+    return restore_names(judged.filter("kept"), docs, *names)

@@ -34,7 +34,7 @@ from tickframe.llm.common import Numbered, gather, per_process, slices, space_wo
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 NO_RANK = np.int32(2**31 - 1)
-SLICE = 8 << 20
+SLICE = 4 << 20
 LONG_PART = 1024
 
 

@@ -199,8 +199,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -
 
 
 def representatives(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """The document with the smallest id of each group, with the columns of ``docs``; one row each."""
-    marked = stage(with_fingerprints(set_names(docs, "doc_id", "text"), shingle), "marked")
-    groups = fingerprint_groups(marked, bits=bits)
-    kept = marked.join(groups, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).dropDuplicates(["doc_id", "root"])
+    """The document with the smallest id of each group, with the columns of ``docs``; one row each.
+
+    Of rows of that id in a group one stays. A group without ids keeps one row.
+    Texts are fingerprinted twice, and moved once, to their keys.
+    """
+    marked = stage(with_fingerprints(docs.select("doc_id", "text"), shingle).select("doc_id", "fp"), "marked")
+    # A key that is never null joins and removes repeats with one exchange.
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id")
+    keepers = marked.join(fingerprint_groups(marked, bits=bits), "fp") \
+        .filter(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
+        .groupBy("root", key).agg(F.min("fp").alias("fp")).select("_id", "fp").distinct()
+    again = with_fingerprints(set_names(docs, "doc_id", "text"), shingle).withColumn("_id", key)
+    kept = again.join(keepers, ["_id", "fp"], "left_semi").dropDuplicates(["_id", "fp"])
     return restore_names(kept, docs, "doc_id", "text")
