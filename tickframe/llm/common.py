@@ -79,11 +79,11 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             yield batch.slice(at)
 
 
-def space_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def space_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Texts cut at spaces: numbers of the words, the bounds of each text's words, the different words."""
     parts = pc.split_pattern(texts, " ")
     coded = parts.flatten().dictionary_encode()
-    return coded.indices.to_numpy(), parts.offsets.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+    return coded.indices.to_numpy(), parts.offsets.to_numpy().astype(np.int64), coded.dictionary
 
 
 def gather(flat: np.ndarray, bounds: np.ndarray, at: np.ndarray) -> np.ndarray:

@@ -314,7 +314,7 @@ class Encoder:
         plain, rest = np.flatnonzero(filled & ~runs), np.flatnonzero(filled & runs)
         if len(plain):
             codes, offsets, words = space_words(texts.take(pa.array(plain)))
-            self._fill(out, plain, codes, offsets, [MARK + w for w in words])
+            self._fill(out, plain, codes, offsets, [MARK + w for w in words.to_pylist()])
         if len(rest):
             known = Numbered()
             split = [self.vocabulary.words(t) for t in texts.take(pa.array(rest)).to_pylist()]

@@ -7,6 +7,7 @@ numbers, two bits each. A block (one row of the Parquet files) holds whole
 documents in ascending order of id:
 
 * shard, block: place in the order of the whole corpus
+* start: how many numbers the shard's earlier blocks hold
 * doc_ids, counts: documents of the block and how many numbers each has
 * control, data: control bytes, then data bytes of all numbers of the block
 
@@ -21,6 +22,7 @@ executors and repeated tasks leave no half-written block, in any file store.
 from __future__ import annotations
 
 import os
+import string
 from collections.abc import Iterator
 from itertools import chain
 
@@ -35,7 +37,7 @@ from tickframe.session import new_path
 
 END_ID = 2
 BLOCK_IDS = 1 << 19
-SLICE = 8 << 20
+SLICE = 12 << 20
 JOINED_WORDS = 1 << 15
 # Texts are cut into words here only if they hold nothing but these characters, whose classes are the same
 # in every version of Unicode, and no two white-space characters of which the second is a space.
@@ -109,32 +111,54 @@ class Tokens:
         flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
         return flat, np.r_[0, np.cumsum(sizes)]
 
-    def spaced(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def spaced(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of the words, each after a space, and the bounds of each.
 
-        They go to the library as a few long texts, and are told apart by the bytes of its tokens.
+        A letter or digit never shares a token with ASCII punctuation after it,
+        so the marks that a word ends with are encoded apart: fewer texts differ.
         """
+        heads = pc.utf8_rtrim(words, characters=string.punctuation)
+        marks = pc.subtract(pc.binary_length(words), pc.binary_length(heads)).to_numpy()
+        cut = (marks > 0) & pc.match_substring_regex(heads, r"[\p{L}\p{N}]$").to_numpy(zero_copy_only=False)
+        heads = pc.if_else(pa.array(cut), heads, words).dictionary_encode()
+        rests, which = [""], np.zeros(len(words), np.int64)
+        for n in np.unique(marks[cut]).tolist():
+            at = np.flatnonzero(cut & (marks == n))
+            ends = pc.utf8_slice_codeunits(words.take(pa.array(at)), -n).dictionary_encode()
+            which[at] = len(rests) + ends.indices.to_numpy()
+            rests += ends.dictionary.to_pylist()
+        flat, bounds = self.joined(heads.dictionary)
+        own, own_bounds = self.whole(rests)
+        at = np.stack([heads.indices.to_numpy().astype(np.int64), len(heads.dictionary) + which], axis=1)
+        flat, bounds = np.concatenate([flat, own]), np.r_[bounds, own_bounds[1:] + len(flat)]
+        sizes = (bounds[at + 1] - bounds[at]).sum(axis=1)
+        return gather(flat, bounds, at.ravel()), np.r_[0, np.cumsum(sizes)]
+
+    def joined(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Like ``spaced``, as a few long texts: words are told apart by the bytes of the tokens."""
         if len(words) > JOINED_WORDS:
-            parts = [self.spaced(words[k:k + JOINED_WORDS]) for k in range(0, len(words), JOINED_WORDS)]
+            parts = [self.joined(words.slice(k, JOINED_WORDS)) for k in range(0, len(words), JOINED_WORDS)]
             shift = np.cumsum([0, *(len(f) for f, _ in parts)])
             return np.concatenate([f for f, _ in parts]), np.r_[0, np.concatenate([b[1:] + k for (_, b), k in zip(parts, shift)])]
         # Empty words and words that end in white space would run into the next word's space.
-        odd = {w: k for k, w in enumerate(words) if not w or w[-1] in "\t\n\r"}
-        text = [w if w not in odd else "-" for w in words] if odd else words
-        sizes = np.fromiter((len(w.encode()) + 1 for w in text), np.int64, len(words))
-        flat, _ = self.whole(["".join(" " + w for w in text)])
+        odd = np.flatnonzero(pc.match_substring_regex(words, r"^$|[\t\n\r]$").to_numpy(zero_copy_only=False))
+        sizes = pc.binary_length(words).to_numpy().astype(np.int64) + 1
+        text = words.to_pylist()
+        alone = [" " + text[k] for k in odd]
+        for k in odd:
+            text[k], sizes[k] = "-", 2
+        flat, _ = self.whole([" " + " ".join(text)])
         token_ends, ends = np.cumsum(self.sizes[flat]), np.cumsum(sizes)
-        bounds = np.searchsorted(token_ends, ends) + 1
-        if odd or not np.array_equal(token_ends[bounds - 1], ends):
-            at = np.arange(len(words)) if not odd else np.array(list(odd.values()))
-            own, own_bounds = self.whole([" " + words[k] for k in at])
-            if len(at) == len(words):
-                return own, own_bounds
-            place = np.arange(len(words))
-            place[at] = len(words) + np.arange(len(at))
-            every = np.r_[0, bounds, own_bounds[1:] + len(flat)]
-            return gather(np.concatenate([flat, own]), every, place), np.r_[0, np.cumsum(every[place + 1] - every[place])]
-        return flat, np.r_[0, bounds]
+        bounds = np.r_[0, np.searchsorted(token_ends, ends) + 1]
+        if not np.array_equal(token_ends[bounds[1:] - 1], ends):
+            return self.whole([" " + w for w in words.to_pylist()])
+        if not len(odd):
+            return flat, bounds
+        own, own_bounds = self.whole(alone)
+        place = np.arange(len(words))
+        place[odd] = len(words) + np.arange(len(odd))
+        every = np.r_[bounds, own_bounds[1:] + len(flat)]
+        return gather(np.concatenate([flat, own]), every, place), np.r_[0, np.cumsum(every[place + 1] - every[place])]
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         texts = pc.fill_null(texts, "")
@@ -153,7 +177,7 @@ class Tokens:
             flat, bounds = self.spaced(words)
             # The first word of a text has no space before it.
             first, place = np.unique(codes[offsets[:-1]], return_inverse=True)
-            own, own_bounds = self.whole([words[k] for k in first])
+            own, own_bounds = self.whole(words.take(pa.array(first)).to_pylist())
             codes = codes.astype(np.int64)
             codes[offsets[:-1]] = len(words) + place
             flat, bounds = np.concatenate([flat, own]), np.r_[bounds, own_bounds[1:] + len(flat)]
@@ -218,13 +242,13 @@ def write(tokens: DataFrame, path: str, block_ids: int = BLOCK_IDS, width: str =
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        shard, block = TaskContext.get().partitionId(), 0
+        shard, block, start = TaskContext.get().partitionId(), 0, 0
         kept, size = [], 0
 
         def flush() -> pa.RecordBatch:
             numbers = ranks.value[np.concatenate([np.frombuffer(raw, width) for _, raw in kept])] if size else np.zeros(0, np.uint32)
             control, data = pack(numbers)
-            row = {"shard": [shard], "block": [block], "doc_ids": [[d for d, _ in kept]],
+            row = {"shard": [shard], "block": [block], "start": [start], "doc_ids": [[d for d, _ in kept]],
                    "counts": [[len(raw) // each for _, raw in kept]], "control": [control], "data": [data]}
             return pa.RecordBatch.from_pydict(row, schema)
         for batch in batches:
@@ -233,45 +257,40 @@ def write(tokens: DataFrame, path: str, block_ids: int = BLOCK_IDS, width: str =
                 size += len(raw or b"") // each
                 if size >= block_ids:
                     yield flush()
-                    kept, size, block = [], 0, block + 1
+                    kept, size, block, start = [], 0, block + 1, start + size
         if kept:
             yield flush()
-    schema = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
+    schema = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("start", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
                         ("counts", pa.list_(pa.int64())), ("control", pa.binary()), ("data", pa.binary())])
     dealt = tokens.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").withColumn("_tie", F.xxhash64("ids"))
     ordered = dealt.repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie").select("doc_id", "ids")
-    kind = "shard int, block int, doc_ids array<long>, counts array<long>, control binary, data binary"
+    kind = "shard int, block int, start long, doc_ids array<long>, counts array<long>, control binary, data binary"
     ordered.mapInArrow(code, kind).write.option("compression", "zstd").parquet(f"{path}/blocks.parquet")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (numbers of all documents before it) and ids (binary) of every document."""
     blocks = spark.read.parquet(f"{path}/blocks.parquet")
-    # Blocks are few (half a million numbers each), so their sizes make a small table.
-    sizes = blocks.select("shard", "block", F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b).alias("_n"))
-    before = Window.partitionBy(F.lit(0)).orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    shards = sizes.groupBy("shard").agg(F.sum("_n").alias("_n")) \
-        .select("shard", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shard_start"))
-    within = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("shard", "block", F.coalesce(F.sum("_n").over(within), F.lit(0)).alias("_start")).join(shards, "shard") \
-        .select("shard", "block", (F.col("_start") + F.col("_shard_start")).alias("start"))
+    # One number per shard is gathered, as many as the write had tasks; blocks are read where they lie.
+    held = F.col("start") + F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)
+    totals = sorted((r.shard, r.n) for r in blocks.groupBy("shard").agg(F.max(held).alias("n")).collect())
+    before = dict(zip([s for s, _ in totals], np.cumsum([0, *(n for _, n in totals)]).tolist()))
     ids = [r.id for r in spark.read.parquet(f"{path}/ranks.parquet").orderBy("rank").select("id").collect()]
-    id_of = spark.sparkContext.broadcast(np.array(ids, np.uint32))
+    known = spark.sparkContext.broadcast((np.array(ids, np.uint32), before))
 
     def open_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        id_of, base = known.value
         for batch in batches:
             for row in range(batch.num_rows):
                 one = {c: batch.column(c)[row].as_py() for c in batch.schema.names}
                 counts = np.array(one["counts"], np.int64)
-                numbers = id_of.value[unpack(one["control"], one["data"], int(counts.sum()))].astype("<u4")
+                numbers = id_of[unpack(one["control"], one["data"], int(counts.sum()))].astype("<u4")
                 ends = np.cumsum(counts)
                 raw = [numbers[e - c:e].tobytes() for c, e in zip(counts.tolist(), ends.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(one["doc_ids"], pa.int64()), pa.array([one["shard"]] * len(raw), pa.int32()),
-                     pa.array([one["block"]] * len(raw), pa.int32()), pa.array(ends - counts, pa.int64()),
-                     pa.array(raw, pa.binary())], ["doc_id", "shard", "block", "_at", "ids"])
-    opened = blocks.mapInArrow(open_, "doc_id long, shard int, block int, _at long, ids binary")
-    return opened.join(starts, ["shard", "block"]).select("doc_id", (F.col("start") + F.col("_at")).alias("start"), "ids")
+                starts = base[one["shard"]] + one["start"] + ends - counts
+                yield pa.RecordBatch.from_arrays([pa.array(one["doc_ids"], pa.int64()), pa.array(starts), pa.array(raw, pa.binary())],
+                                                 ["doc_id", "start", "ids"])
+    return blocks.mapInArrow(open_, "doc_id long, start long, ids binary")
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
