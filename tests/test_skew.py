@@ -1,5 +1,7 @@
 """Groups that hold a large part of the rows, against brute force."""
 
+from functools import reduce
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -92,3 +94,25 @@ def test_folds_of_a_hot_date(spark):
     folds = lem.fold_days(spark.createDataFrame(days), 5).orderBy("date").collect()
     numbers = [r.fold for r in folds]
     assert numbers == sorted(numbers) and numbers[0] == 0 and numbers[-1] == 5
+
+
+def test_most_rows_of_a_key_in_one_day(spark):
+    """Ticks of a busy key are cut within the day, down to where a slice is small."""
+    from tickframe.operators import series
+    ticks = spark.range(12_000).select(
+        F.when(F.col("id") % 12 == 0, 2).otherwise(1).alias("stock_id"),
+        F.expr("timestampadd(MICROSECOND, id * 700, timestamp'2001-01-02 09:00:00')").alias("at"),
+        (F.pmod(F.hash("id"), F.lit(500)) / 10).alias("v"))
+    sliced = series.fine_slices(ticks, 300, order="at")
+    assert sliced.count() == 12_000
+    assert sliced.groupBy("stock_id", "_slice").count().agg(F.max("count")).first()[0] <= 1_500
+    pieces = series.split_series(ticks, None, rows=1_000, halo=20, order="at")
+    assert pieces.groupBy("stock_id", "piece").count().agg(F.max("count")).first()[0] <= 1_020
+    options = {"fast_sma": 50, "slow_sma": 200, "rsi_length": 14, "macd_spans": (12, 26, 9), "order": "at"}
+    cut = series.indicators(ticks, "v", piece_rows=1_000, **options)
+    whole = series.indicators(ticks, "v", slice_of=F.lit(0), piece_rows=100_000, **options)
+    names = ["sma_fast", "sma_slow", "rsi", "macd_value", "macd_signal"]
+    both = cut.join(whole.withColumnsRenamed({n: f"w_{n}" for n in names}), ["stock_id", "at", "v"])
+    apart = F.greatest(*(F.coalesce(F.abs(F.col(n) - F.col(f"w_{n}")), F.lit(0.0)) for n in names))
+    missing = F.count_if(reduce(lambda a, b: a | b, (F.col(n).isNull() != F.col(f"w_{n}").isNull() for n in names)))
+    assert tuple(both.agg(F.count("*"), missing, F.max(apart) < 1e-6).first()) == (12_000, 0, True)

@@ -231,7 +231,10 @@ def test_jdbc_options():
     from tickframe.sources import jdbc
     options = jdbc.read_options("jdbc:x", "bars", partitions=8, bounds=(1, 1000))
     assert options["numPartitions"] == "8" and options["partitionColumn"] == "stock_id"
-    assert "partitionColumn" not in jdbc.read_options("jdbc:x", "stocks")
+    assert int(jdbc.read_options("jdbc:x", "stocks", bounds=(1, 50))["numPartitions"]) > 1
+    with pytest.raises(TypeError):
+        jdbc.read_options("jdbc:x", "stocks")
+    assert jdbc.bounds_query("bars") == "select min(stock_id) as low, max(stock_id) as high from bars"
 
 
 def test_features_by_since_equal_a_full_run(spark, root, tmp_path):

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickframe.schemas import SIGNALS
-from tickframe.session import shared_dir, stage
+from tickframe.session import shared_dir, stage, staged
 
 LABEL = "target"
 SEED = 42
@@ -71,15 +71,15 @@ def single_rows(panel: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def fold_counts(panel: DataFrame, splits: int = SPLITS) -> DataFrame:
     """Training counts per fold. Rows become counts per date before they are
     joined with the folds, so only combinations move, not rows."""
-    daily = stage(training_counts(panel, ["date"]), "daily-counts")
-    folds = fold_days(daily.groupBy("date").agg(F.sum("weight").alias("n")), splits)
-    keys = ["fold", *(c for c in daily.columns if c not in ("date", "weight"))]
-    return daily.join(folds, "date").groupBy(*keys).agg(F.sum("weight").alias("weight"))
+    with staged(training_counts(panel, ["date"]), "daily-counts") as daily:
+        folds = fold_days(daily.groupBy("date").agg(F.sum("weight").alias("n")), splits)
+        keys = ["fold", *(c for c in daily.columns if c not in ("date", "weight"))]
+        return stage(daily.join(folds, "date").groupBy(*keys).agg(F.sum("weight").alias("weight")), "fold-counts")
 
 
-def estimator(**params) -> Pipeline:
+def estimator(features: Sequence[str] = SIGNALS, **params) -> Pipeline:
     trees = GBTClassifier(featuresCol="signals", labelCol=LABEL, weightCol="weight", seed=SEED, **params)
-    return Pipeline(stages=[VectorAssembler(inputCols=list(SIGNALS), outputCol="signals"), trees])
+    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="signals"), trees])
 
 
 def fit(counts: DataFrame, **params) -> PipelineModel:
@@ -117,7 +117,7 @@ def grid_search(panel: DataFrame, grid: Mapping[str, Sequence] = GRID, splits: i
     one number per setting and fold.
     """
     spark = panel.sparkSession
-    counts = stage(fold_counts(panel, splits), "fold-counts").coalesce(spark.sparkContext.defaultParallelism).persist()
+    counts = fold_counts(panel, splits).coalesce(spark.sparkContext.defaultParallelism).persist()
     names = list(grid)
     sampled = any(r < 1 for r in grid.get("subsamplingRate", []))
     rows = stage(single_rows(time_folds(panel, splits), ["fold"]), "fold-rows") if sampled else None

@@ -382,7 +382,26 @@ def since_with_halo(df: DataFrame, since, halo: int, *, by: Sequence[str] = KEY,
     return kept.filter(F.col(order) >= F.least("_from", since)).drop("_from")
 
 
-def split_series(df: DataFrame, slice_of: Column, *, rows: int, halo: int, ahead: int = 0,
+def fine_slices(df: DataFrame, rows: int, *, by: Sequence[str] = KEY, order: str = ORDER) -> DataFrame:
+    """Adds ``_slice``: the day of a timestamp, or, on days where a key has more
+    than ``rows`` rows, the second, and where a second has more, the microsecond.
+
+    Counts are combined before the exchange; only slices that are too large are
+    joined back, to be cut finer.
+    """
+    out = df.withColumn("_slice", F.date_trunc("day", order))
+    for finer in (F.date_trunc("second", order), F.col(order).cast("timestamp")):
+        large = out.groupBy(*by, "_slice").agg(F.count("*").alias("_n")).filter(F.col("_n") > rows) \
+            .select(*(F.col(k).alias(f"_l_{k}") for k in by), F.col("_slice").alias("_l_slice"), F.lit(True).alias("_large"))
+        match = F.col("_slice") == F.col("_l_slice")
+        for k in by:
+            match &= F.col(k) == F.col(f"_l_{k}")
+        out = out.join(large, match, "left").withColumn("_slice", F.when(F.col("_large"), finer).otherwise(F.col("_slice"))) \
+            .select(*df.columns, "_slice")
+    return out
+
+
+def split_series(df: DataFrame, slice_of: Column | None, *, rows: int, halo: int, ahead: int = 0,
                  by: Sequence[str] = KEY, order: str = ORDER) -> DataFrame:
     """Cuts each key into pieces of ``rows`` positions, each with the ``halo``
     rows before and the ``ahead`` rows after it, and adds ``piece`` and ``is_halo``.
@@ -394,13 +413,14 @@ def split_series(df: DataFrame, slice_of: Column, *, rows: int, halo: int, ahead
     (``block_size``).
 
     ``slice_of`` maps the order column to coarse, increasing slices that one
-    task can sort, such as a day for timestamps. Row counts per slice are
-    combined before the exchange; only their small table is scanned per key.
-    ``df`` is read twice, so pass a stored table where it is costly.
+    task can sort; None finds them for timestamps from the counts. Row counts
+    per slice are combined before the exchange; only their small table is
+    scanned per key. ``df`` is read several times, so pass a stored table where
+    it is costly.
     """
     if halo > rows or ahead > rows:
         raise ValueError("halo and ahead must not exceed rows")
-    sliced = df.withColumn("_slice", slice_of)
+    sliced = fine_slices(df, rows, by=by, order=order) if slice_of is None else df.withColumn("_slice", slice_of)
     counts = sliced.groupBy(*by, "_slice").agg(F.count("*").alias("_rows"))
     before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*by, "_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
@@ -417,17 +437,17 @@ def split_series(df: DataFrame, slice_of: Column, *, rows: int, halo: int, ahead
             .drop("_slice", "_start", "_at", "_home", "_off"))
 
 
-def natural_slice(df: DataFrame, order: str = ORDER) -> Column | None:
-    """None if keys may stay whole, else slices to cut them by.
+def stays_whole(df: DataFrame, order: str = ORDER) -> bool:
+    """Whether one task can hold a key whatever the table's size.
 
-    A DATE column allows one row per calendar day and key, which one task can
-    hold whatever the table's size. A timestamp sets no such bound.
+    A DATE column allows one row per calendar day and key. A timestamp sets no
+    such bound, and its keys are cut by slices found from the counts.
     """
     kind = df.schema[order].dataType
     if isinstance(kind, T.DateType):
-        return None
+        return True
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.to_date(order)
+        return False
     raise ValueError(f"give slice_of for {order!r} ({kind.simpleString()}): slices that one task can sort")
 
 
@@ -438,8 +458,7 @@ def piecewise(df: DataFrame, work: Callable[[DataFrame, Sequence[str]], DataFram
 
     ``halo`` and ``ahead`` are how many rows the work looks back and forward.
     """
-    slice_of = natural_slice(df, order) if slice_of is None else slice_of
-    if slice_of is None:
+    if slice_of is None and stays_whole(df, order):
         return work(df, list(by))
     rows = max(piece_rows, halo, ahead)
     pieces = split_series(df, slice_of, rows=rows, halo=halo, ahead=ahead, by=by, order=order)

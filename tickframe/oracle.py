@@ -187,6 +187,30 @@ STEPS = {
         from train_days""",
 }
 
+# Queries of the learned score: a stump, one split whose halves score by their share of positive labels.
+STUMP_STEPS = {
+    "labels": """
+        select trend_signal as t, macd_score as m, 2e0 * target - 1 as y from panel where date <= date '1999-12-31'""",
+    "cuts": """
+        select 0 as feature, -0.5e0 as cut union all select 0, 0.5e0 union all select 1, 50e0""",
+    "halves": """
+        select feature, cut, case when feature = 0 then t else m end <= cut as low, count(*) as n, sum(y) as s
+        from labels cross join cuts group by all""",
+    "gains": """
+        select feature, cut, sum(s * s / n) as gain from halves group by feature, cut having count(*) = 2""",
+    "split": "select feature, cut from gains order by gain desc, feature, cut limit 1",
+    "leaves": """
+        select low, 100e0 / (1 + exp(-2 * s / n)) as score from halves join split using (feature, cut)""",
+    "with_lem": """
+        select p.*, l.score as lem_score from panel p cross join split x
+        join leaves l on l.low = (case when x.feature = 0 then p.trend_signal else p.macd_score end <= x.cut)""",
+    "lem_latest": """
+        select p.*, l.score as lem_score from latest p cross join split x
+        join leaves l on l.low = (case when x.feature = 0 then p.trend_signal else p.macd_score end <= x.cut)""",
+}
+STUMP_STRATEGY = """
+        union all select 'lem', date, symbol, daily_return, lem_score from with_lem where date >= date '2000-01-01'"""
+
 _DOUBLE_BAR = """cast(open_price as double) as open_price, cast(high_price as double) as high_price,
     cast(low_price as double) as low_price, cast(close_price as double) as close_price,
     cast(adjusted_close_price as double) as adjusted_close_price, volume"""
@@ -442,26 +466,51 @@ FINAL = {
         from panel p join train_folds f on f.date = p.date group by all""",
     "lem_score_checks": """select symbol, count(*) as scored, cast(0 as bigint) as out_of_range,
         cast(0 as bigint) as differing from test_rows group by symbol""",
+    "importance_checks": "select cast(3 as bigint) as features, 1e0 as total, cast(0 as bigint) as negative from bars limit 1",
+    "lem_tuned": """select cast(4 as bigint) as settings, cast(0 as bigint) as bad_f1, count(*) as scored,
+        cast(0 as bigint) as bad_scores, true as best_refitted from test_rows""",
     "training_counts": """select trend_signal, momentum_score, macd_score, target, cast(count(*) as double) as weight
         from panel where date <= date '1999-12-31' group by all""",
 }
 
 
-def _uses(sql: str) -> list[str]:
-    """The steps a statement reads, directly or through others, in order."""
+# The same reports with the stump's score among the strategies.
+STUMP_FINAL = {
+    "lem_stump_scores": """select symbol, date, round(lem_score, 9) as lem_score from with_lem
+        where date >= date '2000-01-01'""",
+    "lem_stump_importance": """select f.feature, case when x.feature = f.n then 1e0 else 0e0 end as importance
+        from (values (0, 'trend_signal'), (1, 'macd_score'), (2, 'momentum_score')) f(n, feature) cross join split x""",
+    "lem_stump_top5": """
+        , models as (select *, she_score as s, 'SHE' as model_type from lem_latest
+          union all select *, lem_score as s, 'LEM' as model_type from lem_latest),
+        ranked as (select *, row_number() over (partition by model_type order by s desc, symbol) as place from models)
+        select (select max(date) from lem_latest) as date, date as data_date, cast(place as integer) as rank, stock_id,
+               round(s, 6) as score, model_type from ranked where place <= 5""",
+    "lem_stump_returns": FINAL["base_strategy_returns"],
+    "lem_stump_metrics": FINAL["metrics"],
+    "lem_stump_summary": FINAL["strategy_summary"],
+    "lem_stump_significance": _WELCH.replace("'macd'", "'#'").replace("'she'", "'lem'").replace("'#'", "'she'"),
+    "lem_stump_equity_curve": FINAL["equity_curve"].replace("select ", "select max(case when strategy = 'lem' then round(equity, 6) end) as lem, ", 1),
+}
+
+
+def _statement(final: str, steps: dict[str, str]) -> str:
+    """``final`` after the steps it reads, directly or through others, in order."""
     found: set[str] = set()
-    todo = [sql]
+    todo = [final]
     while todo:
         words = set(re.findall(r"[a-z_0-9]+", todo.pop()))
-        fresh = {name for name in STEPS if name in words} - found
+        fresh = {name for name in steps if name in words} - found
         found |= fresh
-        todo += [STEPS[name] for name in fresh]
-    return [name for name in STEPS if name in found]
+        todo += [steps[name] for name in fresh]
+    texts = ",\n".join(f"{name} as ({steps[name]})" for name in steps if name in found)
+    return f"with recursive {texts}\n{final}"
 
 
 def statements() -> dict[str, str]:
-    out = {}
-    for name, final in FINAL.items():
-        steps = ",\n".join(f"{step} as ({STEPS[step]})" for step in _uses(final))
-        out[name] = f"with recursive {steps}\n{final}"
-    return out
+    out = {name: _statement(final, STEPS) for name, final in FINAL.items()}
+    # The stump's steps come after the panel they read, and before the strategies that they join.
+    before = dict(list(STEPS.items())[:list(STEPS).index("by_strategy")])
+    after = dict(list(STEPS.items())[list(STEPS).index("by_strategy"):])
+    steps = {**before, **STUMP_STEPS, **after, "by_strategy": STEPS["by_strategy"] + STUMP_STRATEGY}
+    return out | {name: _statement(final, steps) for name, final in STUMP_FINAL.items()}

@@ -13,7 +13,7 @@ from tickframe import schemas as S
 from tickframe.functions import scores
 from tickframe.operators import model as lem
 from tickframe.operators import returns
-from tickframe.session import stage
+from tickframe.session import stage, staged
 
 BASE_STRATEGIES = {
     "she": "she_score",
@@ -35,8 +35,10 @@ def simulate(panel: DataFrame, strategies: Mapping[str, str] = BASE_STRATEGIES,
              n: int = S.PORTFOLIO_SIZE, model: PipelineModel | None = None) -> DataFrame:
     """Daily returns of the strategies and the benchmark.
 
-    The scored rows are written once, since ranking and benchmark both read them.
+    The scored rows are written aside while ranking and benchmark read them; the
+    returns, a row per day and strategy, stay for all reports.
     """
     scored = scored_panel(panel, start, model, with_lem="lem_score" in strategies.values())
     columns = list(dict.fromkeys(["date", "symbol", "daily_return", *strategies.values()]))
-    return returns.strategy_returns(stage(scored.select(*columns), "scored"), strategies, n)
+    with staged(scored.select(*columns), "scored") as rows:
+        return stage(returns.strategy_returns(rows, strategies, n), "returns")

@@ -20,7 +20,7 @@ from tickframe.operators import curves, metrics, quality, ranking, returns, seri
 from tickframe.operators import model as lem
 from tickframe.plans import backtest, context, daily
 from tickframe.plans import features as plans
-from tickframe.session import new_path, stage
+from tickframe.session import new_path, stage, stage_once
 from tickframe.sources import landing, tables
 from tickframe.sources import testdata as data
 from tickframe.streaming import ingest
@@ -30,6 +30,8 @@ TEST_START = dt.date(2000, 1, 1)
 STORED_UNTIL = dt.date(1999, 1, 1)
 STRATEGIES = backtest.BASE_STRATEGIES
 SERIES = [*STRATEGIES, returns.BENCHMARK]
+# The smallest setting of the tuning grid.
+SMALLEST = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 3}
 # A second score that SQL can follow, in the place of the learned one.
 STAND_IN = {"SHE": "she_score", "LEM": "momentum_score"}
 
@@ -57,7 +59,8 @@ def panel(spark, root):
 
 
 def base_returns(spark, root):
-    return backtest.simulate(panel(spark, root), STRATEGIES, start=TEST_START)
+    """Daily returns, staged once per session: every report reads the small table."""
+    return stage_once(spark, (root, "base-returns"), lambda: backtest.simulate(panel(spark, root), STRATEGIES, start=TEST_START))
 
 
 def latest_scored(spark, root):
@@ -558,7 +561,7 @@ def trained(spark: SparkSession, root: str):
     with _model_lock:
         if key not in _models:
             path = new_path(spark, "model")
-            lem.save(lem.train(_split(spark, root)[0], maxIter=20, stepSize=0.1, maxDepth=3), path)
+            lem.save(lem.train(_split(spark, root)[0], **SMALLEST), path)
             _models[key] = path
     return lem.load(_models[key])
 
@@ -584,8 +587,8 @@ def lem_top5(spark, root):
 
 
 def _lem_returns(spark, root):
-    return backtest.simulate(panel(spark, root), backtest.ALL_STRATEGIES, start=TEST_START,
-                             model=trained(spark, root))
+    return stage_once(spark, (root, "lem-returns"), lambda: backtest.simulate(
+        panel(spark, root), backtest.ALL_STRATEGIES, start=TEST_START, model=trained(spark, root)))
 
 
 def lem_metrics(spark, root):
@@ -604,16 +607,89 @@ def lem_equity_curve(spark, root):
     return curves.equity_curve(_lem_returns(spark, root), ["lem", "she", returns.BENCHMARK])
 
 
+def _search(spark, root):
+    return lem.grid_search(_split(spark, root)[0], {"maxIter": [10, 20], "stepSize": [0.1], "maxDepth": [3],
+                                                    "subsamplingRate": [0.8, 1.0]})
+
+
 def lem_cv(spark, root):
-    table, _ = lem.grid_search(_split(spark, root)[0], {"maxIter": [3, 6], "stepSize": [0.1], "maxDepth": [3],
-                                      "subsamplingRate": [0.8, 1.0]})
-    return table
+    """Four settings with fewer trees than the full grid, which runs on demand."""
+    return _search(spark, root)[0]
+
+
+def lem_tuned(spark, root):
+    """Checks of a search and the model refitted with its best setting."""
+    panel_rows_, test = _split(spark, root)
+    table, best = _search(spark, root)
+    model = lem.train(panel_rows_, **best)
+    scored = lem.score_by_table(test, model)
+    settings = table.groupBy().agg(F.count("*").alias("settings"), F.count_if(~F.col("mean_f1").between(0, 1)).alias("bad_f1"),
+                                   F.max("mean_f1").alias("top"))
+    chosen = table.filter(" and ".join(f"{k} = {v}" for k, v in best.items())).select(F.col("mean_f1").alias("chosen"))
+    held = scored.groupBy().agg(F.count("lem_score").alias("scored"),
+                                F.count_if(~F.col("lem_score").between(0, 100)).alias("bad_scores"))
+    one = settings.join(chosen, F.col("chosen") == F.col("top")).select("settings", "bad_f1", F.lit(1).alias("k"))
+    return one.join(held.withColumn("k", F.lit(1)), "k").select(
+        "settings", "bad_f1", "scored", "bad_scores", F.lit(model.stages[-1].getNumTrees == best["maxIter"]).alias("best_refitted"))
+
+
+# A learned score that SQL can follow in full: one tree of one split on trend and MACD.
+
+def stump(spark, root):
+    return lem.train(_split(spark, root)[0], features=["trend_signal", "macd_score"], maxIter=1, maxDepth=1)
+
+
+def _stump_returns(spark, root):
+    return stage_once(spark, (root, "stump-returns"), lambda: backtest.simulate(
+        panel(spark, root), backtest.ALL_STRATEGIES, start=TEST_START, model=stump(spark, root)))
+
+
+def lem_stump_scores(spark, root):
+    rows = lem.score_by_table(_split(spark, root)[1], stump(spark, root))
+    return plain(rows.select("symbol", "date", "lem_score"), 9)
+
+
+def lem_stump_importance(spark, root):
+    return plain(lem.importance(spark, stump(spark, root)), 9)
+
+
+def lem_stump_top5(spark, root):
+    scored = lem.score(latest_scored(spark, root), stump(spark, root))
+    ranked = ranking.recommend(scored, {"SHE": "she_score", "LEM": "lem_score"})
+    return plain(ranked.select("date", "data_date", "rank", "stock_id", "score", "model_type"), 6)
+
+
+def lem_stump_returns(spark, root):
+    return plain(_stump_returns(spark, root), 9)
+
+
+def lem_stump_metrics(spark, root):
+    return plain(metrics.performance(_stump_returns(spark, root)), 6)
+
+
+def lem_stump_summary(spark, root):
+    return metrics.summary(metrics.performance(_stump_returns(spark, root), neutral_benchmark=True))
+
+
+def lem_stump_significance(spark, root):
+    return plain(metrics.welch(_stump_returns(spark, root), "lem", "she"), 6)
+
+
+def lem_stump_equity_curve(spark, root):
+    return plain(curves.equity_curve(_stump_returns(spark, root), ["lem", *SERIES]), 6)
 
 
 def feature_importance(spark, root):
     return lem.importance(spark, trained(spark, root), lem.REPORT_NAMES)
 
 
+def importance_checks(spark, root):
+    """The importances of the trees are three shares of one, highest first."""
+    rows = feature_importance(spark, root)
+    return rows.groupBy().agg(F.count("*").alias("features"), F.round(F.sum("importance"), 9).alias("total"),
+                              F.count_if(F.col("importance") < 0).alias("negative"))
+
+
 QUERIES = {
     "clean_bars": clean_bars,
     "rejects": rejects,
@@ -694,5 +770,15 @@ QUERIES = {
     "lem_significance": lem_significance,
     "lem_equity_curve": lem_equity_curve,
     "lem_cv": lem_cv,
+    "lem_tuned": lem_tuned,
+    "importance_checks": importance_checks,
+    "lem_stump_scores": lem_stump_scores,
+    "lem_stump_importance": lem_stump_importance,
+    "lem_stump_top5": lem_stump_top5,
+    "lem_stump_returns": lem_stump_returns,
+    "lem_stump_metrics": lem_stump_metrics,
+    "lem_stump_summary": lem_stump_summary,
+    "lem_stump_significance": lem_stump_significance,
+    "lem_stump_equity_curve": lem_stump_equity_curve,
     "feature_importance": feature_importance,
 }

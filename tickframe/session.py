@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,17 +37,21 @@ def shared_dir(spark: SparkSession) -> str:
         if not context.getCheckpointDir():
             context.setCheckpointDir(named)
         return named.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="tickframe-"))
     return context.getCheckpointDir().rstrip("/")
 
 
-def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/tickframe/{label}-{uuid.uuid4().hex}"
+_staged: dict[str, list[str]] = {}
+_made: dict[tuple, DataFrame] = {}
 
 
-_staged: dict[str, list[str]] = {}
+def new_path(spark: SparkSession, label: str) -> str:
+    """A folder of its own below the shared one; ``drop_staged`` deletes it."""
+    path = f"{shared_dir(spark)}/tickframe/{label}-{uuid.uuid4().hex}"
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -59,26 +64,39 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """``stage`` for the length of one job."""
-    paths = _staged.setdefault(df.sparkSession.sparkContext.applicationId, [])
-    table = stage(df, label)
-    path = paths[-1]
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    df.write.parquet(path)
     try:
-        yield table
+        yield spark.read.schema(df.schema).parquet(path)
     finally:
-        _delete(df.sparkSession, path)
-        paths.remove(path)
+        _delete(spark, path)
+        _staged[spark.sparkContext.applicationId].remove(path)
+
+
+def stage_once(spark: SparkSession, key: tuple, make: Callable[[], DataFrame]) -> DataFrame:
+    """``make()`` staged by the first call with ``key``; later calls read what it wrote.
+
+    For small results that several reports of a session share.
+    """
+    key = (spark.sparkContext.applicationId, *key)
+    if key not in _made:
+        _made[key] = stage(make(), str(key[-1]))
+    return _made[key]
 
 
 def drop_staged(spark: SparkSession) -> None:
     """Deletes what this application staged; results built on it are then gone."""
-    for path in _staged.pop(spark.sparkContext.applicationId, []):
+    application = spark.sparkContext.applicationId
+    for key in [k for k in _made if k[0] == application]:
+        del _made[key]
+    for path in _staged.pop(application, []):
         _delete(spark, path)
 
 
