@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import os
 import string
+import zlib
 from collections.abc import Iterator
 from itertools import chain
 
@@ -37,15 +38,15 @@ from tickframe.session import new_path
 
 END_ID = 2
 BLOCK_IDS = 1 << 19
-SLICE = 12 << 20
+SLICE = 32 << 20
 JOINED_WORDS = 1 << 15
 # Texts are cut into words here only if they hold nothing but these characters, whose classes are the same
 # in every version of Unicode, and no two white-space characters of which the second is a space.
 UNSURE = r"[^\t\n\r\x20-\x7e\x{a1}-\x{ac}\x{ae}-\x{24f}]|[\t\n\r ] "
 
-LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
-OFFSETS = np.cumsum(LENGTHS, axis=1) - LENGTHS
-TOTALS = LENGTHS.sum(axis=1)
+LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1).astype(np.uint8)
+OFFSETS = (np.cumsum(LENGTHS, axis=1) - LENGTHS).astype(np.int32)
+TOTALS = LENGTHS.sum(axis=1, dtype=np.int32)
 
 
 # ---- the coding
@@ -55,11 +56,14 @@ def pack(numbers: np.ndarray) -> tuple[bytes, bytes]:
     n = len(numbers)
     padded = np.zeros(-(-n // 4) * 4, np.uint32)
     padded[:n] = numbers
-    lengths = 1 + (padded > 0xFF).astype(np.uint8) + (padded > 0xFFFF) + (padded > 0xFFFFFF)
-    quads = (lengths - 1).reshape(-1, 4)
-    control = (quads << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    wide = padded.astype("<u4").view(np.uint8).reshape(-1, 4)
-    data = wide[np.arange(4) < lengths[:, None]]
+    most = max(1, -(-int(padded.max(initial=0)).bit_length() // 8))
+    more = np.zeros(len(padded), np.uint8)
+    for k in range(1, most):
+        more += padded >= 1 << 8 * k
+    quads = more.reshape(-1, 4)
+    control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
+    wide = padded.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :most]
+    data = wide[np.arange(most, dtype=np.uint8) <= more[:, None]]
     # The padding took one byte each at the end.
     return control.tobytes(), data[:len(data) - (len(padded) - n)].tobytes()
 
@@ -67,7 +71,8 @@ def pack(numbers: np.ndarray) -> tuple[bytes, bytes]:
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The ``n`` numbers of ``pack``, by table lookup."""
     codes = np.frombuffer(control, np.uint8)
-    starts = np.cumsum(TOTALS[codes]) - TOTALS[codes]
+    sizes = TOTALS[codes]
+    starts = np.cumsum(sizes, dtype=np.int64 if len(data) >= 1 << 30 else np.int32) - sizes
     at = (starts[:, None] + OFFSETS[codes]).reshape(-1)[:n]
     lengths = LENGTHS[codes].reshape(-1)[:n]
     raw = np.frombuffer(data + b"\0\0\0", np.uint8)
@@ -268,8 +273,12 @@ def write(tokens: DataFrame, path: str, block_ids: int = BLOCK_IDS, width: str =
     ordered.mapInArrow(code, kind).write.option("compression", "zstd").parquet(f"{path}/blocks.parquet")
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start (numbers of all documents before it) and ids (binary) of every document."""
+def read(spark: SparkSession, path: str, checksums: bool = False) -> DataFrame:
+    """doc_id, start (numbers of all documents before it) and ids (binary) of every document.
+
+    With ``checksums``, n_tokens and ids_crc32 (of the ids as little-endian
+    unsigned 32-bit integers) stand in the place of the ids.
+    """
     blocks = spark.read.parquet(f"{path}/blocks.parquet")
     # One number per shard is gathered, as many as the write had tasks; blocks are read where they lie.
     held = F.col("start") + F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)
@@ -288,9 +297,14 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 ends = np.cumsum(counts)
                 raw = [numbers[e - c:e].tobytes() for c, e in zip(counts.tolist(), ends.tolist())]
                 starts = base[one["shard"]] + one["start"] + ends - counts
-                yield pa.RecordBatch.from_arrays([pa.array(one["doc_ids"], pa.int64()), pa.array(starts), pa.array(raw, pa.binary())],
-                                                 ["doc_id", "start", "ids"])
-    return blocks.mapInArrow(open_, "doc_id long, start long, ids binary")
+                if checksums:
+                    made = {"n_tokens": pa.array(counts), "ids_crc32": pa.array([zlib.crc32(x) for x in raw], pa.int64())}
+                else:
+                    made = {"ids": pa.array(raw, pa.binary())}
+                yield pa.RecordBatch.from_arrays([pa.array(one["doc_ids"], pa.int64()), pa.array(starts), *made.values()],
+                                                 ["doc_id", "start", *made])
+    kind = "n_tokens long, ids_crc32 long" if checksums else "ids binary"
+    return blocks.mapInArrow(open_, f"doc_id long, start long, {kind}")
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
@@ -304,6 +318,4 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     tokens = new_path(spark, "tokens")
     tokenize(docs, path, width=width).write.option("compression", "zstd").parquet(tokens)
     write(spark.read.parquet(tokens), folder, width=width)
-    return read(spark, folder).select(
-        "doc_id", F.col("start").cast("long").alias("start"), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.crc32("ids").alias("ids_crc32"))
+    return read(spark, folder, checksums=True)
