@@ -64,8 +64,16 @@ def main() -> None:
     timed("daily_ingest", lambda: daily.ingest(spark, db, landed))
     timed("daily_ingest_again", lambda: daily.ingest(spark, db, landed))
     timed("daily_features", lambda: daily.build_features(spark, db))
-    timed("daily_features_since", lambda: daily.build_features(spark, db, since=dt.date(2001, 10, 1)))
     timed("daily_rank", lambda: daily.rank(spark, db))
+    # A day's work after the first: the bars of the last weeks arrive in a second database.
+    later, since = new_path(spark, "db"), dt.date(2001, 10, 1)
+    stocks.write.parquet(f"{later}/stocks")
+    tables.bootstrap(spark, later)
+    daily.ingest(spark, later, landed.filter(F.col("Date") < since))
+    daily.build_features(spark, later)
+    timed("daily_ingest_since", lambda: daily.ingest(spark, later, landed))
+    timed("daily_features_since", lambda: daily.build_features(spark, later))
+    timed("daily_rank_since", lambda: daily.rank(spark, later))
     stored = tables.scan(spark, db, "features")
     timed("feature_scan", lambda: consume(plans.with_symbol(stored, stocks)))
 
@@ -85,10 +93,11 @@ def main() -> None:
     # Backtest reports, each from the stored panel
     panel = stage(plans.panel_from_bars(bars, stocks), "panel")
 
+    strategy_returns = timed("strategy_returns", lambda: backtest.simulate(panel, start=R.TEST_START))
+
     def returns():
-        return backtest.simulate(panel, start=R.TEST_START)
+        return strategy_returns
 
-    timed("strategy_returns", lambda: consume(returns()))
     timed("metrics", lambda: consume(metrics.performance(returns())))
     timed("equity_curve", lambda: consume(curves.equity_curve(returns(), R.SERIES)))
     timed("drawdown_curve", lambda: consume(curves.drawdown_curve(returns(), R.SERIES)))
@@ -97,7 +106,7 @@ def main() -> None:
 
     # The learned score
     trained = timed("lem_train", lambda: lem.train(panel.filter(F.col("date") <= R.TRAIN_END),
-                                                   maxIter=20, stepSize=0.1, maxDepth=3))
+                                                   **R.SMALLEST))
     timed("lem_scores", lambda: consume(lem.score_by_table(panel, trained)))
     timed("lem_metrics", lambda: consume(metrics.performance(backtest.simulate(
         panel, backtest.ALL_STRATEGIES, start=R.TEST_START, model=trained))))

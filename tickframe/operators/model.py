@@ -34,6 +34,8 @@ GRID = {
     "subsamplingRate": [0.7, 0.8, 1.0],
 }
 SPLITS = 5
+# The counted table has 120,012 rows at most, so trees are grown in few tasks.
+FIT_PARTITIONS = 2
 # The names of the signals in reports.
 REPORT_NAMES = {
     "trend_signal": "Trend Signal",
@@ -117,7 +119,7 @@ def grid_search(panel: DataFrame, grid: Mapping[str, Sequence] = GRID, splits: i
     one number per setting and fold.
     """
     spark = panel.sparkSession
-    counts = fold_counts(panel, splits).coalesce(spark.sparkContext.defaultParallelism).persist()
+    counts = fold_counts(panel, splits).coalesce(FIT_PARTITIONS).persist()
     names = list(grid)
     sampled = any(r < 1 for r in grid.get("subsamplingRate", []))
     rows = stage(single_rows(time_folds(panel, splits), ["fold"]), "fold-rows") if sampled else None
@@ -153,7 +155,7 @@ def train(panel: DataFrame, **params) -> PipelineModel:
     """One model of all rows of ``panel``; cut it to the training period first."""
     if params.get("subsamplingRate", 1.0) < 1:
         return fit(stage(single_rows(panel), "training-rows"), **params)
-    counts = training_counts(panel).persist()
+    counts = training_counts(panel).coalesce(FIT_PARTITIONS).persist()
     try:
         return fit(counts, **params)
     finally:
