@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -153,7 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
         for batch in slices(batches, "text", SLICE):
             made = Grams([(t or "").encode() for t in batch.column("text").to_pylist()], Words()).shares()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.compute.cast(batch.column("_quality"), pa.int32()),
+                [batch.column("doc_id"), pc.cast(batch.column("_quality"), pa.int32()),
                  pa.array([f.tobytes() for f, _ in made], pa.binary()),
                  pa.array([v.tobytes() for _, v in made], pa.binary())], ["doc_id", "quality", "ids", "shares"])
 

@@ -23,6 +23,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -152,7 +153,7 @@ def links(fps: DataFrame, bits: int = BITS, chunk: int = CHUNK, pivots: int = PI
             lists, chunks = batch.column("fps"), batch.column("chunks")
             flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             dealt = chunks.flatten().to_numpy(zero_copy_only=False)
-            bounds = np.r_[0, np.cumsum(pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))]
+            bounds = np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]
             table = pivot_table(flat, references)
             left, right, a, b = [], [], [], []
             for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
