@@ -20,21 +20,33 @@ HEAD, MIDDLE, END = "<|", "|>\n", "<|end|>\n"
 TRAINED_ROLE = "assistant"
 
 
-def sides(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Both conversations' turns (pair_id, turn, role, text) as rendered segments in order.
+KEY = ["pair_id", "side", "turn_key", "role", "digest"]
 
-    Null roles and texts are empty. Turns are ordered by turn (null first), then
-    role, then a digest of the text, so repeated rows are turns of their own and
-    ties do not depend on the order of rows. Rows without pair_id are left out.
+
+def rendered(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Both conversations' turns (pair_id, turn, role, text) as segments, with a key that is never null.
+
+    Null roles and texts are empty. Rows without pair_id are left out.
     """
     def of(df: DataFrame, side: str) -> DataFrame:
         role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
         return df.filter("pair_id IS NOT NULL").select(
-            "pair_id", F.lit(side).alias("side"), "turn", role.alias("role"), F.md5(F.encode(text, "UTF-8")).alias("digest"),
+            "pair_id", F.lit(side).alias("side"), F.coalesce(F.col("turn").cast("string"), F.lit("")).alias("turn_key"),
+            role.alias("role"), F.md5(F.encode(text, "UTF-8")).alias("digest"), "turn",
             F.concat(F.lit(HEAD), role, F.lit(MIDDLE), text, F.lit(END)).alias("segment"))
-    both = of(chosen, "chosen").unionByName(of(rejected, "rejected"))
-    return running_totals(both, ["pair_id", "side"], ["turn", "role", "digest"],
-                          {"position": F.lit(1), "offset": F.char_length("segment")}, "turns")
+    return of(chosen, "chosen").unionByName(of(rejected, "rejected"))
+
+
+def places(segments: DataFrame) -> DataFrame:
+    """Position and offset of each segment in its conversation; texts stay where they are.
+
+    Turns are ordered by turn (null first), then role, then a digest of the
+    text, so repeated rows are turns of their own and ties do not depend on the
+    order of rows.
+    """
+    narrow = segments.select(*KEY, "turn", F.char_length("segment").cast("long").alias("length"))
+    return running_totals(narrow, ["pair_id", "side"], ["turn", "role", "digest"],
+                          {"position": F.lit(1), "offset": F.col("length")}, "turns")
 
 
 def preference_pairs(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
@@ -43,28 +55,34 @@ def preference_pairs(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
     ``start`` is the segment's offset in its part in characters, mask_from and
     mask_to bound what is trained on (null where nothing is), ``n_prompt`` is
     the number of turns in the pair's prompt. A pair with one side only has no
-    prompt; equal sides are prompt alone. Empty tables give no rows.
+    prompt; equal sides are prompt alone. Empty tables give no rows. The two
+    tables are read twice: turns are compared by digests, and texts are moved
+    once, to the places found for them.
     """
-    turns = sides(chosen, rejected)
+    segments = rendered(chosen, rejected)
+    turns = places(segments)
     # A position that does not hold the same turn twice ends the prefix; the first one tells where.
     ends = turns.groupBy("pair_id", "position").agg(
         F.min("offset").alias("offset"),
         ((F.count("*") == 2) & (F.min("role") == F.max("role")) & (F.min("digest") == F.max("digest"))).alias("same")) \
         .filter(~F.col("same")).groupBy(F.col("pair_id").alias("_pair")) \
         .agg(F.min(F.struct("position", "offset")).alias("_end"))
-    joined = turns.join(ends, F.col("pair_id") == F.col("_pair"), "left")
+    # Equal sides have no end of the prefix: their prompt is as long as the pair.
+    whole = turns.filter("side = 'chosen'").groupBy(F.col("pair_id").alias("_whole")).agg(F.count("*").alias("_turns"))
     shared = F.col("_end").isNull() | (F.col("position") < F.col("_end.position"))
-    parts = joined.withColumn("_shared", shared).filter(~F.col("_shared") | (F.col("side") == "chosen")) \
-        .withColumn("part", F.when(F.col("_shared"), "prompt").otherwise(F.col("side"))) \
+    kept = turns.join(ends, F.col("pair_id") == F.col("_pair"), "left").join(whole, F.col("pair_id") == F.col("_whole"), "left") \
+        .withColumn("_shared", shared).filter(~F.col("_shared") | (F.col("side") == "chosen")) \
         .withColumn("start", F.col("offset") - F.when(F.col("_shared"), 0).otherwise(F.col("_end.offset")))
     trained = ~F.col("_shared") & (F.col("role") == TRAINED_ROLE)
-    # Equal sides have no end of the prefix: their prompt is as long as the pair.
-    whole = turns.filter("side = 'chosen'").groupBy(F.col("pair_id").alias("_whole")).agg(F.count("*").alias("_turns"))
-    return parts.join(whole, F.col("pair_id") == F.col("_whole"), "left").select(
-        "pair_id", "part", F.col("position").cast("int").alias("position"), "role", "segment", "start",
+    parts = kept.select(
+        *KEY, F.when(F.col("_shared"), "prompt").otherwise(F.col("side")).alias("part"),
+        F.col("position").cast("int").alias("position"), "start",
         F.when(trained, F.col("start") + F.char_length("role") + len(HEAD + MIDDLE)).alias("mask_from"),
-        F.when(trained, F.col("start") + F.char_length("segment")).alias("mask_to"),
+        F.when(trained, F.col("start") + F.col("length")).alias("mask_to"),
         F.coalesce("_end.position", "_turns").cast("int").alias("n_prompt"))
+    # Repeated rows are alike, so one text serves all their places.
+    texts = segments.select(*KEY, "segment").dropDuplicates(KEY)
+    return parts.join(texts, KEY).select("pair_id", "part", "position", "role", "segment", "start", "mask_from", "mask_to", "n_prompt")
 
 
 def with_other_answers(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
