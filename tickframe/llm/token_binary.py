@@ -25,7 +25,7 @@ import os
 import string
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,7 @@ END_ID = 2
 BLOCK_IDS = 1 << 19
 SLICE = 32 << 20
 JOINED_WORDS = 1 << 15
+KNOWN_WORDS = 400_000
 # Texts are cut into words here only if they hold nothing but these characters, whose classes are the same
 # in every version of Unicode, and no two white-space characters of which the second is a space.
 UNSURE = r"[^\t\n\r\x20-\x7e\x{a1}-\x{ac}\x{ae}-\x{24f}]|[\t\n\r ] "
@@ -104,6 +105,8 @@ class Tokens:
         self.by_words = described.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in described \
             and self.tokenizer.normalizer is None
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known: dict[str, int] = {}
+        self.flat, self.bounds = np.zeros(0, np.uint32), np.zeros(1, np.int64)
         # Tokens of such a vocabulary are spelled with one character per byte.
         vocabulary = self.tokenizer.get_vocab()
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -132,13 +135,34 @@ class Tokens:
             ends = pc.utf8_slice_codeunits(words.take(pa.array(at)), -n).dictionary_encode()
             which[at] = len(rests) + ends.indices.to_numpy()
             rests += ends.dictionary.to_pylist()
-        flat, bounds = self.joined(heads.dictionary)
+        flat, bounds = self.remembered(heads.dictionary)
         own, own_bounds = self.whole(rests)
         at = np.stack([heads.indices.to_numpy().astype(np.int64), len(heads.dictionary) + which], axis=1)
         flat, bounds = np.concatenate([flat, own]), np.r_[bounds, own_bounds[1:] + len(flat)]
         sizes = (bounds[at + 1] - bounds[at]).sum(axis=1)
         return gather(flat, bounds, at.ravel()), np.r_[0, np.cumsum(sizes)]
 
+    def remembered(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Like ``joined``, which gets only words not seen by an earlier slice of the process.
+
+        The first so many words are kept, frequent ones among them; the others
+        are encoded again when they come again.
+        """
+        texts = words.to_pylist()
+        at = np.fromiter(map(self.known.get, texts, repeat(-1)), np.int64, len(texts))
+        new = np.flatnonzero(at < 0)
+        flat, bounds = self.joined(words.take(pa.array(new)))
+        held = len(self.known)
+        at[new] = held + np.arange(len(new))
+        bounds = np.r_[self.bounds, len(self.flat) + bounds[1:]]
+        flat = np.concatenate([self.flat, flat])
+        keep = new[:max(0, KNOWN_WORDS - held)]
+        if len(keep):
+            self.known.update(zip([texts[k] for k in keep], range(held, held + len(keep))))
+            self.bounds = bounds[:held + len(keep) + 1].copy()
+            self.flat = flat[:self.bounds[-1]].copy()
+        return gather(flat, bounds, at), np.r_[0, np.cumsum(bounds[at + 1] - bounds[at])]
+
     def joined(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Like ``spaced``, as a few long texts: words are told apart by the bytes of the tokens."""
         if len(words) > JOINED_WORDS:
