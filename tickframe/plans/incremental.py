@@ -9,7 +9,7 @@ state are built anew from their whole history.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +20,7 @@ from tickframe.session import stage
 
 # Closes that the longest rolling window reaches back over; one more for the first change of price.
 HELD = max(S.SLOW_SMA, S.FAST_SMA, S.RSI_LENGTH + 1)
-RECENT = T.ArrayType(T.StructType(S.FEATURES.fields[1:]))
+RECENT = T.ArrayType(T.StructType([T.StructField(f.name, f.dataType) for f in S.FEATURES.fields[1:]]))
 STATE = T.StructType([
     T.StructField("stock_id", T.IntegerType()), T.StructField("date", T.DateType()),
     T.StructField("ema_fast", T.DoubleType()), T.StructField("ema_slow", T.DoubleType()),
@@ -105,15 +105,26 @@ def from_state(state: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
                              "sma_fast", "sma_slow", "rsi"), "new-rows")
     features = plans.as_stored(fresh.filter(F.col("date").isNotNull()))
 
-    last = fresh.filter(F.col("date").isNotNull()).groupBy("stock_id") \
-        .agg(F.max_by(F.struct("date", "ema_fast", "ema_slow", "macd_signal"), "date").alias("_last")).select("stock_id", "_last.*")
-    closes = series.last_rows(fresh.select("stock_id", "_pos", "close_price"), HELD, order="_pos").groupBy("stock_id") \
-        .agg(F.array_sort(F.collect_list(F.struct("_pos", "close_price"))).alias("_held"))
-    rows_seen = features.select(*S.FEATURES.names).unionByName(
-        state.select("stock_id", F.inline("recent")).select(*S.FEATURES.names))
-    after = last.join(closes, "stock_id").join(_recent(rows_seen), "stock_id", "left")
-    return features, after.select("stock_id", "date", "ema_fast", "ema_slow", "macd_signal",
-                                  F.col("_held.close_price").alias("closes"), "recent")
+    # One exchange for all that the next state holds; a key has its held closes and the new rows here.
+    fields = [F.col(c) for c in S.FEATURES.names[1:]]
+    new_rows = features.select("stock_id", F.lit(None).cast("int").alias("_pos"), F.lit(None).cast(S.PRICE).alias("close_price"),
+                               F.struct(*fields).alias("_feature"), F.lit(None).cast("struct<date:date,ema_fast:double,ema_slow:double,macd_signal:double>").alias("_means"))
+    means = F.when(F.col("date").isNotNull(), F.struct("date", "ema_fast", "ema_slow", "macd_signal"))
+    both = new_rows.unionByName(fresh.select("stock_id", "_pos", "close_price", F.lit(None).cast(RECENT.elementType).alias("_feature"),
+                                             means.alias("_means")))
+    grown = both.groupBy("stock_id").agg(
+        F.max("_means").alias("_last"), F.array_sort(F.collect_list("_feature")).alias("_features"),
+        F.array_sort(F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", "close_price")))).alias("_held"))
+    before = state.select(F.col("stock_id").alias("_known"), F.col("recent").alias("_recent"))
+    recent = F.concat(F.coalesce("_recent", F.array().cast(RECENT)), F.col("_features").cast(RECENT))
+    after = grown.join(before, F.col("stock_id") == F.col("_known"), "left") \
+        .select("stock_id", "_last.*", _end(F.col("_held.close_price"), HELD).alias("closes"), _end(recent, 2).alias("recent"))
+    return features, after.select(*STATE.names)
+
+
+def _end(array: Column, n: int) -> Column:
+    """The last ``n`` entries."""
+    return F.when(F.size(array) <= n, array).otherwise(F.slice(array, -n, n))
 
 
 # ---- the stored state: one folder per version, the newest complete one counts
