@@ -20,7 +20,7 @@ def duck():
 # Joins that pair all rows, and rows that leave the JVM.
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "MapInArrow", "Scan ExistingRDD")
 # Their results are put together on the driver: one row per setting, or per signal.
-FROM_DRIVER = {"lem_cv", "feature_importance", "seed_stocks"}
+FROM_DRIVER = {"lem_cv", "feature_importance", "importance_checks", "lem_stump_importance", "seed_stocks"}
 
 
 @pytest.mark.parametrize("name", list(registry.QUERIES))

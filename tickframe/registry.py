@@ -622,15 +622,15 @@ def lem_tuned(spark, root):
     panel_rows_, test = _split(spark, root)
     table, best = _search(spark, root)
     model = lem.train(panel_rows_, **best)
-    scored = lem.score_by_table(test, model)
-    settings = table.groupBy().agg(F.count("*").alias("settings"), F.count_if(~F.col("mean_f1").between(0, 1)).alias("bad_f1"),
-                                   F.max("mean_f1").alias("top"))
-    chosen = table.filter(" and ".join(f"{k} = {v}" for k, v in best.items())).select(F.col("mean_f1").alias("chosen"))
-    held = scored.groupBy().agg(F.count("lem_score").alias("scored"),
-                                F.count_if(~F.col("lem_score").between(0, 100)).alias("bad_scores"))
-    one = settings.join(chosen, F.col("chosen") == F.col("top")).select("settings", "bad_f1", F.lit(1).alias("k"))
-    return one.join(held.withColumn("k", F.lit(1)), "k").select(
-        "settings", "bad_f1", "scored", "bad_scores", F.lit(model.stages[-1].getNumTrees == best["maxIter"]).alias("best_refitted"))
+    settings = table.collect()
+    top = max(r.mean_f1 for r in settings)
+    chosen = [r.mean_f1 for r in settings if all(r[k] == v for k, v in best.items())]
+    refitted = chosen == [top] and model.stages[-1].getNumTrees == best["maxIter"]
+    held = lem.score_by_table(test, model).groupBy().agg(
+        F.count("lem_score").alias("scored"), F.count_if(~F.col("lem_score").between(0, 100)).alias("bad_scores"))
+    return held.select(F.lit(len(settings)).cast("long").alias("settings"),
+                       F.lit(sum(not 0 <= r.mean_f1 <= 1 for r in settings)).cast("long").alias("bad_f1"),
+                       "scored", "bad_scores", F.lit(refitted).alias("best_refitted"))
 
 
 # A learned score that SQL can follow in full: one tree of one split on trend and MACD.
