@@ -15,8 +15,8 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the fixed limits and the trained rule."""
-    return quality_rules.kept(docs, table(spark, sf_dir, "labels"))
+    """Documents that pass the fixed limits and the rule trained on the labelled rows of the whole table."""
+    return quality_rules.kept(docs, table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents"))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

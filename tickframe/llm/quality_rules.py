@@ -222,7 +222,12 @@ def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return judge(docs.select("doc_id", "text"), train(docs, labels)).drop("text")
 
 
-def kept(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that pass, with all their columns."""
+def kept(docs: DataFrame, labels: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """The documents that pass, with all their columns.
+
+    The model is fitted on the labelled rows of ``known`` (by default ``docs``):
+    where ``docs`` have been filtered by quality, too few bad ones are left in them.
+    """
     named = set_names(docs, "doc_id", "text")
-    return restore_names(judge(named, train(docs, labels)).filter("kept"), docs, "doc_id", "text")
+    model = train(docs if known is None else known, labels)
+    return restore_names(judge(named, model).filter("kept"), docs, "doc_id", "text")
