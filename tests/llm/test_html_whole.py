@@ -1,0 +1,14 @@
+"""Main text that must not be lost, and boilerplate that must not be kept."""
+
+import pytest
+
+from tickframe.llm.html_extraction import main_text
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<p>a <svg class="i"/> b</p><p>c</p>', "a b c"),
+    ('<article><svg class="i"/><p>one</p><svg><text>no</text></svg><p>two</p></article>', "one two"),
+    ("<article><p>a <math/> b</p><p>c</p></article>", "a b c"),
+    *((f"<article><p>a <{tag}>x</p><p>c</p></article>", "a c") for tag in ("object", "canvas", "noscript", "template", "svg", "math"))])
+def test_embedded_elements_end_with_their_parents(page, text):
+    assert main_text(page) == text

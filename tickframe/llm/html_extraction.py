@@ -27,7 +27,9 @@ from tickframe.llm.common import slices
 WINDOW = 3
 SHARE = 0.2
 # Fixed values of the HTML standard: elements by what they do to text.
-RAW = ("script", "style", "noscript", "template", "iframe", "object", "svg", "math", "canvas", "textarea", "title", "head")
+RAW = ("script", "style", "iframe", "textarea", "title", "head")
+# Set aside like menus, but without ending the stretch of text they stand in.
+EMBEDDED = {"svg", "math", "object", "canvas", "noscript", "template"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins",
           "kbd", "label", "mark", "q", "ruby", "rb", "rp", "rt", "s", "samp", "small", "span", "strike", "strong", "sub", "sup",
@@ -51,7 +53,7 @@ PARTS = re.compile(r"[^a-z0-9]+")
 
 def set_aside(tag: str, attributes: str) -> bool:
     """Whether an element holds something other than the article."""
-    if tag in ASIDE:
+    if tag in ASIDE or tag in EMBEDDED:
         return True
     if not attributes or tag in ("html", "body", "main"):
         return False
@@ -114,7 +116,7 @@ class Lines:
                     stack.append((tag, False, part))
                 else:
                     stack.append((tag, self.aside or aside, self.part))
-                if (aside and not self.part) or (main and stack[-1][2] != self.part):
+                if (aside and not self.part and tag not in EMBEDDED) or (main and stack[-1][2] != self.part):
                     self._gap()
                 self._state(stack)
         self._break()
@@ -132,7 +134,7 @@ class Lines:
         _, self.aside, self.part = stack[-1] if stack else ("", False, 0)
 
     def _leave(self, closed: list[tuple[str, bool, int]]) -> None:
-        if any(tag in ("article", "main") or (aside and not part) for tag, aside, part in closed):
+        if any(tag in ("article", "main") or (aside and not part and tag not in EMBEDDED) for tag, aside, part in closed):
             self._gap()
 
     def _gap(self) -> None:
