@@ -41,6 +41,13 @@ NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "spon
          "alert", "popup", "modal", "newsletter", "subscribe", "subscription", "comment", "comments", "disqus", "respond", "reply",
          "replies", "share", "sharing", "social", "related", "footer", "header", "masthead", "widget", "toolbar", "pagination",
          "login", "signup", "search"}
+# Names that say the same as the last part of a longer one (site-footer), and first parts that turn them round.
+HEADS = NAMES - {"ad", "alert", "comment", "header", "login", "notice", "promotion", "related", "reply", "respond", "search", "share",
+                 "sharing", "social", "sponsor", "subscription"}
+MODIFIERS = {"has", "have", "no", "not", "with", "without", "hide", "show", "is"}
+# Of what is set aside, only these may turn out to wrap the page: a menu or a discussion can be longer than its article.
+WRAPPERS = {"form", "fieldset"}
+DISCUSSION = {"comment", "comments", "disqus", "respond", "reply", "replies"}
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*>"
@@ -51,20 +58,29 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""
 PARTS = re.compile(r"[^a-z0-9]+")
 
 
-def set_aside(tag: str, attributes: str) -> bool:
-    """Whether an element holds something other than the article."""
+def named(token: str) -> str:
+    """The name that a class or id has for something other than the article, or nothing."""
+    if token in NAMES:
+        return token
+    parts = PARTS.split(token)
+    return parts[-1] if parts[-1] in HEADS and parts[0] not in MODIFIERS else ""
+
+
+def set_aside(tag: str, attributes: str) -> tuple[bool, bool]:
+    """Whether an element holds something other than the article, and whether that stands even if it holds most of the text."""
     if tag in ASIDE or tag in EMBEDDED:
-        return True
+        return True, tag not in WRAPPERS
     if not attributes or tag in ("html", "body", "main"):
-        return False
+        return False, False
+    found = []
     for name, value in ATTRIBUTE.findall(attributes):
         value = value.strip("\"'").lower()
         if name.lower() == "role":
             if value in ROLES:
-                return True
-        elif not NAMES.isdisjoint(PARTS.split(value)):
-            return True
-    return False
+                return True, True
+        else:
+            found += filter(None, map(named, value.split()))
+    return bool(found), not DISCUSSION.isdisjoint(found)
 
 
 class Lines:
@@ -73,10 +89,13 @@ class Lines:
     def __init__(self, page: str, window: int = WINDOW):
         self.texts: list[str] = []
         self.parts: list[int] = []
+        # Per line, the set-aside element it stands in or is a gap around (0 for none); per element, the one around it and whether it stands.
+        self.asides: list[int] = []
+        self.around, self.stands = [0], [True]
         self.window, self.open_text = window, []
-        # Open elements: name, whether set aside, number of the article or main part.
-        stack: list[tuple[str, bool, int]] = []
-        self.aside, self.part, self.count = False, 0, 0
+        # Open elements: name, number of the set-aside element (-1 if embedded), number of the article or main part.
+        stack: list[tuple[str, int, int]] = []
+        self.aside, self.part, self.count = 0, 0, 0
         self.kind = {0: ""}
         at, end = 0, len(page)
         while at < end:
@@ -108,18 +127,23 @@ class Lines:
                     self._state(stack)
             elif tag not in VOID and not found["attributes"].endswith("/"):
                 main = tag in ("article", "main")
-                aside = set_aside(tag, found["attributes"])
+                aside, stands = set_aside(tag, found["attributes"])
                 if main and not aside:
                     # The article itself is never part of an element that was left open before it.
                     inner = self.kind[self.part] == "article" and not self.aside
                     part = self.part if inner else self._new_part(tag)
-                    stack.append((tag, False, part))
+                    stack.append((tag, 0, part))
+                elif aside and self.aside >= 0:
+                    stack.append((tag, -1 if tag in EMBEDDED else self._new_aside(stands), self.part))
                 else:
-                    stack.append((tag, self.aside or aside, self.part))
-                if (aside and not self.part and tag not in EMBEDDED) or (main and stack[-1][2] != self.part):
-                    self._gap()
+                    stack.append((tag, self.aside, self.part))
+                if stack[-1][2] != self.part:
+                    self._gap(0)
+                elif stack[-1][1] != self.aside and stack[-1][1] > 0 and not self.part:
+                    self._gap(stack[-1][1])
                 self._state(stack)
         self._break()
+        self._release()
 
     def _unclosed(self, page: str, at: int, raw: str) -> int:
         body = re.compile("<body", re.I).search(page, at) if raw in ("head", "title") else None
@@ -130,28 +154,56 @@ class Lines:
         self.kind[self.count] = tag
         return self.count
 
-    def _state(self, stack: list[tuple[str, bool, int]]) -> None:
-        _, self.aside, self.part = stack[-1] if stack else ("", False, 0)
+    def _new_aside(self, stands: bool) -> int:
+        self.around.append(max(0, self.aside))
+        self.stands.append(stands)
+        return len(self.around) - 1
 
-    def _leave(self, closed: list[tuple[str, bool, int]]) -> None:
-        if any(tag in ("article", "main") or (aside and not part and tag not in EMBEDDED) for tag, aside, part in closed):
-            self._gap()
+    def _state(self, stack: list[tuple[str, int, int]]) -> None:
+        before = self.aside
+        _, self.aside, self.part = stack[-1] if stack else ("", 0, 0)
+        if before != self.aside:
+            self._break(before)
 
-    def _gap(self) -> None:
+    def _leave(self, closed: list[tuple[str, int, int]]) -> None:
+        gaps = [0 if tag in ("article", "main") else aside for tag, aside, part in closed
+                if tag in ("article", "main") or (aside > 0 and not part)]
+        if gaps:
+            self._break()
+            self._gap(min(gaps))
+
+    def _gap(self, aside: int) -> None:
         self.texts += [""] * self.window
         self.parts += [0] * self.window
+        self.asides += [aside] * self.window
+
+    def _release(self) -> None:
+        """Drops what was set aside, but for elements that hold most of the page's text: those wrap it."""
+        held = [0] * len(self.around)
+        for text, aside in zip(self.texts, self.asides):
+            held[aside] += len(text)
+        total = sum(held)
+        for k in range(len(held) - 1, 0, -1):
+            held[self.around[k]] += held[k] if self.around[k] else 0
+        free = [True] + [False] * (len(held) - 1)
+        for k in range(1, len(held)):
+            free[k] = free[self.around[k]] and not self.stands[k] and 2 * held[k] > total
+        # Gaps stay where the element stays aside, lines where it does not.
+        kept = [k for k, (text, aside) in enumerate(zip(self.texts, self.asides)) if free[aside] == bool(text) or not aside]
+        self.texts, self.parts = [self.texts[k] for k in kept], [self.parts[k] for k in kept]
 
     def _text(self, text: str) -> None:
-        if text and not self.aside:
+        if text and self.aside >= 0:
             self.open_text.append(text)
 
-    def _break(self) -> None:
+    def _break(self, aside: int | None = None) -> None:
         if self.open_text:
             line = " ".join(html.unescape("".join(self.open_text)).split())
             self.open_text = []
             if line:
                 self.texts.append(line)
                 self.parts.append(self.part)
+                self.asides.append(max(0, self.aside if aside is None else aside))
 
 
 def stretches(lengths: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]]:
