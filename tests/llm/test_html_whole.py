@@ -19,8 +19,14 @@ def test_embedded_elements_end_with_their_parents(page, text):
     ('<div id="page" class="no-comments"><p>the text</p><div class="site-footer">f</div></div>', "the text"),
     ('<div class="post with-header"><p>the text</p></div>', "the text"),
     ('<article><div class="job-search">a</div><p class="notice-of-award">b</p><section class="related-work">c</section><p>d</p></article>', "a b c d"),
-    ('<form><div class="widget"><p>a page wrapped by its form</p><nav>menu</nav></div></form><p>and its end</p>', "a page wrapped by its form and its end"),
+    ('<form><div class="widget"><p>a page wrapped by its form</p><nav>menu</nav></div></form><p>and its end comes here</p>', "a page wrapped by its form and its end comes here"),
     ("<p>short</p><div class='comments'>a discussion much longer than the text</div>", "short"),
     ("<article><p>the text</p><span class='ad'>x</span> goes on</article>", "the text goes on")])
 def test_names_set_aside_what_they_name(page, text):
     assert main_text(page) == text
+
+
+def test_stretches_are_judged_by_themselves():
+    lead, middle, last = "lead " * 20, "middle " * 20_000, "last " * 3000
+    page = f"<p>{lead}</p><div class='ad'>x</div><p>{middle}</p><div class='ad'>x</div><p>{last}</p>"
+    assert main_text(page) == (lead + middle + last).strip()

@@ -8,8 +8,8 @@ are summed. Where the sum rises from zero is a surge, where it falls back to
 zero a dive; the lines from a surge to its dive are a stretch of text.
 
 A page that marks its article (or else its main part) has all stretches of the
-longest one kept; in other pages the stretches of at least a fifth of the
-longest one's length.
+longest one kept; in other pages those whose windowed sums reach a threshold of
+at most 60 characters, lower on pages of short lines.
 """
 
 from __future__ import annotations
@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame
 from tickframe.llm.common import slices
 
 WINDOW = 3
-SHARE = 0.2
+# Most that a stretch's highest windowed sum may have to reach, in characters.
+SHORT = 60
 # Fixed values of the HTML standard: elements by what they do to text.
 RAW = ("script", "style", "iframe", "textarea", "title", "head")
 # Set aside like menus, but without ending the stretch of text they stand in.
@@ -206,19 +207,32 @@ class Lines:
                 self.asides.append(max(0, self.aside if aside is None else aside))
 
 
+def window_sums(lengths: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """Sum of the window that ends at each line: zero once ``window`` empty lines have passed."""
+    total = np.r_[0, np.cumsum(lengths)]
+    at = np.arange(len(lengths))
+    return total[at + 1] - total[np.maximum(at + 1 - window, 0)]
+
+
 def stretches(lengths: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]]:
     """From each surge of the windowed sums to its dive, as ranges of lines."""
     if not lengths.any():
         return []
-    total = np.r_[0, np.cumsum(lengths)]
-    at = np.arange(len(lengths))
-    # Sum of the window that ends at each line: zero once ``window`` empty lines have passed.
-    sums = total[at + 1] - total[np.maximum(at + 1 - window, 0)]
-    high = np.r_[False, sums > 0, False]
+    high = np.r_[False, window_sums(lengths, window) > 0, False]
     surges, dives = np.flatnonzero(~high[:-1] & high[1:]), np.flatnonzero(high[:-1] & ~high[1:])
     return list(zip(surges.tolist(), dives.tolist()))
 
 
+def texts_of(lengths: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]]:
+    """The stretches whose windowed sums reach half of the page's highest one, or SHORT where that is more.
+
+    The bound does not grow with the page: a stretch is judged by its own lines.
+    """
+    sums = window_sums(lengths, window)
+    least = min(SHORT, sums.max(initial=0) / 2)
+    return [(a, b) for a, b in stretches(lengths, window) if sums[a:b].max() >= least]
+
+
 def main_text(page: str, window: int = WINDOW) -> str:
     lines = Lines(page, window)
     lengths = np.array([len(t) for t in lines.texts], np.int64)
@@ -231,11 +245,7 @@ def main_text(page: str, window: int = WINDOW) -> str:
             inside = np.where(parts == best, lengths, 0)
             kept = [t for a, b in stretches(inside, window) for t, n in zip(lines.texts[a:b], inside[a:b]) if n]
             return " ".join(kept)
-    found = stretches(lengths, window)
-    if not found:
-        return ""
-    longest = max(lengths[a:b].sum() for a, b in found)
-    return " ".join(t for a, b in found if lengths[a:b].sum() >= SHARE * longest for t in lines.texts[a:b] if t)
+    return " ".join(t for a, b in texts_of(lengths, window) for t in lines.texts[a:b] if t)
 
 
 def extract(pages: DataFrame, window: int = WINDOW, out: str = "text") -> DataFrame:
