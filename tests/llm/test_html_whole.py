@@ -30,3 +30,19 @@ def test_stretches_are_judged_by_themselves():
     lead, middle, last = "lead " * 20, "middle " * 20_000, "last " * 3000
     page = f"<p>{lead}</p><div class='ad'>x</div><p>{middle}</p><div class='ad'>x</div><p>{last}</p>"
     assert main_text(page) == (lead + middle + last).strip()
+
+
+FIRST, SECOND = "the first half of a story that is split over two parts, with some length", "the second half of it, which is shorter than the first but no teaser"
+
+
+@pytest.mark.parametrize("page", [
+    f"<article><p>{FIRST}</p></article><div>between</div><article><p>{SECOND}</p></article>",
+    f"<main><p>{FIRST}</p><article><p>{SECOND}</p></article></main>",
+    f"<main><article><p>{FIRST}</p></article><p>{SECOND}</p></main>",
+    f"<main><p>{FIRST}</p></main><article><p>{SECOND}</p></article><article><p>teaser</p></article>"])
+def test_all_marked_parts_are_kept_in_page_order(page):
+    assert main_text(page) == f"{FIRST} {SECOND}"
+
+
+def test_a_short_heading_in_main_outside_the_article_is_kept():
+    assert main_text(f"<main><h1>Head</h1><article><p>{FIRST}</p></article></main>") == f"Head {FIRST}"

@@ -7,8 +7,9 @@ comments leave empty lines. The text lengths of each window of ``window`` lines
 are summed. Where the sum rises from zero is a surge, where it falls back to
 zero a dive; the lines from a surge to its dive are a stretch of text.
 
-A page that marks its article (or else its main part) has all stretches of the
-longest one kept; in other pages those whose windowed sums reach a threshold of
+A page that marks articles or a main part has all lines of these kept, in page
+order, but for articles among others whose windowed sums stay as low as those of
+teasers; in other pages those whose windowed sums reach a threshold of
 at most 60 characters, lower on pages of short lines.
 """
 
@@ -233,18 +234,26 @@ def texts_of(lengths: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]]
     return [(a, b) for a, b in stretches(lengths, window) if sums[a:b].max() >= least]
 
 
+def marked_parts(lines: Lines, window: int = WINDOW) -> set[int]:
+    """Numbers of the articles and main parts to keep: all with text, but for articles as short as teasers among others.
+
+    The bound for these is that of ``texts_of``, over the lines of each part.
+    """
+    lengths: dict[int, list[int]] = {}
+    for part, text in zip(lines.parts, lines.texts):
+        if part and text:
+            lengths.setdefault(part, []).append(len(text))
+    tops = {k: int(window_sums(np.array(n, np.int64), window).max()) for k, n in lengths.items()}
+    least = min(SHORT, max(tops.values(), default=0) / 2)
+    return {k for k, top in tops.items() if lines.kind[k] == "main" or top >= least}
+
+
 def main_text(page: str, window: int = WINDOW) -> str:
     lines = Lines(page, window)
     lengths = np.array([len(t) for t in lines.texts], np.int64)
-    parts = np.array(lines.parts, np.int64)
-    sizes = np.bincount(parts, lengths, lines.count + 1) if len(parts) else np.zeros(1)
-    for kind in ("article", "main"):
-        marked = [k for k in range(1, lines.count + 1) if lines.kind[k] == kind and sizes[k] > 0]
-        if marked:
-            best = max(marked, key=lambda k: sizes[k])
-            inside = np.where(parts == best, lengths, 0)
-            kept = [t for a, b in stretches(inside, window) for t, n in zip(lines.texts[a:b], inside[a:b]) if n]
-            return " ".join(kept)
+    kept = marked_parts(lines, window)
+    if kept:
+        return " ".join(t for t, k in zip(lines.texts, lines.parts) if t and k in kept)
     return " ".join(t for a, b in texts_of(lengths, window) for t in lines.texts[a:b] if t)
 
 
