@@ -46,3 +46,18 @@ def test_all_marked_parts_are_kept_in_page_order(page):
 
 def test_a_short_heading_in_main_outside_the_article_is_kept():
     assert main_text(f"<main><h1>Head</h1><article><p>{FIRST}</p></article></main>") == f"Head {FIRST}"
+
+
+LONG = "A paragraph of the story, with enough words to be more than a line of a menu."
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<div><ul>" + "".join(f"<li><a href='/{k}'>Section {k}</a></li>" for k in range(9)) + f"</ul></div><p>{LONG}</p><p>Yes.</p><p>{LONG}</p>"
+     "<p>Copyright 2026 Example. All rights reserved.</p>", f"{LONG} Yes. {LONG}"),
+    (f"<div><h1>Head</h1></div><div><p>{LONG}</p><p>{LONG}</p></div><div><p>No.</p></div><div><p>{LONG}</p></div>"
+     "<div>Call us</div><div><a href='/'>Home</a> | <a href='/t'>Terms</a></div>", f"Head {LONG} {LONG} No. {LONG}"),
+    (f"<p>{LONG} <a href='/x'>a link</a> in it</p><ul>" + "<li><a href='/'>More to read</a></li>" * 5 + f"</ul><p>{LONG}</p>",
+     f"{LONG} a link in it {LONG}"),
+    ("<p><a href='/'>only a link</a></p>", "only a link")])
+def test_unnamed_boilerplate_falls_below_the_sums(page, text):
+    assert main_text(page) == text

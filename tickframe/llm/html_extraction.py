@@ -9,8 +9,10 @@ zero a dive; the lines from a surge to its dive are a stretch of text.
 
 A page that marks articles or a main part has all lines of these kept, in page
 order, but for articles among others whose windowed sums stay as low as those of
-teasers; in other pages those whose windowed sums reach a threshold of
-at most 60 characters, lower on pages of short lines.
+teasers. There tags alone decide. In other pages the sums do, of characters
+outside links: a stretch has to reach a threshold of at most 60 characters,
+lower on pages of short lines; shorter ones before the first and after the last
+that does are left out, and lists of links and copyright lines count nothing.
 """
 
 from __future__ import annotations
@@ -28,6 +30,10 @@ from tickframe.llm.common import slices
 WINDOW = 3
 # Most that a stretch's highest windowed sum may have to reach, in characters.
 SHORT = 60
+# Closing one of these that holds blocks ends a stretch on pages without marked parts.
+CONTAINERS = {"div", "section", "table"}
+COPYRIGHT = re.compile(r"\W*(?:©|\(c\)\s|copyright\s+(?:©|\(c\)|\d{4}))|.*\ball rights reserved\W*$", re.I)
+HREF = re.compile(r"\bhref\b", re.I)
 # Fixed values of the HTML standard: elements by what they do to text.
 RAW = ("script", "style", "iframe", "textarea", "title", "head")
 # Set aside like menus, but without ending the stretch of text they stand in.
@@ -93,6 +99,11 @@ class Lines:
         self.parts: list[int] = []
         # Per line, the set-aside element it stands in or is a gap around (0 for none); per element, the one around it and whether it stands.
         self.asides: list[int] = []
+        # Per line, characters in links, and whether it is a page's heading.
+        self.linked: list[int] = []
+        self.heads: list[bool] = []
+        self.link, self.open_linked, self.blocks = -1, 0, 0
+        begun: list[int] = []
         self.around, self.stands = [0], [True]
         self.window, self.open_text = window, []
         # Open elements: name, number of the set-aside element (-1 if embedded), number of the article or main part.
@@ -118,14 +129,22 @@ class Lines:
                     self._text(html.escape(found[0][9:].removesuffix("]]>")))
                 continue
             tag = found["tag"].lower()
+            written = len(self.texts)
             if tag not in INLINE:
                 self._break()
             if found["end"]:
+                if tag == "h1" and self.texts[written:]:
+                    self.heads[-1] = bool(self.texts[-1])
                 names = [s[0] for s in stack]
                 if tag in names:
                     k = len(names) - 1 - names[::-1].index(tag)
                     self._leave(stack[k:])
-                    del stack[k:]
+                    first = begun[k]
+                    del stack[k:], begun[k:]
+                    if self.link >= k:
+                        self.link = -1
+                    if tag in CONTAINERS and self.blocks > first and not self.part and self.aside >= 0:
+                        self._gap(self.aside)
                     self._state(stack)
             elif tag not in VOID and not found["attributes"].endswith("/"):
                 main = tag in ("article", "main")
@@ -139,6 +158,11 @@ class Lines:
                     stack.append((tag, -1 if tag in EMBEDDED else self._new_aside(stands), self.part))
                 else:
                     stack.append((tag, self.aside, self.part))
+                if tag not in INLINE:
+                    self.blocks += 1
+                begun.append(self.blocks)
+                if tag == "a" and HREF.search(found["attributes"]):
+                    self.link = len(stack) - 1
                 if stack[-1][2] != self.part:
                     self._gap(0)
                 elif stack[-1][1] != self.aside and stack[-1][1] > 0 and not self.part:
@@ -178,6 +202,8 @@ class Lines:
         self.texts += [""] * self.window
         self.parts += [0] * self.window
         self.asides += [aside] * self.window
+        self.linked += [0] * self.window
+        self.heads += [False] * self.window
 
     def _release(self) -> None:
         """Drops what was set aside, but for elements that hold most of the page's text: those wrap it."""
@@ -192,17 +218,22 @@ class Lines:
             free[k] = free[self.around[k]] and not self.stands[k] and 2 * held[k] > total
         # Gaps stay where the element stays aside, lines where it does not.
         kept = [k for k, (text, aside) in enumerate(zip(self.texts, self.asides)) if free[aside] == bool(text) or not aside]
-        self.texts, self.parts = [self.texts[k] for k in kept], [self.parts[k] for k in kept]
+        self.texts, self.parts, self.linked, self.heads = (
+            [x[k] for k in kept] for x in (self.texts, self.parts, self.linked, self.heads))
 
     def _text(self, text: str) -> None:
         if text and self.aside >= 0:
             self.open_text.append(text)
+            if self.link >= 0:
+                self.open_linked += len(" ".join(html.unescape(text).split()))
 
     def _break(self, aside: int | None = None) -> None:
         if self.open_text:
             line = " ".join(html.unescape("".join(self.open_text)).split())
-            self.open_text = []
+            self.open_text, linked, self.open_linked = [], self.open_linked, 0
             if line:
+                self.linked.append(min(linked, len(line)))
+                self.heads.append(False)
                 self.texts.append(line)
                 self.parts.append(self.part)
                 self.asides.append(max(0, self.aside if aside is None else aside))
@@ -224,14 +255,28 @@ def stretches(lengths: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]
     return list(zip(surges.tolist(), dives.tolist()))
 
 
+def weight(text: str, linked: int, head: bool) -> int:
+    """What a line counts in the sums of a page without marked parts: its characters outside links, for the heading at least SHORT."""
+    if head:
+        return max(len(text), SHORT)
+    own = len(text) - linked
+    if (2 * linked > len(text) and own < SHORT) or (len(text) < 3 * SHORT and COPYRIGHT.match(text)):
+        return 0
+    return own
+
+
 def texts_of(lengths: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]]:
-    """The stretches whose windowed sums reach half of the page's highest one, or SHORT where that is more.
+    """The stretches from the first to the last one whose windowed sums reach half of the page's highest one, or SHORT where that is less.
 
     The bound does not grow with the page: a stretch is judged by its own lines.
+    Lines that count nothing are cut off at the ends of a stretch.
     """
     sums = window_sums(lengths, window)
     least = min(SHORT, sums.max(initial=0) / 2)
-    return [(a, b) for a, b in stretches(lengths, window) if sums[a:b].max() >= least]
+    found = stretches(lengths, window)
+    high = [k for k, (a, b) in enumerate(found) if sums[a:b].max() >= least]
+    filled = [np.flatnonzero(lengths[a:b]) + a for a, b in (found[high[0]:high[-1] + 1] if high else [])]
+    return [(int(at[0]), int(at[-1]) + 1) for at in filled]
 
 
 def marked_parts(lines: Lines, window: int = WINDOW) -> set[int]:
@@ -250,10 +295,12 @@ def marked_parts(lines: Lines, window: int = WINDOW) -> set[int]:
 
 def main_text(page: str, window: int = WINDOW) -> str:
     lines = Lines(page, window)
-    lengths = np.array([len(t) for t in lines.texts], np.int64)
     kept = marked_parts(lines, window)
     if kept:
         return " ".join(t for t, k in zip(lines.texts, lines.parts) if t and k in kept)
+    lengths = np.array(list(map(weight, lines.texts, lines.linked, lines.heads)), np.int64)
+    if not lengths.any():
+        lengths = np.array([len(t) for t in lines.texts], np.int64)
     return " ".join(t for a, b in texts_of(lengths, window) for t in lines.texts[a:b] if t)
 
 
