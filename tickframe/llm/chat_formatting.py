@@ -89,8 +89,8 @@ def with_other_answers(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs from plain conversations (conv_id, turn, role, text): chosen and rejected turns.
 
     Chosen is the conversation itself; in the rejected one its last assistant
-    turn is answered as in the conversation with the next id (left out where
-    there is none). Conversations without assistant turns are equal on both sides.
+    turn is answered as in the conversation with the id after its own (left out
+    where that id is missing or has no assistant turn). Conversations without assistant turns are equal on both sides.
     """
     turns = conversations.filter("conv_id IS NOT NULL").select(F.col("conv_id").cast("long").alias("pair_id"), "turn", "role", "text") \
         .withColumn("_digest", F.md5(F.encode(F.coalesce("text", F.lit("")), "UTF-8")))
