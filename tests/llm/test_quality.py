@@ -142,10 +142,28 @@ def test_scores_are_those_of_the_fitted_features():
     texts = [b"one two two three", b"", b"  ", b"abc", "ünï cödé text".encode(), b"x y z w " * 50]
     weights = random.standard_normal((4, 1 << quality_rules.LOG_SIZE))
     grams = quality_rules.Grams(texts, quality_rules.Words())
-    by_features = [float((weights.ravel()[ids] * shares).sum()) for ids, shares in grams.shares()]
+    by_features = quality_rules.Part(grams.shares()).scores(weights)
     assert grams.scores(weights) == pytest.approx(by_features, abs=1e-5)
 
 
+def test_runs_are_of_characters():
+    def runs(text):
+        bucket, lo, hi = list(quality_rules.Grams([text.encode()], quality_rules.Words()).places())[2]
+        return list(bucket[lo[0]:hi[0]])
+    assert len(runs("äöü")) == 1 and len(runs("日本語🙂")) == 2 and runs("xäöüx")[1:2] == runs("äöü")
+
+
+def test_fit_is_bounded_by_bytes_and_by_one_text_per_id(spark):
+    rows = [(i, ("good plain text here " if i % 2 else "bad awful junk there ") * 20) for i in range(400)]
+    docs = spark.createDataFrame(rows + [(1, "zzz another text")] * 3, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(400)], "doc_id long, quality int, toxic int")
+    models = [quality_rules.train(docs.repartition(k), labels) for k in (2, 5)]
+    assert (models[0] == models[1]).all()
+    assert quality_rules.train(docs, labels, sample_bytes=100) is None
+    small = quality_rules.train(docs, labels, sample_bytes=20_000)
+    assert small is not None and not (small == models[0]).all()
+
+
 def test_calibration_is_monotone_and_close():
     random = np.random.default_rng(1)
     z = random.standard_normal(4000) * 3

@@ -1,13 +1,15 @@
 """Quality rules: fixed limits, and a calibrated logistic regression over hashed n-grams.
 
 Features of a text are the shares of its hashed n-grams: single words, pairs of
-words, and runs of three and of four bytes. Pairs of equal words share one
+words, and runs of three and of four characters. Pairs of equal words share one
 feature, whatever the word. A score is then a mean of weights per kind of
 n-gram, computed for whole Arrow batches by gathers and running sums.
 
-The model is fitted on at most ``sample`` labelled rows (those whose ids hash
-lowest) in one task, three quarters of them for the weights and one quarter for
-the calibration (Platt's sigmoid). Every text of the table is scored whole.
+The model is fitted in one task on labelled rows in the order of a hash of their
+ids, at most ``sample`` of them and at most ``sample_bytes`` of text, so that the
+task's work does not grow with the table. Three quarters of them fit the weights
+and one quarter the calibration (Platt's sigmoid). Every text of the table is
+scored whole. Where an id has several texts, the least by code point is fitted on.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickframe.llm.common import restore_names, set_names, slices
@@ -25,6 +27,7 @@ from tickframe.llm.words import IS_SPACE, IS_SYMBOL, Words, repeated_lines, repe
 from tickframe.session import stage
 
 SAMPLE = 4000
+SAMPLE_BYTES = 16 << 20
 LOG_SIZE = 15
 KINDS = ("word", "pair", "three", "four")
 STEPS = 80
@@ -32,6 +35,8 @@ LEAST_WORDS = 50
 MOST_REPEATED = 50
 THRESHOLD = 0.5
 SLICE = 1 << 20
+# A part of the features that the fit looks at together.
+FIT_SLICE = 1 << 18
 MIX = np.uint64(0x9E3779B97F4A7C15)
 EQUAL_PAIR = 0
 
@@ -53,11 +58,13 @@ class Grams:
         pair = self._bucket(hashed[:-1] * np.uint64(3) + (hashed[1:] >> np.uint64(7)), 2)
         pair[self.words[:-1] == self.words[1:]] = EQUAL_PAIR
         yield pair, lo, np.maximum(lo, hi - 1)
-        lo, hi = self.byte_bounds[:-1], self.byte_bounds[1:]
-        wide = self.raw.astype(np.uint64)
-        run = wide[:-2] | wide[1:-1] << np.uint64(8) | wide[2:] << np.uint64(16) if len(wide) > 2 else wide[:0]
+        # Code points have 21 bits, so three of them make one number.
+        wide = np.frombuffer(self.raw.tobytes().decode().encode("utf-32-le"), np.uint32).astype(np.uint64)
+        bounds = np.r_[0, np.cumsum(self.raw & 0xC0 != 0x80)][self.byte_bounds]
+        lo, hi = bounds[:-1], bounds[1:]
+        run = wide[:-2] | wide[1:-1] << np.uint64(21) | wide[2:] << np.uint64(42) if len(wide) > 2 else wide[:0]
         yield self._bucket(run, 3), lo, np.maximum(lo, hi - 2)
-        run = run[:-1] | wide[3:] << np.uint64(24) if len(wide) > 3 else wide[:0]
+        run = run[:-1] * MIX + wide[3:] if len(wide) > 3 else wide[:0]
         yield self._bucket(run, 4), lo, np.maximum(lo, hi - 3)
 
     @staticmethod
@@ -76,45 +83,66 @@ class Grams:
             out += (total[hi] - total[lo]) / np.maximum(hi - lo, 1)
         return out
 
-    def shares(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Per text: features and their shares, for fitting."""
-        kinds = list(self.places())
+    def shares(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per kind, for fitting: different buckets of each text one after the other, their shares, their number per text."""
         out = []
-        for t in range(len(self.byte_bounds) - 1):
-            ids, values = [], []
-            for k, (bucket, lo, hi) in enumerate(kinds):
-                found, counts = np.unique(bucket[lo[t]:hi[t]], return_counts=True)
-                ids.append(found + (k << LOG_SIZE))
-                values.append(counts / max(1, hi[t] - lo[t]))
-            out.append((np.concatenate(ids).astype(np.int32), np.concatenate(values).astype(np.float32)))
+        for bucket, lo, hi in self.places():
+            found = [np.unique(bucket[a:b], return_counts=True) for a, b in zip(lo, hi)]
+            values = [n / max(1, b - a) for (_, n), a, b in zip(found, lo, hi)]
+            out.append((np.concatenate([f.astype(np.uint16) for f, _ in found]), np.concatenate(values).astype(np.float32),
+                        np.array([len(f) for f, _ in found])))
         return out
 
 
+class Part:
+    """Features of some texts, with sums over texts and over buckets."""
+
+    def __init__(self, kinds: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
+        self.kinds = [(bucket, share, np.r_[0, np.cumsum(sizes)]) for bucket, share, sizes in kinds]
+
+    def scores(self, weights: np.ndarray) -> np.ndarray:
+        """Per text, the sum of shares times weights."""
+        out = 0.0
+        for (bucket, share, bounds), w in zip(self.kinds, weights):
+            total = np.r_[0.0, np.cumsum(share * w[bucket])]
+            out = out + total[bounds[1:]] - total[bounds[:-1]]
+        return out
+
+    def add_slopes(self, errors: np.ndarray, into: np.ndarray) -> None:
+        """Adds each text's error times its shares to the buckets."""
+        for k, (bucket, share, bounds) in enumerate(self.kinds):
+            into[k] += np.bincount(bucket, share * np.repeat(errors, np.diff(bounds)), into.shape[1])
+
+
 def logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(features: list[np.ndarray], shares: list[np.ndarray], labels: np.ndarray, holdout: np.ndarray) -> np.ndarray:
-    """Weights of all features, then bias, then slope and offset of the calibration."""
-    size = len(KINDS) << LOG_SIZE
-    train = np.flatnonzero(~holdout)
-    sizes = np.array([len(f) for f in features])
-    row = np.repeat(np.arange(len(features)), sizes)
-    column, value = np.concatenate(features), np.concatenate(shares).astype(np.float64)
-    used = ~holdout[row]
-    r, c, v = row[used], column[used], value[used]
-    weights, bias = np.zeros(size), 0.0
-    first, second = np.zeros(size + 1), np.zeros(size + 1)
+def fit(parts: list[Part], labels: np.ndarray, holdout: np.ndarray) -> np.ndarray:
+    """Weights of all features, then bias, then slope and offset of the calibration.
+
+    Besides the parts themselves, memory is taken for one part at a time.
+    """
+    shape = (len(KINDS), 1 << LOG_SIZE)
+    weights, bias = np.zeros(shape), 0.0
+    ends = np.cumsum([len(p.kinds[0][2]) - 1 for p in parts])
+
+    def scores() -> np.ndarray:
+        return np.concatenate([p.scores(weights) for p in parts]) + bias
+
+    first, second = np.zeros(weights.size + 1), np.zeros(weights.size + 1)
     for step in range(1, STEPS + 1):
-        z = np.bincount(r, v * weights[c], len(features)) + bias
-        error = np.where(holdout, 0.0, logistic(z) - labels) / max(1, len(train))
-        slope = np.append(np.bincount(c, v * error[r], size) + 1e-6 * weights, error.sum())
+        error = np.where(holdout, 0.0, logistic(scores()) - labels) / max(1, (~holdout).sum())
+        slopes = 1e-6 * weights
+        for part, own in zip(parts, np.split(error, ends[:-1])):
+            part.add_slopes(own, slopes)
+        slope = np.append(slopes, error.sum())
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope ** 2
         move = 0.8 * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.99 ** step)) + 1e-8)
-        weights, bias = weights - move[:-1], bias - move[-1]
-    z = np.bincount(row, value * weights[column], len(features)) + bias
+        weights, bias = weights - move[:-1].reshape(shape), bias - move[-1]
+    z = scores()
     a, b = platt(z[holdout], labels[holdout])
-    return np.concatenate([weights, [bias, a, b]])
+    return np.concatenate([weights.ravel(), [bias, a, b]])
 
 
 def platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -137,38 +165,36 @@ def platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray | None:
-    """Model of at most ``sample`` labelled rows; None if there are none of one class or the other.
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> np.ndarray | None:
+    """Model of at most ``sample`` labelled rows and ``sample_bytes`` of text; None if there are none of one class or the other.
 
     Labels are 0 or 1 in column quality; rows with null ids or labels are left
-    out, of several labels of a document the smallest counts.
+    out, of several labels or texts of a document the smallest counts.
     """
     known = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id") \
         .agg(F.min("quality").alias("_quality"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = stage(known.orderBy(*order).limit(sample).withColumnRenamed("doc_id", "_id"), "labelled")
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")) \
-        .dropDuplicates(["doc_id"]).select("doc_id", "text", "_quality")
-
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", SLICE):
-            made = Grams([(t or "").encode() for t in batch.column("text").to_pylist()], Words()).shares()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pc.cast(batch.column("_quality"), pa.int32()),
-                 pa.array([f.tobytes() for f, _ in made], pa.binary()),
-                 pa.array([v.tobytes() for _, v in made], pa.binary())], ["doc_id", "quality", "ids", "shares"])
-
-    def fitted(rows):
-        import pandas as pd
-        rows = rows.sort_values("doc_id", kind="stable")
-        y = (rows.quality > 0).to_numpy().astype(float)
-        holdout = np.arange(len(rows)) % 4 == 3
-        if len(set(y[~holdout])) < 2:
-            return pd.DataFrame({"model": []})
-        model = fit([np.frombuffer(x, np.int32) for x in rows.ids], [np.frombuffer(x, np.float32) for x in rows.shares], y, holdout)
-        return pd.DataFrame({"model": [model.astype(np.float32).tobytes()]})
-    made = texts.mapInArrow(features, "doc_id long, quality int, ids binary, shares binary")
-    found = made.groupBy(F.lit(0).alias("all")).applyInPandas(fitted, "model binary").collect()
+    texts = stage(docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+                  .groupBy("doc_id", "_quality").agg(F.min(F.coalesce("text", F.lit(""))).alias("text")), "labelled-texts")
+    # At most ``sample`` rows of two numbers.
+    so_far = F.sum("_size").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    within = texts.select("doc_id", F.octet_length("text").alias("_size")).withColumn("_total", so_far) \
+        .filter(F.col("_total") <= sample_bytes).select(F.col("doc_id").alias("_id"))
+    rows = texts.join(F.broadcast(within), F.col("doc_id") == F.col("_id")) \
+        .select("doc_id", "_quality", "text", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 3).alias("_holdout"))
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, y, holdout = [], [], []
+        for batch in batches:
+            for piece in slices([batch], "text", FIT_SLICE):
+                parts.append(Part(Grams([t.encode() for t in piece.column("text").to_pylist()], Words()).shares()))
+                y.extend(piece.column("_quality").to_pylist())
+                holdout.extend(piece.column("_holdout").to_pylist())
+        y, holdout = np.array(y, float) > 0, np.array(holdout, bool)
+        if len(set(y[~holdout])) == 2:
+            yield pa.RecordBatch.from_arrays([pa.array([fit(parts, y.astype(float), holdout).astype(np.float32).tobytes()])], ["model"])
+    found = rows.repartition(1).sortWithinPartitions("doc_id").mapInArrow(fitted, "model binary").collect()
     return np.frombuffer(found[0].model, np.float32) if found else None
 
 
