@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import (chat_formatting, html_extraction, mixing, nearest_neighbours, quality_classifier, quality_rules,
-                           sentencepiece_bpe, sharding, simhash, token_binary)
+from tickframe.llm import (chat_formatting, conversation_repair, html_extraction, lexical_search, mixing, nearest_neighbours,
+                           quality_classifier, quality_rules, sentencepiece_bpe, sharding, simhash, token_binary, toxicity)
 from tickframe.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -55,7 +55,21 @@ def op10_sentencepiece(spark: SparkSession, root: str) -> DataFrame:
     return sentencepiece_bpe.digests(table(spark, root, "documents"), PIECE_BPE)
 
 
+def op11_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    return toxicity.scores(table(spark, root, "documents"), table(spark, root, "labels"))
+
+
+def op12_conversation_repair(spark: SparkSession, root: str) -> DataFrame:
+    return conversation_repair.repair_damaged(table(spark, root, "conversations")).drop("n_rows", "n_repaired")
+
+
+def op13_lexical_search(spark: SparkSession, root: str) -> DataFrame:
+    return lexical_search.search(table(spark, root, "documents"), table(spark, root, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_binary, op2_simhash_near_dedup, op3_html_extraction, op4_nearest_neighbours, op5_quality_classifier,
-    op6_chat_formatting, op7_source_mixing, op8_quality_rules, op9_sharding, op10_sentencepiece)}
-SQL = {"op6_chat_formatting": chat_formatting.SQL}
+    op6_chat_formatting, op7_source_mixing, op8_quality_rules, op9_sharding, op10_sentencepiece, op11_toxicity,
+    op12_conversation_repair, op13_lexical_search)}
+SQL = {"op6_chat_formatting": chat_formatting.SQL, "op12_conversation_repair": conversation_repair.SQL,
+       "op13_lexical_search": lexical_search.SQL}
