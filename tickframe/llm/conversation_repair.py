@@ -324,10 +324,8 @@ placed AS (
     row_number() OVER (PARTITION BY c, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
     left(role, 1) AS initial FROM damaged),
 faulty AS (
-  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
-]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
-      WHEN NOT regexp_matches(text, '[.!?][ 	-
-]*\z') THEN 'truncated' ELSE '' END AS fault,
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault,
     lag(initial) OVER (PARTITION BY c ORDER BY i) AS before FROM placed),
 counted AS (
   SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
