@@ -20,8 +20,8 @@ whose sum plus the bound of the rest (largest values, or Cauchy and Schwarz over
 what is left of the vector) reaches the threshold. Survivors are scored again in
 64-bit integers. No bound leaves out a document that ties with the threshold.
 
-Thresholds start from the best scores among the ``SEEDS`` longest vectors and grow
-within a task. Items are taken in blocks of at most ``BLOCK_TERMS`` terms (one item
+Thresholds start from the best scores among about ``SEEDS`` of the longest vectors,
+looked at where they lie, and grow within a task. Items are taken in blocks of at most ``BLOCK_TERMS`` terms (one item
 of more terms is a block of its own); a block's terms, document counts and
 thresholds are all that is sent to the tasks, whatever the number of documents.
 """
@@ -254,7 +254,9 @@ def _block(docs: DataFrame, pairs: list, top: int, seeds: int, bucket_rows: int,
     for r in counts.select(F.explode("ids").alias("id")).groupBy("id").count().collect():
         weights[r.id] = math.floor(1000 * math.log((2 * totals.n + 2) / (2 * r["count"] + 1)))
     vectors = stage(impacts(counts, weights, totals.n, totals.terms), "impacts")
-    longest = vectors.orderBy(F.desc("length"), "doc_id").limit(seeds)
+    # An approximate bound will do: any documents' scores make valid thresholds.
+    cut = vectors.agg(F.percentile_approx("length", max(0.0, 1 - seeds / totals.n)).alias("cut")).first().cut
+    longest = vectors.filter(F.col("length") >= F.lit(cut))
     first = ranked(best_of(longest, items, [0] * len(items), len(vocabulary), top, bucket_rows), top)
     thresholds = [0] * len(items)
     for r in first.filter(F.col("rank") == top).collect():
