@@ -4,6 +4,10 @@ The signals take few values: trend one of three, MACD one of two, momentum a
 number of two decimals from 0 to 100, 60,006 combinations in all. So
 training needs only how often each combination occurs with each label, however
 many rows there are, and scoring can look results up in a table of that size.
+
+``train_trees`` and ``search`` fit on these counts (see ``boosting``), all settings
+of a search at once. ``train`` and ``grid_search`` fit Spark ML's trees, on signals
+of any number of values.
 """
 
 from __future__ import annotations
@@ -20,6 +24,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tickframe.operators import boosting
+from tickframe.operators.boosting import Trees
 from tickframe.schemas import SIGNALS
 from tickframe.session import shared_dir, stage, staged
 
@@ -167,17 +173,40 @@ def tune_and_train(panel: DataFrame, grid: Mapping[str, Sequence] = GRID, **opti
     return train(panel, **best)
 
 
-def score(rows: DataFrame, model: PipelineModel | None, out: str = "lem_score") -> DataFrame:
+def train_trees(panel: DataFrame, features: Sequence[str] = SIGNALS, **params) -> Trees | PipelineModel:
+    """One model of all rows of ``panel``, fitted on their counts; Spark ML's trees if the signals take too many values for that."""
+    try:
+        return boosting.train(stage(training_counts(panel), "training-counts"), features, **params)
+    except boosting.TooManyCells:
+        return train(panel, features=features, **params)
+
+
+def search(panel: DataFrame, grid: Mapping[str, Sequence] = GRID, splits: int = SPLITS) -> tuple[DataFrame, dict]:
+    """``grid_search`` on counts: the whole grid is one job, a task per fold and setting but for the number of trees."""
+    try:
+        return boosting.grid_search(fold_counts(panel, splits), grid, splits)
+    except boosting.TooManyCells:
+        return grid_search(panel, grid, splits)
+
+
+def tune_trees(panel: DataFrame, grid: Mapping[str, Sequence] = GRID, splits: int = SPLITS) -> Trees | PipelineModel:
+    """The best setting of ``search``, fitted on all rows."""
+    return train_trees(panel, **search(panel, grid, splits)[1])
+
+
+def score(rows: DataFrame, model: PipelineModel | Trees | None, out: str = "lem_score") -> DataFrame:
     """Adds the probability of the positive class times 100; 0 without a model."""
     if model is None:
         return rows.withColumn(out, F.lit(0.0))
+    if isinstance(model, Trees):
+        return model.score(rows, out)
     scored = model.transform(rows.withColumns({c: F.col(c).cast("double") for c in SIGNALS}))
     typed = scored.withColumns({c: F.col(c).cast(rows.schema[c].dataType) for c in SIGNALS})
     return typed.withColumn(out, vector_to_array("probability")[1] * 100.0) \
         .drop("signals", "rawPrediction", "probability", "prediction")
 
 
-def score_table(spark: SparkSession, model: PipelineModel | None, out: str = "lem_score") -> DataFrame:
+def score_table(spark: SparkSession, model: PipelineModel | Trees | None, out: str = "lem_score") -> DataFrame:
     """The score of every signal combination, 60,006 rows."""
     cents = spark.range(10_001).select((F.col("id") / 100).alias("momentum_score"))
     grid = cents.withColumn("trend_signal", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))) \
@@ -189,7 +218,7 @@ def _momentum_cents(column: str = "momentum_score"):
     return F.round(F.col(column) * 100).cast("int")
 
 
-def score_by_table(rows: DataFrame, model: PipelineModel | None, out: str = "lem_score") -> DataFrame:
+def score_by_table(rows: DataFrame, model: PipelineModel | Trees | None, out: str = "lem_score") -> DataFrame:
     """``score`` by looking up ``score_table``; rows that the table does not hold go through the trees.
 
     The table's size does not depend on the data, so it may be broadcast. Whether
@@ -210,23 +239,28 @@ def score_by_table(rows: DataFrame, model: PipelineModel | None, out: str = "lem
     return found.unionByName(score(others, model, out)).unionByName(unknown.withColumn(out, F.lit(None).cast("double")))
 
 
-def importance(spark: SparkSession, model: PipelineModel, labels: Mapping[str, str] | None = None) -> DataFrame:
+def importance(spark: SparkSession, model: PipelineModel | Trees, labels: Mapping[str, str] | None = None) -> DataFrame:
     """Feature names with their importance, highest first; absent ones get 0."""
-    names = model.stages[0].getInputCols()
-    weights = dict(zip(names, model.stages[-1].featureImportances.toArray().tolist()))
+    if isinstance(model, Trees):
+        weights = model.importance()
+    else:
+        weights = dict(zip(model.stages[0].getInputCols(), model.stages[-1].featureImportances.toArray().tolist()))
     rows = [((labels or {}).get(n, n), float(weights.get(n, 0.0))) for n in SIGNALS]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
-def save(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save(model: PipelineModel | Trees, path: str) -> None:
+    if isinstance(model, Trees):
+        model.save(SparkSession.active(), path)
+    else:
+        model.write().overwrite().save(path)
 
 
-def load(path: str) -> PipelineModel | None:
-    """The stored model, or None if there is none."""
+def load(path: str) -> PipelineModel | Trees | None:
+    """The stored model of either kind, or None if there is none."""
     try:
         return PipelineModel.load(path)
     except Exception as error:  # the reader raises different types per file system
         if "does not exist" in str(error) or "PATH_NOT_FOUND" in str(error) or "Input path" in str(error):
-            return None
+            return boosting.load(SparkSession.active(), path)
         raise

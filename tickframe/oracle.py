@@ -208,6 +208,65 @@ STUMP_STEPS = {
         select p.*, l.score as lem_score from latest p cross join split x
         join leaves l on l.low = (case when x.feature = 0 then p.trend_signal else p.macd_score end <= x.cut)""",
 }
+# The learned score for real: 100 trees of depth 3, trained here by the same rules. A row of ``boosted`` is a combination
+# of signals after so many trees (f null) or a split that was made for the next one.
+TREES, DEPTH, RATE = 100, 3, "0.1e0"
+
+
+def _level(k: int) -> str:
+    """The steps that cut the nodes of level k at their best splits."""
+    return f"""
+        sums{k} as materialized (
+            select node, f, x, sum(w)::double as w, sum(g)::double as g from
+                (select node, unnest([0, 1, 2]) as f, unnest([t, m, d]) as x, w, g from level{k} where w > 0) group by node, f, x),
+        runs{k} as (
+            select *, lead(x) over by_value as next, sum(w) over by_value as wl, sum(g) over by_value as gl,
+                   sum(w) over (partition by node, f) as wt, sum(g) over (partition by node, f) as gt
+            from sums{k} window by_value as (partition by node, f order by x)),
+        gains{k} as (
+            select node, f, (x + next) / 2e0 as cut, next,
+                   wl * (wt - wl) / (wl + (wt - wl)) * ((gl / wl - (gt - gl) / (wt - wl)) * (gl / wl - (gt - gl) / (wt - wl))) as gain
+            from runs{k} where next is not null),
+        best{k} as materialized (
+            select * from (select *, row_number() over (partition by node order by gain desc, f, next) as place from gains{k})
+            where place = 1 and gain > 0),
+        level{k + 1} as materialized (
+            select l.* replace (case when b.node is null then l.node
+                when case b.f when 0 then l.t when 1 then l.m else l.d end <= b.cut then 2 * l.node else 2 * l.node + 1 end as node)
+            from level{k} l left join best{k} b on b.node = l.node)"""
+
+
+TREE_STEPS = {
+    "cells": """
+        select t, m, d, sum(pos)::bigint as pos, sum(neg)::bigint as neg from (
+            select cast(trend_signal as double) as t, momentum_score as m, cast(macd_score as double) as d,
+                   case when date <= date '1999-12-31' and target = 1 then 1 else 0 end as pos,
+                   case when date <= date '1999-12-31' and target = 0 then 1 else 0 end as neg from panel
+            union all select cast(trend_signal as double), momentum_score, cast(macd_score as double), 0, 0 from latest)
+        group by t, m, d""",
+    "boosted": f"""
+        select 0 as i, t, m, d, pos, neg, ln(sum(pos) over ()::double / sum(neg) over ()::double) as raw,
+               null::integer as f, null::double as gain from cells
+        union all
+        (with level0 as materialized (
+            select *, floor(1e0 / (1e0 + exp(-raw)) * 16777216e0 + 0.5e0)::bigint as q from boosted where i < {TREES} and f is null),
+        level1 as materialized (
+            select i, t, m, d, pos, neg, raw, 1 as node, pos + neg as w, pos * (16777216 - q) - neg * q as g,
+                   (pos + neg) * ((q * (16777216 - q)) // 16777216) as h from level0),
+        {",".join(_level(k) for k in range(1, DEPTH + 1))},
+        leaves as (
+            select node, case when sum(h) > 0 then sum(g)::double / sum(h)::double else 0e0 end * {RATE} as v
+            from level{DEPTH + 1} where w > 0 group by node)
+        select i + 1, t, m, d, pos, neg, raw + v, null::integer, null::double from level{DEPTH + 1} join leaves using (node)
+        union all {" union all ".join(f"select (select any_value(i) + 1 from level1), null, null, null, null, null, null, f, gain from best{k}"
+                                      for k in range(1, DEPTH + 1))})""",
+    "with_lem": f"""
+        select p.*, 100e0 / (1e0 + exp(-b.raw)) as lem_score from panel p join boosted b
+        on b.i = {TREES} and b.f is null and b.t = p.trend_signal and b.m = p.momentum_score and b.d = p.macd_score""",
+    "lem_latest": f"""
+        select p.*, 100e0 / (1e0 + exp(-b.raw)) as lem_score from latest p join boosted b
+        on b.i = {TREES} and b.f is null and b.t = p.trend_signal and b.m = p.momentum_score and b.d = p.macd_score""",
+}
 STUMP_STRATEGY = """
         union all select 'lem', date, symbol, daily_return, lem_score from with_lem where date >= date '2000-01-01'"""
 
@@ -494,6 +553,38 @@ STUMP_FINAL = {
 }
 
 
+_NAMES = """case strategy when 'lem' then 'Learned Ensemble (LEM)' when 'she' then 'Simple Heuristic (SHE)'
+    when 'trend' then 'Trend-Following Only' when 'momentum' then 'Momentum (RSI) Only' when 'macd' then 'MACD Crossover Only'
+    else 'Benchmark (Equal-Weight)' end"""
+# The same reports with the score of the trees.
+TREE_FINAL = {
+    "lem_scores": STUMP_FINAL["lem_stump_scores"].replace(", 9)", ", 6)"),
+    "lem_scores_from_table": STUMP_FINAL["lem_stump_scores"].replace(", 9)", ", 6)"),
+    "lem_top5": STUMP_FINAL["lem_stump_top5"],
+    "lem_metrics": f"""select {_NAMES} as "Strategy", round(cagr * 100, 6) as "CAGR (%)",
+        round(vol * 100, 6) as "Annualized Volatility (%)",
+        round(case when vol = 0 then 0 else cagr / vol end, 6) as "Sharpe Ratio",
+        round(case when down = 0 then 0 else cagr / down end, 6) as "Sortino Ratio",
+        round(case when dd = 0 then 0 else cagr / abs(dd) end, 6) as "Calmar Ratio",
+        round(dd * 100, 6) as "Max Drawdown (%)",
+        round(case when strategy = 'benchmark' then 0e0 else (cagr - beta * bcagr) * 100 end, 6) as "Alpha (vs. Benchmark)",
+        round(case when strategy = 'benchmark' then 1e0 else beta end, 6) as "Beta (vs. Benchmark)",
+        round(wins * 100, 6) as "Win Rate (%)" from measures""",
+    "lem_summary": STUMP_FINAL["lem_stump_summary"],
+    "lem_significance": STUMP_FINAL["lem_stump_significance"],
+    "lem_equity_curve": """select strftime(date, '%Y-%m-%d') as label,
+        max(case when strategy = 'lem' then round(equity, 6) end) as lem, max(case when strategy = 'she' then round(equity, 6) end) as she,
+        max(case when strategy = 'benchmark' then round(equity, 6) end) as benchmark
+        from grown where strategy in ('lem', 'she', 'benchmark') group by date""",
+    "feature_importance": """
+        , shares as (select f, sum(gain) / sum(sum(gain)) over (partition by i) as share from boosted where f is not null group by i, f),
+        named(f, feature) as (values (0, 'Trend Signal'), (1, 'Momentum (RSI)'), (2, 'MACD Signal'))
+        select feature, round(coalesce(sum(share), 0) / (select sum(share) from shares), 9) as importance
+        from named left join shares using (f) group by feature""",
+    "lem_refit": FINAL["lem_tuned"].replace("cast(4 as", "cast(81 as"),
+}
+
+
 def _statement(final: str, steps: dict[str, str]) -> str:
     """``final`` after the steps it reads, directly or through others, in order."""
     found: set[str] = set()
@@ -513,4 +604,6 @@ def statements() -> dict[str, str]:
     before = dict(list(STEPS.items())[:list(STEPS).index("by_strategy")])
     after = dict(list(STEPS.items())[list(STEPS).index("by_strategy"):])
     steps = {**before, **STUMP_STEPS, **after, "by_strategy": STEPS["by_strategy"] + STUMP_STRATEGY}
-    return out | {name: _statement(final, steps) for name, final in STUMP_FINAL.items()}
+    trees = {**before, **TREE_STEPS, **after, "by_strategy": STEPS["by_strategy"] + STUMP_STRATEGY}
+    return (out | {name: _statement(final, steps) for name, final in STUMP_FINAL.items()}
+            | {name: _statement(final, trees) for name, final in TREE_FINAL.items()})

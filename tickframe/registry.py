@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tickframe import schemas as S
 from tickframe.functions import scores, text
-from tickframe.operators import curves, metrics, quality, ranking, returns, series, store
+from tickframe.operators import boosting, curves, metrics, quality, ranking, returns, series, store
 from tickframe.operators import model as lem
 from tickframe.plans import backtest, context, daily
 from tickframe.plans import features as plans
@@ -39,7 +39,7 @@ STAND_IN = {"SHE": "she_score", "LEM": "momentum_score"}
 def plain(df: DataFrame, digits: int | None = None) -> DataFrame:
     """Decimals as doubles, doubles rounded to ``digits``."""
     def shown(field: T.StructField):
-        column = F.col(field.name)
+        column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DecimalType):
             return column.cast("double").alias(field.name)
         if digits is not None and isinstance(field.dataType, T.DoubleType):
@@ -561,13 +561,14 @@ def trained(spark: SparkSession, root: str):
     with _model_lock:
         if key not in _models:
             path = new_path(spark, "model")
-            lem.save(lem.train(_split(spark, root)[0], **SMALLEST), path)
+            lem.save(lem.train_trees(_split(spark, root)[0], **SMALLEST), path)
             _models[key] = path
     return lem.load(_models[key])
 
 
 def lem_scores(spark, root):
-    return lem.score_by_table(_split(spark, root)[1], trained(spark, root)).select("symbol", "date", "lem_score")
+    rows = lem.score_by_table(_split(spark, root)[1], trained(spark, root))
+    return plain(rows.select("symbol", "date", "lem_score"), 6)
 
 
 def lem_score_checks(spark, root):
@@ -581,9 +582,19 @@ def lem_score_checks(spark, root):
         F.count_if(F.abs(F.col("lem_score") - F.col("by_trees")) > 1e-9).alias("differing"))
 
 
+def lem_scores_from_table(spark, root):
+    """The same scores by joins with the stored table of nodes, a level at a time."""
+    test, model = _split(spark, root)[1], trained(spark, root)
+    combinations = stage(test.select(*S.SIGNALS).distinct().withColumn("id", F.xxhash64(*S.SIGNALS)), "combinations")
+    found = boosting.follow(combinations, stage(model.table(spark), "nodes"), ["id"])
+    rows = test.select("symbol", "date", F.xxhash64(*S.SIGNALS).alias("id")).join(found, "id")
+    return plain(rows.select("symbol", "date", "lem_score"), 6)
+
+
 def lem_top5(spark, root):
     scored = lem.score(latest_scored(spark, root), trained(spark, root))
-    return ranking.recommend(scored, {"SHE": "she_score", "LEM": "lem_score"})
+    ranked = ranking.recommend(scored, {"SHE": "she_score", "LEM": "lem_score"})
+    return plain(ranked.select("date", "data_date", "rank", "stock_id", "score", "model_type"), 6)
 
 
 def _lem_returns(spark, root):
@@ -592,7 +603,7 @@ def _lem_returns(spark, root):
 
 
 def lem_metrics(spark, root):
-    return metrics.labelled(metrics.performance(_lem_returns(spark, root), neutral_benchmark=True))
+    return plain(metrics.labelled(metrics.performance(_lem_returns(spark, root), neutral_benchmark=True)), 6)
 
 
 def lem_summary(spark, root):
@@ -600,11 +611,11 @@ def lem_summary(spark, root):
 
 
 def lem_significance(spark, root):
-    return metrics.welch(_lem_returns(spark, root), "lem", "she")
+    return plain(metrics.welch(_lem_returns(spark, root), "lem", "she"), 6)
 
 
 def lem_equity_curve(spark, root):
-    return curves.equity_curve(_lem_returns(spark, root), ["lem", "she", returns.BENCHMARK])
+    return plain(curves.equity_curve(_lem_returns(spark, root), ["lem", "she", returns.BENCHMARK]), 6)
 
 
 def _search(spark, root):
@@ -612,9 +623,35 @@ def _search(spark, root):
                                                     "subsamplingRate": [0.8, 1.0]})
 
 
+_searches: dict[tuple[str, str], tuple] = {}
+
+
+def _whole_search(spark, root):
+    """The search over the whole grid, once per session."""
+    key = (spark.sparkContext.applicationId, root)
+    with _model_lock:
+        if key not in _searches:
+            _searches[key] = lem.search(_split(spark, root)[0])
+    return _searches[key]
+
+
 def lem_cv(spark, root):
-    """Four settings with fewer trees than the full grid, which runs on demand."""
-    return _search(spark, root)[0]
+    """The whole grid: 81 settings, each with its mean F1 over five folds."""
+    return _whole_search(spark, root)[0]
+
+
+def lem_refit(spark, root):
+    """Checks of the search over the whole grid and of the model fitted with its best setting."""
+    (table, best), (training, test) = _whole_search(spark, root), _split(spark, root)
+    model = lem.train_trees(training, **best)
+    settings = table.collect()
+    top = max(r.mean_f1 for r in settings)
+    chosen = [r.mean_f1 for r in settings if all(r[k] == v for k, v in best.items())]
+    held = lem.score_by_table(test, model).groupBy().agg(
+        F.count("lem_score").alias("scored"), F.count_if(~F.col("lem_score").between(0, 100)).alias("bad_scores"))
+    return held.select(F.lit(len(settings)).cast("long").alias("settings"),
+                       F.lit(sum(not 0 <= r.mean_f1 <= 1 for r in settings)).cast("long").alias("bad_f1"),
+                       "scored", "bad_scores", F.lit(chosen == [top] and model.size == best["maxIter"]).alias("best_refitted"))
 
 
 def lem_tuned(spark, root):
@@ -680,7 +717,7 @@ def lem_stump_equity_curve(spark, root):
 
 
 def feature_importance(spark, root):
-    return lem.importance(spark, trained(spark, root), lem.REPORT_NAMES)
+    return plain(lem.importance(spark, trained(spark, root), lem.REPORT_NAMES), 9)
 
 
 def importance_checks(spark, root):
@@ -763,6 +800,7 @@ QUERIES = {
     "training_counts": training_counts,
     "fold_counts": fold_counts,
     "lem_scores": lem_scores,
+    "lem_scores_from_table": lem_scores_from_table,
     "lem_score_checks": lem_score_checks,
     "lem_top5": lem_top5,
     "lem_metrics": lem_metrics,
@@ -770,6 +808,7 @@ QUERIES = {
     "lem_significance": lem_significance,
     "lem_equity_curve": lem_equity_curve,
     "lem_cv": lem_cv,
+    "lem_refit": lem_refit,
     "lem_tuned": lem_tuned,
     "importance_checks": importance_checks,
     "lem_stump_scores": lem_stump_scores,
