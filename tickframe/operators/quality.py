@@ -27,10 +27,11 @@ def clean_bars(raw: DataFrame, fields: Sequence[str] = REQUIRED) -> DataFrame:
 
 def rejects(raw: DataFrame, fields: Sequence[str] = REQUIRED) -> DataFrame:
     """The rows that ``clean_bars`` drops, with the reason. A row with a ticker
-    but no key is of a ticker that no stock has."""
+    but no key is of a ticker that no stock has, a row with ``line`` could not be read."""
     if "ticker" in raw.columns:
         unknown = F.col("stock_id").isNull() & F.col("ticker").isNotNull()
-        reason = F.when(unknown, "unknown ticker").otherwise(reject_reason(fields))
+        unreadable = F.col("line").isNotNull() if "line" in raw.columns else F.lit(False)
+        reason = F.when(unreadable, "unreadable line").when(unknown, "unknown ticker").otherwise(reject_reason(fields))
         return raw.withColumn("reason", reason).filter(F.col("reason").isNotNull())
     return raw.withColumn("reason", reject_reason(fields)).filter(F.col("reason").isNotNull())
 

@@ -132,8 +132,12 @@ def merge_rows(batch: DataFrame, path: str, schema: T.StructType, keys: Sequence
     keys = [*keys, MONTH]
     batch = with_keys(with_month(batch), keys)
     rows = batch if distinct_keys else one_per_key(batch, keys, F.max_by, order)
+    stored = open_table(batch.sparkSession, path, schema)
+    if stored.isEmpty():
+        # Nothing to merge with, so nothing is read twice.
+        _write(rows.select(*stored.columns), path, "append", MONTH, keys[:-1])
+        return
     with staged(rows, "incoming") as incoming:
-        stored = open_table(batch.sparkSession, path, schema)
         months = _touched(incoming)
         stored = stored.filter(F.col(MONTH).isin(months))
         if not months or stored.isEmpty():

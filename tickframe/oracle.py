@@ -467,6 +467,24 @@ FINAL = {
                cast(low_price as double) as low_price, cast(close_price as double) as close_price, volume,
                case when spot % 83 = 0 then 'unknown ticker' when spot % 79 = 0 then 'missing date' else reason end as reason
         from vendor where spot % 83 = 0 or spot % 79 = 0 or reason is not null""",
+    "vendor_csv_any_order": f"""select stock_id, date, {_DOUBLE_BAR.replace("cast(adjusted_close_price as double)",
+        "case when (10 + ascii(right(symbol, 1))) % 3 <> 2 then cast(adjusted_close_price as double) end")}
+        from vendor where spot % 83 <> 0 and spot % 79 <> 0 and reason is null""",
+    "rejects_of_two_days": """
+        , sent as (
+            select *, case when spot % 83 = 0 then 'NO' else '' end || symbol || '.NS' as ticker,
+                   case when spot % 79 = 0 then 'notadate' else cast(date as varchar) end as day from vendor),
+        torn as (select *, ascii(right(symbol, 1)) % 5 = 0 and day like '%-17' as off from sent)
+        select case when not off then ticker end as ticker, case when not off then day end as date_text,
+               case when not off then cast(open_price as double) end as open_price,
+               case when not off then cast(high_price as double) end as high_price,
+               case when not off then cast(low_price as double) end as low_price,
+               case when not off then cast(close_price as double) end as close_price, case when not off then volume end as volume,
+               case when off then '{"Ticker": "' || ticker || '", "Date": "' || day end as line,
+               case when off then 'unreadable line' when spot % 83 = 0 then 'unknown ticker'
+                    when spot % 79 = 0 then 'missing date' else reason end as reason
+        from torn where off or spot % 83 = 0 or spot % 79 = 0 or reason is not null""",
+    "stream_then_features": _FEATURES,
     "stream_vendor_files": f"""
         , usable as (select * from vendor where spot % 83 <> 0 and spot % 79 <> 0 and reason is null)
         select stock_id, date, {_DOUBLE_BAR} from usable where date < date '2000-01-01' union all
@@ -581,6 +599,12 @@ TREE_FINAL = {
         named(f, feature) as (values (0, 'Trend Signal'), (1, 'Momentum (RSI)'), (2, 'MACD Signal'))
         select feature, round(coalesce(sum(share), 0) / (select sum(share) from shares), 9) as importance
         from named left join shares using (f) group by feature""",
+    "daily_rank_both": """
+        , models as (select *, she_score as s, 'SHE' as model_type from lem_latest
+          union all select *, lem_score as s, 'LEM' as model_type from lem_latest),
+        ranked as (select *, row_number() over (partition by model_type order by s desc, symbol) as place from models)
+        select (select max(date) from lem_latest) as date, date as data_date, cast(place as integer) as rank, symbol,
+               round(s, 6) as score, model_type from ranked where place <= 5""",
     "lem_refit": FINAL["lem_tuned"].replace("cast(4 as", "cast(81 as"),
 }
 

@@ -14,35 +14,62 @@ from tickframe.session import staged
 from tickframe.sources import landing, tables
 
 
+def _name_of(rows: DataFrame) -> str:
+    """A name for a batch that follows from its rows, in whatever order and however they are cut."""
+    row = F.xxhash64(*rows.columns)
+    n, *sums = rows.agg(F.count("*"), F.sum(row % 2**31), F.sum(F.shiftright(row, 31) % 2**31)).first()
+    return "-".join([str(n), *(f"{(s or 0) % 2**64:016x}" for s in sums)])
+
+
 def ingest(spark: SparkSession, root: str, landed: DataFrame, suffix: str = S.MARKET_SUFFIX,
-           batch: str = "latest") -> None:
+           batch: str | None = None) -> None:
     """Vendor rows into the bar table; stored bars are kept as they are.
 
-    Rows that cannot be bars go to the rejects of ``batch`` with the reason. The
-    landed rows are read once; running a batch again changes nothing.
+    Rows that cannot be bars go to the rejects of ``batch`` with the reason, and
+    lines that could not be read with their text and file. A batch without a name
+    gets one from its rows, so other batches' rejects stay. The landed rows are
+    read once; running a batch again changes nothing.
     """
     rows = landing.typed_rows(landed, tables.scan(spark, root, "stocks"), suffix)
     with staged(rows, "landed") as typed:
+        # The same rows from other files are the same batch.
+        batch = batch or _name_of(typed.drop("file"))
         quality.rejects(typed).write.mode("overwrite").parquet(f"{root}/rejects/batch={batch}")
         store.append_absent(quality.clean_bars(typed).select(*S.BARS.names), f"{root}/bars", S.BARS, S.SERIES_KEY,
                             staged_already=True, arrivals=f"{root}/arrivals")
 
 
+def ingest_files(spark: SparkSession, root: str, folder: str, fmt: str = "parquet", suffix: str = S.MARKET_SUFFIX,
+                 files_per_batch: int | None = None) -> None:
+    """The same for all vendor files that landed in ``folder`` since the last run, as a stream with its place kept in ``root``."""
+    from tickframe.streaming import ingest as stream
+    stream.ingest_vendor_files(spark, folder, f"{root}/bars", f"{root}/ingested", tables.scan(spark, root, "stocks"), fmt,
+                               f"{root}/rejects", files_per_batch, suffix, f"{root}/arrivals")
+
+
 def build_features(spark: SparkSession, root: str, since=None, anew: bool = False) -> None:
     """Features of new bars into the feature table, from the stored state of each key.
 
-    The first run, or ``anew``, works from the whole history. ``since`` works
-    out and writes all rows from that date on instead, without touching the
-    state; it reads counts of the whole history.
+    The first run, or ``anew``, works from the whole history. ``since`` also works
+    out and writes all rows from that date on, whether noted as new or not; it
+    reads counts of the whole history.
     """
-    if since is None:
+    if since is None or incremental.stored_state(spark, root) is not None:
         incremental.build(spark, root, anew=anew)
+    if since is None:
         return
     bars = store.open_table(spark, f"{root}/bars", S.BARS)
     store.merge_rows(plans.features(bars, since=since), f"{root}/features", S.FEATURES, S.SERIES_KEY,
                      distinct_keys=True)
 
 
+def _newer(rows: DataFrame, day) -> bool:
+    """Whether there are features after ``day``; reads the months from there on."""
+    if day is not None:
+        rows = rows.filter(F.col(store.MONTH) >= day.year * 100 + day.month).filter(F.col("date") > F.lit(day))
+    return not rows.isEmpty()
+
+
 def rank(spark: SparkSession, root: str, model_path: str | None = None, n: int = S.PORTFOLIO_SIZE,
          as_of=None) -> None:
     """The newest ranking of both models into the recommendation table.
@@ -53,6 +80,9 @@ def rank(spark: SparkSession, root: str, model_path: str | None = None, n: int =
     """
     state = incremental.stored_state(spark, root) if as_of is None else None
     rows = store.open_table(spark, f"{root}/features", S.FEATURES)
+    if state is not None and _newer(rows, incremental.newest(state)):
+        # Rows came by another way than the state, so the state is not the newest.
+        state = None
     if state is not None:
         # Two rows per key, which the feature job keeps aside.
         rows = incremental.last_features(state)

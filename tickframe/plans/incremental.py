@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tickframe import schemas as S
 from tickframe.operators import series, store
 from tickframe.plans import features as plans
-from tickframe.session import stage
+from tickframe.session import scratch, stage
 
 # Closes that the longest rolling window reaches back over; one more for the first change of price.
 HELD = max(S.SLOW_SMA, S.FAST_SMA, S.RSI_LENGTH + 1)
@@ -149,6 +149,9 @@ def save_state(spark: SparkSession, root: str, state: DataFrame) -> None:
     versions = _versions(spark, root)
     number = int(versions[-1]) + 1 if versions else 0
     state.select(*STATE.names).write.mode("overwrite").parquet(f"{root}/state/{number:012d}")
+    # A reader of the version before may still be at work.
+    for old in versions[:-1]:
+        _clear(spark, f"{root}/state/{old}")
 
 
 def _clear(spark: SparkSession, path: str) -> None:
@@ -163,6 +166,11 @@ def build(spark: SparkSession, root: str, *, anew: bool = False) -> None:
     ``anew`` builds everything from the whole history, as does the first run. A
     run that fails may be run again: the notes of new bars are cleared last.
     """
+    with scratch(spark):
+        _build(spark, root, anew)
+
+
+def _build(spark: SparkSession, root: str, anew: bool) -> None:
     bars = store.open_table(spark, f"{root}/bars", S.BARS)
     state = None if anew else stored_state(spark, root)
     # The notes are read once; what is noted meanwhile waits for the next run.
@@ -200,6 +208,11 @@ def arrivals_files(spark: SparkSession, notes: str) -> list[str]:
     return [f.getPath().toString() for f in system.listStatus(path) if f.isFile()] if system.exists(path) else []
 
 
+def newest(state: DataFrame):
+    """The newest date of the state's feature rows, or None."""
+    return state.select(F.explode("recent.date").alias("date")).agg(F.max("date")).first()[0]
+
+
 def last_features(state: DataFrame) -> DataFrame:
     """The last two feature rows of each key, all that the newest ranking reads."""
     return state.select("stock_id", F.inline("recent")).select(*S.FEATURES.names)

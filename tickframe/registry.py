@@ -207,6 +207,78 @@ def daily_ingest_rejects(spark, root):
     return plain(rows.select("ticker", "date_text", *S.BAR_FIELDS, "reason"))
 
 
+def _write_csv(df, folder):
+    df.write.mode("append").option("header", "true").csv(folder)
+
+
+def vendor_csv_any_order(spark, root):
+    """Bars from text files whose columns stand in other orders, with columns too many and too few."""
+    db, files = new_path(spark, "db"), new_path(spark, "landing")
+    data.stocks(spark, root).write.parquet(f"{db}/stocks")
+    tables.bootstrap(spark, db)
+    rows = stage(vendor_rows(spark, root), "vendor")
+    kind = F.pmod(F.length(F.col("Date")) + F.ascii(F.reverse(F.regexp_replace("Ticker", r"\.NS$", ""))), F.lit(3))
+    parts = [rows.filter(kind == k) for k in range(3)]
+    _write_csv(parts[0], files)
+    _write_csv(parts[1].select("Date", "Ticker", "Volume", "Adj Close", "Close", "Low", "High", "Open"), files)
+    _write_csv(parts[2].select("Low", F.lit("x").alias("Note"), "High", "Open", "Date", F.lit("1").alias("Close 2"), "Volume", "Close", "Ticker"), files)
+    daily.ingest(spark, db, landing.read_landing(spark, files, "csv"))
+    return plain(tables.scan(spark, db, "bars"))
+
+
+def rejects_of_two_days(spark, root):
+    """Rejects after two days of JSON lines, some of them broken off; the second day is sent twice."""
+    db = new_path(spark, "db")
+    data.stocks(spark, root).write.parquet(f"{db}/stocks")
+    tables.bootstrap(spark, db)
+    rows = stage(vendor_rows(spark, root), "vendor")
+    number = F.ascii(F.reverse(F.regexp_replace("Ticker", r"\.NS$", "")))
+    broken = F.concat(F.lit('{"Ticker": "'), F.col("Ticker"), F.lit('", "Date": "'), F.col("Date"))
+    whole = F.to_json(F.struct(*reversed(rows.columns)))
+    lines = rows.select("Date", F.when((number % 5 == 0) & F.col("Date").endswith("-17"), broken).otherwise(whole).alias("value"))
+    early = F.col("Date") < "1999-01-01"
+    for k, day in enumerate((early, ~early, ~early)):
+        files = new_path(spark, "landing")
+        lines.filter(day).select("value").repartition(k + 1).write.text(files)
+        daily.ingest(spark, db, landing.read_landing(spark, files, "json"))
+    found = spark.read.parquet(f"{db}/rejects")
+    return plain(found.select("ticker", "date_text", *S.BAR_FIELDS, "line", "reason"))
+
+
+def stream_then_features(spark, root):
+    """Features after bars came in through the stream, twice, and then as a batch; built after each."""
+    db, files = new_path(spark, "db"), new_path(spark, "landing")
+    stocks = data.stocks(spark, root)
+    stocks.write.parquet(f"{db}/stocks")
+    tables.bootstrap(spark, db)
+    back = {column: field for field, column in landing.VENDOR_FIELDS.items()}
+    rows = stage(data.bars(spark, root).join(stocks.select("stock_id", "symbol"), "stock_id").select(
+        landing.ticker_of("symbol").alias("Ticker"), F.col("date").alias("Date"), *(F.col(c).cast("double").alias(back[c]) for c in back)), "vendor")
+    for part in (F.col("Date") < STORED_UNTIL, F.col("Date").between(STORED_UNTIL, dt.date(2000, 3, 9))):
+        rows.filter(part).write.mode("append").parquet(files)
+        daily.ingest_files(spark, db, files)
+        daily.build_features(spark, db)
+    daily.ingest(spark, db, rows)
+    daily.build_features(spark, db)
+    return plain(tables.scan(spark, db, "features"))
+
+
+def daily_rank_both(spark, root):
+    """Both rankings of the newest day as the daily jobs make them: from the state of each key and a stored model."""
+    db, path = new_path(spark, "db"), new_path(spark, "model")
+    stocks = data.stocks(spark, root)
+    stocks.write.parquet(f"{db}/stocks")
+    tables.bootstrap(spark, db)
+    bars = stage(data.bars(spark, root), "bars")
+    for part in (bars.filter(F.col("date") < TEST_START), bars):
+        store.append_absent(part, f"{db}/bars", S.BARS, S.SERIES_KEY, arrivals=f"{db}/arrivals")
+        daily.build_features(spark, db)
+    lem.save(trained(spark, root), path)
+    daily.rank(spark, db, path)
+    named = plans.with_symbol(tables.scan(spark, db, "recommendations"), stocks)
+    return plain(named.select("date", "data_date", "rank", "symbol", "score", "model_type"), 6)
+
+
 def daily_features_table(spark, root):
     """Features built in three daily runs: old bars, then some late ones, then the rest."""
     db = new_path(spark, "db")
@@ -743,6 +815,10 @@ QUERIES = {
     "daily_ingest_rejects": daily_ingest_rejects,
     "daily_features_table": daily_features_table,
     "daily_rank_table": daily_rank_table,
+    "vendor_csv_any_order": vendor_csv_any_order,
+    "rejects_of_two_days": rejects_of_two_days,
+    "stream_then_features": stream_then_features,
+    "daily_rank_both": daily_rank_both,
     "stream_vendor_files": stream_vendor_files,
     "bootstrap_twice": bootstrap_twice,
     "empty_metrics": empty_metrics,

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,15 +46,34 @@ def shared_dir(spark: SparkSession) -> str:
 
 _staged: dict[str, list[str]] = {}
 _made: dict[tuple, DataFrame] = {}
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A folder of its own below the shared one; ``drop_staged`` deletes it."""
     path = f"{shared_dir(spark)}/tickframe/{label}-{uuid.uuid4().hex}"
     _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    if _scratch.get() is not None:
+        _scratch.get().append(path)
     return path
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what was staged in it: for jobs whose result is stored elsewhere by then."""
+    paths: list[str] = []
+    token = _scratch.set(paths)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        known = _staged.get(spark.sparkContext.applicationId, [])
+        for path in paths:
+            if path in known:
+                _delete(spark, path)
+                known.remove(path)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

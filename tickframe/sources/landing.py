@@ -21,6 +21,9 @@ VENDOR_FIELDS = {
 }
 
 
+TEXT = ("csv", "json")
+
+
 def vendor_schema(text: bool) -> T.StructType:
     number = T.StringType() if text else T.DoubleType()
     day = T.StringType() if text else T.DateType()
@@ -29,12 +32,58 @@ def vendor_schema(text: bool) -> T.StructType:
 
 
 def read_landing(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Landed vendor files. Text formats are read as text and typed later, so a
-    bad cell costs its row, not the file."""
-    reader = spark.read.schema(vendor_schema(text=fmt in ("csv", "json")))
-    if fmt == "csv":
-        reader = reader.option("header", "true")
-    return reader.format(fmt).load(path)
+    """Landed vendor files, with ``_line`` (the text of a line that cannot be read, else null) and ``_file``.
+
+    Text formats are read as text and typed later, so a bad cell costs its row, not
+    the file, and a bad line is kept as it is.
+    """
+    if fmt in TEXT:
+        return from_lines(spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file")), fmt)
+    return spark.read.schema(vendor_schema(text=False)).format(fmt).load(path) \
+        .select("*", F.lit(None).cast("string").alias("_line"), F.col("_metadata.file_path").alias("_file"))
+
+
+def _cells(header: str) -> list[str]:
+    return [c.strip(' "\ufeff') for c in header.split(",")]
+
+
+def from_lines(lines: DataFrame, fmt: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Vendor fields as text from lines (``value``, ``_file``) of CSV or JSON files, with ``_line`` as in ``read_landing``.
+
+    A CSV file's header says which cell is which, whatever their order; further
+    columns are left out, missing ones are null. A line with more or fewer cells
+    than its header, one that is no JSON object, and every line of a CSV file
+    without a header that names ticker and date, are unreadable. Lines of spaces
+    are skipped. Cells do not hold line breaks. ``keep`` passes further columns through.
+    """
+    fields = vendor_schema(text=True).names
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_line"}
+    lines = lines.filter(F.col("value").rlike("\\S"))
+    if fmt == "json":
+        kinds = ", ".join(f"`{f}` string" for f in [*fields, "_line"])
+        parsed = lines.withColumn("_row", F.from_json("value", kinds, options)) \
+            .withColumn("_bad", F.when(F.col("_row").isNull(), F.col("value")).otherwise(F.col("_row._line")))
+    else:
+        names = F.transform(F.split("value", ","), lambda c: F.btrim(c, F.lit(' "\ufeff')))
+        is_header = F.array_contains(names, "Ticker") & F.array_contains(names, "Date")
+        headers = lines.filter(is_header).groupBy("_file").agg(F.min("value").alias("_header"))
+        parsed = lines.filter(~is_header).join(headers, "_file", "left")
+        row, nothing = F.lit(None), F.lit(None).cast("string")
+        # As many as there are layouts; files share them.
+        for header in (r[0] for r in headers.select("_header").distinct().collect()):
+            cells = _cells(header)
+            known = {c: k for k, c in enumerate(cells) if c in fields}
+            if len(known) < sum(c in fields for c in cells):
+                continue  # a name twice: which cell counts cannot be told
+            kinds = ", ".join([*(f"`{c}` string" if c in fields else f"_x{k} string" for k, c in enumerate(cells)), "_line string"])
+            read = F.from_csv("value", kinds, options)
+            row = F.when(F.col("_header") == F.lit(header), F.struct(
+                *((read.getField(f) if f in known else nothing).alias(f) for f in fields), read.getField("_line").alias("_line"))).otherwise(row)
+        kind = T.StructType([T.StructField(f, T.StringType()) for f in [*fields, "_line"]])
+        parsed = parsed.withColumn("_row", row.cast(kind)) \
+            .withColumn("_bad", F.when(F.col("_row").isNull(), F.col("value")).otherwise(F.col("_row._line")))
+    return parsed.select(*(F.when(F.col("_bad").isNull(), F.col("_row").getField(f)).alias(f) for f in fields),
+                         F.col("_bad").alias("_line"), "_file", *keep)
 
 
 def ticker_of(symbol: str | Column, suffix: str = S.MARKET_SUFFIX) -> Column:
@@ -72,7 +121,7 @@ def wide_to_long(df: DataFrame, ids: tuple[str, ...] = ("Date",), sep: str = "|"
 
 
 def typed_rows(landed: DataFrame, stocks: DataFrame, suffix: str = S.MARKET_SUFFIX, keep: Sequence[str] = ()) -> DataFrame:
-    """Every landed row as a bar, with its ticker and its date as it came.
+    """Every landed row as a bar, with its ticker and its date as it came, the text of an unreadable line, and its file.
 
     A cell that does not parse becomes null, and so does the key of a ticker
     that no stock has: such rows make rejects, none is lost. ``keep`` passes
@@ -87,9 +136,10 @@ def typed_rows(landed: DataFrame, stocks: DataFrame, suffix: str = S.MARKET_SUFF
 
     rows = landed.select(F.col("Ticker").alias("ticker"), symbol_of("Ticker", suffix).alias("symbol"),
                          F.col("Date").cast("string").alias("date_text"), F.col("Date").try_cast("date").alias("date"),
-                         *(typed(f, c) for f, c in VENDOR_FIELDS.items()), *keep)
+                         *(typed(f, c) for f, c in VENDOR_FIELDS.items()),
+                         *((F.col(c) if c in landed.columns else F.lit(None).cast("string")).alias(c[1:]) for c in ("_line", "_file")), *keep)
     return rows.join(stocks.select("stock_id", "symbol"), "symbol", "left") \
-        .select(*S.BARS.names, "ticker", "date_text", *keep)
+        .select(*S.BARS.names, "ticker", "date_text", "line", "file", *keep)
 
 
 def to_bars(landed: DataFrame, stocks: DataFrame, suffix: str = S.MARKET_SUFFIX) -> DataFrame:
