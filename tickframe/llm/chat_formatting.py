@@ -89,8 +89,9 @@ def with_other_answers(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs from plain conversations (conv_id, turn, role, text): chosen and rejected turns.
 
     Chosen is the conversation itself; in the rejected one its last assistant
-    turn is answered as in the conversation with the id after its own (left out
-    where that id is missing or has no assistant turn). Conversations without assistant turns are equal on both sides.
+    turn is answered as in the next conversation by id that has an assistant turn,
+    after the last one as in the first (left out if no other has one).
+    Conversations without assistant turns are equal on both sides.
     """
     turns = conversations.filter("conv_id IS NOT NULL").select(F.col("conv_id").cast("long").alias("pair_id"), "turn", "role", "text") \
         .withColumn("_digest", F.md5(F.encode(F.coalesce("text", F.lit("")), "UTF-8")))
@@ -101,9 +102,15 @@ def with_other_answers(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     is_last = (F.col("role") == TRAINED_ROLE) & F.col("turn").eqNullSafe(F.col("_last.turn")) & (F.col("_digest") == F.col("_last._digest"))
     rest = turns.join(last, F.col("pair_id") == F.col("_pair"), "left") \
         .filter(F.col("_last").isNull() | ~F.coalesce(is_last, F.lit(False))).select("pair_id", "turn", "role", "text")
-    donors = last.select((F.col("_pair") - 1).alias("pair_id"), F.col("_last.text").alias("text"))
-    answers = last.join(donors, F.col("_pair") == F.col("pair_id")) \
-        .select("pair_id", "_last.turn", F.lit(TRAINED_ROLE).alias("role"), "text")
+    # Ids are numbered without gaps and without one task; the texts are joined by these numbers.
+    numbered = running_totals(last.select("_pair"), [], ["_pair"], {"_before": F.lit(1)}, "answered")
+    follows = (F.col("_before") + 1) % numbered.agg(F.count("*")).scalar()
+    donors = last.join(numbered.withColumnRenamed("_pair", "_donor"), F.col("_pair") == F.col("_donor")) \
+        .select("_donor", F.col("_before").alias("_place"), F.col("_last.text").alias("text"))
+    answers = last.select("_pair", F.col("_last.turn").alias("turn")).join(
+        numbered.select(F.col("_pair").alias("pair_id"), follows.alias("_follows")), F.col("_pair") == F.col("pair_id")) \
+        .join(donors, F.col("_follows") == F.col("_place")).filter(F.col("pair_id") != F.col("_donor")) \
+        .select("pair_id", "turn", F.lit(TRAINED_ROLE).alias("role"), "text")
     return turns.select("pair_id", "turn", "role", "text"), rest.unionByName(answers)
 
 
@@ -113,9 +120,10 @@ WITH t AS (SELECT conv_id AS pair_id, turn, role, text, md5(coalesce(text, ''))
 l AS (SELECT pair_id, turn, text, digest FROM (
         SELECT *, row_number() OVER (PARTITION BY pair_id ORDER BY turn DESC NULLS LAST, digest DESC) AS k FROM t WHERE role = 'assistant')
       WHERE k = 1),
+b AS (SELECT *, row_number() OVER (ORDER BY pair_id) AS place, count(*) OVER () AS answered FROM l),
 r AS (SELECT t.pair_id, t.turn, t.role, t.text FROM t LEFT JOIN l USING (pair_id)
       WHERE l.digest IS NULL OR NOT coalesce(t.role = 'assistant' AND t.turn IS NOT DISTINCT FROM l.turn AND t.digest = l.digest, false)
-      UNION ALL SELECT l.pair_id, l.turn, 'assistant', d.text FROM l JOIN l AS d ON d.pair_id = l.pair_id + 1),
+      UNION ALL SELECT b.pair_id, b.turn, 'assistant', d.text FROM b JOIN b AS d ON d.place = b.place % b.answered + 1 WHERE b.answered > 1),
 s AS (SELECT 'chosen' AS side, pair_id, turn, role, text FROM t UNION ALL SELECT 'rejected', pair_id, turn, role, text FROM r),
 g AS (SELECT pair_id, side, turn, coalesce(role, '') AS role, md5(coalesce(text, '')) AS digest,
         '{HEAD}' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10) AS segment FROM s),
