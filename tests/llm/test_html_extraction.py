@@ -23,7 +23,7 @@ PAGES = {
         "Long main text here, long enough. more text of the story",
     "<body class='has-sidebar'><main><h1>T</h1><p>x &lt;y&gt;&nbsp; z</p><aside>no</aside><p>w</p>"
     "<section id=comments><article class='comment'>c</article></section></main>": "T x <y> z w",
-    "<article><header>h</header><p>real</p></article><article><p>second longer one</p></article>": "second longer one",
+    "<article><header>h</header><p>real</p></article><article><p>second longer one</p></article>": "real second longer one",
     "<article><p>one</p><form><p>mail</p><button>go</button></form><ul><li>two</li><li>th<b>re</b>e</li></ul></article>": "one two three",
     "<div class='ad'>buy<article><p>kept all the same</p></article></div>": "kept all the same",
     "<article><p>a</p>" + "<div class=ads>x</div>" * 9 + "<p>b</p></article>": "a b",

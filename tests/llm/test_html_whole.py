@@ -39,7 +39,7 @@ FIRST, SECOND = "the first half of a story that is split over two parts, with so
     f"<article><p>{FIRST}</p></article><div>between</div><article><p>{SECOND}</p></article>",
     f"<main><p>{FIRST}</p><article><p>{SECOND}</p></article></main>",
     f"<main><article><p>{FIRST}</p></article><p>{SECOND}</p></main>",
-    f"<main><p>{FIRST}</p></main><article><p>{SECOND}</p></article><article><p>teaser</p></article>"])
+    f"<main><p>{FIRST}</p></main><article><p>{SECOND}</p></article><article><p><a href='/x'>teaser</a></p></article>"])
 def test_all_marked_parts_are_kept_in_page_order(page):
     assert main_text(page) == f"{FIRST} {SECOND}"
 
@@ -61,3 +61,33 @@ LONG = "A paragraph of the story, with enough words to be more than a line of a
     ("<p><a href='/'>only a link</a></p>", "only a link")])
 def test_unnamed_boilerplate_falls_below_the_sums(page, text):
     assert main_text(page) == text
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<article><p>{FIRST}</p></article><article><p>The end of it.</p></article>", f"{FIRST} The end of it."),
+    (f"<div>By Jane</div><div><p>{LONG}</p></div><div>Short closing line.</div>", f"By Jane {LONG} Short closing line."),
+    (f"<article><p>{LONG}</p><section id='search'><p>{LONG}</p></section><section id='notice'><p>{LONG}</p></section></article>", f"{LONG} {LONG} {LONG}"),
+    (f"<article><p>{LONG}</p><p>{LONG}</p><section id='notice'><p>Mind the gap</p></section></article>", f"{LONG} {LONG}"),
+    (f"<article><p>{LONG}</p><div class='comments'><p>{LONG}</p></div></article>", LONG),
+    (f"<article><p>{LONG}</p><ul>" + "<li><a href='/'>More to read</a></li>" * 6 + "</ul></article>", LONG),
+    (f"<article><ul>" + "<li><a href='/'>Section</a></li>" * 6 + f"</ul><p>{LONG}</p><p>All rights reserved.</p></article>", f"{LONG} All rights reserved."),
+    (f"<p>{LONG}</p><p>We use cookies. Accept all.</p>", LONG),
+    (f"<article><p><a href='/'>only</a></p></article><article><p>{LONG}</p></article>", LONG)])
+def test_nothing_short_is_lost_and_links_are(page, text):
+    assert main_text(page) == text
+
+
+def test_the_window_decides():
+    """Lines of links between paragraphs are text as far as the window bridges them."""
+    page = f"<article><p>{LONG}</p>" + "<p><a href='/'>a link</a></p>" * 2 + f"<p>{LONG}</p>" + "<p><a href='/'>b link</a></p>" * 6 + f"<p>{LONG}</p></article>"
+    two, six = " a link" * 2, " b link" * 6
+    assert main_text(page, 1) == f"{LONG} {LONG} {LONG}"
+    assert main_text(page, 3) == f"{LONG}{two} {LONG} {LONG}"
+    assert main_text(page, 50) == f"{LONG}{two} {LONG}{six} {LONG}"
+
+
+def test_unmatched_end_tags_take_no_square():
+    import time
+    start = time.perf_counter()
+    assert main_text("<i>" * 3000 + "</b></x>" * 20_000 + "<p>x</p>") == "x"
+    assert time.perf_counter() - start < 5

@@ -7,18 +7,26 @@ comments leave empty lines. The text lengths of each window of ``window`` lines
 are summed. Where the sum rises from zero is a surge, where it falls back to
 zero a dive; the lines from a surge to its dive are a stretch of text.
 
-A page that marks articles or a main part has all lines of these kept, in page
-order, but for articles among others whose windowed sums stay as low as those of
-teasers. There tags alone decide. In other pages the sums do, of characters
-outside links: a stretch has to reach a threshold of at most 60 characters,
-lower on pages of short lines; shorter ones before the first and after the last
-that does are left out, and lists of links and copyright lines count nothing.
+Lines count their characters outside links; lists of links and, outside marked
+parts, lines such as of copyright count nothing. Lines that count nothing belong to a stretch between
+lines that count, as far as the window bridges them, and are cut off at its ends;
+nothing else between a surge and its dive is left out, however short.
+
+A page that marks articles or a main part has the stretches of all of these
+kept, in page order; parts of links alone only if there are no others. Inside
+them, an element whose class or id sounds like something else is set aside only
+if its windowed sums stay under half of those of the part around it. In other
+pages a stretch that reaches a threshold of at most 60 characters (lower on pages
+of short lines) is text, and so is all between two of them. Shorter ones before
+the first and after the last are text too, unless the characters in links from
+there on outwards, over a window, are more than those outside.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +40,7 @@ WINDOW = 3
 SHORT = 60
 # Closing one of these that holds blocks ends a stretch on pages without marked parts.
 CONTAINERS = {"div", "section", "table"}
-COPYRIGHT = re.compile(r"\W*(?:©|\(c\)\s|copyright\s+(?:©|\(c\)|\d{4}))|.*\ball rights reserved\W*$", re.I)
+COPYRIGHT = re.compile(r"\W*(?:©|\(c\)\s|copyright\s+(?:©|\(c\)|\d{4}))|.*\ball rights reserved\W*$|\W*(?:we|this (?:web)?site) uses? cookies\b", re.I)
 HREF = re.compile(r"\bhref\b", re.I)
 # Fixed values of the HTML standard: elements by what they do to text.
 RAW = ("script", "style", "iframe", "textarea", "title", "head")
@@ -105,9 +113,12 @@ class Lines:
         self.link, self.open_linked, self.blocks = -1, 0, 0
         begun: list[int] = []
         self.around, self.stands = [0], [True]
+        # The part that an element stands in which only its name sets aside, else 0.
+        self.named_in = [0]
         self.window, self.open_text = window, []
         # Open elements: name, number of the set-aside element (-1 if embedded), number of the article or main part.
         stack: list[tuple[str, int, int]] = []
+        opened: Counter = Counter()
         self.aside, self.part, self.count = 0, 0, 0
         self.kind = {0: ""}
         at, end = 0, len(page)
@@ -135,9 +146,9 @@ class Lines:
             if found["end"]:
                 if tag == "h1" and self.texts[written:]:
                     self.heads[-1] = bool(self.texts[-1])
-                names = [s[0] for s in stack]
-                if tag in names:
-                    k = len(names) - 1 - names[::-1].index(tag)
+                if opened[tag]:
+                    k = next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag)
+                    opened.subtract(s[0] for s in stack[k:])
                     self._leave(stack[k:])
                     first = begun[k]
                     del stack[k:], begun[k:]
@@ -155,12 +166,14 @@ class Lines:
                     part = self.part if inner else self._new_part(tag)
                     stack.append((tag, 0, part))
                 elif aside and self.aside >= 0:
-                    stack.append((tag, -1 if tag in EMBEDDED else self._new_aside(stands), self.part))
+                    by_name = not stands and tag not in ASIDE
+                    stack.append((tag, -1 if tag in EMBEDDED else self._new_aside(stands, self.part if by_name else 0), self.part))
                 else:
                     stack.append((tag, self.aside, self.part))
                 if tag not in INLINE:
                     self.blocks += 1
                 begun.append(self.blocks)
+                opened[tag] += 1
                 if tag == "a" and HREF.search(found["attributes"]):
                     self.link = len(stack) - 1
                 if stack[-1][2] != self.part:
@@ -180,9 +193,10 @@ class Lines:
         self.kind[self.count] = tag
         return self.count
 
-    def _new_aside(self, stands: bool) -> int:
+    def _new_aside(self, stands: bool, named_in: int) -> int:
         self.around.append(max(0, self.aside))
         self.stands.append(stands)
+        self.named_in.append(named_in)
         return len(self.around) - 1
 
     def _state(self, stack: list[tuple[str, int, int]]) -> None:
@@ -206,21 +220,32 @@ class Lines:
         self.heads += [False] * self.window
 
     def _release(self) -> None:
-        """Drops what was set aside, but for elements that hold most of the page's text: those wrap it."""
+        """Drops what was set aside, but for elements that hold most of the page's text, as those wrap it, and for
+        those inside an article that only their names set aside and whose sums are like those around them."""
         held = [0] * len(self.around)
         for text, aside in zip(self.texts, self.asides):
             held[aside] += len(text)
         total = sum(held)
         for k in range(len(held) - 1, 0, -1):
             held[self.around[k]] += held[k] if self.around[k] else 0
+        tops = self._tops() if any(self.named_in) else {}
         free = [True] + [False] * (len(held) - 1)
         for k in range(1, len(held)):
-            free[k] = free[self.around[k]] and not self.stands[k] and 2 * held[k] > total
+            alike = self.named_in[k] and 2 * tops.get((self.named_in[k], k), 0) > tops.get((self.named_in[k], 0), 0)
+            free[k] = free[self.around[k]] and not self.stands[k] and bool(alike or 2 * held[k] > total)
         # Gaps stay where the element stays aside, lines where it does not.
         kept = [k for k, (text, aside) in enumerate(zip(self.texts, self.asides)) if free[aside] == bool(text) or not aside]
         self.texts, self.parts, self.linked, self.heads = (
             [x[k] for k in kept] for x in (self.texts, self.parts, self.linked, self.heads))
 
+    def _tops(self) -> dict[tuple[int, int], int]:
+        """The highest windowed sum by part and set-aside element."""
+        lengths: dict[tuple[int, int], list[int]] = {}
+        for text, part, aside, linked, head in zip(self.texts, self.parts, self.asides, self.linked, self.heads):
+            if text:
+                lengths.setdefault((part, aside), []).append(weight(text, linked, head, part > 0))
+        return {k: int(window_sums(np.array(n, np.int64), self.window).max()) for k, n in lengths.items()}
+
     def _text(self, text: str) -> None:
         if text and self.aside >= 0:
             self.open_text.append(text)
@@ -255,53 +280,70 @@ def stretches(lengths: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]
     return list(zip(surges.tolist(), dives.tolist()))
 
 
-def weight(text: str, linked: int, head: bool) -> int:
-    """What a line counts in the sums of a page without marked parts: its characters outside links, for the heading at least SHORT."""
+def weight(text: str, linked: int, head: bool, marked: bool) -> int:
+    """What a line counts in the sums: its characters outside links, for the heading at least SHORT.
+
+    A line of copyright counts nothing, unless it stands in a marked part, whose author put it there.
+    """
     if head:
         return max(len(text), SHORT)
     own = len(text) - linked
-    if (2 * linked > len(text) and own < SHORT) or (len(text) < 3 * SHORT and COPYRIGHT.match(text)):
+    if (2 * linked > len(text) and own < SHORT) or (not marked and len(text) < 3 * SHORT and COPYRIGHT.match(text)):
         return 0
     return own
 
 
-def texts_of(lengths: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]]:
-    """The stretches from the first to the last one whose windowed sums reach half of the page's highest one, or SHORT where that is less.
+def filled(lengths: np.ndarray, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The ranges without the lines at their ends that count nothing."""
+    counted = [np.flatnonzero(lengths[a:b]) + a for a, b in ranges]
+    return [(int(at[0]), int(at[-1]) + 1) for at in counted if len(at)]
+
 
-    The bound does not grow with the page: a stretch is judged by its own lines.
-    Lines that count nothing are cut off at the ends of a stretch.
+def texts_of(lengths: np.ndarray, linked: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]]:
+    """The stretches of text of a page without marked parts.
+
+    All from the first to the last one whose windowed sums reach half of the
+    page's highest one, or SHORT where that is less, and shorter ones beyond them
+    unless, over the lines with text of one window from there outwards, more
+    characters stand in links than count.
     """
     sums = window_sums(lengths, window)
     least = min(SHORT, sums.max(initial=0) / 2)
     found = stretches(lengths, window)
     high = [k for k, (a, b) in enumerate(found) if sums[a:b].max() >= least]
-    filled = [np.flatnonzero(lengths[a:b]) + a for a, b in (found[high[0]:high[-1] + 1] if high else [])]
-    return [(int(at[0]), int(at[-1]) + 1) for at in filled]
-
+    if not high:
+        return []
+    shown = np.flatnonzero((lengths > 0) | (linked > 0))
 
-def marked_parts(lines: Lines, window: int = WINDOW) -> set[int]:
-    """Numbers of the articles and main parts to keep: all with text, but for articles as short as teasers among others.
+    def outwards(a: int, b: int, step: int) -> bool:
+        at = np.searchsorted(shown, a) if step > 0 else np.searchsorted(shown, b) - 1
+        size = int((lengths[a:b] > 0).sum())
+        rows = shown[at:at + window + size - 1] if step > 0 else shown[max(0, at - window - size + 2):at + 1]
+        return lengths[rows].sum() >= linked[rows].sum()
 
-    The bound for these is that of ``texts_of``, over the lines of each part.
-    """
-    lengths: dict[int, list[int]] = {}
-    for part, text in zip(lines.parts, lines.texts):
-        if part and text:
-            lengths.setdefault(part, []).append(len(text))
-    tops = {k: int(window_sums(np.array(n, np.int64), window).max()) for k, n in lengths.items()}
-    least = min(SHORT, max(tops.values(), default=0) / 2)
-    return {k for k, top in tops.items() if lines.kind[k] == "main" or top >= least}
+    kept = [(a, b) for a, b in found[:high[0]] if outwards(a, b, -1)]
+    kept += found[high[0]:high[-1] + 1]
+    kept += [(a, b) for a, b in found[high[-1] + 1:] if outwards(a, b, 1)]
+    return filled(lengths, kept)
 
 
 def main_text(page: str, window: int = WINDOW) -> str:
     lines = Lines(page, window)
-    kept = marked_parts(lines, window)
-    if kept:
-        return " ".join(t for t, k in zip(lines.texts, lines.parts) if t and k in kept)
-    lengths = np.array(list(map(weight, lines.texts, lines.linked, lines.heads)), np.int64)
+    lengths = np.array([weight(t, n, h, k > 0) for t, n, h, k in zip(lines.texts, lines.linked, lines.heads, lines.parts)], np.int64)
+    parts = np.array(lines.parts, np.int64)
+    if (parts > 0).any():
+        shown = np.array([bool(t) for t in lines.texts]) & (parts > 0)
+        if not lengths[shown].any():
+            # Links alone, which are then the text.
+            lengths = np.where(shown, 1, 0)
+        rows = []
+        for part in np.unique(parts[shown]):
+            own = np.flatnonzero(shown & (parts == part))
+            rows += [k for a, b in filled(lengths[own], stretches(lengths[own], window)) for k in own[a:b]]
+        return " ".join(lines.texts[k] for k in sorted(rows))
     if not lengths.any():
         lengths = np.array([len(t) for t in lines.texts], np.int64)
-    return " ".join(t for a, b in texts_of(lengths, window) for t in lines.texts[a:b] if t)
+    return " ".join(t for a, b in texts_of(lengths, np.array(lines.linked, np.int64), window) for t in lines.texts[a:b] if t)
 
 
 def extract(pages: DataFrame, window: int = WINDOW, out: str = "text") -> DataFrame:
