@@ -105,7 +105,7 @@ def main() -> None:
     timed("welch_t", lambda: consume(metrics.welch(returns(), "she", "macd")))
 
     # The learned score
-    trained = timed("lem_train", lambda: lem.train(panel.filter(F.col("date") <= R.TRAIN_END),
+    trained = timed("lem_train", lambda: lem.train_trees(panel.filter(F.col("date") <= R.TRAIN_END),
                                                    **R.SMALLEST))
     timed("lem_scores", lambda: consume(lem.score_by_table(panel, trained)))
     timed("lem_metrics", lambda: consume(metrics.performance(backtest.simulate(

@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,8 +41,8 @@ SEED = 42
 SCALE = 1 << 24
 # Beyond this the cells are no longer sent to the tasks.
 MAX_CELLS = 200_000
-# Models of more splits are scored by their regions, as their expression would be too long.
-MAX_SPLITS = 1000
+# Models of more splits are scored by their regions, as their expression would take long to compile.
+MAX_SPLITS = 64
 MAX_REGIONS = 1 << 20
 # Without rows of both labels there is nothing to learn but the one that there is.
 SURE = 36.0
@@ -234,8 +235,8 @@ class Trees:
             return rows.withColumn(out, self.column())
         cuts, raw = self.regions()
         names = [f"{out}_{k}" for k in range(len(cuts))]
-        kinds = ", ".join(f"`{n}` array<double>" for n in [*names, out])
-        table = rows.sparkSession.createDataFrame([(*cuts, raw.tolist())], kinds)
+        listed = [pa.array([list(map(float, x))], pa.list_(pa.float64())) for x in (*cuts, raw)]
+        table = rows.sparkSession.createDataFrame(pa.table(listed, names=[*names, out]))
 
         def below(name: str, signal: str) -> Column:
             return F.size(F.filter(F.col(name), lambda cut: cut < F.col(signal).cast("double")))
@@ -243,8 +244,8 @@ class Trees:
         place = F.lit(0)
         for signal, name, own in zip(self.features, names, cuts):
             place = place * (len(own) + 1) + below(name, signal)
-        listed = rows.withColumns({n: table.select(n).scalar() for n in [*names, out]})
-        return listed.withColumn(out, F.element_at(out, place.cast("int") + 1)).drop(*names)
+        looked = rows.withColumns({n: table.select(n).scalar() for n in [*names, out]})
+        return looked.withColumn(out, F.element_at(out, place.cast("int") + 1)).drop(*names)
 
     def score(self, rows: DataFrame, out: str = "lem_score") -> DataFrame:
         """Adds the probability of the label 1 times 100; null where a signal is."""
@@ -253,6 +254,12 @@ class Trees:
             complete = complete & F.col(f).isNotNull()
         return self._with_raw(rows, out).withColumn(out, F.when(complete, 100.0 / (1.0 + F.exp(-F.col(out)))))
 
+    def score_table(self, spark: SparkSession, domain: Mapping[str, np.ndarray], out: str = "lem_score") -> DataFrame:
+        """The score of every combination of the values in ``domain``, worked out once; its size does not depend on rows."""
+        grid = [g.ravel() for g in np.meshgrid(*domain.values(), indexing="ij")]
+        raw = self.raw([grid[list(domain).index(f)].astype(float) for f in self.features])
+        return spark.createDataFrame(pa.table([*map(pa.array, grid), pa.array(100.0 / (1.0 + np.exp(-raw)))], names=[*domain, out]))
+
     def table(self, spark: SparkSession) -> DataFrame:
         """The nodes as a table; ``follow`` reads it."""
         return spark.createDataFrame(self.nodes, NODES)

@@ -16,6 +16,7 @@ import itertools
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -208,6 +209,9 @@ def score(rows: DataFrame, model: PipelineModel | Trees | None, out: str = "lem_
 
 def score_table(spark: SparkSession, model: PipelineModel | Trees | None, out: str = "lem_score") -> DataFrame:
     """The score of every signal combination, 60,006 rows."""
+    if isinstance(model, Trees):
+        domain = {"momentum_score": np.arange(10_001) / 100, "trend_signal": np.array([-1, 0, 1], np.int32), "macd_score": np.array([0, 100], np.int32)}
+        return model.score_table(spark, domain, out)
     cents = spark.range(10_001).select((F.col("id") / 100).alias("momentum_score"))
     grid = cents.withColumn("trend_signal", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))) \
         .withColumn("macd_score", F.explode(F.array(F.lit(0), F.lit(100))))
