@@ -3,8 +3,13 @@
 The state of a key is all that its next rows depend on: the exponential means in
 full precision, the closes that the rolling windows still hold, the last date,
 and its last two feature rows. A run reads the state, the months that the ingest
-job noted as changed, and nothing else; keys that got bars older than their
-state are built anew from their whole history.
+job noted as changed, and nothing else.
+
+A bar older than its key's state changes the rows after it, but only as far as
+the means reach: ``REACH`` rows on, the weight of any bar is under 2^-60. Keys that
+got such bars are built anew over the months that hold the late bars and so many
+rows before and after them. Which months these are follows from the rows per key and
+month at the first run and the notes of later ones, which are kept for that.
 """
 
 from __future__ import annotations
@@ -20,6 +25,8 @@ from tickframe.session import scratch, stage
 
 # Closes that the longest rolling window reaches back over; one more for the first change of price.
 HELD = max(S.SLOW_SMA, S.FAST_SMA, S.RSI_LENGTH + 1)
+# Rows over which a bar bears on others, and as many as a row looks back.
+REACH = max(series.block_size(plans.MACD_SPANS), S.SLOW_SMA)
 RECENT = T.ArrayType(T.StructType([T.StructField(f.name, f.dataType) for f in S.FEATURES.fields[1:]]))
 STATE = T.StructType([
     T.StructField("stock_id", T.IntegerType()), T.StructField("date", T.DateType()),
@@ -180,8 +187,14 @@ def _build(spark: SparkSession, root: str, anew: bool) -> None:
     if state is None:
         features, after = from_history(bars)
         store.merge_rows(features, f"{root}/features", S.FEATURES, S.SERIES_KEY, distinct_keys=True)
+        # All bars have been read, so what was noted of them is replaced by what there is.
+        bars.groupBy("stock_id", store.MONTH).agg(F.min("date").alias("first"), F.max("date").alias("last"), F.count("*").alias("n")) \
+            .write.mode("overwrite").parquet(f"{root}/noted")
         save_state(spark, root, after)
-    elif not arrivals.isEmpty():
+        for path in files:
+            _clear(spark, path)
+        return
+    if not arrivals.isEmpty():
         keys = arrivals.groupBy("stock_id").agg(F.min("first").alias("first"))
         late = stage(keys.join(state.select("stock_id", "date"), "stock_id").filter(F.col("first") <= F.col("date")).select("stock_id"), "late")
         touched = state.join(keys, "stock_id", "left_semi").join(late, "stock_id", "left_anti")
@@ -192,12 +205,86 @@ def _build(spark: SparkSession, root: str, anew: bool) -> None:
             .filter(F.col("_until").isNull() | (F.col("date") > F.col("_until"))).select("stock_id", "date", "close_price")
         features, after = from_state(touched, new)
         if not late.isEmpty():
-            again, again_after = from_history(bars.join(late, "stock_id", "left_semi"))
+            noted = arrivals_files(spark, f"{root}/noted")
+            counts = spark.read.schema(ARRIVALS).parquet(*noted, *files).groupBy("stock_id", store.MONTH).agg(F.sum("n").alias("n"))
+            again, again_after = late_rows(bars, late, arrivals, counts, state)
             features, after = features.unionByName(again), after.unionByName(again_after)
         store.merge_rows(features, f"{root}/features", S.FEATURES, S.SERIES_KEY, distinct_keys=True)
         save_state(spark, root, state.join(keys, "stock_id", "left_anti").select(*STATE.names).unionByName(after))
     for path in files:
-        _clear(spark, path)
+        _keep(spark, path, f"{root}/noted")
+
+
+def _keep(spark: SparkSession, path: str, folder: str) -> None:
+    """Puts a note that was worked on with the others; a name that is there already is the same note."""
+    context = spark.sparkContext
+    source, target = (context._jvm.org.apache.hadoop.fs.Path(x) for x in (path, folder))
+    system = source.getFileSystem(context._jsc.hadoopConfiguration())
+    system.mkdirs(target)
+    system.rename(source, context._jvm.org.apache.hadoop.fs.Path(target, source.getName()))
+
+
+def _needed(counts: DataFrame, spans: DataFrame, reach: int) -> DataFrame:
+    """stock_id, month, _open: the months that hold ``first`` to ``last`` of ``spans`` and ``reach`` rows on either side,
+    with a mark where there are months beyond them (1 before, 2 after, 3 both)."""
+    by = Window.partitionBy("stock_id")
+    at, low, high = F.col(store.MONTH), F.col("_low"), F.col("_high")
+    spans = spans.select("stock_id", *((F.year(d) * 100 + F.month(d)).alias(n) for d, n in (("first", "_low"), ("last", "_high"))))
+    # Rows between a month and the span, without the month's own.
+    backwards, forwards = (by.orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in (at.desc(), at.asc()))
+    nearer = F.when(at < low, F.sum(F.when(at < low, F.col("n"))).over(backwards)) \
+        .when(at > high, F.sum(F.when(at > high, F.col("n"))).over(forwards))
+    held = counts.join(spans, "stock_id").withColumn("_taken", F.coalesce(nearer, F.lit(0)) < reach)
+    beyond = [F.max((~F.col("_taken") & side).cast("int")).over(by) for side in (at < low, at > high)]
+    return held.withColumn("_open", beyond[0] + 2 * beyond[1]).filter("_taken").select("stock_id", store.MONTH, "_open")
+
+
+def late_rows(bars: DataFrame, late: DataFrame, arrivals: DataFrame, counts: DataFrame, state: DataFrame,
+              reach: int = REACH) -> tuple[DataFrame, DataFrame]:
+    """For the keys ``late``: the features that may have changed, and the states after that.
+
+    A note may stand for rows that were never stored, so the rows read are
+    counted again; keys of which too few were found are built from their whole
+    history.
+    """
+    spans = stage(arrivals.join(late, "stock_id").groupBy("stock_id").agg(F.min("first").alias("first"), F.max("last").alias("last")), "spans")
+    months = stage(_needed(counts, spans, reach), "months")
+    # Months are few, so the filter on them is a list that prunes folders.
+    listed = [r[0] for r in months.select(store.MONTH).distinct().collect()]
+    near = stage(bars.filter(F.col(store.MONTH).isin(listed)).join(months, ["stock_id", store.MONTH]).join(spans, "stock_id"), "near")
+    found = near.groupBy("stock_id").agg(F.count_if(F.col("date") < F.col("first")).alias("_before"),
+                                         F.count_if(F.col("date") > F.col("last")).alias("_after"), F.max("_open").alias("_open"))
+    short = ((F.col("_open") % 2 == 1) & (F.col("_before") < reach)) | ((F.col("_open") >= 2) & (F.col("_after") < reach))
+    known = stage(found.select("stock_id", short.alias("_short"), (F.col("_open") >= 2).alias("_inner")), "known")
+    windowed = known.filter(~F.col("_short"))
+    features, ends = from_history(near.join(windowed, "stock_id", "left_semi").select(*S.BARS.names))
+    features = features.join(spans, "stock_id").filter(F.col("date") >= F.col("first")).select(*S.FEATURES.names)
+    # Where rows are left after the window, the state is what it was.
+    inner = windowed.filter("_inner").select("stock_id")
+    after = ends.join(inner, "stock_id", "left_anti").unionByName(state.join(inner, "stock_id", "left_semi").select(*STATE.names))
+    whole = late.join(windowed, "stock_id", "left_anti")
+    if not whole.isEmpty():
+        again, again_after = from_history(bars.join(whole, "stock_id", "left_semi"))
+        features, after = features.unionByName(again), after.unionByName(again_after)
+    return features, after
+
+
+def arrivals_files(spark: SparkSession, notes: str) -> list[str]:
+    """The note files that are there now."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(notes)
+    system = path.getFileSystem(context._jsc.hadoopConfiguration())
+    return [f.getPath().toString() for f in system.listStatus(path) if f.isFile()] if system.exists(path) else []
+
+
+def newest(state: DataFrame):
+    """The newest date of the state's feature rows, or None."""
+    return state.select(F.explode("recent.date").alias("date")).agg(F.max("date")).first()[0]
+
+
+def last_features(state: DataFrame) -> DataFrame:
+    """The last two feature rows of each key, all that the newest ranking reads."""
+    return state.select("stock_id", F.inline("recent")).select(*S.FEATURES.names)
 
 
 def arrivals_files(spark: SparkSession, notes: str) -> list[str]:
