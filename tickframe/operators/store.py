@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from contextlib import nullcontext
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,10 +69,78 @@ def with_month(df: DataFrame, column: str = "date") -> DataFrame:
     return df.withColumn(MONTH, F.year(column) * 100 + F.month(column))
 
 
+# A table whose months are swapped together has a pointer: a file that lists its month folders, one a line, and with
+# a minus those that the swap before replaced, which a reader may still be at. Names with a dot are not listed with the table.
+POINTER = "_pointer"
+GENERATION = ".gen"
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of ``path`` and a function that makes paths of it."""
+    context = spark.sparkContext
+    make = context._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(context._jsc.hadoopConfiguration()), make
+
+
+def _folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    system, make = _files(spark, path)
+    if not system.exists(make(path)):
+        return []
+    return sorted(f.getPath().getName() for f in system.listStatus(make(path)) if f.isDirectory() and f.getPath().getName().startswith(prefix))
+
+
+def _pointer(spark: SparkSession, path: str) -> tuple[list[str], list[str]] | None:
+    """The table's month folders and those replaced last, or None if the table has no pointer."""
+    system, make = _files(spark, path)
+    at = make(f"{path}/{POINTER}")
+    if not system.exists(at):
+        return None
+    stream = system.open(at)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    lines = text.split()
+    return [x for x in lines if x[0] != "-"], [x[1:] for x in lines if x[0] == "-"]
+
+
+def _point(spark: SparkSession, path: str, generation: str) -> None:
+    """Makes the months of ``generation`` those of the table, all at once: the new list takes the old one's place by one rename."""
+    before = _pointer(spark, path)
+    live = {x.rpartition("/")[2]: x for x in (before[0] if before else _folders(spark, path, f"{MONTH}="))}
+    fresh = {x: f"{generation}/{x}" for x in _folders(spark, f"{path}/{generation}", f"{MONTH}=")}
+    replaced = [live[x] for x in fresh if x in live]
+    text = "\n".join([*sorted({**live, **fresh}.values()), *(f"-{x}" for x in replaced)])
+    system, make = _files(spark, path)
+    aside, jvm = make(f"{path}/{POINTER}-{generation}"), spark.sparkContext._jvm
+    stream = system.create(aside, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    kinds = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    kinds[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), system.getConf()).rename(aside, make(f"{path}/{POINTER}"), kinds)
+    for old in before[1] if before else []:
+        system.delete(make(f"{path}/{old}"), True)
+
+
+def _write_generation(df: DataFrame, path: str, sort: Sequence[str]) -> None:
+    """Writes months beside those of the table and then swaps them in."""
+    spark = df.sparkSession
+    taken = [int(x.split("=")[1]) for x in _folders(spark, path, f"{GENERATION}=")]
+    generation = f"{GENERATION}={max(taken, default=0) + 1:09d}"
+    _write(df, f"{path}/{generation}", "append", MONTH, sort)
+    _point(spark, path, generation)
+
+
 def open_table(spark: SparkSession, path: str, schema: T.StructType, partition: str | None = MONTH) -> DataFrame:
     """The table at ``path`` including its partition column, empty if not there yet."""
     if partition == MONTH:
         schema = T.StructType([*schema.fields, T.StructField(MONTH, T.IntegerType())])
+        if (pointer := _pointer(spark, path)) is not None:
+            swapped = [f"{path}/{x}" for x in pointer[0] if x.startswith(f"{GENERATION}=")]
+            plain = [f"{path}/{x}" for x in pointer[0] if not x.startswith(f"{GENERATION}=")]
+            parts = [spark.read.schema(schema).option("basePath", path).parquet(*x).select(*schema.names) for x in (swapped, plain) if x]
+            return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
@@ -125,27 +194,26 @@ def merge_rows(batch: DataFrame, path: str, schema: T.StructType, keys: Sequence
 
     The rows are written aside first, since the months, the keys to leave out
     and the rows to add are all read from them. Say ``distinct_keys`` where the
-    rows cannot repeat a key, which saves an exchange. Tasks may be retried. The
-    months are swapped one by one when the job commits: if the driver is lost
-    there, some months are new and some old, and running the job again ends it.
+    rows cannot repeat a key, which saves an exchange. Tasks may be retried. New
+    months are written beside the old ones and swapped in together, so a job
+    that ends before leaves the table as it was, and readers see all months of
+    before or all of after. One writer at a time.
     """
     keys = [*keys, MONTH]
     batch = with_keys(with_month(batch), keys)
     rows = batch if distinct_keys else one_per_key(batch, keys, F.max_by, order)
     stored = open_table(batch.sparkSession, path, schema)
-    if stored.isEmpty():
-        # Nothing to merge with, so nothing is read twice.
+    if stored.isEmpty() and _pointer(batch.sparkSession, path) is None:
+        # Nothing to merge with, so nothing is read twice; if this ends half-way, the next run merges with what there is.
         _write(rows.select(*stored.columns), path, "append", MONTH, keys[:-1])
         return
     with staged(rows, "incoming") as incoming:
         months = _touched(incoming)
-        stored = stored.filter(F.col(MONTH).isin(months))
-        if not months or stored.isEmpty():
-            # Nothing to keep: the rows are the months.
-            _write(incoming.select(*stored.columns), path, "append", MONTH, keys[:-1])
+        if not months:
             return
+        stored = stored.filter(F.col(MONTH).isin(months))
         kept = stored.join(incoming.select(*keys), keys, "left_anti")
-        _write(kept.unionByName(incoming.select(*stored.columns)), path, "overwrite", MONTH, keys[:-1])
+        _write_generation(kept.unionByName(incoming.select(*stored.columns)), path, keys[:-1])
 
 
 def overwrite_dates(batch: DataFrame, path: str, sort: Sequence[str], partition: str = "date") -> None:
