@@ -56,6 +56,30 @@ def test_probing_finds_every_code_in_the_radius():
     assert np.array_equal(short.within(np.uint64(5), 6), np.flatnonzero(np.bitwise_count(codes & np.uint64(0xFFFFFF) ^ np.uint64(5)) <= 6))
 
 
+def test_codes_of_several_words():
+    random = np.random.default_rng(2)
+    codes = random.integers(0, 2**64, (2000, 4), dtype=np.uint64)
+    codes[::2] = codes[0] ^ random.integers(0, 2**12, (1000, 4), dtype=np.uint64)
+    apart = np.bitwise_count(codes ^ codes[0]).sum(axis=1)
+    for bits, substrings in ((256, 16), (256, 11), (200, 13)):
+        index = nearest_neighbours.Index(codes, 256, substrings)
+        for radius in (0, 10, 25, 40):
+            assert np.array_equal(index.within(codes[0], radius), np.flatnonzero(apart <= radius))
+
+
+def test_under_a_tenth_of_rows_is_reranked(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").filter(nearest_neighbours.usable()).collect()
+    vectors = np.array([r.embedding for r in rows if len(r.embedding) == len(rows[0].embedding)], float)
+    codes = nearest_neighbours.Codes(vectors[:nearest_neighbours.SAMPLE])
+    made, asked = codes.of(vectors), np.arange(0, len(vectors), 40)
+    distance = np.sqrt(((vectors[asked][:, None] - vectors[None]) ** 2).sum(axis=2))
+    distance[np.arange(len(asked)), asked] = np.inf
+    apart = nearest_neighbours.differing(made[asked][:, None], made[None])
+    near = np.argsort(distance, axis=1)[:, :10]
+    assert (apart <= codes.radius).mean() < 0.1
+    assert (np.take_along_axis(apart, near, 1) <= codes.radius).mean() >= 0.95
+
+
 def test_awkward_rows(spark):
     random = np.random.default_rng(0)
     rows = [(i, random.standard_normal(8).astype("float32").tolist(), 0) for i in range(1, 60)]

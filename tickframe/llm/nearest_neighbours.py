@@ -3,7 +3,9 @@
 Codes: vectors are centred, projected on their principal directions and turned
 by a learned rotation that brings the signs closest to the projections
 (iterative quantisation), on a bounded sample; every vector of the table gets
-the signs as its code. Index: a code is cut into substrings, and each substring
+the signs as its code. Vectors without much structure need more bits than they
+have dimensions for the distance of codes to tell near from far: at 64 bits half
+of all rows lay in the radius that held the neighbours, at 256 about a twentieth. Index: a code is cut into substrings, and each substring
 has its own table from value to rows. Search: of two codes within radius r one
 substring differs in at most r / substrings bits (pigeonhole), so probing the
 values that near in every table finds every code within the radius; the found
@@ -34,12 +36,13 @@ from pyspark.sql import functions as F
 from tickframe.session import stage
 
 NEIGHBOURS = 10
-BITS = 64
-SUBSTRINGS = 4
+BITS = 256
+SUBSTRINGS = 16
+WORD = 64
 SAMPLE = 4096
 HELD_OUT = 128
 TURNS = 40
-COVERED = 0.99
+COVERED = 0.98
 TILE = 1 << 15
 
 
@@ -75,10 +78,10 @@ class Codes:
         self.radius = self._learn_radius(sample, neighbours)
 
     def of(self, vectors: np.ndarray) -> np.ndarray:
-        """Codes as unsigned 64-bit numbers."""
-        signs = np.zeros((len(vectors), 64), np.uint8)
+        """Codes as rows of unsigned 64-bit numbers."""
+        signs = np.zeros((len(vectors), -(-self.bits // WORD) * WORD), np.uint8)
         signs[:, :self.bits] = (vectors - self.centre) @ self.projection > 0
-        return np.packbits(signs, axis=1, bitorder="little").view("<u8").ravel()
+        return np.packbits(signs, axis=1, bitorder="little").view("<u8")
 
     def _learn_radius(self, sample: np.ndarray, neighbours: int) -> int:
         queries = sample[:HELD_OUT]
@@ -86,14 +89,20 @@ class Codes:
         distance[np.arange(len(queries)), np.arange(len(queries))] = np.inf
         near = np.argsort(distance, axis=1)[:, :min(neighbours, len(sample) - 1)]
         codes = self.of(sample)
-        apart = np.bitwise_count(codes[:len(queries), None] ^ codes[near])
+        apart = differing(codes[:len(queries), None], codes[near])
         return int(np.quantile(apart, COVERED, method="higher")) if apart.size else self.bits
 
 
+def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits in which codes differ."""
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
+
+
 class Index:
-    """Substring tables of a tile's codes."""
+    """Substring tables of a tile's codes, rows of 64-bit numbers (or single numbers)."""
 
     def __init__(self, codes: np.ndarray, bits: int, substrings: int = SUBSTRINGS):
+        codes = codes.reshape(len(codes), -1)
         self.codes, self.edges = codes, [bits * k // substrings for k in range(substrings + 1)]
         self.tables = []
         for lo, hi in zip(self.edges, self.edges[1:]):
@@ -103,14 +112,18 @@ class Index:
 
     @staticmethod
     def _part(codes: np.ndarray, lo: int, hi: int) -> np.ndarray:
-        return (codes >> np.uint64(lo) & np.uint64((1 << hi - lo) - 1)).astype(np.int64)
+        word, shift = divmod(lo, WORD)
+        part = codes[:, word] >> np.uint64(shift)
+        if shift + hi - lo > WORD:
+            part = part | codes[:, word + 1] << np.uint64(WORD - shift)
+        return (part & np.uint64((1 << hi - lo) - 1)).astype(np.int64)
 
-    def within(self, code: np.uint64, radius: int) -> np.ndarray:
+    def within(self, code: np.ndarray, radius: int) -> np.ndarray:
         """Rows whose code differs from ``code`` in at most ``radius`` bits."""
-        found = np.zeros(len(self.codes), bool)
+        found, code = np.zeros(len(self.codes), bool), np.atleast_1d(code)
         each = radius // (len(self.edges) - 1)
         for (order, starts), lo, hi in zip(self.tables, self.edges, self.edges[1:]):
-            value = int(code) >> lo & (1 << hi - lo) - 1
+            value = int(self._part(code[None], lo, hi)[0])
             # The probes: all values of this substring at most ``each`` bits off.
             probes = near_values(hi - lo, min(each, hi - lo)) ^ value
             sizes = starts[probes + 1] - starts[probes]
@@ -119,7 +132,7 @@ class Index:
                 ends = np.cumsum(sizes)
                 found[order[np.arange(ends[-1]) + np.repeat(starts[probes] - (ends - sizes), sizes)]] = True
         rows = np.flatnonzero(found)
-        return rows[np.bitwise_count(self.codes[rows] ^ code) <= radius]
+        return rows[differing(self.codes[rows], code) <= radius]
 
 
 _NEAR: dict[tuple[int, int], np.ndarray] = {}
@@ -181,9 +194,9 @@ def search(vectors: DataFrame, queries: Column, neighbours: int = NEIGHBOURS, bi
         for batch in batches:
             flat = batch.column("embedding").flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), batch.column("asked"), pa.array(codes.of(flat).view(np.int64)),
+                [batch.column("vec_id"), batch.column("asked"), pa.array([c.tobytes() for c in codes.of(flat)], pa.binary()),
                  pa.array([v.tobytes() for v in flat], pa.binary())], ["vec_id", "asked", "code", "vector"])
-    coded = stage(good.mapInArrow(encode, "vec_id long, asked boolean, code long, vector binary"), "codes")
+    coded = stage(good.mapInArrow(encode, "vec_id long, asked boolean, code binary, vector binary"), "codes")
     asked_total = coded.filter("asked").count()
     # Tiles are of bounded size; a small table is still dealt to all cores.
     tiles = max(math.ceil(total / tile), min(spark.sparkContext.defaultParallelism, math.ceil(total / 512)))
@@ -202,11 +215,11 @@ def search(vectors: DataFrame, queries: Column, neighbours: int = NEIGHBOURS, bi
         def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             out: list[tuple] = []
             if len(left) and len(right):
-                ids, made = left.vec_id.to_numpy(), left.code.to_numpy().view(np.uint64)
+                ids, made = left.vec_id.to_numpy(), np.frombuffer(b"".join(left.code), "<u8").reshape(len(left), -1)
                 table = np.frombuffer(b"".join(left.vector), float).reshape(-1, dims)
                 tables = Index(made, bits, substrings) if radius < bits else None
-                for query_id, code, vector in zip(right.vec_id, right.code.to_numpy().view(np.uint64), right.vector):
-                    near = tables.within(code, radius) if tables else np.arange(len(ids))
+                for query_id, code, vector in zip(right.vec_id, right.code, right.vector):
+                    near = tables.within(np.frombuffer(code, "<u8"), radius) if tables else np.arange(len(ids))
                     near = near[ids[near] != query_id]
                     order, distance = _rank(np.frombuffer(vector, float), table[near], ids[near], neighbours)
                     out += zip([query_id] * len(order), ids[near[order]].tolist(), distance.tolist())
