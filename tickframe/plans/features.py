@@ -82,6 +82,24 @@ def training_scan(feature_rows: DataFrame, bars: DataFrame, price: str = "close_
     return matched.dropna(subset=[*names, "close_price"])
 
 
+# Without it Spark moves both sides of a join on (key, date), even if they are stored by key.
+STORED_BY_KEY = "spark.sql.requireAllClusterKeysForCoPartition"
+
+
+def training_scan_bucketed(feature_rows: DataFrame, bars: DataFrame, price: str = "close_price") -> DataFrame:
+    """``training_scan`` of two tables that ``store.save_bucketed`` stored by key into equally many buckets.
+
+    Nothing is moved, neither here nor by the panel's shifts after it. The session
+    has to set ``STORED_BY_KEY`` to false, which lets a join on (key, date) use what
+    is stored by key alone; it is not set here, as it holds for all joins of a session.
+    """
+    if feature_rows.sparkSession.conf.get(STORED_BY_KEY) != "false":
+        raise ValueError(f"set {STORED_BY_KEY} to false for a scan without exchange")
+    names = [c for c in S.FEATURES.names if c not in S.SERIES_KEY]
+    prices = bars.select("stock_id", "date", F.col(price).alias("close_price")).dropna()
+    return feature_rows.select(*S.FEATURES.names).dropna(subset=names).join(prices, ["stock_id", "date"])
+
+
 def panel(scan: DataFrame, *, horizon: int = S.LABEL_HORIZON, threshold: float = S.LABEL_THRESHOLD,
           by: Sequence[str] = series.KEY, order: str = series.ORDER,
           slice_of: Column | None = None, piece_rows: int = series.PIECE_ROWS) -> DataFrame:
