@@ -56,12 +56,12 @@ def from_history(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Features and state of whole histories."""
     rows = stage(_indicators(bars), "indicators")
     features = plans.as_stored(rows)
-    last = series.latest_per_key(rows.select("stock_id", "date", "ema_fast", "ema_slow", "macd_signal"))
-    held = series.last_rows(bars.select("stock_id", "date", "close_price"), HELD).groupBy("stock_id") \
-        .agg(F.array_sort(F.collect_list(F.struct("date", "close_price"))).alias("_held"))
-    state = last.join(held, "stock_id").join(_recent(features), "stock_id", "left")
-    return features, state.select("stock_id", "date", "ema_fast", "ema_slow", "macd_signal",
-                                  F.col("_held.close_price").alias("closes"), "recent")
+    # The last rows of a key hold both its means and its closes.
+    tail = series.last_rows(rows.select("stock_id", "date", "close_price", "ema_fast", "ema_slow", "macd_signal"), HELD).groupBy("stock_id").agg(
+        F.max_by(F.struct("date", "ema_fast", "ema_slow", "macd_signal"), "date").alias("_last"),
+        F.array_sort(F.collect_list(F.struct("date", "close_price"))).alias("_held"))
+    state = tail.join(_recent(features), "stock_id", "left")
+    return features, state.select("stock_id", "_last.*", F.col("_held.close_price").alias("closes"), "recent")
 
 
 def from_state(state: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
