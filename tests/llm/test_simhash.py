@@ -94,6 +94,49 @@ def test_links_keep_components_whatever_the_chunks(spark, chunk):
         assert found[a] == found[b]
 
 
+def spread(n, free=32, seed=6):
+    """Fingerprints that agree in all but the lowest ``free`` bits, a third of them near another one."""
+    pick, top = random.Random(seed), 0x9E3779B9 << 32
+    made = {top | pick.getrandbits(free) for _ in range(2 * n // 3)}
+    near = sorted(made)
+    while len(made) < n:
+        made.add(pick.choice(near) ^ sum({1 << pick.randrange(free) for _ in range(pick.randint(1, 4))}))
+    return np.array(sorted(made), np.uint64)
+
+
+def members(spark, fps, **how):
+    return simhash.cell_members(spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long"), **how)
+
+
+@pytest.mark.parametrize("free, n", [(32, 1500), (12, 800)])
+def test_large_cells_are_cut_again(spark, free, n):
+    array = spread(n, free)
+    df = spark.createDataFrame([(int(x),) for x in array.view(np.int64)], "fp long")
+    edges = simhash.links(df, chunk=6)
+    found = {r.node: r.root for r in components.components(edges).collect()}
+    for k, x in enumerate(array):
+        for j in np.flatnonzero(np.bitwise_count(array[k + 1:] ^ x) <= 3) + k + 1:
+            assert found[int(array.view(np.int64)[k])] == found[int(array.view(np.int64)[j])]
+    for a, b in ((r.a, r.b) for r in edges.collect()):
+        assert ((a ^ b) & (2**64 - 1)).bit_count() <= 3
+
+
+def test_copies_do_not_grow_with_the_square_of_a_cell(spark):
+    copies = [members(spark, spread(n), chunk=6).count() / n for n in (500, 2000)]
+    assert copies[1] < 1.5 * copies[0]
+
+
+def test_bits_other_than_three(spark):
+    array = spread(200, 14)
+    for bits in (0, 1, 2):
+        edges = simhash.links(spark.createDataFrame([(int(x),) for x in array.view(np.int64)], "fp long"), bits=bits, chunk=3)
+        found = {r.node: r.root for r in components.components(edges).collect()}
+        left, right = np.nonzero(np.triu(np.bitwise_count(array[:, None] ^ array[None, :]) <= bits, 1))
+        signed = array.view(np.int64)
+        assert all(found[int(signed[i])] == found[int(signed[j])] for i, j in zip(left, right))
+        assert len(found) == len(set(left) | set(right))
+
+
 def test_pivots_never_discard_a_link():
     random_bits = np.random.default_rng(0)
     fps = random_bits.integers(0, 2**64, 400, dtype=np.uint64)

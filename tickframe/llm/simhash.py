@@ -6,26 +6,30 @@ triangle inequality the coordinates of a linked pair differ by no more than the
 allowed bits, so a pair with a larger difference in any coordinate is
 discarded, and the survivors are verified.
 
-Tables alone only discard pairs, they do not find them. Pairs come from groups
+Tables alone only discard pairs, they do not find them. Pairs come from cells
 of fingerprints that agree in half of their bits: the 64 bits are cut into
 twice as many blocks as bits may differ, so a linked pair agrees in at least
-half of the blocks, whichever they are. A group of chance agreements is tiny at
-any size of corpus. Groups of real near-copies may be large: they are dealt
-into chunks, each pair of chunks is a task's work by itself, and only a
-spanning forest of its links is kept, so nothing grows with the square of a
-group and no connection is lost.
+half of the blocks, whichever they are. A cell of chance agreements is tiny at
+any size of corpus. A cell of more fingerprints than ``CHUNK`` times the choices
+of blocks is cut again in the same way by the bits it leaves free, where all that
+differs in a linked pair must lie; so after three cuts of three bits a cell has
+nine free bits, and no more than 512 different fingerprints. Other cells are dealt
+into chunks whose pairs are separate work, and only a spanning forest of the links
+of each is kept. Copies of a fingerprint are thus bounded whatever a cell's size,
+and no connection is lost.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,29 +126,68 @@ def forest(fps: np.ndarray, chunk: np.ndarray, table: np.ndarray, bits: int) ->
     return (np.concatenate(a), np.concatenate(b)) if a else (empty, empty)
 
 
-def links(fps: DataFrame, bits: int = BITS, chunk: int = CHUNK, pivots: int = PIVOTS) -> DataFrame:
-    """Pairs (a, b) that connect what links connect, among distinct fingerprints (column fp, signed long)."""
-    # 2 * bits blocks; half of them agree in full if at most ``bits`` bits differ.
+def _cut(rows: DataFrame, width: int, bits: int) -> tuple[DataFrame, int, int]:
+    """Cells of (fp, combo, key, rest) by one more cut of the ``width`` bits of ``rest``, the bits then free, and the choices of blocks.
+
+    The chosen blocks join the key, the others are the next rest; where these are
+    of different widths, leading zeros make up for it, in which all agree.
+    """
     count = max(2 * bits, 2)
-    edges = [64 * k // count for k in range(count + 1)]
-    blocks = [F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << hi - lo) - 1).cast("long"))
+    edges = [width * k // count for k in range(count + 1)]
+    blocks = [F.shiftrightunsigned("rest", lo).bitwiseAND(F.lit((1 << hi - lo) - 1 if hi - lo < 64 else -1).cast("long"))
               for lo, hi in zip(edges, edges[1:])]
-    places = []
-    for k, chosen in enumerate(combinations(range(count), count - bits)):
-        key, width = F.lit(0).cast("long"), 0
+
+    def packed(chosen: Iterable[int]) -> tuple[Column, int]:
+        value, size = F.lit(0).cast("long"), 0
         for c in chosen:
-            key = key.bitwiseOR(F.shiftleft(blocks[c], width))
-            width += edges[c + 1] - edges[c]
-        places.append(F.struct(F.lit(k).cast("smallint").alias("combo"), key.alias("key")))
-    keyed = fps.select("fp", F.explode(F.array(*places)).alias("_p")).select("fp", "_p.combo", "_p.key")
-    shared = keyed.groupBy("combo", "key").agg(F.count("*").alias("_n")).filter("_n > 1") \
-        .select(F.col("combo").alias("_c"), F.col("key").alias("_k"), F.ceil(F.col("_n") / chunk).cast("int").alias("_chunks")).hint("merge")
-    members = keyed.join(shared, (F.col("combo") == F.col("_c")) & (F.col("key") == F.col("_k"))) \
-        .withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("_chunks")).cast("int")) \
-        .withColumn("_other", F.explode(F.expr("sequence(0, _chunks - 1)"))) \
-        .select("combo", "key", F.least("chunk", "_other").alias("one"), F.greatest("chunk", "_other").alias("two"), "chunk", "fp")
-    # A group's chunk pairs go to different tasks, which the join's own exchange would not do.
-    pairs = members.repartition("combo", "key", "one", "two").groupBy("combo", "key", "one", "two") \
+            value = value.bitwiseOR(F.shiftleft(blocks[c], size))
+            size += edges[c + 1] - edges[c]
+        return value, size
+
+    choices = list(combinations(range(count), count - bits))
+    made = [(packed(chosen), packed(c for c in range(count) if c not in chosen)) for chosen in choices]
+    held, free = (max(pair[side][1] for pair in made) for side in (0, 1))
+    places = [F.struct(((F.col("combo") + 1) * len(choices) + k).alias("combo"), F.shiftleft("key", held).bitwiseOR(key).alias("key"), rest.alias("rest"))
+              for k, ((key, _), (rest, _)) in enumerate(made)]
+    cells = rows.select("fp", F.explode(F.array(*places)).alias("_p")).select("fp", "_p.combo", "_p.key", "_p.rest")
+    return cells, free, len(choices)
+
+
+def cell_members(fps: DataFrame, bits: int = BITS, chunk: int = CHUNK) -> DataFrame:
+    """The members (fp) of each pair of chunks (one, two) of each cell (combo, key), with their own chunk.
+
+    Every linked pair of fingerprints meets in at least one of them.
+    """
+    rows = fps.select("fp", F.lit(0).alias("combo"), F.lit(0).cast("long").alias("key"), F.col("fp").alias("rest"))
+    width, parts = 64, []
+    while True:
+        cells, width, choices = _cut(rows, width, bits)
+        shared = cells.groupBy("combo", "key").agg(F.count("*").alias("_n")).filter("_n > 1") \
+            .select(F.col("combo").alias("_c"), F.col("key").alias("_k"), "_n")
+        same = (F.col("combo") == F.col("_c")) & (F.col("key") == F.col("_k"))
+        # The last cut is reached where a cell of all there can be is small enough.
+        last = 2 ** width <= choices * chunk
+        if not last:
+            shared = stage(shared, "cells")
+        held = shared if last else shared.filter(F.col("_n") <= choices * chunk)
+        chunks = held.select("_c", "_k", F.ceil(F.col("_n") / chunk).cast("int").alias("_chunks"))
+        parts.append(cells.join(chunks.hint("merge"), same)
+                     .withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("_chunks")).cast("int"))
+                     .withColumn("_other", F.explode(F.expr("sequence(0, _chunks - 1)")))
+                     .select("combo", "key", F.least("chunk", "_other").alias("one"), F.greatest("chunk", "_other").alias("two"), "chunk", "fp"))
+        if last:
+            break
+        large = shared.filter(F.col("_n") > choices * chunk).select("_c", "_k")
+        if large.isEmpty():
+            break
+        rows = stage(cells.join(large, same, "left_semi"), "large-cells")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def links(fps: DataFrame, bits: int = BITS, chunk: int = CHUNK, pivots: int = PIVOTS) -> DataFrame:
+    """Pairs (a, b) that connect what links connect, among distinct fingerprints (column fp, signed long)."""
+    # A cell's chunk pairs go to different tasks, which the join's own exchange would not do.
+    pairs = cell_members(fps, bits, chunk).repartition("combo", "key", "one", "two").groupBy("combo", "key", "one", "two") \
         .agg(F.collect_list("fp").alias("fps"), F.collect_list("chunk").alias("chunks")).filter("size(fps) > 1")
     references = np.array([xxhash.xxh64_intdigest(str(k), SEED) for k in range(pivots)], np.uint64)
 
