@@ -7,7 +7,7 @@ partitions that the incoming rows name.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from contextlib import nullcontext
 from functools import reduce
 
@@ -123,6 +123,20 @@ def _point(spark: SparkSession, path: str, generation: str) -> None:
         system.delete(make(f"{path}/{old}"), True)
 
 
+def months(spark: SparkSession, path: str) -> list[int]:
+    """The months that the table holds, in order, from the names of its folders alone."""
+    pointer = _pointer(spark, path)
+    names = [x.rpartition("/")[2] for x in pointer[0]] if pointer else _folders(spark, path, f"{MONTH}=")
+    return sorted(int(x.split("=")[1]) for x in names)
+
+
+def drop_months(spark: SparkSession, path: str, first: int) -> None:
+    """Deletes the months from ``first`` on of a table whose months are not swapped together; the last ones go first."""
+    system, make = _files(spark, path)
+    for month in reversed([m for m in months(spark, path) if m >= first]):
+        system.delete(make(f"{path}/{MONTH}={month}"), True)
+
+
 def _write_generation(df: DataFrame, path: str, sort: Sequence[str]) -> None:
     """Writes months beside those of the table and then swaps them in."""
     spark = df.sparkSession
@@ -189,7 +203,7 @@ def append_absent(batch: DataFrame, path: str, schema: T.StructType, keys: Seque
 
 
 def merge_rows(batch: DataFrame, path: str, schema: T.StructType, keys: Sequence[str], order=None, *,
-               distinct_keys: bool = False) -> None:
+               distinct_keys: bool = False, before: Callable[[int], None] | None = None) -> None:
     """Upserts rows, rewriting only the months they fall in. Null keys fail the job.
 
     The rows are written aside first, since the months, the keys to leave out
@@ -197,7 +211,8 @@ def merge_rows(batch: DataFrame, path: str, schema: T.StructType, keys: Sequence
     rows cannot repeat a key, which saves an exchange. Tasks may be retried. New
     months are written beside the old ones and swapped in together, so a job
     that ends before leaves the table as it was, and readers see all months of
-    before or all of after. One writer at a time.
+    before or all of after. One writer at a time. ``before`` is called with the first
+    month they fall in ahead of any change to the table, unless the table is empty.
     """
     keys = [*keys, MONTH]
     batch = with_keys(with_month(batch), keys)
@@ -208,10 +223,12 @@ def merge_rows(batch: DataFrame, path: str, schema: T.StructType, keys: Sequence
         _write(rows.select(*stored.columns), path, "append", MONTH, keys[:-1])
         return
     with staged(rows, "incoming") as incoming:
-        months = _touched(incoming)
-        if not months:
+        named = _touched(incoming)
+        if not named:
             return
-        stored = stored.filter(F.col(MONTH).isin(months))
+        if before is not None:
+            before(min(named))
+        stored = stored.filter(F.col(MONTH).isin(named))
         kept = stored.join(incoming.select(*keys), keys, "left_anti")
         _write_generation(kept.unionByName(incoming.select(*stored.columns)), path, keys[:-1])
 

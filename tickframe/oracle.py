@@ -503,6 +503,14 @@ FINAL = {
                    from newest n join stocks t on t.stock_id = n.stock_id where back = 1)
         select day as date, date as data_date, cast(place as integer) as rank, symbol, round(she_score, 6) as score
         from ranked where place <= 5""",
+    "rankings_of_past_dates": """
+        , days(day) as (values (date '1997-02-01'), (date '1998-12-31'), (date '2000-05-17')),
+        newest as (select d.day, s.*, row_number() over (partition by d.day, s.stock_id order by s.date desc) as back
+                   from days d join scored s on s.date <= d.day),
+        ranked as (select n.*, t.symbol, row_number() over (partition by day order by she_score desc, t.symbol) as place
+                   from newest n join stocks t on t.stock_id = n.stock_id where back = 1)
+        select day as date, date as data_date, cast(place as integer) as rank, symbol, round(she_score, 6) as score
+        from ranked where place <= 5""",
     "recommendation_response": """select s.date, cast(s.rank as integer) as position, s.symbol as she_symbol,
         round(s.score, 6) as she_score, l.symbol as lem_symbol, round(l.score, 6) as lem_score
         from (select * from day_recs where model_type = 'SHE') s

@@ -9,7 +9,7 @@ from tickframe import schemas as S
 from tickframe.operators import model as lem
 from tickframe.operators import quality, ranking, store
 from tickframe.plans import features as plans
-from tickframe.plans import incremental
+from tickframe.plans import incremental, month_ends
 from tickframe.session import staged
 from tickframe.sources import landing, tables
 
@@ -59,8 +59,8 @@ def build_features(spark: SparkSession, root: str, since=None, anew: bool = Fals
     if since is None:
         return
     bars = store.open_table(spark, f"{root}/bars", S.BARS)
-    store.merge_rows(plans.features(bars, since=since), f"{root}/features", S.FEATURES, S.SERIES_KEY,
-                     distinct_keys=True)
+    incremental.write_features(spark, root, plans.features(bars, since=since))
+    month_ends.bring_up(spark, root)
 
 
 def _newer(rows: DataFrame, day) -> bool:
@@ -76,7 +76,8 @@ def rank(spark: SparkSession, root: str, model_path: str | None = None, n: int =
 
     Every symbol is ranked by its own last date, and the ranking is stored under
     the newest of them; with ``as_of``, by its last date up to then, stored under
-    ``as_of``. Only that ranking date is replaced.
+    ``as_of``, from the end of the month before and that month's rows. Only that
+    ranking date is replaced.
     """
     state = incremental.stored_state(spark, root) if as_of is None else None
     rows = store.open_table(spark, f"{root}/features", S.FEATURES)
@@ -87,7 +88,7 @@ def rank(spark: SparkSession, root: str, model_path: str | None = None, n: int =
         # Two rows per key, which the feature job keeps aside.
         rows = incremental.last_features(state)
     elif as_of is not None:
-        rows = rows.filter(F.col("date") <= F.lit(as_of)).filter(F.col(store.MONTH) <= as_of.year * 100 + as_of.month)
+        rows = month_ends.rows_until(spark, root, as_of)
     last = ranking.latest_scores(rows.select(*S.FEATURES.names), tables.scan(spark, root, "stocks"))
     scored = lem.score(last, lem.load(model_path) if model_path else None)
     chosen = ranking.recommend(scored, {"SHE": "she_score", "LEM": "lem_score"}, n, as_of=as_of)

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from tickframe import schemas as S
 from tickframe.operators import series, store
 from tickframe.plans import features as plans
+from tickframe.plans import month_ends
 from tickframe.session import scratch, stage
 
 # Closes that the longest rolling window reaches back over; one more for the first change of price.
@@ -175,6 +176,15 @@ def build(spark: SparkSession, root: str, *, anew: bool = False) -> None:
     """
     with scratch(spark):
         _build(spark, root, anew)
+        month_ends.bring_up(spark, root)
+
+
+def write_features(spark: SparkSession, root: str, rows: DataFrame, anew: bool = False) -> None:
+    """Feature rows into the table; the month ends that they change go before."""
+    if anew:
+        month_ends.forget(spark, root, 0)
+    store.merge_rows(rows, f"{root}/features", S.FEATURES, S.SERIES_KEY, distinct_keys=True,
+                     before=lambda month: month_ends.forget(spark, root, month))
 
 
 def _build(spark: SparkSession, root: str, anew: bool) -> None:
@@ -186,7 +196,7 @@ def _build(spark: SparkSession, root: str, anew: bool) -> None:
     arrivals = stage(spark.read.schema(ARRIVALS).parquet(*files) if files else spark.createDataFrame([], ARRIVALS), "arrivals")
     if state is None:
         features, after = from_history(bars)
-        store.merge_rows(features, f"{root}/features", S.FEATURES, S.SERIES_KEY, distinct_keys=True)
+        write_features(spark, root, features, anew=True)
         # All bars have been read, so what was noted of them is replaced by what there is.
         bars.groupBy("stock_id", store.MONTH).agg(F.min("date").alias("first"), F.max("date").alias("last"), F.count("*").alias("n")) \
             .write.mode("overwrite").parquet(f"{root}/noted")
@@ -209,7 +219,7 @@ def _build(spark: SparkSession, root: str, anew: bool) -> None:
             counts = spark.read.schema(ARRIVALS).parquet(*noted, *files).groupBy("stock_id", store.MONTH).agg(F.sum("n").alias("n"))
             again, again_after = late_rows(bars, late, arrivals, counts, state)
             features, after = features.unionByName(again), after.unionByName(again_after)
-        store.merge_rows(features, f"{root}/features", S.FEATURES, S.SERIES_KEY, distinct_keys=True)
+        write_features(spark, root, features)
         save_state(spark, root, state.join(keys, "stock_id", "left_anti").select(*STATE.names).unionByName(after))
     for path in files:
         _keep(spark, path, f"{root}/noted")
@@ -285,21 +295,3 @@ def newest(state: DataFrame):
 def last_features(state: DataFrame) -> DataFrame:
     """The last two feature rows of each key, all that the newest ranking reads."""
     return state.select("stock_id", F.inline("recent")).select(*S.FEATURES.names)
-
-
-def arrivals_files(spark: SparkSession, notes: str) -> list[str]:
-    """The note files that are there now."""
-    context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(notes)
-    system = path.getFileSystem(context._jsc.hadoopConfiguration())
-    return [f.getPath().toString() for f in system.listStatus(path) if f.isFile()] if system.exists(path) else []
-
-
-def newest(state: DataFrame):
-    """The newest date of the state's feature rows, or None."""
-    return state.select(F.explode("recent.date").alias("date")).agg(F.max("date")).first()[0]
-
-
-def last_features(state: DataFrame) -> DataFrame:
-    """The last two feature rows of each key, all that the newest ranking reads."""
-    return state.select("stock_id", F.inline("recent")).select(*S.FEATURES.names)

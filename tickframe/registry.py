@@ -27,6 +27,7 @@ from tickframe.streaming import ingest
 
 TRAIN_END = dt.date(1999, 12, 31)
 TEST_START = dt.date(2000, 1, 1)
+PAST_DATES = [dt.date(1997, 2, 1), dt.date(1998, 12, 31), dt.date(2000, 5, 17)]
 STORED_UNTIL = dt.date(1999, 1, 1)
 STRATEGIES = backtest.BASE_STRATEGIES
 SERIES = [*STRATEGIES, returns.BENCHMARK]
@@ -307,6 +308,22 @@ def daily_rank_table(spark, root):
     return plain(named.filter("model_type = 'SHE'").select("date", "data_date", "rank", "symbol", "score"), 6)
 
 
+def rankings_of_past_dates(spark, root):
+    """SHE rankings of three dates in the past after three daily runs, the last of which brings late bars too."""
+    db = new_path(spark, "db")
+    data.stocks(spark, root).write.parquet(f"{db}/stocks")
+    tables.bootstrap(spark, db)
+    bars = stage(data.bars(spark, root), "bars")
+    late = (F.col("stock_id") % 5 == 0) & F.col("date").between("1996-10-01", "1996-12-31")
+    for part in (bars.filter(~late & (F.col("date") < "1999-01-01")), bars.filter(~late & (F.col("date") < "2000-03-15")), bars):
+        store.append_absent(part, f"{db}/bars", S.BARS, S.SERIES_KEY, arrivals=f"{db}/arrivals")
+        daily.build_features(spark, db)
+    for day in PAST_DATES:
+        daily.rank(spark, db, as_of=day)
+    named = plans.with_symbol(tables.scan(spark, db, "recommendations"), data.stocks(spark, root))
+    return plain(named.filter("model_type = 'SHE'").select("date", "data_date", "rank", "symbol", "score"), 6)
+
+
 def bootstrap_twice(spark, root):
     """Row counts of the tables after two bootstraps over a given dimension."""
     db = new_path(spark, "db")
@@ -815,6 +832,7 @@ QUERIES = {
     "daily_ingest_rejects": daily_ingest_rejects,
     "daily_features_table": daily_features_table,
     "daily_rank_table": daily_rank_table,
+    "rankings_of_past_dates": rankings_of_past_dates,
     "vendor_csv_any_order": vendor_csv_any_order,
     "rejects_of_two_days": rejects_of_two_days,
     "stream_then_features": stream_then_features,
