@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -36,6 +37,36 @@ def rejects(raw: DataFrame, fields: Sequence[str] = REQUIRED) -> DataFrame:
     return raw.withColumn("reason", reject_reason(fields)).filter(F.col("reason").isNotNull())
 
 
+@dataclass(frozen=True)
+class Rules:
+    """What every row of a table must keep: columns that are not null, columns whose
+    value the table of that name's parent has, and conditions, by the reason to give
+    where they are false. As with SQL's own constraints, a condition that is null
+    holds, and so does a null that refers to no parent."""
+    required: Sequence[str] = ()
+    parents: Mapping[str, DataFrame] = field(default_factory=dict)
+    checks: Mapping[str, str] = field(default_factory=dict)
+
+
+def bar_rules(stocks: DataFrame) -> Rules:
+    return Rules(REQUIRED, {"stock_id": stocks}, {"no volume": "volume > 0"})
+
+
+def with_reason(rows: DataFrame, rules: Rules) -> DataFrame:
+    """``rows`` with the first rule each breaks as ``reason``, or null: missing columns in order, then parents, then checks.
+
+    One pass: a parent's keys are joined once each, and a key with very many rows
+    stays with the side that adaptive joins may split.
+    """
+    columns, reasons = rows.columns, [F.when(F.col(c).isNull(), f"missing {c}") for c in rules.required]
+    for k, (column, parent) in enumerate(rules.parents.items()):
+        known = parent.select(F.col(column).alias(f"_parent{k}")).distinct()
+        rows = rows.join(known, F.col(column) == F.col(f"_parent{k}"), "left")
+        reasons.append(F.when(F.col(column).isNotNull() & F.col(f"_parent{k}").isNull(), f"unknown {column}"))
+    reasons += [F.when(~F.expr(condition), reason) for reason, condition in rules.checks.items()]
+    return rows.select(*columns, F.coalesce(*reasons, F.lit(None).cast("string")).alias("reason"))
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).count().filter(F.col("count") > 1).select(*keys)
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickframe.operators import quality
 from tickframe.session import staged
 
 MONTH = "month"
@@ -202,6 +203,20 @@ def append_absent(batch: DataFrame, path: str, schema: T.StructType, keys: Seque
             _write(fresh, path, "append", MONTH, keys)
 
 
+def append_checked(batch: DataFrame, path: str, schema: T.StructType, keys: Sequence[str], rules: quality.Rules, rejects: str,
+                   order: str | None = None, *, arrivals: str | None = None) -> None:
+    """``append_absent`` for the rows that keep ``rules``; the others replace what the folder ``rejects`` holds, with the reason.
+
+    All rules are looked at in the one pass that writes the batch aside. Rejects
+    are written first, so a run that fails may be run again. Columns beside the
+    schema's reach the rejects only.
+    """
+    with staged(quality.with_reason(batch, rules), "checked") as marked:
+        marked.filter("reason IS NOT NULL").drop(*([order] if order else [])).write.mode("overwrite").parquet(rejects)
+        good = marked.filter("reason IS NULL").select(*schema.names, *([order] if order else []))
+        append_absent(good, path, schema, keys, order, staged_already=True, arrivals=arrivals)
+
+
 def merge_rows(batch: DataFrame, path: str, schema: T.StructType, keys: Sequence[str], order=None, *,
                distinct_keys: bool = False, before: Callable[[int], None] | None = None) -> None:
     """Upserts rows, rewriting only the months they fall in. Null keys fail the job.

@@ -503,6 +503,13 @@ FINAL = {
                    from newest n join stocks t on t.stock_id = n.stock_id where back = 1)
         select day as date, date as data_date, cast(place as integer) as rank, symbol, round(she_score, 6) as score
         from ranked where place <= 5""",
+    "bars_with_parents": f"select stock_id, date, {_DOUBLE_BAR} from good_bars where stock_id % 9 > 0",
+    "rejects_of_rules": f"""
+        , judged as (select *, case when open_price is null then 'missing open_price' when high_price is null then 'missing high_price'
+            when low_price is null then 'missing low_price' when close_price is null then 'missing close_price'
+            when volume is null then 'missing volume' when stock_id % 9 = 0 then 'unknown stock_id'
+            when volume <= 0 then 'no volume' end as reason from raw_bars)
+        select stock_id, date, {_DOUBLE_BAR}, reason from judged where reason is not null""",
     "rankings_of_past_dates": """
         , days(day) as (values (date '1997-02-01'), (date '1998-12-31'), (date '2000-05-17')),
         newest as (select d.day, s.*, row_number() over (partition by d.day, s.stock_id order by s.date desc) as back

@@ -39,6 +39,14 @@ def ingest(spark: SparkSession, root: str, landed: DataFrame, suffix: str = S.MA
                             staged_already=True, arrivals=f"{root}/arrivals")
 
 
+def ingest_bars(spark: SparkSession, root: str, bars: DataFrame, batch: str | None = None) -> None:
+    """Bars that have their keys and types into the bar table. Rows that are incomplete, were
+    not traded or are of no stored stock go to the rejects of ``batch`` with the reason."""
+    with staged(bars, "landed") as rows:
+        store.append_checked(rows, f"{root}/bars", S.BARS, S.SERIES_KEY, quality.bar_rules(tables.scan(spark, root, "stocks")),
+                             f"{root}/rejects/batch={batch or _name_of(rows)}", arrivals=f"{root}/arrivals")
+
+
 def ingest_files(spark: SparkSession, root: str, folder: str, fmt: str = "parquet", suffix: str = S.MARKET_SUFFIX,
                  files_per_batch: int | None = None) -> None:
     """The same for all vendor files that landed in ``folder`` since the last run, as a stream with its place kept in ``root``."""

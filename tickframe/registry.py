@@ -280,6 +280,28 @@ def daily_rank_both(spark, root):
     return plain(named.select("date", "data_date", "rank", "symbol", "score", "model_type"), 6)
 
 
+def _checked_db(spark, root):
+    """Tables of the stocks with numbers not divisible by nine, and bars of all stocks sent in two batches, the later ones as a stream."""
+    db, landed = new_path(spark, "db"), new_path(spark, "landing")
+    data.stocks(spark, root).filter("stock_id % 9 > 0").write.parquet(f"{db}/stocks")
+    tables.bootstrap(spark, db)
+    raw = data.raw_bars(spark, root)
+    daily.ingest_bars(spark, db, raw.filter(F.col("date") < TEST_START))
+    raw.filter(F.col("date") >= TEST_START).write.parquet(landed)
+    ingest.ingest_available(spark, landed, f"{db}/bars", f"{db}/ingested", f"{db}/rejects", stocks=tables.scan(spark, db, "stocks"))
+    return db
+
+
+def bars_with_parents(spark, root):
+    """The bar table where bars of unknown stocks were sent too."""
+    return plain(tables.scan(spark, _checked_db(spark, root), "bars"))
+
+
+def rejects_of_rules(spark, root):
+    """What the rules kept from the bar table, with the reason."""
+    return plain(spark.read.parquet(f"{_checked_db(spark, root)}/rejects").select(*S.BARS.names, "reason"))
+
+
 def daily_features_table(spark, root):
     """Features built in three daily runs: old bars, then some late ones, then the rest."""
     db = new_path(spark, "db")
@@ -831,6 +853,8 @@ QUERIES = {
     "daily_ingest_table": daily_ingest_table,
     "daily_ingest_rejects": daily_ingest_rejects,
     "daily_features_table": daily_features_table,
+    "bars_with_parents": bars_with_parents,
+    "rejects_of_rules": rejects_of_rules,
     "daily_rank_table": daily_rank_table,
     "rankings_of_past_dates": rankings_of_past_dates,
     "vendor_csv_any_order": vendor_csv_any_order,

@@ -14,7 +14,8 @@ from tickframe.sources import landing
 ARRIVAL = ("_metadata.file_modification_time", "_metadata.file_path")
 
 
-def _store_batches(rows: DataFrame, table: str, checkpoint: str, rejects: str | None, arrivals: str | None, typed=None) -> None:
+def _store_batches(rows: DataFrame, table: str, checkpoint: str, rejects: str | None, arrivals: str | None,
+                   typed=None, rules: quality.Rules | None = None) -> None:
     """Stores all that is there in batches. A batch is read once, and one that is
     run again after a failure adds nothing twice: stored keys are skipped, and
     rejects are written to a folder of their batch. New bars are noted for the
@@ -22,6 +23,9 @@ def _store_batches(rows: DataFrame, table: str, checkpoint: str, rejects: str |
     arrivals = arrivals or f"{table.rstrip('/').rpartition('/')[0]}/arrivals"
 
     def store_batch(batch: DataFrame, batch_id: int) -> None:
+        if rules and rejects:
+            store.append_checked(batch, table, S.BARS, S.SERIES_KEY, rules, f"{rejects}/batch={batch_id}", "_arrival", arrivals=arrivals)
+            return
         with staged(typed(batch) if typed else batch, "batch") as once:
             if rejects:
                 quality.rejects(once.drop("_arrival")).write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
@@ -38,14 +42,18 @@ def _reader(spark: SparkSession, schema, files_per_batch: int | None):
 
 
 def ingest_available(spark: SparkSession, folder: str, table: str, checkpoint: str,
-                     rejects: str | None = None, files_per_batch: int | None = None, arrivals: str | None = None) -> None:
+                     rejects: str | None = None, files_per_batch: int | None = None, arrivals: str | None = None,
+                     stocks: DataFrame | None = None) -> None:
     """Takes in all Parquet files of typed bars that have landed since the last run, then stops.
 
-    ``files_per_batch`` bounds a batch, so a large backlog is stored in steps.
+    ``files_per_batch`` bounds a batch, so a large backlog is stored in steps. With
+    ``stocks``, bars of a stock that is not among them go to ``rejects``, which must be named.
     """
+    if stocks is not None and not rejects:
+        raise ValueError("bars of unknown stocks need a folder for rejects")
     landed = _reader(spark, S.BARS, files_per_batch).parquet(folder)
     _store_batches(landed.select("*", F.struct(*ARRIVAL, "_metadata.row_index").alias("_arrival")), table, checkpoint, rejects,
-                   arrivals)
+                   arrivals, rules=quality.bar_rules(stocks) if stocks is not None else None)
 
 
 def ingest_vendor_files(spark: SparkSession, folder: str, table: str, checkpoint: str, stocks: DataFrame,
