@@ -162,11 +162,13 @@ def train(panel: DataFrame, **params) -> PipelineModel:
     """One model of all rows of ``panel``; cut it to the training period first."""
     if params.get("subsamplingRate", 1.0) < 1:
         return fit(stage(single_rows(panel), "training-rows"), **params)
-    counts = training_counts(panel).coalesce(FIT_PARTITIONS).persist()
-    try:
-        return fit(counts, **params)
-    finally:
-        counts.unpersist()
+    # Written aside first: coalescing the aggregate itself would run all its partitions in two tasks.
+    with staged(training_counts(panel), "training-counts") as stored:
+        counts = stored.coalesce(FIT_PARTITIONS).persist()
+        try:
+            return fit(counts, **params)
+        finally:
+            counts.unpersist()
 
 
 def tune_and_train(panel: DataFrame, grid: Mapping[str, Sequence] = GRID, **options) -> PipelineModel:
