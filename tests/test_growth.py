@@ -1,9 +1,11 @@
 """Steps whose tasks must not grow faster than the input."""
 
+import re
+
 import pytest
 
 from tickframe import registry
-from tickframe.operators import model
+from tickframe.operators import model, series
 from tickframe.sources import landing
 
 from .helpers import count_of
@@ -41,3 +43,26 @@ def test_no_day_of_lines_is_written_by_one_task(spark, root, monkeypatch, uncoal
     monkeypatch.setattr(landing, "read_landing", looked)
     registry.rejects_of_two_days(spark, root)
     assert len(files) == 3 and min(files) > 1
+
+
+@pytest.mark.parametrize("name", ["lem_stump_scores", "lem_tuned"])
+def test_the_panel_is_worked_out_once(spark, root, monkeypatch, name):
+    calls, panel = [], registry.panel
+
+    def looked(*args):
+        calls.append(1)
+        return panel(*args)
+
+    monkeypatch.setattr(registry, "panel", looked)
+    out = registry.QUERIES[name](spark, root)
+    assert len(calls) == 1 and count_of(out, "Window") == 0
+
+
+@pytest.mark.parametrize("name", ["macd_far_spans", "ema_far_spans", "panel"])
+def test_series_are_dealt_by_the_size_of_their_files(spark, root, monkeypatch, name):
+    whole = registry.QUERIES[name](spark, root)
+    monkeypatch.setattr(series, "DEALT_BYTES", 4 << 10)
+    dealt = registry.QUERIES[name](spark, root)
+    numbers = [int(n) for n in re.findall(r"hashpartitioning\(stock_id#\d+, (\d+)\), REPARTITION_BY_NUM", dealt._jdf.queryExecution().executedPlan().toString())]
+    assert len(set(numbers)) == 1 and numbers[0] > spark.sparkContext.defaultParallelism
+    assert dealt.exceptAll(whole).isEmpty() and dealt.count() == whole.count()

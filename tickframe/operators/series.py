@@ -31,6 +31,9 @@ EMA_BITS = 60
 # Rows one task takes of a key whose order column sets no bound.
 PIECE_ROWS = 50_000
 
+# Bytes of input files that one task takes of series dealt out by key; compressed rows have about ten bytes or more.
+DEALT_BYTES = 4 << 20
+
 
 def series_window(by: Sequence[str] = KEY, order: str = ORDER) -> WindowSpec:
     return Window.partitionBy(*by).orderBy(order)
@@ -40,6 +43,22 @@ def running(window: WindowSpec) -> WindowSpec:
     return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
+def dealt(df: DataFrame, by: Sequence[str] = KEY) -> DataFrame:
+    """``df`` dealt out by key to as many tasks as the size of the files behind it asks for.
+
+    Windows over the key use this exchange instead of their own. Partitions that
+    adaptive execution joins grow to its target size in compressed bytes, many times
+    that in sorts; these hold about the same number of rows whatever the table's
+    size. Leave tables alone that are stored by key, and small ones stay as they are.
+    """
+    spark = df.sparkSession
+    make, hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = [make(make(f).getParent(), make(f).getName()) for f in df.inputFiles()]
+    size = sum(p.getFileSystem(hadoop).getFileStatus(p).getLen() for p in paths)
+    tasks = size // DEALT_BYTES + 1
+    return df.repartition(tasks, *by) if tasks > spark.sparkContext.defaultParallelism else df
+
+
 class Unit:
     """How the values of a column are summed without loss.
 

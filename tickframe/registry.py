@@ -56,7 +56,13 @@ def feature_rows(spark, root):
 
 
 def panel(spark, root):
-    return plans.panel_from_bars(data.bars(spark, root), data.stocks(spark, root))
+    closes = series.dealt(data.bars(spark, root).select("stock_id", "date", "close_price"))
+    return plans.panel_from_bars(closes, data.stocks(spark, root))
+
+
+def panel_once(spark, root):
+    """The panel written aside, where training and scoring both read it."""
+    return stage(panel(spark, root), "panel")
 
 
 def base_returns(spark, root):
@@ -441,11 +447,11 @@ def macd(spark, root):
 
 
 def ema_far_spans(spark, root):
-    return plain(series.ema(_closes(spark, root), "close_price", {"ema_5": 5, "ema_200": 200}), 4)
+    return plain(series.ema(series.dealt(_closes(spark, root)), "close_price", {"ema_5": 5, "ema_200": 200}), 4)
 
 
 def macd_far_spans(spark, root):
-    return plain(series.macd(_closes(spark, root), "close_price", 12, 200, 9), 4)
+    return plain(series.macd(series.dealt(_closes(spark, root)), "close_price", 12, 200, 9), 4)
 
 
 def forward_return(spark, root):
@@ -651,8 +657,8 @@ def time_folds(spark, root):
     return plans.profile(lem.time_folds(_split(spark, root)[0]), "fold")
 
 
-def _split(spark, root):
-    return plans.temporal_split(panel(spark, root), TRAIN_END, TEST_START)
+def _split(spark, root, rows=None):
+    return plans.temporal_split(panel(spark, root) if rows is None else rows, TRAIN_END, TEST_START)
 
 
 def training_counts(spark, root):
@@ -668,27 +674,29 @@ _models: dict[tuple[str, str], str] = {}
 _model_lock = threading.Lock()
 
 
-def trained(spark: SparkSession, root: str):
-    """A model of the training period, saved once per session and loaded after that."""
+def trained(spark: SparkSession, root: str, training: DataFrame | None = None):
+    """A model of the training period, saved once per session and loaded after that; ``training`` are its rows, if at hand."""
     key = (spark.sparkContext.applicationId, root)
     with _model_lock:
         if key not in _models:
             path = new_path(spark, "model")
-            lem.save(lem.train_trees(_split(spark, root)[0], **SMALLEST), path)
+            lem.save(lem.train_trees(_split(spark, root)[0] if training is None else training, **SMALLEST), path)
             _models[key] = path
     return lem.load(_models[key])
 
 
 def lem_scores(spark, root):
-    rows = lem.score_by_table(_split(spark, root)[1], trained(spark, root))
+    training, test = _split(spark, root, panel_once(spark, root))
+    rows = lem.score_by_table(test, trained(spark, root, training))
     return plain(rows.select("symbol", "date", "lem_score"), 6)
 
 
 def lem_score_checks(spark, root):
     """Per symbol: rows scored, rows without a score or outside 0..100, and rows
     where the looked-up score is not that of the trees."""
-    model = trained(spark, root)
-    both = lem.score(lem.score_by_table(_split(spark, root)[1], model), model, "by_trees")
+    training, test = _split(spark, root, panel_once(spark, root))
+    model = trained(spark, root, training)
+    both = lem.score(lem.score_by_table(test, model), model, "by_trees")
     return both.groupBy("symbol").agg(
         F.count("lem_score").alias("scored"),
         F.count_if(F.col("lem_score").isNull() | ~F.col("lem_score").between(0, 100)).alias("out_of_range"),
@@ -697,7 +705,8 @@ def lem_score_checks(spark, root):
 
 def lem_scores_from_table(spark, root):
     """The same scores by joins with the stored table of nodes, a level at a time."""
-    test, model = _split(spark, root)[1], trained(spark, root)
+    training, test = _split(spark, root, panel_once(spark, root))
+    model = trained(spark, root, training)
     combinations = stage(test.select(*S.SIGNALS).distinct().withColumn("id", F.xxhash64(*S.SIGNALS)), "combinations")
     found = boosting.follow(combinations, stage(model.table(spark), "nodes"), ["id"])
     rows = test.select("symbol", "date", F.xxhash64(*S.SIGNALS).alias("id")).join(found, "id")
@@ -710,9 +719,14 @@ def lem_top5(spark, root):
     return plain(ranked.select("date", "data_date", "rank", "stock_id", "score", "model_type"), 6)
 
 
+def _simulated(spark, root, fitted):
+    """Returns of all strategies with the model that ``fitted`` makes of the training rows."""
+    rows = panel_once(spark, root)
+    return backtest.simulate(rows, backtest.ALL_STRATEGIES, start=TEST_START, model=fitted(spark, root, _split(spark, root, rows)[0]))
+
+
 def _lem_returns(spark, root):
-    return stage_once(spark, (root, "lem-returns"), lambda: backtest.simulate(
-        panel(spark, root), backtest.ALL_STRATEGIES, start=TEST_START, model=trained(spark, root)))
+    return stage_once(spark, (root, "lem-returns"), lambda: _simulated(spark, root, trained))
 
 
 def lem_metrics(spark, root):
@@ -731,20 +745,20 @@ def lem_equity_curve(spark, root):
     return plain(curves.equity_curve(_lem_returns(spark, root), ["lem", "she", returns.BENCHMARK]), 6)
 
 
-def _search(spark, root):
-    return lem.grid_search(_split(spark, root)[0], {"maxIter": [10, 20], "stepSize": [0.1], "maxDepth": [3],
-                                                    "subsamplingRate": [0.8, 1.0]})
+def _search(training):
+    return lem.grid_search(training, {"maxIter": [10, 20], "stepSize": [0.1], "maxDepth": [3],
+                                      "subsamplingRate": [0.8, 1.0]})
 
 
 _searches: dict[tuple[str, str], tuple] = {}
 
 
-def _whole_search(spark, root):
-    """The search over the whole grid, once per session."""
+def _whole_search(spark, root, training=None):
+    """The search over the whole grid, once per session; ``training`` are its rows, if at hand."""
     key = (spark.sparkContext.applicationId, root)
     with _model_lock:
         if key not in _searches:
-            _searches[key] = lem.search(_split(spark, root)[0])
+            _searches[key] = lem.search(_split(spark, root)[0] if training is None else training)
     return _searches[key]
 
 
@@ -755,7 +769,8 @@ def lem_cv(spark, root):
 
 def lem_refit(spark, root):
     """Checks of the search over the whole grid and of the model fitted with its best setting."""
-    (table, best), (training, test) = _whole_search(spark, root), _split(spark, root)
+    training, test = _split(spark, root, panel_once(spark, root))
+    table, best = _whole_search(spark, root, training)
     model = lem.train_trees(training, **best)
     settings = table.collect()
     top = max(r.mean_f1 for r in settings)
@@ -769,9 +784,9 @@ def lem_refit(spark, root):
 
 def lem_tuned(spark, root):
     """Checks of a search and the model refitted with its best setting."""
-    panel_rows_, test = _split(spark, root)
-    table, best = _search(spark, root)
-    model = lem.train(panel_rows_, **best)
+    training, test = _split(spark, root, panel_once(spark, root))
+    table, best = _search(training)
+    model = lem.train(training, **best)
     settings = table.collect()
     top = max(r.mean_f1 for r in settings)
     chosen = [r.mean_f1 for r in settings if all(r[k] == v for k, v in best.items())]
@@ -785,17 +800,17 @@ def lem_tuned(spark, root):
 
 # A learned score that SQL can follow in full: one tree of one split on trend and MACD.
 
-def stump(spark, root):
-    return lem.train(_split(spark, root)[0], features=["trend_signal", "macd_score"], maxIter=1, maxDepth=1)
+def stump(spark, root, training=None):
+    return lem.train(_split(spark, root)[0] if training is None else training, features=["trend_signal", "macd_score"], maxIter=1, maxDepth=1)
 
 
 def _stump_returns(spark, root):
-    return stage_once(spark, (root, "stump-returns"), lambda: backtest.simulate(
-        panel(spark, root), backtest.ALL_STRATEGIES, start=TEST_START, model=stump(spark, root)))
+    return stage_once(spark, (root, "stump-returns"), lambda: _simulated(spark, root, stump))
 
 
 def lem_stump_scores(spark, root):
-    rows = lem.score_by_table(_split(spark, root)[1], stump(spark, root))
+    training, test = _split(spark, root, panel_once(spark, root))
+    rows = lem.score_by_table(test, stump(spark, root, training))
     return plain(rows.select("symbol", "date", "lem_score"), 9)
 
 
