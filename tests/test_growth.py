@@ -66,3 +66,20 @@ def test_series_are_dealt_by_the_size_of_their_files(spark, root, monkeypatch, n
     numbers = [int(n) for n in re.findall(r"hashpartitioning\(stock_id#\d+, (\d+)\), REPARTITION_BY_NUM", dealt._jdf.queryExecution().executedPlan().toString())]
     assert len(set(numbers)) == 1 and numbers[0] > spark.sparkContext.defaultParallelism
     assert dealt.exceptAll(whole).isEmpty() and dealt.count() == whole.count()
+
+
+def test_lines_stay_where_they_are_and_are_parsed_once(spark, tmp_path):
+    for k, text in enumerate(("Ticker,Date,Close\nAA.NS,2001-01-01,1.5\nTicker in, Date\n", "Date,Low,Ticker\n2001-01-02,2,BB.NS\n2001-01-03,3\n")):
+        (tmp_path / f"{k}.csv").write_text(text)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = landing.read_landing(spark, str(tmp_path), "csv")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning(_file" not in plan and count_of(out, "SortMergeJoin") == 0
+    assert plan.count("from_csv(") == 2
+    found = {(r.Ticker, r.Date, r.Low, r.Close, r._line) for r in out.collect()}
+    assert found == {("AA.NS", "2001-01-01", None, "1.5", None), ("BB.NS", "2001-01-02", "2", None, None),
+                     (None, None, None, None, "Ticker in, Date"), (None, None, None, None, "2001-01-03,3")}

@@ -29,9 +29,10 @@ def one_per_key(batch: DataFrame, keys: Sequence[str], pick, order: str | Column
     exchange. Without an order the whole row decides, so the choice is stable.
     """
     rest = [c for c in batch.columns if c not in keys]
-    if order is None:
-        order = F.struct(*rest)
-    chosen = batch.groupBy(*keys).agg(pick(F.struct(*rest), order).alias("_row"))
+    row = F.struct(*rest)
+    # A row that is its own order is kept once while it is reduced, not twice.
+    first = pick(row, order) if order is not None else F.min(row) if pick is F.min_by else F.max(row)
+    chosen = batch.groupBy(*keys).agg(first.alias("_row"))
     return chosen.select(*(F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in batch.columns))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickframe import schemas as S
+from tickframe.session import stage
 
 # Vendor field names and the stored columns they feed.
 VENDOR_FIELDS = {
@@ -65,9 +66,12 @@ def from_lines(lines: DataFrame, fmt: str, keep: Sequence[str] = ()) -> DataFram
             .withColumn("_bad", F.when(F.col("_row").isNull(), F.col("value")).otherwise(F.col("_row._line")))
     else:
         names = F.transform(F.split("value", ","), lambda c: F.btrim(c, F.lit(' "\ufeff')))
-        is_header = F.array_contains(names, "Ticker") & F.array_contains(names, "Date")
-        headers = lines.filter(is_header).groupBy("_file").agg(F.min("value").alias("_header"))
-        parsed = lines.filter(~is_header).join(headers, "_file", "left")
+        # Few lines hold both words, so few are cut to see whether they are cells.
+        is_header = F.col("value").contains("Ticker") & F.col("value").contains("Date") \
+            & F.array_contains(names, "Ticker") & F.array_contains(names, "Date")
+        headers = stage(lines.filter(is_header).groupBy("_file").agg(F.min("value").alias("_header")), "headers")
+        # A row per file; lines stay where they are, as a file's lines may be more than a task can take.
+        parsed = lines.filter(~is_header).join(F.broadcast(headers), "_file", "left")
         row, nothing = F.lit(None), F.lit(None).cast("string")
         # As many as there are layouts; files share them.
         for header in (r[0] for r in headers.select("_header").distinct().collect()):
@@ -76,9 +80,10 @@ def from_lines(lines: DataFrame, fmt: str, keep: Sequence[str] = ()) -> DataFram
             if len(known) < sum(c in fields for c in cells):
                 continue  # a name twice: which cell counts cannot be told
             kinds = ", ".join([*(f"`{c}` string" if c in fields else f"_x{k} string" for k, c in enumerate(cells)), "_line string"])
-            read = F.from_csv("value", kinds, options)
-            row = F.when(F.col("_header") == F.lit(header), F.struct(
-                *((read.getField(f) if f in known else nothing).alias(f) for f in fields), read.getField("_line").alias("_line"))).otherwise(row)
+            # Through an array of one, as each field taken of the expression itself would parse the line again.
+            read = F.transform(F.array(F.from_csv("value", kinds, options)), lambda cells: F.struct(
+                *((cells.getField(f) if f in known else nothing).alias(f) for f in fields), cells.getField("_line").alias("_line")))
+            row = F.when(F.col("_header") == F.lit(header), read[0]).otherwise(row)
         kind = T.StructType([T.StructField(f, T.StringType()) for f in [*fields, "_line"]])
         parsed = parsed.withColumn("_row", row.cast(kind)) \
             .withColumn("_bad", F.when(F.col("_row").isNull(), F.col("value")).otherwise(F.col("_row._line")))
