@@ -287,7 +287,7 @@ def indicators(df: DataFrame, value: str, *, fast_sma: int, slow_sma: int, rsi_l
     """All indicators in one exchange and two sorts.
 
     Adds ``sma_fast, sma_slow, rsi, macd_value, macd_signal`` as doubles, and
-    ``ema_fast, ema_slow`` if they are to be kept.
+    ``ema_fast, ema_slow`` and the row's place ``_pos`` in its key (or piece) if the means are to be kept.
     """
     decays = same_blocks(macd_spans)
     unit = Unit.of(df, value)
@@ -314,7 +314,8 @@ def indicators(df: DataFrame, value: str, *, fast_sma: int, slow_sma: int, rsi_l
             "sma_slow": mean_of(slow_sma, unit, key_w),
             "rsi": F.when(F.col("_pos") >= rsi_length - 1, strength),
         })
-        return _without_blocks(out.drop("_unit", "_move", "_total", "_seen", "_gain", "_loss"), decays)
+        out = out.drop("_unit", "_move", "_total", "_seen", "_gain", "_loss")
+        return out.drop(decays[0].block_column) if keep_means else _without_blocks(out, decays)
 
     return piecewise(df, work, halo=max(block_size(macd_spans), slow_sma, fast_sma, rsi_length), by=by, order=order,
                      slice_of=slice_of, piece_rows=piece_rows)

@@ -29,9 +29,17 @@ def one_per_key(batch: DataFrame, keys: Sequence[str], pick, order: str | Column
     exchange. Without an order the whole row decides, so the choice is stable.
     """
     rest = [c for c in batch.columns if c not in keys]
-    row = F.struct(*rest)
-    # A row that is its own order is kept once while it is reduced, not twice.
-    first = pick(row, order) if order is not None else F.min(row) if pick is F.min_by else F.max(row)
+    least = pick is F.min_by
+    if isinstance(order, str) and order in rest:
+        # The order is kept once while rows are reduced, at the head of the row, not beside it too. A row without one comes last.
+        rest = [order, *(c for c in rest if c != order)]
+        known = F.col(order).isNull() if least else F.col(order).isNotNull()
+        row = F.struct(known.alias("_known"), *rest)
+        first = F.min(row) if least else F.max(row)
+    else:
+        row = F.struct(*rest)
+        # A row that is its own order is kept once while it is reduced, not twice.
+        first = pick(row, order) if order is not None else F.min(row) if least else F.max(row)
     chosen = batch.groupBy(*keys).agg(first.alias("_row"))
     return chosen.select(*(F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in batch.columns))
 
@@ -219,12 +227,13 @@ def append_checked(batch: DataFrame, path: str, schema: T.StructType, keys: Sequ
 
 
 def merge_rows(batch: DataFrame, path: str, schema: T.StructType, keys: Sequence[str], order=None, *,
-               distinct_keys: bool = False, before: Callable[[int], None] | None = None) -> None:
+               distinct_keys: bool = False, staged_already: bool = False, before: Callable[[int], None] | None = None) -> None:
     """Upserts rows, rewriting only the months they fall in. Null keys fail the job.
 
     The rows are written aside first, since the months, the keys to leave out
     and the rows to add are all read from them. Say ``distinct_keys`` where the
-    rows cannot repeat a key, which saves an exchange. Tasks may be retried. New
+    rows cannot repeat a key, which saves an exchange, and ``staged_already`` where
+    they are read from rows written aside that the table has no part in. Tasks may be retried. New
     months are written beside the old ones and swapped in together, so a job
     that ends before leaves the table as it was, and readers see all months of
     before or all of after. One writer at a time. ``before`` is called with the first
@@ -238,7 +247,7 @@ def merge_rows(batch: DataFrame, path: str, schema: T.StructType, keys: Sequence
         # Nothing to merge with, so nothing is read twice; if this ends half-way, the next run merges with what there is.
         _write(rows.select(*stored.columns), path, "append", MONTH, keys[:-1])
         return
-    with staged(rows, "incoming") as incoming:
+    with staged(rows, "incoming") if not staged_already else nullcontext(rows) as incoming:
         named = _touched(incoming)
         if not named:
             return

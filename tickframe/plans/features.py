@@ -45,18 +45,21 @@ def features(bars: DataFrame, *, price: str = "close_price", keep: Sequence[str]
     return as_stored(out, by=by, order=order, keep=keep)
 
 
+def stored_columns() -> list[Column]:
+    """Indicators at storage precision; null what storage cannot hold."""
+    return [F.col("sma_fast").try_cast(S.PRICE).alias("sma_50"), F.col("sma_slow").try_cast(S.PRICE).alias("sma_200"),
+            F.col("rsi").try_cast(S.RSI).alias("rsi_14"),
+            F.col("macd_value").try_cast(S.PRICE).alias("macd_value"),
+            F.col("macd_signal").try_cast(S.PRICE).alias("macd_signal")]
+
+
 def as_stored(indicators: DataFrame, *, by: Sequence[str] = series.KEY, order: str = series.ORDER,
               keep: Sequence[str] = ()) -> DataFrame:
     """Indicators at storage precision, complete rows only.
 
     A value that storage cannot hold makes its row incomplete, not the job fail.
     """
-    stored = indicators.select(
-        *by, order,
-        F.col("sma_fast").try_cast(S.PRICE).alias("sma_50"), F.col("sma_slow").try_cast(S.PRICE).alias("sma_200"),
-        F.col("rsi").try_cast(S.RSI).alias("rsi_14"),
-        F.col("macd_value").try_cast(S.PRICE).alias("macd_value"),
-        F.col("macd_signal").try_cast(S.PRICE).alias("macd_signal"), *keep)
+    stored = indicators.select(*by, order, *stored_columns(), *keep)
     return stored.dropna(subset=[c for c in S.FEATURES.names if c not in S.SERIES_KEY])
 
 

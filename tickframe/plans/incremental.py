@@ -14,6 +14,8 @@ month at the first run and the notes of later ones, which are kept for that.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +30,7 @@ from tickframe.session import scratch, stage
 HELD = max(S.SLOW_SMA, S.FAST_SMA, S.RSI_LENGTH + 1)
 # Rows over which a bar bears on others, and as many as a row looks back.
 REACH = max(series.block_size(plans.MACD_SPANS), S.SLOW_SMA)
+INDICATORS = [c for c in S.FEATURES.names if c not in S.SERIES_KEY]
 RECENT = T.ArrayType(T.StructType([T.StructField(f.name, f.dataType) for f in S.FEATURES.fields[1:]]))
 STATE = T.StructType([
     T.StructField("stock_id", T.IntegerType()), T.StructField("date", T.DateType()),
@@ -46,23 +49,39 @@ def _indicators(bars: DataFrame) -> DataFrame:
                              slow_sma=S.SLOW_SMA, rsi_length=S.RSI_LENGTH, macd_spans=plans.MACD_SPANS, keep_means=True)
 
 
-def _recent(feature_rows: DataFrame) -> DataFrame:
-    """The last two feature rows of each key, as an array in order of date."""
-    names = S.FEATURES.names[1:]
-    return series.last_rows(feature_rows.select(*S.FEATURES.names), 2).groupBy("stock_id") \
-        .agg(F.array_sort(F.collect_list(F.struct(*names))).alias("recent"))
+def _ending(rows: DataFrame) -> DataFrame:
+    """Indicator rows at storage precision, with marks, so that what is read of them later needs no sort: ``_whole`` the
+    feature rows, ``_recent`` a key's last two of them, ``_back`` how many rows of its key come after a row."""
+    by = Window.partitionBy("stock_id")
+    means = [F.col(c).alias(f"_{c}") for c in ("ema_fast", "ema_slow", "macd_signal")]
+    out = rows.select("stock_id", "date", "close_price", *means, "_pos", *plans.stored_columns())
+    out = out.withColumn("_whole", reduce(Column.__and__, (F.col(c).isNotNull() for c in INDICATORS)))
+    out = out.withColumns({"_back": F.max("_pos").over(by) - F.col("_pos"), "_newest": F.max(F.when(F.col("_whole"), F.col("date"))).over(by)}).drop("_pos")
+    older = F.max(F.when(F.col("_whole") & (F.col("date") < F.col("_newest")), F.col("date"))).over(by)
+    out = out.withColumn("_from", F.coalesce(older, "_newest"))
+    return out.withColumn("_recent", F.col("_whole") & (F.col("date") >= F.col("_from"))).drop("_newest", "_from")
+
+
+def _features(ending: DataFrame) -> DataFrame:
+    return ending.filter("_whole").select(*S.FEATURES.names)
+
+
+def _ends(ending: DataFrame) -> DataFrame:
+    """Per key the last date with its means, the last ``HELD`` closes and the last two feature rows, null where there are none."""
+    row = F.struct(*S.FEATURES.names[1:])
+    means = F.struct("date", F.col("_ema_fast").alias("ema_fast"), F.col("_ema_slow").alias("ema_slow"), F.col("_macd_signal").alias("macd_signal"))
+    ends = ending.filter((F.col("_back") < HELD) | F.col("_recent")).groupBy("stock_id").agg(
+        F.max(F.when(F.col("_back") == 0, means)).alias("_last"),
+        F.array_sort(F.collect_list(F.when(F.col("_back") < HELD, F.struct("date", "close_price")))).alias("_held"),
+        F.array_sort(F.collect_list(F.when(F.col("_recent"), row))).alias("_rows"))
+    return ends.select("stock_id", "_last.*", F.col("_held.close_price").alias("closes"),
+                       F.when(F.size("_rows") > 0, F.col("_rows").cast(RECENT)).alias("recent"))
 
 
 def from_history(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Features and state of whole histories."""
-    rows = stage(_indicators(bars), "indicators")
-    features = plans.as_stored(rows)
-    # The last rows of a key hold both its means and its closes.
-    tail = series.last_rows(rows.select("stock_id", "date", "close_price", "ema_fast", "ema_slow", "macd_signal"), HELD).groupBy("stock_id").agg(
-        F.max_by(F.struct("date", "ema_fast", "ema_slow", "macd_signal"), "date").alias("_last"),
-        F.array_sort(F.collect_list(F.struct("date", "close_price"))).alias("_held"))
-    state = tail.join(_recent(features), "stock_id", "left")
-    return features, state.select("stock_id", "_last.*", F.col("_held.close_price").alias("closes"), "recent")
+    ending = stage(_ending(_indicators(bars)), "indicators")
+    return _features(ending), _ends(ending).select(*STATE.names)
 
 
 def from_state(state: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -109,25 +128,23 @@ def from_state(state: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
         "macd_value": F.col("ema_fast") - F.col("ema_slow"), "macd_signal": F.when(live, signal.whole("_sg", by)),
         "sma_fast": series.mean_of(S.FAST_SMA, unit, key_w), "sma_slow": series.mean_of(S.SLOW_SMA, unit, key_w),
         "rsi": F.when(F.col("_seen") >= S.RSI_LENGTH, strength)})
-    fresh = stage(out.select("stock_id", "_pos", "date", "close_price", "ema_fast", "ema_slow", "macd_value", "macd_signal",
-                             "sma_fast", "sma_slow", "rsi"), "new-rows")
-    features = plans.as_stored(fresh.filter(F.col("date").isNotNull()))
-
-    # One exchange for all that the next state holds; a key has its held closes and the new rows here.
-    fields = [F.col(c) for c in S.FEATURES.names[1:]]
-    new_rows = features.select("stock_id", F.lit(None).cast("int").alias("_pos"), F.lit(None).cast(S.PRICE).alias("close_price"),
-                               F.struct(*fields).alias("_feature"), F.lit(None).cast("struct<date:date,ema_fast:double,ema_slow:double,macd_signal:double>").alias("_means"))
-    means = F.when(F.col("date").isNotNull(), F.struct("date", "ema_fast", "ema_slow", "macd_signal"))
-    both = new_rows.unionByName(fresh.select("stock_id", "_pos", "close_price", F.lit(None).cast(RECENT.elementType).alias("_feature"),
-                                             means.alias("_means")))
-    grown = both.groupBy("stock_id").agg(
-        F.max("_means").alias("_last"), F.array_sort(F.collect_list("_feature")).alias("_features"),
-        F.array_sort(F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", "close_price")))).alias("_held"))
-    before = state.select(F.col("stock_id").alias("_known"), F.col("recent").alias("_recent"))
-    recent = F.concat(F.coalesce("_recent", F.array().cast(RECENT)), F.col("_features").cast(RECENT))
-    after = grown.join(before, F.col("stock_id") == F.col("_known"), "left") \
-        .select("stock_id", "_last.*", _end(F.col("_held.close_price"), HELD).alias("closes"), _end(recent, 2).alias("recent"))
-    return features, after.select(*STATE.names)
+    # What the held closes were needed for is done; they are in the state as they are.
+    fresh = out.filter(F.col("date").isNotNull()).select("stock_id", "_pos", "date", "close_price", "ema_fast", "ema_slow", "macd_value",
+                                                        "macd_signal", "sma_fast", "sma_slow", "rsi")
+    ending = stage(_ending(fresh), "new-rows")
+
+    # A key of which nothing new was found keeps its state.
+    old = state.select("stock_id", *(F.col(c).alias(f"_old_{c}") for c in STATE.names[1:]))
+    after = _ends(ending).join(old, "stock_id", "full_outer")
+    joined = {"closes": (HELD, T.ArrayType(S.PRICE)), "recent": (2, RECENT)}
+
+    def grown(name: str) -> Column:
+        n, kind = joined[name]
+        parts = [F.coalesce(F.col(c).cast(kind), F.array().cast(kind)) for c in (f"_old_{name}", name)]
+        return _end(F.concat(*parts), n)
+
+    means = {c: F.when(F.col("date").isNull(), F.col(f"_old_{c}")).otherwise(F.col(c)) for c in STATE.names[1:] if c not in joined}
+    return _features(ending), after.select("stock_id", *(c.alias(n) for n, c in means.items()), *(grown(n).alias(n) for n in joined)).select(*STATE.names)
 
 
 def _end(array: Column, n: int) -> Column:
@@ -179,11 +196,11 @@ def build(spark: SparkSession, root: str, *, anew: bool = False) -> None:
         month_ends.bring_up(spark, root)
 
 
-def write_features(spark: SparkSession, root: str, rows: DataFrame, anew: bool = False) -> None:
-    """Feature rows into the table; the month ends that they change go before."""
+def write_features(spark: SparkSession, root: str, rows: DataFrame, anew: bool = False, staged_already: bool = False) -> None:
+    """Feature rows into the table; the month ends that they change go before. Say ``staged_already`` of rows written aside."""
     if anew:
         month_ends.forget(spark, root, 0)
-    store.merge_rows(rows, f"{root}/features", S.FEATURES, S.SERIES_KEY, distinct_keys=True,
+    store.merge_rows(rows, f"{root}/features", S.FEATURES, S.SERIES_KEY, distinct_keys=True, staged_already=staged_already,
                      before=lambda month: month_ends.forget(spark, root, month))
 
 
@@ -196,7 +213,7 @@ def _build(spark: SparkSession, root: str, anew: bool) -> None:
     arrivals = stage(spark.read.schema(ARRIVALS).parquet(*files) if files else spark.createDataFrame([], ARRIVALS), "arrivals")
     if state is None:
         features, after = from_history(bars)
-        write_features(spark, root, features, anew=True)
+        write_features(spark, root, features, anew=True, staged_already=True)
         # All bars have been read, so what was noted of them is replaced by what there is.
         bars.groupBy("stock_id", store.MONTH).agg(F.min("date").alias("first"), F.max("date").alias("last"), F.count("*").alias("n")) \
             .write.mode("overwrite").parquet(f"{root}/noted")
@@ -219,7 +236,7 @@ def _build(spark: SparkSession, root: str, anew: bool) -> None:
             counts = spark.read.schema(ARRIVALS).parquet(*noted, *files).groupBy("stock_id", store.MONTH).agg(F.sum("n").alias("n"))
             again, again_after = late_rows(bars, late, arrivals, counts, state)
             features, after = features.unionByName(again), after.unionByName(again_after)
-        write_features(spark, root, features)
+        write_features(spark, root, features, staged_already=True)
         save_state(spark, root, state.join(keys, "stock_id", "left_anti").select(*STATE.names).unionByName(after))
     for path in files:
         _keep(spark, path, f"{root}/noted")

@@ -29,7 +29,9 @@ def _store_batches(rows: DataFrame, table: str, checkpoint: str, rejects: str |
         with staged(typed(batch) if typed else batch, "batch") as once:
             if rejects:
                 quality.rejects(once.drop("_arrival")).write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
-            bars = quality.clean_bars(once).select(*S.BARS.names, "_arrival")
+            # Typed rows have their file beside them, so only the time is kept in their arrival.
+            arrival = F.struct("_arrival", "file") if typed else F.col("_arrival")
+            bars = quality.clean_bars(once).select(*S.BARS.names, arrival.alias("_arrival"))
             store.append_absent(bars, table, S.BARS, S.SERIES_KEY, order="_arrival", staged_already=True, arrivals=arrivals)
 
     (rows.writeStream.foreachBatch(store_batch).option("checkpointLocation", checkpoint)
@@ -64,10 +66,10 @@ def ingest_vendor_files(spark: SparkSession, folder: str, table: str, checkpoint
     cannot be read go to the rejects."""
     if fmt in landing.TEXT:
         lines = _reader(spark, "value string", files_per_batch).format("text").load(folder)
-        landed = lines.select("value", F.col("_metadata.file_path").alias("_file"), F.struct(*ARRIVAL).alias("_arrival"))
+        landed = lines.select("value", F.col("_metadata.file_path").alias("_file"), F.col(ARRIVAL[0]).alias("_arrival"))
     else:
         landed = _reader(spark, landing.vendor_schema(text=False), files_per_batch).format(fmt).load(folder) \
-            .select("*", F.col("_metadata.file_path").alias("_file"), F.struct(*ARRIVAL).alias("_arrival"))
+            .select("*", F.col("_metadata.file_path").alias("_file"), F.col(ARRIVAL[0]).alias("_arrival"))
 
     def typed(batch: DataFrame) -> DataFrame:
         rows = landing.from_lines(batch, fmt, keep=["_arrival"]) if fmt in landing.TEXT else batch
