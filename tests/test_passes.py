@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tickframe import registry
 from tickframe import schemas as S
 from tickframe.operators import store
 from tickframe.plans import incremental
@@ -47,3 +48,21 @@ def test_merged_rows_that_are_written_aside_are_not_written_again(spark, tmp_pat
     for batch in (rows, rows.filter(F.col("date") > day(0))):
         store.merge_rows(batch, path, S.FEATURES, S.SERIES_KEY, distinct_keys=True, staged_already=True)
     assert labels == [] and store.open_table(spark, path, S.FEATURES).count() == 2
+
+
+def test_staged_bars_are_not_written_aside_again(spark, tmp_path, monkeypatch):
+    root, labels = str(tmp_path), []
+    spark.createDataFrame([(0, "N")], "n_nationkey int, n_name string").write.parquet(f"{root}/nation.parquet")
+    spark.createDataFrame([(1, "S", 0, 1.0)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double").write.parquet(f"{root}/supplier.parquet")
+    sold = [(i, 1, 1, 1, 1.0, 10.0 + i, day(i)) for i in range(5)]
+    spark.createDataFrame(sold, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_shipdate date") \
+        .write.parquet(f"{root}/lineitem.parquet")
+
+    def noted(df, label, real=store.staged):
+        labels.append(label)
+        return real(df, label)
+    monkeypatch.setattr(store, "staged", noted)
+    for job in ("build_features", "rank"):
+        monkeypatch.setattr(registry.daily, job, lambda *args, **named: None)
+    registry.rankings_of_past_dates(spark, root)
+    assert labels == ["fresh"] * 3

@@ -280,7 +280,7 @@ def daily_rank_both(spark, root):
     tables.bootstrap(spark, db)
     bars = stage(data.bars(spark, root), "bars")
     for part in (bars.filter(F.col("date") < TEST_START), bars):
-        store.append_absent(part, f"{db}/bars", S.BARS, S.SERIES_KEY, arrivals=f"{db}/arrivals")
+        store.append_absent(part, f"{db}/bars", S.BARS, S.SERIES_KEY, staged_already=True, arrivals=f"{db}/arrivals")
         daily.build_features(spark, db)
     lem.save(trained(spark, root), path)
     daily.rank(spark, db, path)
@@ -319,7 +319,7 @@ def daily_features_table(spark, root):
     late = (F.col("stock_id") % 7 == 0) & F.col("date").between("1997-01-01", "1997-03-31")
     newest = (F.col("date") >= TEST_START) | (F.col("stock_id") % 11 == 0)
     for part in (bars.filter(~late & ~newest), bars.filter(late | (newest & (F.col("date") < "2000-03-01"))), bars):
-        store.append_absent(part, f"{db}/bars", S.BARS, S.SERIES_KEY, arrivals=f"{db}/arrivals")
+        store.append_absent(part, f"{db}/bars", S.BARS, S.SERIES_KEY, staged_already=True, arrivals=f"{db}/arrivals")
         daily.build_features(spark, db)
     return plain(tables.scan(spark, db, "features"))
 
@@ -346,7 +346,7 @@ def rankings_of_past_dates(spark, root):
     bars = stage(data.bars(spark, root), "bars")
     late = (F.col("stock_id") % 5 == 0) & F.col("date").between("1996-10-01", "1996-12-31")
     for part in (bars.filter(~late & (F.col("date") < "1999-01-01")), bars.filter(~late & (F.col("date") < "2000-03-15")), bars):
-        store.append_absent(part, f"{db}/bars", S.BARS, S.SERIES_KEY, arrivals=f"{db}/arrivals")
+        store.append_absent(part, f"{db}/bars", S.BARS, S.SERIES_KEY, staged_already=True, arrivals=f"{db}/arrivals")
         daily.build_features(spark, db)
     for day in PAST_DATES:
         daily.rank(spark, db, as_of=day)
